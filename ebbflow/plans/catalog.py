@@ -92,3 +92,85 @@ def q_lead_default(spark, d):
 @register("lead_chain")
 def q_lead_chain(spark, d):
     return bank.lead_chain(fx.transactions(spark, d), _star(spark, d))
+
+
+# ------------------------------------------------------------------ SCD2
+from ebbflow.operators import scd2  # noqa: E402
+
+SCD_KEYS = ["c_custkey"]
+SCD_TRACKED = ["c_acctbal", "c_mktsegment"]
+
+
+def _scd_inputs(spark, d):
+    return fx.scd2_dim(spark, d), fx.scd2_stg(spark, d), fx.scd2_live_keys(spark, d)
+
+
+@register("key_snapshot")
+def q_key_snapshot(spark, d):
+    """S3: full list of live source keys (key-only scan)."""
+    return fx.scd2_live_keys(spark, d).distinct()
+
+
+@register("semi_join_keys")
+def q_semi_join_keys(spark, d):
+    dim, stg, _ = _scd_inputs(spark, d)
+    return dim.join(stg.select(*SCD_KEYS), SCD_KEYS, "left_semi")
+
+
+@register("scd2_new_keys")
+def q_scd2_new_keys(spark, d):
+    dim, stg, _ = _scd_inputs(spark, d)
+    return scd2.new_keys(dim, stg, SCD_KEYS, SCD_TRACKED)
+
+
+@register("scd2_changes")
+def q_scd2_changes(spark, d):
+    dim, stg, _ = _scd_inputs(spark, d)
+    return scd2.changes(dim, stg, SCD_KEYS, SCD_TRACKED)
+
+
+@register("scd2_close")
+def q_scd2_close(spark, d):
+    dim, stg, _ = _scd_inputs(spark, d)
+    return scd2.close_changed(dim, stg, SCD_KEYS, SCD_TRACKED)
+
+
+@register("scd2_reopen")
+def q_scd2_reopen(spark, d):
+    dim, stg, _ = _scd_inputs(spark, d)
+    return scd2.reopen_changed(dim, stg, SCD_KEYS, SCD_TRACKED)
+
+
+@register("scd2_tombstone")
+def q_scd2_tombstone(spark, d):
+    dim, _, live = _scd_inputs(spark, d)
+    return scd2.tombstones(dim, live, SCD_KEYS, fx.BATCH_TS)
+
+
+def _merged(spark, d, surrogate=None):
+    dim, stg, live = _scd_inputs(spark, d)
+    if surrogate:
+        dim = dim.withColumn(surrogate, (F.col("c_custkey") + 1).cast("long"))
+    return scd2.scd2_merge(dim, stg, SCD_KEYS, SCD_TRACKED, live_keys=live, batch_ts=fx.BATCH_TS,
+                           surrogate=surrogate)
+
+
+@register("scd2_merge")
+def q_scd2_merge(spark, d):
+    return _merged(spark, d)
+
+
+@register("scd2_current")
+def q_scd2_current(spark, d):
+    return scd2.current(_merged(spark, d))
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, d):
+    return _merged(spark, d, surrogate="sk").select("c_custkey", "sk", "effective_from", "effective_to", "is_deleted")
+
+
+@register("scd2_from_events")
+def q_scd2_from_events(spark, d):
+    o = fx.table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    return scd2.history_from_events(o, ["o_custkey"], ["o_orderpriority"], "o_orderdate", "o_orderkey")

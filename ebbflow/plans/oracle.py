@@ -185,3 +185,96 @@ ORACLE: dict[str, str] = {
     "lead_default": SQL_LEAD_DEFAULT,
     "lead_chain": SQL_LEAD_CHAIN,
 }
+
+
+# ------------------------------------------------------------------ SCD2
+FIX.update({
+    "dim": f"""dim AS (
+        SELECT c_custkey, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-01 00:00:00' AS effective_from,
+               {OPEN_END} AS effective_to, false AS is_deleted
+        FROM customer)""",
+    "stg": """stg AS (
+        SELECT c_custkey,
+               CASE WHEN c_custkey % 20 = 3 THEN NULL WHEN c_custkey % 10 = 0 THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
+               c_mktsegment, TIMESTAMP '2024-01-02 00:00:00' AS change_ts
+        FROM customer WHERE c_custkey % 5 IN (0, 1, 3)
+        UNION ALL
+        SELECT c_custkey + 1000000, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-02 00:00:00'
+        FROM customer WHERE c_custkey % 50 = 0)""",
+    "live": """live AS (
+        SELECT c_custkey FROM customer WHERE c_custkey % 25 <> 7
+        UNION ALL SELECT c_custkey + 1000000 FROM customer WHERE c_custkey % 50 = 0)""",
+    "ch": f"""ch AS (
+        SELECT s.c_custkey, s.c_acctbal, s.c_mktsegment, d.c_acctbal AS prev_c_acctbal,
+               d.c_mktsegment AS prev_c_mktsegment, s.change_ts
+        FROM stg s JOIN dim d ON s.c_custkey = d.c_custkey AND d.effective_to = {OPEN_END} AND NOT d.is_deleted
+        WHERE (s.c_acctbal IS DISTINCT FROM d.c_acctbal OR s.c_mktsegment IS DISTINCT FROM d.c_mktsegment)
+          AND s.change_ts > d.effective_from)""",
+    "nw": f"""nw AS (
+        SELECT * FROM stg WHERE c_custkey NOT IN (
+            SELECT c_custkey FROM dim WHERE effective_to = {OPEN_END} AND NOT is_deleted))""",
+    "versions": f"""versions AS (
+        SELECT d.c_custkey, d.c_acctbal, d.c_mktsegment, d.effective_from,
+               CASE WHEN ch.c_custkey IS NOT NULL THEN ch.change_ts - INTERVAL 15 SECOND ELSE d.effective_to END AS effective_to,
+               d.is_deleted, d.c_custkey + 1 AS sk
+        FROM dim d LEFT JOIN ch ON d.c_custkey = ch.c_custkey
+        UNION ALL
+        SELECT c_custkey, c_acctbal, c_mktsegment, change_ts, {OPEN_END}, false, c_custkey + 1 FROM ch
+        UNION ALL
+        SELECT c_custkey, c_acctbal, c_mktsegment, change_ts, {OPEN_END}, false,
+               (SELECT max(c_custkey) + 1 FROM customer) + row_number() OVER (ORDER BY c_custkey) FROM nw)""",
+    "merged": f"""merged AS (
+        SELECT c_custkey, c_acctbal, c_mktsegment, effective_from,
+               CASE WHEN effective_to = {OPEN_END} AND NOT is_deleted AND c_custkey NOT IN (SELECT c_custkey FROM live)
+                    THEN TIMESTAMP '2024-01-03 00:00:00' - INTERVAL 15 SECOND ELSE effective_to END AS effective_to,
+               is_deleted, sk
+        FROM versions
+        UNION ALL
+        SELECT c_custkey, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-03 00:00:00', {OPEN_END}, true, sk
+        FROM versions
+        WHERE effective_to = {OPEN_END} AND NOT is_deleted AND c_custkey NOT IN (SELECT c_custkey FROM live))""",
+})
+DEPS.update({
+    "ch": ["dim", "stg"],
+    "nw": ["dim", "stg"],
+    "versions": ["dim", "ch", "nw"],
+    "merged": ["versions", "live"],
+})
+
+ORACLE.update({
+    "key_snapshot": with_("live") + "SELECT DISTINCT c_custkey FROM live",
+    "semi_join_keys": with_("dim", "stg") + "SELECT * FROM dim WHERE c_custkey IN (SELECT c_custkey FROM stg)",
+    "scd2_new_keys": with_("nw") + f"""
+        SELECT c_custkey, c_acctbal, c_mktsegment, change_ts AS effective_from, {OPEN_END} AS effective_to,
+               false AS is_deleted FROM nw""",
+    "scd2_changes": with_("ch") + "SELECT * FROM ch",
+    "scd2_close": with_("ch") + f"""
+        SELECT d.c_custkey, d.c_acctbal, d.c_mktsegment, d.effective_from,
+               ch.change_ts - INTERVAL 15 SECOND AS effective_to, d.is_deleted
+        FROM dim d JOIN ch ON d.c_custkey = ch.c_custkey""",
+    "scd2_reopen": with_("ch") + f"""
+        SELECT c_custkey, c_acctbal, c_mktsegment, change_ts AS effective_from, {OPEN_END} AS effective_to,
+               false AS is_deleted FROM ch""",
+    "scd2_tombstone": with_("dim", "live") + f"""
+        SELECT c_custkey, c_acctbal, c_mktsegment, effective_from,
+               TIMESTAMP '2024-01-03 00:00:00' - INTERVAL 15 SECOND AS effective_to, is_deleted
+        FROM dim WHERE c_custkey NOT IN (SELECT c_custkey FROM live)
+        UNION ALL
+        SELECT c_custkey, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-03 00:00:00', {OPEN_END}, true
+        FROM dim WHERE c_custkey NOT IN (SELECT c_custkey FROM live)""",
+    "scd2_merge": with_("merged") + "SELECT c_custkey, c_acctbal, c_mktsegment, effective_from, effective_to, is_deleted FROM merged",
+    "scd2_current": with_("merged") + f"""
+        SELECT c_custkey, c_acctbal, c_mktsegment, effective_from, effective_to, is_deleted
+        FROM merged WHERE effective_to = {OPEN_END}""",
+    "surrogate_key": with_("merged") + "SELECT c_custkey, sk, effective_from, effective_to, is_deleted FROM merged",
+    "scd2_from_events": f"""
+        WITH d AS (SELECT o_custkey, o_orderdate, arg_max(o_orderpriority, o_orderkey) AS o_orderpriority
+                   FROM orders GROUP BY o_custkey, o_orderdate),
+        l AS (SELECT *, lag(o_orderpriority) OVER w AS pv, row_number() OVER w AS rn
+              FROM d WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)),
+        k AS (SELECT * FROM l WHERE rn = 1 OR pv IS DISTINCT FROM o_orderpriority)
+        SELECT o_custkey, o_orderpriority, o_orderdate AS effective_from,
+               coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) - INTERVAL 15 SECOND,
+                        {OPEN_END}) AS effective_to
+        FROM k""",
+})
