@@ -58,7 +58,7 @@ def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
     """Whole elapsed seconds between two timestamps (days included)."""
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
-    return F.timestampdiff("SECOND", s, e)
+    return F.timestamp_diff("SECOND", s, e)
 
 
 def time_bucket(ts: Column | str, bucket_seconds: int) -> Column:

@@ -174,3 +174,146 @@ def q_surrogate_key(spark, d):
 def q_scd2_from_events(spark, d):
     o = fx.table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
     return scd2.history_from_events(o, ["o_custkey"], ["o_orderpriority"], "o_orderdate", "o_orderkey")
+
+
+# ------------------------------------------------------------------ taxi
+from ebbflow.operators import facts  # noqa: E402
+from ebbflow.plans import taxi  # noqa: E402
+
+
+@register("ride_pivot")
+def q_ride_pivot(spark, d):
+    return taxi.ride_pivot(fx.rides(spark, d), fx.movement(spark, d))
+
+
+@register("ride_completed")
+def q_ride_completed(spark, d):
+    return facts.completed(taxi.ride_pivot(fx.rides(spark, d), fx.movement(spark, d)), "ride_end_dt")
+
+
+def _waybills(spark, d):
+    return fx.waybills(spark, d, fx.scalar_count(spark, d, "supplier"))
+
+
+@register("driver_assignment")
+def q_driver_assignment(spark, d):
+    return taxi.driver_assignment(fx.ride_arrivals(spark, d), _waybills(spark, d))
+
+
+@register("top1_per_key")
+def q_top1_per_key(spark, d):
+    a, w = fx.ride_arrivals(spark, d), _waybills(spark, d)
+    pairs = a.join(w, (a["car_plate_num"] == w["car_plate_num"])
+                   & a["ride_arrival_dt"].between(w["work_start_dt"], w["work_end_dt"]))
+    pairs = pairs.select(a["ride_id"], a["ride_line"], a["car_plate_num"], a["ride_arrival_dt"],
+                         w["work_start_dt"], w["waybill_num"], w["driver_pers_num"])
+    top = facts.top1_by_rank(pairs, ["ride_id", "ride_line", "car_plate_num", "ride_arrival_dt"],
+                             ["work_start_dt", "waybill_num"])
+    return top.drop("work_start_dt")
+
+
+def _waybill_fragments(spark, d):
+    w = _waybills(spark, d)
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    parts = F.array(
+        F.struct(F.col("driver_license").alias("driver_license"), F.col("car_plate_num").alias("car_plate_num"),
+                 null_ts.alias("work_start_dt"), null_ts.alias("work_end_dt"), F.col("issue_dt").alias("issue_dt")),
+        F.struct(F.lit(None).cast("string").alias("driver_license"), F.lit(None).cast("long").alias("car_plate_num"),
+                 F.col("work_start_dt").alias("work_start_dt"), null_ts.alias("work_end_dt"), null_ts.alias("issue_dt")),
+        F.struct(F.lit(None).cast("string").alias("driver_license"), F.lit(None).cast("long").alias("car_plate_num"),
+                 null_ts.alias("work_start_dt"), F.col("work_end_dt").alias("work_end_dt"), null_ts.alias("issue_dt")),
+    )
+    return w.select("waybill_num", F.inline(parts))
+
+
+@register("waybill_merge")
+def q_waybill_merge(spark, d):
+    return taxi.waybill_merge(_waybill_fragments(spark, d), fx.drivers(spark, d))
+
+
+@register("driver_payout")
+def q_driver_payout(spark, d):
+    return taxi.driver_payout(fx.fact_rides(spark, d), fx.drivers(spark, d))
+
+
+@register("driver_violations")
+def q_driver_violations(spark, d):
+    return taxi.driver_violations(taxi.trips(fx.trip_events(spark, d)))
+
+
+@register("partition_count")
+def q_partition_count(spark, d):
+    v = taxi.driver_violations(taxi.trips(fx.trip_events(spark, d)))
+    return taxi.partition_count(v.select("personnel_num", "ride"), "personnel_num", "total_violations")
+
+
+@register("first_value_anchor")
+def q_first_value_anchor(spark, d):
+    return taxi.first_value_anchor(fx.shifts(spark, d)).select(
+        "waybill_id", "driver_pers_num", "work_start_dt", "anchor_dt")
+
+
+@register("driver_overtime")
+def q_driver_overtime(spark, d):
+    return taxi.driver_overtime(fx.shifts(spark, d), fx.SHIFT_REPORT_DT)
+
+
+@register("driver_overtime_rolling")
+def q_driver_overtime_rolling(spark, d):
+    return taxi.driver_overtime_rolling(fx.shifts(spark, d))
+
+
+@register("having_filter")
+def q_having_filter(spark, d):
+    return taxi.shift_hours_having(fx.shifts(spark, d))
+
+
+def _payments(spark, d):
+    return fx.payments(spark, d, fx.scalar_count(spark, d, "customer"))
+
+
+@register("conditional_aggregates")
+def q_conditional_aggregates(spark, d):
+    return taxi.ride_aggregates(fx.fact_rides(spark, d))
+
+
+@register("sum_by_key")
+def q_sum_by_key(spark, d):
+    return taxi.payments_by_card(_payments(spark, d))
+
+
+@register("client_metrics")
+def q_client_metrics(spark, d):
+    return taxi.client_metrics(fx.taxi_clients(spark, d), fx.fact_rides(spark, d), _payments(spark, d))
+
+
+HIST_T1, HIST_T2 = "1997-01-01 00:00:00", "1999-01-01 00:00:00"
+
+
+def _metrics_as_of(spark, d, ts):
+    cut = F.lit(ts).cast("timestamp_ntz")
+    return taxi.client_metrics(
+        fx.taxi_clients(spark, d),
+        fx.fact_rides(spark, d).filter(F.col("ride_arrival_dt") < cut),
+        _payments(spark, d).filter(F.col("transaction_dt") < cut),
+    )
+
+
+@register("client_metrics_hist")
+def q_client_metrics_hist(spark, d):
+    """M8h: SCD2 history over the client metrics, two report runs."""
+    from ebbflow.functions.expr import open_end, ts_literal
+
+    m1 = _metrics_as_of(spark, d, HIST_T1)
+    ids = scd2.assign_surrogate_keys(m1.select("phone_num"), ["phone_num"], "client_id")
+    hist = m1.join(ids, "phone_num").select(
+        "phone_num", *taxi.METRIC_COLS, ts_literal(HIST_T1).alias("effective_from"),
+        open_end().alias("effective_to"), F.lit(False).alias("is_deleted"), "client_id",
+    )
+    m2 = _metrics_as_of(spark, d, HIST_T2).withColumn("change_ts", ts_literal(HIST_T2))
+    live = fx.taxi_clients(spark, d).select("phone_num")
+    merged = scd2.scd2_merge(hist, m2, ["phone_num"], taxi.METRIC_COLS, live_keys=live, batch_ts=HIST_T2,
+                             surrogate="client_id")
+    return merged.select("client_id", "phone_num", *taxi.METRIC_COLS,
+                         F.col("effective_from").alias("start_dt"), F.col("effective_to").alias("end_dt"),
+                         F.col("is_deleted").alias("deleted_flag"))

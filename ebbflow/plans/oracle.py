@@ -278,3 +278,195 @@ ORACLE.update({
                         {OPEN_END}) AS effective_to
         FROM k""",
 })
+
+
+# ------------------------------------------------------------------ taxi
+PHONE = "'+7' || lpad(CAST({k} AS VARCHAR), 10, '0')"
+CARD16 = "lpad(CAST({k} AS VARCHAR), 16, '0')"
+
+
+def _grouped_card(k: str) -> str:
+    c = CARD16.format(k=k)
+    return f"substr({c}, 1, 4) || ' ' || substr({c}, 5, 4) || ' ' || substr({c}, 9, 4) || ' ' || substr({c}, 13, 4)"
+
+
+FIX.update({
+    "movement": """movement AS (
+        SELECT l_orderkey AS ride, l_suppkey AS car_plate_num,
+               CASE WHEN l_linenumber <= 2 THEN 'READY' WHEN l_linenumber <= 4 THEN 'BEGIN' ELSE 'END' END AS event,
+               l_shipdate AS dt
+        FROM lineitem)""",
+    "rides": f"""rides AS (
+        SELECT o_orderkey AS ride_id, {PHONE.format(k='o_custkey')} AS client_phone,
+               CAST(o_orderkey % 100 AS DECIMAL(5,2)) AS distance, CAST(o_totalprice AS DECIMAL(12,2)) AS price,
+               o_orderdate AS dt
+        FROM orders)""",
+    "rpivot": """rpivot AS (
+        SELECT r.ride_id, r.client_phone, r.distance, r.price, m.car_plate_num,
+               m.ride_arrival_dt, m.ride_start_dt, m.ride_end_dt
+        FROM rides r LEFT JOIN (
+            SELECT ride, max(car_plate_num) AS car_plate_num,
+                   max(CASE WHEN event = 'READY' THEN dt END) AS ride_arrival_dt,
+                   max(CASE WHEN event = 'BEGIN' THEN dt END) AS ride_start_dt,
+                   max(CASE WHEN event IN ('END', 'CANCEL') THEN dt END) AS ride_end_dt
+            FROM movement GROUP BY ride) m ON r.ride_id = m.ride)""",
+    "waybills": """waybills AS (
+        SELECT lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS waybill_num, o_custkey AS driver_pers_num,
+               'DL' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS driver_license,
+               o_orderkey % (SELECT count(*) FROM supplier) AS car_plate_num,
+               o_orderdate AS work_start_dt, o_orderdate + INTERVAL 10 DAY AS work_end_dt, o_orderdate AS issue_dt
+        FROM orders)""",
+    "arrivals": """arrivals AS (
+        SELECT l_orderkey AS ride_id, l_linenumber AS ride_line, l_suppkey AS car_plate_num, l_shipdate AS ride_arrival_dt
+        FROM lineitem)""",
+    "drivers": f"""drivers AS (
+        SELECT c_custkey AS personnel_num, 'DL' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS driver_license_num,
+               c_name AS last_name, c_mktsegment AS first_name,
+               CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'P' || CAST(c_nationkey AS VARCHAR) END AS middle_name,
+               {_grouped_card('c_custkey')} AS card_num
+        FROM customer)""",
+    "trip_events": """trip_events AS (
+        SELECT user_id AS personnel_num, event_id AS ride, ts, value * 10 AS distance_val FROM events)""",
+    "trips": """trips AS (
+        SELECT * FROM (
+            SELECT personnel_num, ride, distance_val, ts AS ride_start_dt,
+                   lead(ts) OVER (PARTITION BY personnel_num ORDER BY ts, ride) AS ride_end_dt
+            FROM trip_events)
+        WHERE ride_end_dt IS NOT NULL)""",
+    "violations": """violations AS (
+        SELECT personnel_num, ride, speed,
+               row_number() OVER (PARTITION BY personnel_num ORDER BY ride_end_dt, ride) AS violations_cnt,
+               CAST(ride_end_dt AS DATE) AS report_dt
+        FROM (SELECT *, round(distance_val / date_sub('second', ride_start_dt, ride_end_dt) * 3600) AS speed
+              FROM trips WHERE date_sub('second', ride_start_dt, ride_end_dt) > 0)
+        WHERE speed > 85)""",
+    "shifts": f"""shifts AS (
+        SELECT user_id AS driver_pers_num, event_id AS waybill_id, ts AS work_start_dt,
+               ts + to_hours(CAST({K} % 8 + 1 AS BIGINT)) AS work_end_dt
+        FROM events)""",
+    "fact_rides": f"""fact_rides AS (
+        SELECT o_orderkey AS ride_id, o_custkey AS driver_pers_num, {PHONE.format(k='o_custkey')} AS client_phone_num,
+               CAST(o_totalprice AS DECIMAL(12,2)) AS price_amt, CAST(o_orderkey % 100 AS DECIMAL(5,2)) AS distance_val,
+               o_orderdate AS ride_arrival_dt,
+               CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS ride_start_dt,
+               o_orderdate AS ride_end_dt
+        FROM orders)""",
+    "payments": f"""payments AS (
+        SELECT {CARD16.format(k='l_orderkey % (SELECT count(*) FROM customer)')} AS card_num,
+               CAST(l_extendedprice AS DECIMAL(12,2)) AS transaction_amt, l_shipdate AS transaction_dt, l_orderkey
+        FROM lineitem)""",
+    "taxi_clients": f"""taxi_clients AS (
+        SELECT {PHONE.format(k='c_custkey')} AS phone_num, {_grouped_card('c_custkey')} AS card_num FROM customer)""",
+})
+DEPS.update({
+    "rpivot": ["movement", "rides"],
+    "trips": ["trip_events"],
+    "violations": ["trips"],
+})
+
+
+def _metrics_sql(cut: str | None) -> str:
+    rf = f"WHERE ride_arrival_dt < TIMESTAMP '{cut}'" if cut else ""
+    pf = f"WHERE transaction_dt < TIMESTAMP '{cut}'" if cut else ""
+    return f"""(
+        SELECT c.phone_num,
+               coalesce(r.rides_cnt, 0) AS rides_cnt, coalesce(r.cancelled_cnt, 0) AS cancelled_cnt,
+               CAST(coalesce(r.spent_amt, 0) AS DECIMAL(22,2)) AS spent_amt,
+               CAST(coalesce(r.spent_amt, 0) - coalesce(p.paid, 0) AS DECIMAL(22,2)) AS debt_amt
+        FROM (SELECT DISTINCT phone_num FROM taxi_clients) c
+        LEFT JOIN (SELECT client_phone_num, count(ride_start_dt) AS rides_cnt,
+                          count(CASE WHEN ride_start_dt IS NULL THEN ride_id END) AS cancelled_cnt,
+                          sum(CASE WHEN ride_start_dt IS NOT NULL THEN price_amt END) AS spent_amt
+                   FROM fact_rides {rf} GROUP BY client_phone_num) r ON c.phone_num = r.client_phone_num
+        LEFT JOIN (SELECT cc.phone_num, sum(pp.amt) AS paid
+                   FROM (SELECT DISTINCT phone_num, replace(card_num, ' ', '') AS card_num FROM taxi_clients) cc
+                   LEFT JOIN (SELECT card_num, sum(transaction_amt) AS amt FROM payments {pf} GROUP BY card_num) pp
+                          ON cc.card_num = pp.card_num
+                   GROUP BY cc.phone_num) p ON c.phone_num = p.phone_num)"""
+
+
+_ROLL = """epoch_us(least(t.work_end_dt, s.work_start_dt + INTERVAL 24 HOUR)) - epoch_us(t.work_start_dt)"""
+
+ORACLE.update({
+    "ride_pivot": with_("rpivot") + "SELECT * FROM rpivot",
+    "ride_completed": with_("rpivot") + "SELECT * FROM rpivot WHERE ride_end_dt IS NOT NULL",
+    "driver_assignment": with_("waybills", "arrivals") + """,
+        c AS (SELECT a.*, w.waybill_num, w.driver_pers_num,
+                     row_number() OVER (PARTITION BY a.ride_id, a.ride_line, a.car_plate_num, a.ride_arrival_dt
+                                        ORDER BY w.work_start_dt, w.waybill_num) AS rk
+              FROM arrivals a LEFT JOIN waybills w ON a.car_plate_num = w.car_plate_num
+                   AND a.ride_arrival_dt BETWEEN w.work_start_dt AND w.work_end_dt)
+        SELECT ride_id, ride_line, car_plate_num, ride_arrival_dt, waybill_num, driver_pers_num FROM c WHERE rk = 1""",
+    "top1_per_key": with_("waybills", "arrivals") + """,
+        c AS (SELECT a.*, w.waybill_num, w.driver_pers_num,
+                     row_number() OVER (PARTITION BY a.ride_id, a.ride_line, a.car_plate_num, a.ride_arrival_dt
+                                        ORDER BY w.work_start_dt, w.waybill_num) AS rk
+              FROM arrivals a JOIN waybills w ON a.car_plate_num = w.car_plate_num
+                   AND a.ride_arrival_dt BETWEEN w.work_start_dt AND w.work_end_dt)
+        SELECT ride_id, ride_line, car_plate_num, ride_arrival_dt, waybill_num, driver_pers_num FROM c WHERE rk = 1""",
+    "waybill_merge": with_("waybills", "drivers") + """
+        SELECT w.waybill_num, d.personnel_num AS driver_pers_num, w.car_plate_num, w.work_start_dt, w.work_end_dt,
+               w.issue_dt
+        FROM waybills w LEFT JOIN drivers d ON w.driver_license = d.driver_license_num""",
+    "driver_payout": with_("fact_rides", "drivers") + """
+        SELECT d.personnel_num, d.last_name, d.first_name, d.middle_name, d.card_num,
+               CAST(sum(r.price_amt) * 0.8 - sum(r.distance_val) * 8.3082 AS DECIMAL(24,6)) AS amount,
+               CAST(r.ride_arrival_dt AS DATE) AS report_dt
+        FROM fact_rides r JOIN drivers d ON d.personnel_num = r.driver_pers_num
+        WHERE r.ride_start_dt IS NOT NULL
+        GROUP BY d.personnel_num, d.last_name, d.first_name, d.middle_name, d.card_num, CAST(r.ride_arrival_dt AS DATE)""",
+    "driver_violations": with_("violations") + "SELECT * FROM violations",
+    "partition_count": with_("violations") + """
+        SELECT personnel_num, ride, count(*) OVER (PARTITION BY personnel_num) AS total_violations FROM violations""",
+    "first_value_anchor": with_("shifts") + """
+        SELECT waybill_id, driver_pers_num, work_start_dt,
+               first_value(work_start_dt) OVER (PARTITION BY driver_pers_num, CAST(work_start_dt AS DATE)
+                                                ORDER BY work_start_dt) AS anchor_dt
+        FROM shifts""",
+    "driver_overtime": with_("shifts") + """,
+        s AS (SELECT *, first_value(work_start_dt) OVER (PARTITION BY driver_pers_num ORDER BY work_start_dt) AS anchor_dt
+              FROM shifts WHERE CAST(work_start_dt AS DATE) = DATE '2024-01-05')
+        SELECT driver_pers_num AS personnel_num, anchor_dt AS start_work_dt,
+               CAST(sum(epoch_us(least(work_end_dt, anchor_dt + INTERVAL 24 HOUR)) - epoch_us(work_start_dt)) AS DOUBLE) / 1e6
+                   AS working_time_sec,
+               CAST(anchor_dt AS DATE) AS report_dt
+        FROM s GROUP BY driver_pers_num, anchor_dt
+        HAVING sum(epoch_us(least(work_end_dt, anchor_dt + INTERVAL 24 HOUR)) - epoch_us(work_start_dt)) > 28800000000""",
+    "driver_overtime_rolling": with_("shifts") + f"""
+        SELECT s.driver_pers_num AS personnel_num, s.waybill_id, s.work_start_dt AS start_work_dt,
+               CAST(sum({_ROLL}) AS DOUBLE) / 1e6 AS working_time_sec, CAST(s.work_start_dt AS DATE) AS report_dt
+        FROM shifts s JOIN shifts t ON s.driver_pers_num = t.driver_pers_num
+             AND t.work_start_dt BETWEEN s.work_start_dt AND s.work_start_dt + INTERVAL 24 HOUR
+        GROUP BY s.driver_pers_num, s.waybill_id, s.work_start_dt
+        HAVING sum({_ROLL}) > 28800000000""",
+    "having_filter": with_("shifts") + """
+        SELECT driver_pers_num AS personnel_num, CAST(work_start_dt AS DATE) AS work_day,
+               CAST(sum(epoch_us(work_end_dt) - epoch_us(work_start_dt)) AS DOUBLE) / 1e6 AS working_time_sec
+        FROM shifts GROUP BY 1, 2
+        HAVING sum(epoch_us(work_end_dt) - epoch_us(work_start_dt)) > 28800000000""",
+    "conditional_aggregates": with_("fact_rides") + """
+        SELECT client_phone_num, count(ride_start_dt) AS rides_cnt,
+               count(CASE WHEN ride_start_dt IS NULL THEN ride_id END) AS cancelled_cnt,
+               CAST(sum(CASE WHEN ride_start_dt IS NOT NULL THEN price_amt END) AS DECIMAL(22,2)) AS spent_amt
+        FROM fact_rides GROUP BY client_phone_num""",
+    "sum_by_key": with_("payments") + """
+        SELECT card_num, CAST(sum(transaction_amt) AS DECIMAL(22,2)) AS recieved_amt FROM payments GROUP BY card_num""",
+    "client_metrics": with_("taxi_clients", "fact_rides", "payments") + f"SELECT * FROM {_metrics_sql(None)}",
+    "client_metrics_hist": with_("taxi_clients", "fact_rides", "payments") + f""",
+        m1 AS {_metrics_sql('1997-01-01 00:00:00')},
+        m2 AS {_metrics_sql('1999-01-01 00:00:00')},
+        h1 AS (SELECT row_number() OVER (ORDER BY phone_num) AS client_id, * FROM m1),
+        ch AS (SELECT m2.* FROM m2 JOIN h1 USING (phone_num)
+               WHERE m2.rides_cnt IS DISTINCT FROM h1.rides_cnt OR m2.cancelled_cnt IS DISTINCT FROM h1.cancelled_cnt
+                  OR m2.spent_amt IS DISTINCT FROM h1.spent_amt OR m2.debt_amt IS DISTINCT FROM h1.debt_amt)
+        SELECT h1.client_id, h1.phone_num, h1.rides_cnt, h1.cancelled_cnt, h1.spent_amt, h1.debt_amt,
+               TIMESTAMP '1997-01-01 00:00:00' AS start_dt,
+               CASE WHEN ch.phone_num IS NOT NULL THEN TIMESTAMP '1999-01-01 00:00:00' - INTERVAL 15 SECOND
+                    ELSE {OPEN_END} END AS end_dt,
+               false AS deleted_flag
+        FROM h1 LEFT JOIN ch ON h1.phone_num = ch.phone_num
+        UNION ALL
+        SELECT h1.client_id, ch.phone_num, ch.rides_cnt, ch.cancelled_cnt, ch.spent_amt, ch.debt_amt,
+               TIMESTAMP '1999-01-01 00:00:00', {OPEN_END}, false
+        FROM ch JOIN h1 ON ch.phone_num = h1.phone_num""",
+})
