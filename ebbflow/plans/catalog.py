@@ -317,3 +317,178 @@ def q_client_metrics_hist(spark, d):
     return merged.select("client_id", "phone_num", *taxi.METRIC_COLS,
                          F.col("effective_from").alias("start_dt"), F.col("effective_to").alias("end_dt"),
                          F.col("is_deleted").alias("deleted_flag"))
+
+
+# ------------------------------------------------------------------ sources, control state, upserts
+from ebbflow.operators import scd1, watermark  # noqa: E402
+from ebbflow.sources import files as srcf  # noqa: E402
+from ebbflow.sources import incremental as inc  # noqa: E402
+
+ORDERS_WM = "1997-06-30 00:00:00"
+
+
+@register("incr_scan_coalesced")
+def q_incr_scan_coalesced(spark, d):
+    return inc.incremental_scan_coalesced(fx.orders_change_log(spark, d), "update_dt", "create_dt", ORDERS_WM)
+
+
+@register("incr_scan_column")
+def q_incr_scan_column(spark, d):
+    return inc.incremental_scan(fx.movement(spark, d), "dt", fx.RIDE_BATCH_BOUNDARY)
+
+
+@register("watermark_advance")
+def q_watermark_advance(spark, d):
+    """Four sources, one of them with an empty batch."""
+    ctl = watermark.control_table(spark, {
+        "orders": ORDERS_WM, "movement": fx.RIDE_BATCH_BOUNDARY,
+        "documents": fx.DOC_PULL_WM, "documents_future": "2030-01-01 00:00:00",
+    })
+    o = inc.incremental_scan_coalesced(fx.orders_change_log(spark, d), "update_dt", "create_dt", ORDERS_WM)
+    m = inc.incremental_scan(fx.movement(spark, d), "dt", fx.RIDE_BATCH_BOUNDARY)
+    doc = fx.documents(spark, d)
+    marks = (
+        o.select(F.lit("orders").alias("source"), F.col("change_dt").alias("ts"))
+        .unionByName(m.select(F.lit("movement").alias("source"), F.col("dt").alias("ts")))
+        .unionByName(inc.incremental_scan(doc, "update_ts", fx.DOC_PULL_WM)
+                     .select(F.lit("documents").alias("source"), F.col("update_ts").alias("ts")))
+        .unionByName(inc.incremental_scan(doc, "update_ts", "2030-01-01 00:00:00")
+                     .select(F.lit("documents_future").alias("source"), F.col("update_ts").alias("ts")))
+    )
+    return watermark.advance_watermarks(ctl, marks)
+
+
+@register("settings_checkpoint")
+def q_settings_checkpoint(spark, d):
+    """Read checkpoints with defaults, load, write the new JSON settings."""
+    settings = spark.createDataFrame(
+        [("users_stg", '{"last_loaded_ts": "2024-01-15 00:00:00"}')], "workflow_key string, workflow_settings string")
+    flows = spark.createDataFrame([("users_stg",), ("dm_users",)], "workflow_key string")
+    doc = fx.documents(spark, d)
+    ts_wm = watermark.setting(settings, flows.filter(F.col("workflow_key") == "users_stg"), "last_loaded_ts",
+                              F.lit("2022-01-01 00:00:00").cast("timestamp_ntz"), "timestamp_ntz")
+    id_wm = watermark.setting(settings, flows.filter(F.col("workflow_key") == "dm_users"), "last_loaded_id",
+                              F.lit(-1).cast("long"), "long")
+    by_ts = doc.join(F.broadcast(ts_wm), F.col("update_ts") > F.col("last_loaded_ts")).groupBy("workflow_key").agg(
+        F.max("update_ts").alias("ts"))
+    by_id = doc.join(F.broadcast(id_wm), F.col("id") > F.col("last_loaded_id")).groupBy("workflow_key").agg(
+        F.max("id").alias("id"))
+    fmt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return by_ts.select(*watermark.settings_row(F.col("workflow_key"), last_loaded_ts=fmt)).unionByName(
+        by_id.select(*watermark.settings_row(F.col("workflow_key"), last_loaded_id=F.col("id"))))
+
+
+@register("scd1_upsert")
+def q_scd1_upsert(spark, d):
+    doc = fx.documents(spark, d)
+    cut = F.lit(fx.DOC_PULL_WM).cast("timestamp_ntz")
+    target = scd1.latest_per_key(doc.filter(F.col("update_ts") < cut), ["object_id"], ["update_ts", "id"])
+    batch = doc.filter(F.col("update_ts") >= cut)
+    return scd1.scd1_upsert(target, batch, ["object_id"], ["update_ts", "id"])
+
+
+@register("doc_batch_pull")
+def q_doc_batch_pull(spark, d):
+    return inc.batch_pull(fx.documents(spark, d), "update_ts", "id", fx.DOC_PULL_WM, 10_000)
+
+
+@register("json_extract_batch")
+def q_json_extract_batch(spark, d):
+    return inc.json_extract_batch(fx.documents(spark, d), "id", -1, "object_value", {"user_name": "$.k"},
+                                  100_000, key_col="object_id")
+
+
+@register("fact_append")
+def q_fact_append(spark, d):
+    return fx.transactions(spark, d)
+
+
+@register("fact_dedup_append")
+def q_fact_dedup_append(spark, d):
+    p = _payments(spark, d).select("card_num", "transaction_amt", "transaction_dt")
+    key = ["card_num", "transaction_dt", "transaction_amt"]
+    fact = p.filter(F.col("transaction_dt") < F.lit("1998-01-01").cast("timestamp_ntz")).dropDuplicates(key)
+    batch = p.filter(F.col("transaction_dt") >= F.lit("1997-06-01").cast("timestamp_ntz"))
+    return facts.dedup_append(batch, fact, key)
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark, d):
+    return fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+
+
+@register("normalized_key_join")
+def q_normalized_key_join(spark, d):
+    from ebbflow.functions.expr import strip_blanks
+
+    o = fx.table(spark, d, "orders").select("o_orderkey", fx.grouped_card_of(F.col("o_custkey")).alias("card_txt"))
+    c = fx.table(spark, d, "customer").select("c_custkey", fx.card_of(F.col("c_custkey")).alias("card_num"))
+    return o.join(c, strip_blanks("card_txt") == c["card_num"]).select("o_orderkey", "c_custkey")
+
+
+@register("csv_decimal_comma")
+def q_csv_decimal_comma(spark, d):
+    o = fx.table(spark, d, "orders")
+    text = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+                       F.replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(",")))
+    p = o.select(srcf.parse_delimited(text, "trans_id BIGINT, trans_date STRING, amount STRING", ";").alias("p"))
+    return p.select(F.col("p.trans_id").alias("trans_id"), F.to_date("p.trans_date").alias("trans_date"),
+                    srcf.decimal_comma("p.amount", 12, 2).alias("amount"))
+
+
+@register("tsv_payments")
+def q_tsv_payments(spark, d):
+    p = _payments(spark, d)
+    text = F.concat_ws("\t", F.date_format("transaction_dt", srcf.PAYMENT_TS_FORMAT), F.col("card_num"),
+                       F.replace(F.col("transaction_amt").cast("string"), F.lit("."), F.lit(",")))
+    return srcf.payments_from_text(p.select(text.alias("value")))
+
+
+@register("xml_waybill")
+def q_xml_waybill(spark, d):
+    w = _waybills(spark, d)
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    xml = F.concat(
+        F.lit('<waybill number="'), F.col("waybill_num"), F.lit('" issuedt="'), F.date_format("issue_dt", iso),
+        F.lit('"><car>'), F.col("car_plate_num").cast("string"), F.lit("</car><driver><license>"),
+        F.col("driver_license"), F.lit("</license></driver><period><start>"), F.date_format("work_start_dt", iso),
+        F.lit("</start><stop>"), F.date_format("work_end_dt", iso), F.lit("</stop></period></waybill>"),
+    )
+    return srcf.parse_waybill_xml(w.select(xml.alias("xml")), "xml")
+
+
+@register("file_date_from_name")
+def q_file_date_from_name(spark, d):
+    o = fx.table(spark, d, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("transactions_"), F.date_format("o_orderdate", "ddMMyyyy"), F.lit(".txt")).alias("file_name"))
+    return o.withColumn("file_dt", srcf.file_date("file_name", "ddMMyyyy"))
+
+
+@register("pending_files")
+def q_pending_files(spark, d):
+    days = fx.table(spark, d, "orders").select(F.date_format("o_orderdate", "ddMMyyyy").alias("dt")).distinct()
+    names = days.select(F.explode(F.array(*[
+        F.concat(F.lit(p), F.col("dt"), F.lit(ext)) for p, ext in
+        (("transactions_", ".txt"), ("passport_blacklist_", ".xlsx"), ("terminals_", ".xlsx"))
+    ])).alias("file_name"))
+    return srcf.pending_files(names, "transactions_", "2001-01-01")
+
+
+@register("file_slice_dim")
+def q_file_slice_dim(spark, d):
+    s = fx.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("terminal_id"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.lit("POS")).otherwise(F.lit("ATM")).alias("terminal_type"),
+        F.concat(F.lit("City"), F.col("s_nationkey").cast("string")).alias("terminal_city"),
+        F.col("s_name").alias("terminal_address"),
+        F.lit("terminals_01032024.xlsx").alias("file_name"),
+    )
+    return srcf.with_file_date(s, "file_name", "ddMMyyyy").drop("file_name")
+
+
+@register("cumulative_file_delta")
+def q_cumulative_file_delta(spark, d):
+    bl = fx.blacklist(spark, d)
+    loaded = bl.filter(F.col("entry_dt") <= F.lit("2024-01-15").cast("date"))
+    return srcf.cumulative_delta(bl, loaded, "entry_dt", "2024-01-15", ["passport_num", "entry_dt"])

@@ -470,3 +470,90 @@ ORACLE.update({
                TIMESTAMP '1999-01-01 00:00:00', {OPEN_END}, false
         FROM ch JOIN h1 ON ch.phone_num = h1.phone_num""",
 })
+
+
+# ------------------------------------------------------------------ sources, control state, upserts
+FIX.update({
+    "ocl": """ocl AS (
+        SELECT o_orderkey, o_custkey, o_orderdate AS create_dt,
+               CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 DAY END AS update_dt
+        FROM orders)""",
+    "docs": """docs AS (
+        SELECT event_id AS id, user_id AS object_id, props AS object_value, ts AS update_ts FROM events)""",
+})
+
+_ORDERS_WM = "TIMESTAMP '1997-06-30 00:00:00'"
+_DOC_WM = "TIMESTAMP '2024-01-15 00:00:00'"
+
+ORACLE.update({
+    "incr_scan_coalesced": with_("ocl") + f"""
+        SELECT *, coalesce(update_dt, create_dt) AS change_dt FROM ocl
+        WHERE coalesce(update_dt, create_dt) > {_ORDERS_WM}""",
+    "incr_scan_column": with_("movement") + "SELECT * FROM movement WHERE dt > TIMESTAMP '1998-01-01 00:00:00'",
+    "watermark_advance": with_("ocl", "movement", "docs") + f""",
+        ctl AS (SELECT * FROM (VALUES ('orders', {_ORDERS_WM}),
+                                      ('movement', TIMESTAMP '1998-01-01 00:00:00'),
+                                      ('documents', {_DOC_WM}),
+                                      ('documents_future', TIMESTAMP '2030-01-01 00:00:00')) t(source, watermark)),
+        marks AS (
+            SELECT 'orders' AS source, coalesce(update_dt, create_dt) AS ts FROM ocl
+            WHERE coalesce(update_dt, create_dt) > {_ORDERS_WM}
+            UNION ALL SELECT 'movement', dt FROM movement WHERE dt > TIMESTAMP '1998-01-01 00:00:00'
+            UNION ALL SELECT 'documents', update_ts FROM docs WHERE update_ts > {_DOC_WM}
+            UNION ALL SELECT 'documents_future', update_ts FROM docs WHERE update_ts > TIMESTAMP '2030-01-01 00:00:00')
+        SELECT c.source, greatest(coalesce(m.mx, c.watermark), c.watermark) AS watermark
+        FROM ctl c LEFT JOIN (SELECT source, max(ts) AS mx FROM marks GROUP BY source) m ON c.source = m.source""",
+    "settings_checkpoint": with_("docs") + f"""
+        SELECT 'users_stg' AS workflow_key,
+               CAST(json_object('last_loaded_ts', strftime(max(update_ts), '%Y-%m-%d %H:%M:%S.%f')) AS VARCHAR)
+                   AS workflow_settings
+        FROM docs WHERE update_ts > {_DOC_WM}
+        UNION ALL
+        SELECT 'dm_users', CAST(json_object('last_loaded_id', max(id)) AS VARCHAR) FROM docs WHERE id > -1""",
+    "scd1_upsert": with_("docs") + """
+        SELECT id, object_id, object_value, update_ts FROM (
+            SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY update_ts DESC, id DESC) AS rn FROM docs)
+        WHERE rn = 1""",
+    "doc_batch_pull": with_("docs") + f"""
+        SELECT * FROM docs WHERE update_ts > {_DOC_WM} AND update_ts <= (
+            SELECT max(update_ts) FROM (
+                SELECT update_ts FROM docs WHERE update_ts > {_DOC_WM} ORDER BY update_ts, id LIMIT 10000))""",
+    "json_extract_batch": with_("docs") + """
+        SELECT id, object_id, user_name FROM (
+            SELECT id, object_id, json_extract_string(object_value, '$.k') AS user_name,
+                   row_number() OVER (PARTITION BY object_id ORDER BY id DESC) AS rn
+            FROM docs WHERE id > -1)
+        WHERE rn = 1 ORDER BY id LIMIT 100000""",
+    "fact_append": SQL_FACT_APPEND,
+    "fact_dedup_append": with_("payments") + """
+        SELECT DISTINCT card_num, transaction_amt, transaction_dt FROM payments
+        WHERE transaction_dt >= TIMESTAMP '1997-06-01 00:00:00'
+        EXCEPT
+        SELECT card_num, transaction_amt, transaction_dt FROM payments
+        WHERE transaction_dt < TIMESTAMP '1998-01-01 00:00:00'""",
+    "distinct_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "normalized_key_join": f"""
+        SELECT o.o_orderkey, c.c_custkey FROM orders o
+        JOIN customer c ON replace({_grouped_card('o.o_custkey')}, ' ', '') = {CARD16.format(k='c.c_custkey')}""",
+    "csv_decimal_comma": """
+        SELECT o_orderkey AS trans_id, CAST(o_orderdate AS DATE) AS trans_date,
+               CAST(o_totalprice AS DECIMAL(12,2)) AS amount FROM orders""",
+    "tsv_payments": with_("payments") + "SELECT transaction_dt, card_num, transaction_amt FROM payments",
+    "xml_waybill": with_("waybills") + """
+        SELECT waybill_num, driver_license, car_plate_num, work_start_dt, work_end_dt, issue_dt FROM waybills""",
+    "file_date_from_name": """
+        SELECT o_orderkey, 'transactions_' || strftime(o_orderdate, '%d%m%Y') || '.txt' AS file_name,
+               CAST(o_orderdate AS DATE) AS file_dt FROM orders""",
+    "pending_files": """
+        WITH f AS (SELECT DISTINCT 'transactions_' || strftime(o_orderdate, '%d%m%Y') || '.txt' AS file_name,
+                          CAST(o_orderdate AS DATE) AS file_dt
+                   FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2001-01-01')
+        SELECT file_name, file_dt, file_dt = (SELECT min(file_dt) FROM f) AS is_next FROM f""",
+    "file_slice_dim": """
+        SELECT s_suppkey AS terminal_id, CASE WHEN s_suppkey % 2 = 0 THEN 'POS' ELSE 'ATM' END AS terminal_type,
+               'City' || CAST(s_nationkey AS VARCHAR) AS terminal_city, s_name AS terminal_address,
+               TIMESTAMP '2024-03-01 00:00:00' AS update_dt
+        FROM supplier""",
+    "cumulative_file_delta": with_("blacklist") + """
+        SELECT entry_dt, passport_num FROM blacklist WHERE entry_dt > DATE '2024-01-15'""",
+})
