@@ -20,9 +20,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
-def scd1_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """K3: ``INSERT .. ON CONFLICT (keys) DO UPDATE`` as a snapshot:
-    untouched target rows plus the latest batch row of every batch key."""
+def scd1_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
+                newer_wins: bool = True) -> DataFrame:
+    """K3: ``INSERT .. ON CONFLICT (keys) DO UPDATE`` as a snapshot.
+
+    Target rows of keys absent from the batch pass through.  For batch keys
+    the row with the greatest ``order`` wins; with ``newer_wins=False`` the
+    batch row always replaces the target row (plain last-arrival-wins)."""
     keys = list(keys)
     latest = latest_per_key(batch.select(*target.columns), keys, order)
-    return target.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
+    untouched = target.join(latest.select(*keys), keys, "left_anti")
+    if not newer_wins:
+        return untouched.unionByName(latest)
+    touched = target.join(latest.select(*keys), keys, "left_semi")
+    return untouched.unionByName(latest_per_key(touched.unionByName(latest), keys, order))

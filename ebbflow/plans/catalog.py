@@ -492,3 +492,75 @@ def q_cumulative_file_delta(spark, d):
     bl = fx.blacklist(spark, d)
     loaded = bl.filter(F.col("entry_dt") <= F.lit("2024-01-15").cast("date"))
     return srcf.cumulative_delta(bl, loaded, "entry_dt", "2024-01-15", ["passport_num", "entry_dt"])
+
+
+# ------------------------------------------------------------------ streaming
+import time  # noqa: E402
+
+from ebbflow.session import scratch_path  # noqa: E402
+from ebbflow.sinks import tables  # noqa: E402
+from ebbflow.streaming import jobs  # noqa: E402
+
+
+def _write_in_order(parts: list[DataFrame], path: str) -> None:
+    """Write feed files one part after the other (file sources consume files
+    in modification-time order)."""
+    for i, p in enumerate(parts):
+        if i:
+            time.sleep(1.1)
+        p.coalesce(1).write.parquet(f"{path}/part{i:03d}")
+
+
+@register("stream_file_ingest")
+def q_stream_file_ingest(spark, d):
+    base = scratch_path(spark, "stream_file_ingest")
+    t = fx.transactions(spark, d)
+    text = t.select(
+        "trans_id", F.date_format("trans_date", jobs.TRANS_TS_FORMAT).alias("trans_date"),
+        F.replace(F.col("amt").cast("decimal(10,2)").cast("string"), F.lit("."), F.lit(",")).alias("amount"),
+        "card_num", "oper_type", "oper_result", "terminal", F.to_date("trans_date").alias("day"),
+    )
+    (text.repartition("day").write.partitionBy("day").option("header", True).option("sep", ";")
+     .csv(f"{base}/src"))
+    return jobs.file_ingest(spark, f"{base}/src/*/*.csv", f"{base}/fact", f"{base}/ckpt", max_files=10)
+
+
+@register("stream_scd1_upsert")
+def q_stream_scd1_upsert(spark, d):
+    base = scratch_path(spark, "stream_scd1_upsert")
+    doc = fx.documents(spark, d).withColumn("day", F.to_date("update_ts"))
+    (doc.repartition("day").write.partitionBy("day").option("timestampNTZFormat", jobs.JSON_TS_FORMAT)
+     .json(f"{base}/src"))
+    return jobs.scd1_upsert_stream(spark, f"{base}/src/*/*.json", f"{base}/tables", f"{base}/ckpt", max_files=10)
+
+
+@register("stream_payment_dedup")
+def q_stream_payment_dedup(spark, d):
+    base = scratch_path(spark, "stream_payment_dedup")
+    p = _payments(spark, d).select("card_num", "transaction_amt", "transaction_dt").withColumn(
+        "yr", F.year("transaction_dt"))
+    p.repartition("yr").write.partitionBy("yr").parquet(f"{base}/src")
+    return jobs.payment_dedup(spark, f"{base}/src/*/*.parquet", f"{base}/fact", f"{base}/ckpt", max_files=2)
+
+
+@register("stream_ride_assembly")
+def q_stream_ride_assembly(spark, d):
+    """T4: READY, BEGIN and END events arrive in three separate drops."""
+    base = scratch_path(spark, "stream_ride_assembly")
+    m = fx.movement(spark, d)
+    _write_in_order([m.filter(F.col("event") == e) for e in ("READY", "BEGIN", "END")], f"{base}/src")
+    out = jobs.ride_assembly(spark, f"{base}/src/*/*.parquet", f"{base}/state", f"{base}/fact", f"{base}/ckpt")
+    return out.withColumnRenamed("ride", "ride_id")
+
+
+@register("stream_scd2")
+def q_stream_scd2(spark, d):
+    """T5: the staged customer changes arrive in two drops (even/odd keys)."""
+    base = scratch_path(spark, "stream_scd2")
+    dim, stg, _ = _scd_inputs(spark, d)
+    tables.write_version(dim, f"{base}/tables", "dim", 0)
+    tables.commit(spark, f"{base}/tables", 0, {"dim": 0})
+    _write_in_order([stg.filter(F.col("c_custkey") % 2 == r) for r in (0, 1)], f"{base}/src")
+    schema = "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING, change_ts TIMESTAMP_NTZ"
+    return jobs.scd2_stream(spark, f"{base}/src/*/*.parquet", f"{base}/tables", f"{base}/ckpt", schema,
+                            SCD_KEYS, SCD_TRACKED)

@@ -557,3 +557,24 @@ ORACLE.update({
     "cumulative_file_delta": with_("blacklist") + """
         SELECT entry_dt, passport_num FROM blacklist WHERE entry_dt > DATE '2024-01-15'""",
 })
+
+
+# ------------------------------------------------------------------ streaming
+ORACLE.update({
+    "stream_file_ingest": with_("trans") + """
+        SELECT trans_id, trans_date, card_num, oper_type, CAST(amt AS DECIMAL(10,2)) AS amt, oper_result, terminal
+        FROM trans""",
+    "stream_scd1_upsert": ORACLE["scd1_upsert"],
+    "stream_payment_dedup": with_("payments") + """
+        SELECT DISTINCT card_num, transaction_amt, transaction_dt FROM payments""",
+    "stream_ride_assembly": with_("movement") + """
+        SELECT ride AS ride_id,
+               max(CASE WHEN event = 'READY' THEN dt END) AS ride_arrival_dt,
+               max(CASE WHEN event = 'BEGIN' THEN dt END) AS ride_start_dt,
+               max(CASE WHEN event IN ('END', 'CANCEL') THEN dt END) AS ride_end_dt,
+               max(car_plate_num) AS car_plate_num
+        FROM movement GROUP BY ride
+        HAVING max(CASE WHEN event IN ('END', 'CANCEL') THEN dt END) IS NOT NULL""",
+    "stream_scd2": with_("versions") + """
+        SELECT c_custkey, c_acctbal, c_mktsegment, effective_from, effective_to, is_deleted FROM versions""",
+})
