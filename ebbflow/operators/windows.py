@@ -49,9 +49,9 @@ def shift_within_key(
 ) -> DataFrame:
     """Add ``{prefix}_{i}_{col}`` = lead/lag(col, i) for i in 1..n.
 
-    ``order`` must be unique within a key (include a tie-breaker); its first
-    column is the timestamp used for bucketing.  Missing neighbours are NULL,
-    exactly as with ``F.lead``/``F.lag``.
+    ``order`` must be non-null and unique within a key (include a
+    tie-breaker); its first column is the timestamp used for bucketing.
+    Missing neighbours are NULL, exactly as with ``F.lead``/``F.lag``.
     """
     keys, order, cols = list(keys), list(order), list(cols)
     prefix = prefix or ("lag" if lag else "lead")
@@ -69,20 +69,25 @@ def shift_within_key(
             inner = inner.withColumn(f"_in{i}_{c}", F.lead(c, i).over(w))
     inner = inner.withColumn("_rem", F.col("_cnt") - F.col("_pos"))  # rows after me in my bucket
 
-    # Halo: the first n rows of every bucket, numbered per key.
-    head = inner.filter(F.col("_pos") <= n).select(*part, "_pos", *cols)
+    # Halo: the first n rows that follow each bucket.  They are the first n
+    # rows of the following non-empty bucket(s), so they all sit in the
+    # "head" table (first n rows of every bucket, at most n per bucket) and
+    # are the n head rows after the bucket's own last head row.
     b_order = F.col("_b").asc_nulls_last() if lag else F.col("_b").asc_nulls_first()
-    hw = Window.partitionBy(*keys).orderBy(b_order, F.col("_pos"))
-    head = head.withColumn("_j", F.row_number().over(hw))
-    last = head.groupBy(*part).agg(F.max("_j").alias("_last_j"))
-    fanout = head.select(
-        *keys, "_j", *cols, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_t")
-    ).withColumn("_last_j", F.col("_j") - F.col("_t"))
-    halo = (
-        fanout.join(last, keys + ["_last_j"])
-        .groupBy(*part)
-        .agg(*[F.max(F.when(F.col("_t") == t, F.struct(*cols))).alias(f"_h{t}") for t in range(1, n + 1)])
-    )
+    if n == 1:
+        # first row of each bucket = min (max when mirrored) of (order, cols):
+        # a hash aggregate with a map-side step, no second sort of the rows
+        pick = F.max if lag else F.min
+        first = df.groupBy(*part).agg(pick(F.struct(*[F.col(c) for c in order], F.struct(*cols).alias("_row"))).alias("_f"))
+        hw = Window.partitionBy(*keys).orderBy(b_order)
+        halo = first.select(*part, F.lead(F.col("_f._row"), 1).over(hw).alias("_h1"))
+    else:
+        hw = Window.partitionBy(*keys).orderBy(b_order, F.col("_pos"))
+        head = inner.filter(F.col("_pos") <= n).select(*part, "_pos", "_cnt", F.struct(*cols).alias("_row"))
+        for t in range(1, n + 1):
+            head = head.withColumn(f"_h{t}", F.lead("_row", t).over(hw))
+        halo = head.filter(F.col("_pos") == F.least(F.col("_cnt"), F.lit(n))).select(
+            *part, *[f"_h{t}" for t in range(1, n + 1)])
 
     out = inner.join(halo, part, "left")
     for i in range(1, n + 1):
