@@ -61,7 +61,7 @@ def waybills_from_struct(w: Column) -> list[Column]:
     return [
         F.coalesce(w["_number"], w["number"]).alias("waybill_num"),
         w["driver"]["license"].alias("driver_license"),
-        w["car"].cast("long").alias("car_plate_num"),
+        F.trim(w["car"]).alias("car_plate_num"),
         F.to_timestamp(w["period"]["start"], XML_TS_FORMAT).cast("timestamp_ntz").alias("work_start_dt"),
         F.to_timestamp(w["period"]["stop"], XML_TS_FORMAT).cast("timestamp_ntz").alias("work_end_dt"),
         F.to_timestamp(F.coalesce(w["_issuedt"], w["issuedt"]), XML_TS_FORMAT).cast("timestamp_ntz").alias("issue_dt"),
