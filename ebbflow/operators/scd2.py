@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import CLOSE_GAP, OPEN_END, minus_interval, open_end, ts_literal
 from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, shift_within_key
+from ebbflow.session import checkpoint_root
 
 META = ["effective_from", "effective_to", "is_deleted"]
 
@@ -123,89 +124,79 @@ def scd2_merge(
     open_ = dim.filter(openm)
     sk_cols = [surrogate] if surrogate else []
 
-    # 1. fresh staged rows, deterministic order within a key
-    s = stg.select(*keys, *tracked, F.col(change_ts).alias("_ts"))
-    s = s.dropDuplicates(keys + tracked + ["_ts"]).withColumn("_tb", F.xxhash64(*tracked))
-    o_from = open_.select(*keys, F.col("effective_from").alias("_of"))
-    s = s.join(o_from, keys, "left").filter(F.col("_of").isNull() | (F.col("_ts") > F.col("_of"))).drop("_of")
+    # 1. staged rows + their key's open version (one lookup); rows not newer
+    #    than the open version are replays and are dropped
+    o = open_.select(*keys, F.col("effective_from").alias("_of"), *[F.col(c).alias(f"_o_{c}") for c in tracked],
+                     F.col("is_deleted").alias("_o_del"), *[F.col(c).alias("_o_sk") for c in sk_cols])
+    s = stg.select(*keys, *tracked, F.col(change_ts).alias("_ts")).dropDuplicates(keys + tracked + ["_ts"])
+    s = s.withColumn("_tb", F.xxhash64(*tracked)).withColumn("_one", F.lit(1))
+    s = s.join(o, keys, "left").filter(F.col("_of").isNull() | (F.col("_ts") > F.col("_of")))
 
-    # 2. collapse runs of identical staged rows (lag over the key's staged rows)
-    s = s.withColumn("_one", F.lit(1))
+    # 2. collapse runs of identical staged rows (lag over the key's staged
+    #    rows); the first one is compared with the open version
     s = shift_within_key(s, keys, ["_ts", "_tb"], tracked + ["_one"], 1, lag=True, prefix="_p",
                          bucket_seconds=bucket_seconds)
     first = F.col("_p_1__one").isNull()
-    prev_same = F.lit(True)
-    for c in tracked:
-        prev_same = prev_same & F.col(c).eqNullSafe(F.col(f"_p_1_{c}"))
-    cand = s.filter(first | ~prev_same).withColumn("_first", first)
-    cand = cand.select(*keys, *tracked, "_ts", "_tb", "_first")
-
-    # 3. compare the first candidate with the open version
-    o = open_.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in tracked], F.col("is_deleted").alias("_o_del"), *sk_cols)
-    cj = cand.join(o, keys, "left")
-    same_as_open = F.col("_first") & F.col("_o_del").isNotNull() & ~F.col("_o_del") & _same(tracked, "", "_o_")
-    emitted = cj.filter(~same_as_open).drop("_first", *[f"_o_{c}" for c in tracked])
-    emitted = shift_within_key(emitted, keys, ["_ts", "_tb"], ["_ts"], 1, prefix="_n",
-                               bucket_seconds=bucket_seconds)
-    has_prior_open = F.col("_o_del").isNotNull()
-    versions = emitted.select(
-        *keys, *tracked,
-        F.col("_ts").alias("effective_from"),
-        F.coalesce(minus_interval("_n_1__ts", gap), open_end()).alias("effective_to"),
-        F.lit(False).alias("is_deleted"),
-        *sk_cols,
-        has_prior_open.alias("_known"),
+    same_prev = _same(tracked, "", "_p_1_")
+    same_open = F.col("_o_del").isNotNull() & ~F.col("_o_del") & _same(tracked, "", "_o_")
+    new_rows = s.filter((first & ~same_open) | (~first & ~same_prev)).select(
+        *keys, *tracked, F.col("_ts").alias("effective_from"), F.lit(False).alias("is_deleted"),
+        *[F.col("_o_sk").alias(c) for c in sk_cols],
+        F.lit(1).alias("_src"), "_tb", F.col("_o_del").isNotNull().alias("_known"),
     )
 
-    # 4. close open versions superseded by this batch
-    first_new = emitted.groupBy(*keys).agg(F.min("_ts").alias("_first_ts"))
-    open_upd = open_.join(first_new, keys, "left").select(
-        *keys, *tracked,
-        "effective_from",
-        F.when(F.col("_first_ts").isNull(), F.col("effective_to")).otherwise(minus_interval("_first_ts", gap)).alias("effective_to"),
-        "is_deleted", *sk_cols,
-        F.lit(True).alias("_known"),
-    )
+    # 3. one lead over (open version, new versions) per key: each version
+    #    ends `gap` before the next one starts; the last stays open
+    old_rows = open_.select(*keys, *tracked, "effective_from", "is_deleted", *sk_cols,
+                            F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_tb"), F.lit(True).alias("_known"))
+    u = shift_within_key(old_rows.unionByName(new_rows), keys, ["effective_from", "_src", "_tb"],
+                         ["effective_from"], 1, prefix="_n", bucket_seconds=bucket_seconds)
+    u = u.withColumn("effective_to", F.coalesce(minus_interval("_n_1_effective_from", gap), open_end()))
 
-    # 5. surrogate ids for keys seen for the first time
+    # 4. surrogate ids for keys seen for the first time (dense, key order)
     if surrogate:
-        new_k = versions.filter(~F.col("_known")).select(*keys).distinct()
-        base = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"]
-        ids = assign_surrogate_keys(new_k, keys, "_new_sk", base=int(base))
-        # existing keys carry the id joined from their open version above
-        versions = versions.join(ids, keys, "left").withColumn(
-            surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk"))
-        ).select(*keys, *tracked, *META, surrogate, "_known")
+        new_k = u.filter(~F.col("_known")).select(*keys).distinct()
+        ids = assign_surrogate_keys(
+            new_k, keys, "_new_sk",
+            base=lambda: dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"],
+        )
+        if ids is not None:
+            u = u.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
 
-    result = open_upd.unionByName(versions)
+    out_cols = keys + tracked + META + sk_cols
+    result = u.select(*out_cols)
 
-    # 6. logical deletes against the full key snapshot
+    # 5. logical deletes against the full key snapshot: the open live version
+    #    of a vanished key is closed and followed by a tombstone (one pass:
+    #    left join + explode, no second read of the merged rows)
     if live_keys is not None:
         if batch_ts is None:
             raise ValueError("batch_ts is required with live_keys")
         live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
         flagged = result.join(live, keys, "left")
         gone = openm & ~F.col("is_deleted") & F.col("_live").isNull()
-        kept = flagged.withColumn(
-            "effective_to",
-            F.when(gone, minus_interval(ts_literal(batch_ts), gap)).otherwise(F.col("effective_to")),
-        )
-        tomb = flagged.filter(gone).withColumn("effective_from", ts_literal(batch_ts)).withColumn(
-            "is_deleted", F.lit(True)
-        )
-        result = kept.unionByName(tomb).drop("_live")
+        now = ts_literal(batch_ts)
+        as_is = F.struct(*[F.col(c) for c in out_cols])
+        closed_now = F.struct(*[minus_interval(now, gap).alias(c) if c == "effective_to" else F.col(c)
+                                for c in out_cols])
+        tomb = F.struct(*[now.alias(c) if c == "effective_from" else F.lit(True).alias(c) if c == "is_deleted"
+                          else F.col(c) for c in out_cols])
+        result = flagged.select(F.explode(F.when(gone, F.array(closed_now, tomb)).otherwise(F.array(as_is))).alias("_r")
+                                ).select(*[F.col(f"_r.{c}").alias(c) for c in out_cols])
 
-    out_cols = keys + tracked + META + sk_cols
-    return closed.select(*out_cols).unionByName(result.select(*out_cols))
+    return closed.select(*out_cols).unionByName(result)
 
 
 # ------------------------------------------------------------------ H8
-def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *, base: int = 0,
-                          num_partitions: int | None = None) -> DataFrame:
+def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *, base=0,
+                          num_partitions: int | None = None) -> DataFrame | None:
     """Dense ids ``base+1 ..`` for distinct keys, in key order, without a
     single-partition window: range-partition by key, number rows inside each
     partition, add the cumulative count of the preceding partitions (a table
-    with one row per partition, so its broadcast is bounded)."""
+    with one row per partition, so its broadcast is bounded).
+
+    ``base`` may be a callable, evaluated only when there are keys to number;
+    with no keys the result is None."""
     keys = list(keys)
     spark = new_keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -213,20 +204,20 @@ def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_idx", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     )
-    # pin the numbering: both uses below must see the same assignment
-    from ebbflow.session import checkpoint_root
-
+    # pin the numbering in the shared checkpoint folder: both uses below (and
+    # any task retry) must see the same assignment
     checkpoint_root(spark)
     tagged = tagged.checkpoint(eager=True)
+    if tagged.isEmpty():
+        return None
+    start = int(base() if callable(base) else base)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
     )
     return tagged.join(F.broadcast(offsets), "_pid").select(
-        *keys, (F.lit(base) + F.col("_off") + F.col("_idx") + 1).cast("long").alias(name)
+        *keys, (F.lit(start) + F.col("_off") + F.col("_idx") + 1).cast("long").alias(name)
     )
 
 

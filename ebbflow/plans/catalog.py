@@ -301,15 +301,25 @@ def _metrics_as_of(spark, d, ts):
 
 @register("client_metrics_hist")
 def q_client_metrics_hist(spark, d):
-    """M8h: SCD2 history over the client metrics, two report runs."""
+    """M8h: SCD2 history over the client metrics, two report runs.  Run 1
+    writes the history table (version 1 + manifest); run 2 reads it back and
+    merges the new metrics, as the scheduled job would."""
     from ebbflow.functions.expr import open_end, ts_literal
+    from ebbflow.session import scratch_path
+    from ebbflow.sinks import tables
 
+    root = scratch_path(spark, "client_metrics_hist")
     m1 = _metrics_as_of(spark, d, HIST_T1)
-    ids = scd2.assign_surrogate_keys(m1.select("phone_num"), ["phone_num"], "client_id")
+    ids = scd2.assign_surrogate_keys(fx.taxi_clients(spark, d).select("phone_num").distinct(), ["phone_num"],
+                                     "client_id")
     hist = m1.join(ids, "phone_num").select(
         "phone_num", *taxi.METRIC_COLS, ts_literal(HIST_T1).alias("effective_from"),
         open_end().alias("effective_to"), F.lit(False).alias("is_deleted"), "client_id",
     )
+    tables.write_version(hist, root, "client_metrics_hist", 1)
+    tables.commit(spark, root, 1, {"client_metrics_hist": 1})
+
+    hist = tables.read_table(spark, root, "client_metrics_hist")
     m2 = _metrics_as_of(spark, d, HIST_T2).withColumn("change_ts", ts_literal(HIST_T2))
     live = fx.taxi_clients(spark, d).select("phone_num")
     merged = scd2.scd2_merge(hist, m2, ["phone_num"], taxi.METRIC_COLS, live_keys=live, batch_ts=HIST_T2,
