@@ -40,7 +40,8 @@ def _fraud_rows(df: DataFrame, event_type: int, passport: str = "passport_num")
 
 def fraud_passport(trans: DataFrame, star: DataFrame, blacklist: DataFrame, report_dt: str) -> DataFrame:
     """M1: operation with an expired or blacklisted passport."""
-    bl = blacklist.select(F.col("passport_num").alias("bl_passport"), "entry_dt")
+    # the cumulative file repeats entries: "after any entry" == "after the first"
+    bl = blacklist.groupBy(F.col("passport_num").alias("bl_passport")).agg(F.min("entry_dt").alias("entry_dt"))
     x = (
         trans.filter(F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))
         .join(star, "card_num")

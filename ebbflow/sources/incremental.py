@@ -32,8 +32,14 @@ def incremental_scan_coalesced(df: DataFrame, update_col: str, create_col: str,
     return df.filter((upd > w) | (upd.isNull() & (crt > w))).withColumn(change_col, F.coalesce(upd, crt))
 
 
-def key_snapshot(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """S3: the full list of live keys (a key-only scan after pruning)."""
+def key_snapshot(df: DataFrame, keys: Sequence[str], exclude: Column | None = None) -> DataFrame:
+    """S3: the full list of live keys (a key-only scan after pruning).
+
+    ``exclude`` drops rows that are present but retired, e.g.
+    ``F.col("finished_flg") == "Y"`` for cars taken out of service (D27), so
+    the SCD2 merge tombstones them."""
+    if exclude is not None:
+        df = df.filter(~exclude)
     return df.select(*keys).distinct()
 
 
