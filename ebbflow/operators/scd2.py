@@ -155,7 +155,9 @@ def scd2_merge(
 
     # 4. surrogate ids for keys seen for the first time (dense, key order)
     if surrogate:
-        new_k = u.filter(~F.col("_known")).select(*keys).distinct()
+        # keys with no open version: from the staged keys, so the merge
+        # pipeline above is not evaluated a second time to find them
+        new_k = stg.select(*keys).distinct().join(open_.select(*keys), keys, "left_anti")
         ids = assign_surrogate_keys(
             new_k, keys, "_new_sk",
             base=lambda: dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"],

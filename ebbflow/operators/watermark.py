@@ -34,6 +34,14 @@ def setting(settings: DataFrame, workflows: DataFrame, field: str, default: Colu
         "workflow_key", F.coalesce(val, default).alias(field))
 
 
+def read_setting(settings: DataFrame, workflow_key: str, field: str, default, cast: str):
+    """W1/W3 for one workflow: the field as a driver literal (one row), so the
+    incremental filter that uses it is pushed into the scan."""
+    rows = setting(settings, settings.sparkSession.createDataFrame([(workflow_key,)], "workflow_key string"),
+                   field, F.lit(default).cast(cast), cast).collect()
+    return rows[0][field]
+
+
 def settings_row(workflow_key: Column, **fields: Column) -> list[Column]:
     """Serialise the new checkpoint of a workflow to JSON."""
     return [workflow_key.alias("workflow_key"),

@@ -202,11 +202,16 @@ def q_driver_assignment(spark, d):
 
 @register("top1_per_key")
 def q_top1_per_key(spark, d):
+    """Matched (ride, waybill) pairs ranked per ride, keep the first.  The
+    pairs come from the (car, day) join of F6, so a hot car is spread over
+    its days; the rank is a WindowGroupLimit per ride."""
     a, w = fx.ride_arrivals(spark, d), _waybills(spark, d)
-    pairs = a.join(w, (a["car_plate_num"] == w["car_plate_num"])
-                   & a["ride_arrival_dt"].between(w["work_start_dt"], w["work_end_dt"]))
-    pairs = pairs.select(a["ride_id"], a["ride_line"], a["car_plate_num"], a["ride_arrival_dt"],
-                         w["work_start_dt"], w["waybill_num"], w["driver_pers_num"])
+    wd = w.select("car_plate_num", "work_start_dt", "work_end_dt", "waybill_num", "driver_pers_num",
+                  F.explode(F.sequence(F.to_date("work_start_dt"), F.to_date("work_end_dt"))).alias("_day"))
+    pairs = a.withColumn("_day", F.to_date("ride_arrival_dt")).join(wd, ["car_plate_num", "_day"]).filter(
+        F.col("ride_arrival_dt").between(F.col("work_start_dt"), F.col("work_end_dt")))
+    pairs = pairs.select("ride_id", "ride_line", "car_plate_num", "ride_arrival_dt", "work_start_dt",
+                         "waybill_num", "driver_pers_num")
     top = facts.top1_by_rank(pairs, ["ride_id", "ride_line", "car_plate_num", "ride_arrival_dt"],
                              ["work_start_dt", "waybill_num"])
     return top.drop("work_start_dt")
@@ -373,19 +378,14 @@ def q_settings_checkpoint(spark, d):
     """Read checkpoints with defaults, load, write the new JSON settings."""
     settings = spark.createDataFrame(
         [("users_stg", '{"last_loaded_ts": "2024-01-15 00:00:00"}')], "workflow_key string, workflow_settings string")
-    flows = spark.createDataFrame([("users_stg",), ("dm_users",)], "workflow_key string")
     doc = fx.documents(spark, d)
-    ts_wm = watermark.setting(settings, flows.filter(F.col("workflow_key") == "users_stg"), "last_loaded_ts",
-                              F.lit("2022-01-01 00:00:00").cast("timestamp_ntz"), "timestamp_ntz")
-    id_wm = watermark.setting(settings, flows.filter(F.col("workflow_key") == "dm_users"), "last_loaded_id",
-                              F.lit(-1).cast("long"), "long")
-    by_ts = doc.join(F.broadcast(ts_wm), F.col("update_ts") > F.col("last_loaded_ts")).groupBy("workflow_key").agg(
-        F.max("update_ts").alias("ts"))
-    by_id = doc.join(F.broadcast(id_wm), F.col("id") > F.col("last_loaded_id")).groupBy("workflow_key").agg(
-        F.max("id").alias("id"))
+    last_ts = watermark.read_setting(settings, "users_stg", "last_loaded_ts", "2022-01-01 00:00:00", "timestamp_ntz")
+    last_id = watermark.read_setting(settings, "dm_users", "last_loaded_id", -1, "long")
+    by_ts = inc.incremental_scan(doc, "update_ts", last_ts.isoformat(sep=" ")).agg(F.max("update_ts").alias("ts"))
+    by_id = doc.filter(F.col("id") > F.lit(last_id)).agg(F.max("id").alias("id"))
     fmt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return by_ts.select(*watermark.settings_row(F.col("workflow_key"), last_loaded_ts=fmt)).unionByName(
-        by_id.select(*watermark.settings_row(F.col("workflow_key"), last_loaded_id=F.col("id"))))
+    return by_ts.select(*watermark.settings_row(F.lit("users_stg"), last_loaded_ts=fmt)).unionByName(
+        by_id.select(*watermark.settings_row(F.lit("dm_users"), last_loaded_id=F.col("id"))))
 
 
 @register("scd1_upsert")
@@ -552,7 +552,7 @@ def q_stream_payment_dedup(spark, d):
     p = _payments(spark, d).select("card_num", "transaction_amt", "transaction_dt").withColumn(
         "yr", F.year("transaction_dt"))
     p.repartition("yr").write.partitionBy("yr").parquet(f"{base}/src")
-    return jobs.payment_dedup(spark, f"{base}/src/*/*.parquet", f"{base}/fact", f"{base}/ckpt", max_files=2)
+    return jobs.payment_dedup(spark, f"{base}/src/*/*.parquet", f"{base}/fact", f"{base}/ckpt", max_files=4)
 
 
 @register("stream_ride_assembly")
