@@ -123,14 +123,26 @@ def scd2_merge(
     closed = dim.filter(~openm)
     open_ = dim.filter(openm)
     sk_cols = [surrogate] if surrogate else []
+    out_cols = keys + tracked + META + sk_cols
 
-    # 1. staged rows + their key's open version (one lookup); rows not newer
-    #    than the open version are replays and are dropped
-    o = open_.select(*keys, F.col("effective_from").alias("_of"), *[F.col(c).alias(f"_o_{c}") for c in tracked],
-                     F.col("is_deleted").alias("_o_del"), *[F.col(c).alias("_o_sk") for c in sk_cols])
-    s = stg.select(*keys, *tracked, F.col(change_ts).alias("_ts")).dropDuplicates(keys + tracked + ["_ts"])
+    s0 = stg.select(*keys, *tracked, F.col(change_ts).alias("_ts")).dropDuplicates(keys + tracked + ["_ts"])
+    # Only keys present in the batch can change.  The open versions are split
+    # by a semi/anti join on the batch's keys (both share one exchange of the
+    # dimension); untouched versions go straight to the delete check, so the
+    # ordered work below only sees the batch's keys.
+    stg_keys = s0.select(*keys).distinct()
+    touched = open_.join(stg_keys, keys, "left_semi")
+    untouched = open_.join(stg_keys, keys, "left_anti")
+
+    # 1. staged rows + their key's open version; rows not newer than the
+    #    open version are replays and are dropped
+    s = s0.alias("s").join(touched.alias("o"), keys, "left").select(
+        *keys, *[F.col(f"s.{c}").alias(c) for c in tracked], "_ts",
+        F.col("o.effective_from").alias("_of"), *[F.col(f"o.{c}").alias(f"_o_{c}") for c in tracked],
+        F.col("o.is_deleted").alias("_o_del"), *[F.col(f"o.{c}").alias("_o_sk") for c in sk_cols],
+    )
     s = s.withColumn("_tb", F.xxhash64(*tracked)).withColumn("_one", F.lit(1))
-    s = s.join(o, keys, "left").filter(F.col("_of").isNull() | (F.col("_ts") > F.col("_of")))
+    s = s.filter(F.col("_of").isNull() | (F.col("_ts") > F.col("_of")))
 
     # 2. collapse runs of identical staged rows (lag over the key's staged
     #    rows); the first one is compared with the open version
@@ -142,22 +154,20 @@ def scd2_merge(
     new_rows = s.filter((first & ~same_open) | (~first & ~same_prev)).select(
         *keys, *tracked, F.col("_ts").alias("effective_from"), F.lit(False).alias("is_deleted"),
         *[F.col("_o_sk").alias(c) for c in sk_cols],
-        F.lit(1).alias("_src"), "_tb", F.col("_o_del").isNotNull().alias("_known"),
+        F.lit(1).alias("_src"), "_tb",
     )
 
-    # 3. one lead over (open version, new versions) per key: each version
-    #    ends `gap` before the next one starts; the last stays open
-    old_rows = open_.select(*keys, *tracked, "effective_from", "is_deleted", *sk_cols,
-                            F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_tb"), F.lit(True).alias("_known"))
+    # 3. one lead over (open version, new versions) of each touched key: a
+    #    version ends `gap` before the next one starts; the last stays open
+    old_rows = touched.select(*keys, *tracked, "effective_from", "is_deleted", *sk_cols,
+                              F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_tb"))
     u = shift_within_key(old_rows.unionByName(new_rows), keys, ["effective_from", "_src", "_tb"],
                          ["effective_from"], 1, prefix="_n", bucket_seconds=bucket_seconds)
     u = u.withColumn("effective_to", F.coalesce(minus_interval("_n_1_effective_from", gap), open_end()))
 
     # 4. surrogate ids for keys seen for the first time (dense, key order)
     if surrogate:
-        # keys with no open version: from the staged keys, so the merge
-        # pipeline above is not evaluated a second time to find them
-        new_k = stg.select(*keys).distinct().join(open_.select(*keys), keys, "left_anti")
+        new_k = stg_keys.join(open_.select(*keys), keys, "left_anti")
         ids = assign_surrogate_keys(
             new_k, keys, "_new_sk",
             base=lambda: dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"],
@@ -165,28 +175,34 @@ def scd2_merge(
         if ids is not None:
             u = u.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
 
-    out_cols = keys + tracked + META + sk_cols
-    result = u.select(*out_cols)
+    changed = u.select(*out_cols)
+    kept = untouched.select(*out_cols)
 
-    # 5. logical deletes against the full key snapshot: the open live version
-    #    of a vanished key is closed and followed by a tombstone (one pass:
-    #    left join + explode, no second read of the merged rows)
+    # 5. logical deletes against the full key snapshot
     if live_keys is not None:
         if batch_ts is None:
             raise ValueError("batch_ts is required with live_keys")
         live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
-        flagged = result.join(live, keys, "left")
-        gone = openm & ~F.col("is_deleted") & F.col("_live").isNull()
-        now = ts_literal(batch_ts)
-        as_is = F.struct(*[F.col(c) for c in out_cols])
-        closed_now = F.struct(*[minus_interval(now, gap).alias(c) if c == "effective_to" else F.col(c)
-                                for c in out_cols])
-        tomb = F.struct(*[now.alias(c) if c == "effective_from" else F.lit(True).alias(c) if c == "is_deleted"
-                          else F.col(c) for c in out_cols])
-        result = flagged.select(F.explode(F.when(gone, F.array(closed_now, tomb)).otherwise(F.array(as_is))).alias("_r")
-                                ).select(*[F.col(f"_r.{c}").alias(c) for c in out_cols])
-
-    return closed.select(*out_cols).unionByName(result)
+        changed = _apply_deletes(changed, live, keys, out_cols, batch_ts, gap)
+        kept = _apply_deletes(kept, live, keys, out_cols, batch_ts, gap)
+
+    return closed.select(*out_cols).unionByName(kept).unionByName(changed)
+
+
+def _apply_deletes(rows: DataFrame, live: DataFrame, keys: list[str], out_cols: list[str], batch_ts: str,
+                   gap: str) -> DataFrame:
+    """The open live version of a key missing from ``live`` is closed at
+    ``batch_ts - gap`` and followed by a tombstone (left join + explode: one
+    pass over ``rows``)."""
+    flagged = rows.join(live, keys, "left")
+    gone = is_open() & ~F.col("is_deleted") & F.col("_live").isNull()
+    now = ts_literal(batch_ts)
+    as_is = F.struct(*[F.col(c) for c in out_cols])
+    closed_now = F.struct(*[minus_interval(now, gap).alias(c) if c == "effective_to" else F.col(c) for c in out_cols])
+    tomb = F.struct(*[now.alias(c) if c == "effective_from" else F.lit(True).alias(c) if c == "is_deleted"
+                      else F.col(c) for c in out_cols])
+    return flagged.select(F.explode(F.when(gone, F.array(closed_now, tomb)).otherwise(F.array(as_is))).alias("_r")
+                          ).select(*[F.col(f"_r.{c}").alias(c) for c in out_cols])
 
 
 # ------------------------------------------------------------------ H8
