@@ -64,16 +64,24 @@ def write_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> No
      .partitionBy(partition_col).parquet(path))
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
     """Append-only fact written per micro-batch: ``<path>/batch=<id>``; a
-    replayed batch overwrites its own directory only."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    replayed batch overwrites its own directory only.  With ``partition_by``
+    (e.g. a date column) each batch is split further, so probes by that
+    column prune directories."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(f"{path}/batch={batch_id:012d}")
 
 
-def read_appended(spark: SparkSession, path: str, schema: str, before_batch: int | None = None) -> DataFrame:
+def read_appended(spark: SparkSession, path: str, schema: str, before_batch: int | None = None,
+                  extra_partitions: str | None = None) -> DataFrame:
     """Rows of an append-only fact; with ``before_batch`` only the batches
     committed before it (a replayed batch must not see its own rows)."""
     full = f"{schema}, batch BIGINT"
+    if extra_partitions:
+        full += ", " + extra_partitions
     try:
         df = spark.read.schema(full).parquet(path)
     except AnalysisException:

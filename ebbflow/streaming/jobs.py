@@ -109,12 +109,18 @@ def payment_dedup(spark: SparkSession, source_glob: str, fact_path: str, checkpo
             return
         lo = F.lit(rng["lo"].isoformat(sep=" ")).cast("timestamp_ntz")
         hi = F.lit(rng["hi"].isoformat(sep=" ")).cast("timestamp_ntz")
-        loaded = tables.read_appended(s, fact_path, PAYMENT_SCHEMA, before_batch=batch_id).filter(
-            F.col("transaction_dt").between(lo, hi))
-        tables.append_batch(facts.dedup_append(df.select(*key), loaded, key), fact_path, batch_id)
+        # probe only the months the batch covers (directory pruning), then
+        # row-group statistics on the exact time range
+        month = lambda c: F.trunc(F.to_date(c), "month")
+        loaded = tables.read_appended(s, fact_path, PAYMENT_SCHEMA, before_batch=batch_id,
+                                      extra_partitions="pay_month DATE").filter(
+            F.col("pay_month").between(month(lo), month(hi)) & F.col("transaction_dt").between(lo, hi))
+        new = facts.dedup_append(df.select(*key), loaded.select(*key), key)
+        new = new.withColumn("pay_month", month("transaction_dt")).repartition("pay_month")
+        tables.append_batch(new, fact_path, batch_id, partition_by="pay_month")
 
     _run(src, batch, checkpoint)
-    return tables.read_appended(spark, fact_path, PAYMENT_SCHEMA)
+    return tables.read_appended(spark, fact_path, PAYMENT_SCHEMA, extra_partitions="pay_month DATE").select(*key)
 
 
 # ------------------------------------------------------------------ T4
