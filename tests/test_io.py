@@ -122,3 +122,22 @@ def test_ride_assembly_stream_completes_late_rides(spark, tmp_dir):
     again = jobs.ride_assembly(spark, f"{tmp_dir}/src/*/*.parquet", f"{tmp_dir}/state", f"{tmp_dir}/fact",
                                f"{tmp_dir}/ckpt")
     assert again.count() == 2
+
+
+def test_fact_batch_replay_after_a_failed_attempt(spark, tmp_dir):
+    """A batch that crashed after writing its directory is replayed: it must
+    not see its own rows as 'already loaded' and must not duplicate them."""
+    from ebbflow.operators import facts
+
+    path = f"{tmp_dir}/fact"
+    schema = "k long, v string"
+    b0 = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    tables.append_batch(b0, path, 0)
+    b1 = spark.createDataFrame([(2, "b"), (3, "c")], schema)
+    # first attempt of batch 1 writes its rows, then "crashes" before committing
+    tables.append_batch(facts.dedup_append(b1, tables.read_appended(spark, path, schema, before_batch=1), ["k"]),
+                        path, 1)
+    # replay of batch 1
+    tables.append_batch(facts.dedup_append(b1, tables.read_appended(spark, path, schema, before_batch=1), ["k"]),
+                        path, 1)
+    assert sorted(r.k for r in tables.read_appended(spark, path, schema).collect()) == [1, 2, 3]
