@@ -49,6 +49,14 @@ def latest_manifest(spark: SparkSession, root: str):
     return rows[0] if rows else None
 
 
+def has_manifest(spark: SparkSession, root: str, version: int) -> bool:
+    """Whether batch ``version`` was committed (reads only its own manifest)."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/v={version:012d}").limit(1).count() > 0
+    except AnalysisException:
+        return False
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame | None:
     """Current version of ``table`` per the newest manifest."""
     m = latest_manifest(spark, root)

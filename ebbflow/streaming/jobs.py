@@ -45,8 +45,7 @@ def _run(stream: DataFrame, fn, checkpoint: str) -> None:
 
 
 def _committed(spark: SparkSession, root: str, version: int) -> bool:
-    m = tables.latest_manifest(spark, root)
-    return m is not None and m["version"] >= version
+    return tables.has_manifest(spark, root, version)
 
 
 # ------------------------------------------------------------------ T1
