@@ -11,6 +11,10 @@ from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, shift_within_key
 
 FRAUD_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
+# Fixed values of the transaction feed: operation results.
+REJECT = "REJECT"
+SUCCESS = "SUCCESS"
+
 
 def client_card_star(accounts: DataFrame, clients: DataFrame, cards: DataFrame,
                      include_deleted: bool = True) -> DataFrame:
@@ -102,11 +106,11 @@ def fraud_amount_guessing(trans: DataFrame, star: DataFrame, report_dt: str, win
     x = shift_within_key(_client_trans(_since(trans, report_dt, window), star), ["client_id"],
                          ["trans_date", "trans_id"], ["trans_date", "amt", "oper_result"], n, lag=True, prefix="prev",
                          bucket_seconds=bucket_seconds)
-    hit = (F.col("oper_result") == "SUCCESS") & (F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))
+    hit = (F.col("oper_result") == SUCCESS) & (F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))
     hit = hit & (F.col("trans_date") <= plus_interval(f"prev_{n}_trans_date", window))
     amt_prev = "amt"
     for i in range(1, n + 1):
-        hit = hit & (F.col(f"prev_{i}_oper_result") == "REJECT") & (F.col(f"prev_{i}_amt") > F.col(amt_prev))
+        hit = hit & (F.col(f"prev_{i}_oper_result") == REJECT) & (F.col(f"prev_{i}_amt") > F.col(amt_prev))
         amt_prev = f"prev_{i}_amt"
     return _fraud_rows(x.filter(hit), 4)
 
@@ -130,10 +134,10 @@ def fraud_mart(trans, star, blacklist, terminals, report_dt: str, window_two_cit
     r3 = ((F.col("terminal_city") != F.coalesce(F.col("prev_1_terminal_city"), F.col("terminal_city")))
           & (F.col("trans_date") <= plus_interval(F.coalesce(F.col("prev_1_trans_date"), F.col("trans_date")),
                                                   window_two_cities)))
-    r4 = (F.col("oper_result") == "SUCCESS") & (F.col("trans_date") <= plus_interval("prev_3_trans_date", window_guessing))
+    r4 = (F.col("oper_result") == SUCCESS) & (F.col("trans_date") <= plus_interval("prev_3_trans_date", window_guessing))
     amt_prev = "amt"
     for i in range(1, 4):
-        r4 = r4 & (F.col(f"prev_{i}_oper_result") == "REJECT") & (F.col(f"prev_{i}_amt") > F.col(amt_prev))
+        r4 = r4 & (F.col(f"prev_{i}_oper_result") == REJECT) & (F.col(f"prev_{i}_amt") > F.col(amt_prev))
         amt_prev = f"prev_{i}_amt"
     rules = F.array(*[F.when(r, F.lit(k)) for k, r in ((1, r1), (2, r2), (3, r3), (4, r4))])
     x = x.filter(F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))

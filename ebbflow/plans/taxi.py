@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import elapsed_seconds, epoch_micros, plus_interval, strip_blanks
@@ -20,6 +20,9 @@ FUEL_PRICE = Decimal("47.26")
 FUEL_PER_100KM = Decimal("7")
 DEPRECIATION_PER_KM = Decimal("5")
 SPEED_LIMIT = 85
+# Fixed values of the movement feed: event names.
+READY, BEGIN, END, CANCEL = "READY", "BEGIN", "END", "CANCEL"
+RIDE_EVENTS = {"ride_arrival_dt": [READY], "ride_start_dt": [BEGIN], "ride_end_dt": [END, CANCEL]}
 HOUR_US = 3_600_000_000
 
 
@@ -28,8 +31,7 @@ def ride_pivot(rides: DataFrame, movement: DataFrame) -> DataFrame:
     events are aggregated before they meet the ride table."""
     ev = facts.pivot_events(
         movement, "ride", "event", "dt",
-        {"ride_arrival_dt": ["READY"], "ride_start_dt": ["BEGIN"], "ride_end_dt": ["END", "CANCEL"]},
-        carry=["car_plate_num"],
+        RIDE_EVENTS, carry=["car_plate_num"],
     )
     return rides.join(ev, rides["ride_id"] == ev["ride"], "left").select(
         "ride_id", "client_phone", "distance", "price", "car_plate_num",
@@ -115,9 +117,12 @@ def partition_count(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def first_value_anchor(shifts: DataFrame) -> DataFrame:
-    """First start of the driver's shifts of the same day."""
-    w = Window.partitionBy("driver_pers_num", F.to_date("work_start_dt"))
-    return shifts.withColumn("anchor_dt", F.min("work_start_dt").over(w))
+    """``first_value(start) over (driver, day order by start)``, i.e. the
+    day's earliest start: a partial ``min`` aggregate joined back, so a busy
+    driver-day is never buffered in one task."""
+    day = F.to_date("work_start_dt")
+    first = shifts.groupBy("driver_pers_num", day.alias("_day")).agg(F.min("work_start_dt").alias("anchor_dt"))
+    return shifts.withColumn("_day", day).join(first, ["driver_pers_num", "_day"]).drop("_day")
 
 
 def driver_overtime(shifts: DataFrame, report_dt: str, limit_hours: int = 8,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import parse_decimal_comma
 from ebbflow.operators import facts, scd1, scd2
+from ebbflow.plans.taxi import RIDE_EVENTS
 from ebbflow.sinks import tables
 
 TRANS_TEXT_SCHEMA = ("trans_id BIGINT, trans_date STRING, amount STRING, card_num STRING, "
@@ -139,8 +140,7 @@ def ride_assembly(spark: SparkSession, source_glob: str, root: str, fact_path: s
         events = pending.unionByName(df)
         piv = facts.pivot_events(
             events, "ride", "event", "dt",
-            {"ride_arrival_dt": ["READY"], "ride_start_dt": ["BEGIN"], "ride_end_dt": ["END", "CANCEL"]},
-            carry=["car_plate_num"],
+            RIDE_EVENTS, carry=["car_plate_num"],
         )
         done = facts.completed(piv, "ride_end_dt")
         loaded = tables.read_appended(s, fact_path, RIDE_SCHEMA, before_batch=batch_id)
