@@ -46,3 +46,30 @@ def test_running_sums_match_plain_window(spark):
     a = {(r.id, r.n, r.s) for r in got.collect()}
     b = {(r.id, r.n, r.s) for r in exp.collect()}
     assert a == b
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    seed=st.integers(0, 10_000),
+    bucket=st.sampled_from([1, 7, 60, 3600, 86_400]),
+    n=st.integers(1, 3),
+    lag=st.booleans(),
+)
+def test_shift_property(spark, seed, bucket, n, lag):
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.randrange(3), i, base + dt.timedelta(seconds=rnd.randrange(0, 300)), rnd.randrange(4))
+            for i in range(rnd.randrange(1, 120))]          # many equal timestamps: the id breaks ties
+    df = spark.createDataFrame(rows, "k long, id long, ts timestamp_ntz, v int")
+    got = shift_within_key(df, ["k"], ["ts", "id"], ["v", "id"], n, lag=lag, prefix="x", bucket_seconds=bucket)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    exp = df
+    for i in range(1, n + 1):
+        for c in ("v", "id"):
+            exp = exp.withColumn(f"x_{i}_{c}", (F.lag if lag else F.lead)(c, i).over(w))
+    cols = sorted(exp.columns)
+    assert set(map(tuple, got.select(cols).collect())) == set(map(tuple, exp.select(cols).collect()))
