@@ -51,10 +51,16 @@ def _committed(spark: SparkSession, root: str, version: int) -> bool:
 
 # ------------------------------------------------------------------ T1
 def file_ingest(spark: SparkSession, source_glob: str, fact_path: str, checkpoint: str,
-                max_files: int = 1) -> DataFrame:
-    """``;``-separated transaction files with decimal commas -> fact."""
-    src = (spark.readStream.schema(TRANS_TEXT_SCHEMA).option("sep", ";").option("header", True)
-           .option("maxFilesPerTrigger", max_files).csv(source_glob))
+                max_files: int = 1, archive_dir: str | None = None) -> DataFrame:
+    """``;``-separated transaction files with decimal commas -> fact.
+
+    With ``archive_dir`` (K6) the file source moves each consumed file there
+    once its batch is committed (``cleanSource=archive``)."""
+    reader = (spark.readStream.schema(TRANS_TEXT_SCHEMA).option("sep", ";").option("header", True)
+              .option("maxFilesPerTrigger", max_files))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    src = reader.csv(source_glob)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         s = df.sparkSession

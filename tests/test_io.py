@@ -141,3 +141,22 @@ def test_fact_batch_replay_after_a_failed_attempt(spark, tmp_dir):
     tables.append_batch(facts.dedup_append(b1, tables.read_appended(spark, path, schema, before_batch=1), ["k"]),
                         path, 1)
     assert sorted(r.k for r in tables.read_appended(spark, path, schema).collect()) == [1, 2, 3]
+
+
+def test_file_ingest_archives_consumed_files(spark, tmp_dir):
+    """K6: consumed feed files are moved to the archive folder."""
+    import glob
+
+    from ebbflow.streaming import jobs
+
+    header = "trans_id;trans_date;amount;card_num;oper_type;oper_result;terminal\n"
+    for day in (1, 2, 3):
+        _write(f"{tmp_dir}/in", f"transactions_0{day}032021.txt",
+               header + f"{day};2021-03-0{day} 10:00:00.000000;1,50;0001;PAY;SUCCESS;T1\n")
+    out = jobs.file_ingest(spark, f"{tmp_dir}/in/*.txt", f"{tmp_dir}/fact", f"{tmp_dir}/ckpt",
+                           max_files=1, archive_dir=f"{tmp_dir}/archive")
+    assert sorted(r.trans_id for r in out.collect()) == [1, 2, 3]
+    # files of committed batches are moved (the last batch's file moves on the next run)
+    archived = glob.glob(f"{tmp_dir}/archive/**/*.txt", recursive=True)
+    assert len(archived) >= 2
+    assert len(glob.glob(f"{tmp_dir}/in/*.txt")) + len(archived) == 3
