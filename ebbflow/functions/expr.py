@@ -9,7 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the warehouse model.
-OPEN_END = "2999-12-31 00:00:00"          # open-ended version end
+# Open-ended version end.  The source model writes 2999-12-31; here the
+# sentinel is the latest round date that pandas/Arrow result conversion
+# (nanosecond timestamps, up to 2262-04-11) can still represent, so results
+# survive ``toPandas()``.  Tables that use 2999-12-31 set this constant.
+OPEN_END = "2262-01-01 00:00:00"
 CLOSE_GAP = "15 seconds"                    # old version ends this long before the new one
 
 

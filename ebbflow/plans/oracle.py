@@ -9,7 +9,7 @@ from __future__ import annotations
 
 # ------------------------------------------------------------------ fixture CTEs
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
-OPEN_END = "TIMESTAMP '2999-12-31 00:00:00'"
+OPEN_END = "TIMESTAMP '2262-01-01 00:00:00'"   # same sentinel as ebbflow.functions.expr.OPEN_END
 
 FIX = {
     "trans": f"""trans AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ebbflow.plans import bank, taxi
 from ebbflow.operators.intervals import rolling_clipped_sum
 
-OPEN = dt.datetime(2999, 12, 31)
+OPEN = dt.datetime(2262, 1, 1)
 T0 = dt.datetime(2024, 1, 1)
 
 

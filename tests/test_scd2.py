@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.operators import scd2
 
-OPEN = dt.datetime(2999, 12, 31)
+OPEN = dt.datetime(2262, 1, 1)
 T0 = dt.datetime(2024, 1, 1)
 T1 = dt.datetime(2024, 1, 2)
 T2 = dt.datetime(2024, 1, 2, 12)
