@@ -104,9 +104,14 @@ def scd2_merge(
     gap: str = CLOSE_GAP,
     surrogate: str | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-) -> DataFrame:
+    split: bool = False,
+):
     """H6: apply a staged batch (and optionally a full key snapshot) to ``dim``.
 
+    Returns the new dimension; with ``split=True`` a pair (closed history
+    passed through unchanged, rows derived from the open versions) so a
+    writer can append only what changed (``sinks.tables.write_dimension``).
+
     * several staged rows per key are chained by change time; consecutive
       identical rows collapse (D15);
     * staged rows not newer than the open version are ignored (replays);
@@ -186,6 +191,8 @@ def scd2_merge(
         changed = _apply_deletes(changed, live, keys, out_cols, batch_ts, gap)
         kept = _apply_deletes(kept, live, keys, out_cols, batch_ts, gap)
 
+    if split:
+        return closed.select(*out_cols), kept.unionByName(changed)
     return closed.select(*out_cols).unionByName(kept).unionByName(changed)
 
 

@@ -570,7 +570,7 @@ def q_stream_scd2(spark, d):
     """T5: the staged customer changes arrive in two drops (even/odd keys)."""
     base = scratch_path(spark, "stream_scd2")
     dim, stg, _ = _scd_inputs(spark, d)
-    tables.write_version(dim, f"{base}/tables", "dim", 0)
+    tables.write_dimension(dim, f"{base}/tables", "dim", 0)
     tables.commit(spark, f"{base}/tables", 0, {"dim": 0})
     _write_in_order([stg.filter(F.col("c_custkey") % 2 == r) for r in (0, 1)], f"{base}/src")
     schema = "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING, change_ts TIMESTAMP_NTZ"

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 MANIFEST_SCHEMA = "version BIGINT, tables MAP<STRING, BIGINT>, watermarks MAP<STRING, STRING>"
@@ -65,6 +66,33 @@ def read_table(spark: SparkSession, root: str, table: str, schema: str | None =
     return spark.read.parquet(version_path(root, table, m["tables"][table]))
 
 
+def write_dimension(from_open: DataFrame, root: str, table: str, version: int) -> None:
+    """SCD2 storage: closed versions never change, so a batch writes only the
+    versions it closed (``part=history``) and the open set (``part=current``)
+    under ``v=<n>``, in one job.  Per-batch writes scale with the open set and
+    the batch, not with the whole history."""
+    from ebbflow.operators.scd2 import is_open
+
+    part = F.when(is_open(), F.lit("current")).otherwise(F.lit("history")).alias("part")
+    (from_open.select("*", part).write.mode("overwrite").partitionBy("part")
+     .parquet(f"{root}/{table}/v={version:012d}"))
+
+
+def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """History committed up to the newest manifest plus its current set
+    (partition pruning on ``v`` and ``part``)."""
+    m = latest_manifest(spark, root)
+    if m is None or table not in (m["tables"] or {}):
+        return None
+    v = m["tables"][table]
+    cur_schema = spark.read.parquet(f"{root}/{table}/v={v:012d}/part=current").schema
+    schema = T.StructType(list(cur_schema.fields) + [T.StructField("v", T.LongType()),
+                                                     T.StructField("part", T.StringType())])
+    d = spark.read.schema(schema).parquet(f"{root}/{table}")
+    keep = ((F.col("part") == "history") & (F.col("v") <= v)) | ((F.col("part") == "current") & (F.col("v") == v))
+    return d.filter(keep).drop("v", "part")
+
+
 def write_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> None:
     """K7: accumulating report table; a re-run replaces only the report
     dates it produces (dynamic partition overwrite)."""

@@ -163,7 +163,9 @@ def ride_assembly(spark: SparkSession, source_glob: str, root: str, fact_path: s
 def scd2_stream(spark: SparkSession, source_glob: str, root: str, checkpoint: str, stg_schema: str,
                 keys: list[str], tracked: list[str], max_files: int = 1) -> DataFrame:
     """T5: staged change files -> SCD2 dimension, one merge per micro-batch.
-    Version 0 of the dimension must be committed before the stream starts."""
+    Each batch appends the versions it closed and rewrites only the open set
+    (``write_dimension``).  Version 0 must be committed before the stream
+    starts."""
     src = spark.readStream.schema(stg_schema).option("maxFilesPerTrigger", max_files).parquet(source_glob)
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -171,10 +173,10 @@ def scd2_stream(spark: SparkSession, source_glob: str, root: str, checkpoint: st
         version = batch_id + 1
         if _committed(s, root, version):
             return
-        dim = tables.read_table(s, root, "dim")
-        merged = scd2.scd2_merge(dim, df, keys, tracked)
-        tables.write_version(merged, root, "dim", version)
+        dim = tables.read_dimension(s, root, "dim")
+        _, from_open = scd2.scd2_merge(dim, df, keys, tracked, split=True)
+        tables.write_dimension(from_open, root, "dim", version)
         tables.commit(s, root, version, {"dim": version})
 
     _run(src, batch, checkpoint)
-    return tables.read_table(spark, root, "dim")
+    return tables.read_dimension(spark, root, "dim")

@@ -160,3 +160,29 @@ def test_file_ingest_archives_consumed_files(spark, tmp_dir):
     archived = glob.glob(f"{tmp_dir}/archive/**/*.txt", recursive=True)
     assert len(archived) >= 2
     assert len(glob.glob(f"{tmp_dir}/in/*.txt")) + len(archived) == 3
+
+
+def test_dimension_layout_appends_only_closed_versions(spark, tmp_dir):
+    """SCD2 storage: a batch writes the versions it closed plus the open set;
+    reading history + current equals the full merge."""
+    import glob
+
+    from ebbflow.operators import scd2
+
+    root = f"{tmp_dir}/wh"
+    OPEN = scd2.open_end()
+    dim = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1)), (2, "b", dt.datetime(2024, 1, 1))],
+                                "k long, a string, effective_from timestamp_ntz").select(
+        "k", "a", "effective_from", OPEN.alias("effective_to"), F.lit(False).alias("is_deleted"))
+    tables.write_dimension(dim, root, "d", 0)
+    tables.commit(spark, root, 0, {"d": 0})
+    stg = spark.createDataFrame([(1, "z", dt.datetime(2024, 1, 2))], "k long, a string, change_ts timestamp_ntz")
+    cur = tables.read_dimension(spark, root, "d")
+    full = scd2.scd2_merge(cur, stg, ["k"], ["a"])
+    _, from_open = scd2.scd2_merge(cur, stg, ["k"], ["a"], split=True)
+    tables.write_dimension(from_open, root, "d", 1)
+    tables.commit(spark, root, 1, {"d": 1})
+    got = sorted(map(tuple, tables.read_dimension(spark, root, "d").collect()), key=repr)
+    assert got == sorted(map(tuple, full.collect()), key=repr) and len(got) == 3
+    hist1 = spark.read.parquet(glob.glob(f"{root}/d/v=000000000001/part=history")[0]).collect()
+    assert [(r.k, r.a) for r in hist1] == [(1, "a")]   # only the version closed by batch 1
