@@ -6,14 +6,21 @@ Each query builds its inputs from the shared test tables with
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.plans import bank
+from ebbflow.functions.expr import open_end, strip_blanks, ts_literal
+from ebbflow.operators import facts, scd1, scd2, watermark
+from ebbflow.plans import bank, taxi
 from ebbflow.plans import fixtures as fx
-from ebbflow.session import ensure_utc
+from ebbflow.session import ensure_utc, scratch_path
+from ebbflow.sinks import tables
+from ebbflow.sources import files as srcf
+from ebbflow.sources import incremental as inc
+from ebbflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,7 +102,6 @@ def q_lead_chain(spark, d):
 
 
 # ------------------------------------------------------------------ SCD2
-from ebbflow.operators import scd2  # noqa: E402
 
 SCD_KEYS = ["c_custkey"]
 SCD_TRACKED = ["c_acctbal", "c_mktsegment"]
@@ -177,8 +183,6 @@ def q_scd2_from_events(spark, d):
 
 
 # ------------------------------------------------------------------ taxi
-from ebbflow.operators import facts  # noqa: E402
-from ebbflow.plans import taxi  # noqa: E402
 
 
 @register("ride_pivot")
@@ -309,9 +313,6 @@ def q_client_metrics_hist(spark, d):
     """M8h: SCD2 history over the client metrics, two report runs.  Run 1
     writes the history table (version 1 + manifest); run 2 reads it back and
     merges the new metrics, as the scheduled job would."""
-    from ebbflow.functions.expr import open_end, ts_literal
-    from ebbflow.session import scratch_path
-    from ebbflow.sinks import tables
 
     root = scratch_path(spark, "client_metrics_hist")
     m1 = _metrics_as_of(spark, d, HIST_T1)
@@ -335,9 +336,6 @@ def q_client_metrics_hist(spark, d):
 
 
 # ------------------------------------------------------------------ sources, control state, upserts
-from ebbflow.operators import scd1, watermark  # noqa: E402
-from ebbflow.sources import files as srcf  # noqa: E402
-from ebbflow.sources import incremental as inc  # noqa: E402
 
 ORDERS_WM = "1997-06-30 00:00:00"
 
@@ -429,7 +427,6 @@ def q_distinct_rows(spark, d):
 
 @register("normalized_key_join")
 def q_normalized_key_join(spark, d):
-    from ebbflow.functions.expr import strip_blanks
 
     o = fx.table(spark, d, "orders").select("o_orderkey", fx.grouped_card_of(F.col("o_custkey")).alias("card_txt"))
     c = fx.table(spark, d, "customer").select("c_custkey", fx.card_of(F.col("c_custkey")).alias("card_num"))
@@ -507,11 +504,6 @@ def q_cumulative_file_delta(spark, d):
 
 
 # ------------------------------------------------------------------ streaming
-import time  # noqa: E402
-
-from ebbflow.session import scratch_path  # noqa: E402
-from ebbflow.sinks import tables  # noqa: E402
-from ebbflow.streaming import jobs  # noqa: E402
 
 
 def _write_in_order(parts: list[DataFrame], path: str) -> None:

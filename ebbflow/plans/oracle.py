@@ -118,10 +118,6 @@ WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJE
 SQL_FRAUD_GUESSING = _sql_guessing("24 HOUR")
 
 
-def _strip_with(sql: str) -> str:
-    return sql
-
-
 SQL_FRAUD_MART = with_("ct", "blacklist") + f""",
 l3 AS (SELECT *, lag(terminal_city) OVER w AS pc, lag(trans_date) OVER w AS pd
        FROM ct WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)),
