@@ -7,7 +7,9 @@ once), and each micro-batch runs the same batch operators inside
 
 * append-only facts go to ``<fact>/batch=<id>`` (overwrite of that directory)
   and de-duplicate against the batches committed before ``id``;
-* state tables (SCD1/SCD2 snapshots, pending rides) are written as a new
+* upserted documents are merge-on-read deltas (one latest row per key per
+  batch), resolved by one partial aggregate when read;
+* state tables (SCD2 history/current, pending rides) are written as a new
   version and published by a manifest row; a batch whose manifest already
   exists is skipped.
 
@@ -79,23 +81,27 @@ def file_ingest(spark: SparkSession, source_glob: str, fact_path: str, checkpoin
 # ------------------------------------------------------------------ T2
 def scd1_upsert_stream(spark: SparkSession, source_glob: str, root: str, checkpoint: str,
                        max_files: int = 1) -> DataFrame:
-    """JSON document feed -> upserted table (last write wins)."""
+    """JSON document feed -> upserted table (newest change wins).
+
+    Merge-on-read: each micro-batch appends only its latest row per document
+    to ``<root>/documents/batch=<id>`` (O(batch) per batch, replay-safe), and
+    :func:`read_upserted` resolves the current row per document with one
+    partial aggregate.  Equal to applying ``scd1_upsert`` batch after batch."""
     src = (spark.readStream.schema(DOC_SCHEMA).option("timestampNTZFormat", JSON_TS_FORMAT)
            .option("maxFilesPerTrigger", max_files).json(source_glob))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        s = df.sparkSession
-        version = batch_id + 1
-        if _committed(s, root, version):
-            return
-        cur = tables.read_table(s, root, "documents", DOC_SCHEMA)
-        new = scd1.scd1_upsert(cur, df, ["object_id"], ["update_ts", "id"])
-        tables.write_version(new, root, "documents", version)
-        mark = df.agg(F.max("update_ts").cast("string").alias("m")).collect()[0]["m"]
-        tables.commit(s, root, version, {"documents": version}, {"documents": mark} if mark else {})
+        latest = scd1.latest_per_key(df, ["object_id"], ["update_ts", "id"])
+        tables.append_batch(latest, f"{root}/documents", batch_id)
 
     _run(src, batch, checkpoint)
-    return tables.read_table(spark, root, "documents", DOC_SCHEMA)
+    return read_upserted(spark, root)
+
+
+def read_upserted(spark: SparkSession, root: str) -> DataFrame:
+    """Current documents: newest (update_ts, id) per object over all batches."""
+    return scd1.latest_per_key(tables.read_appended(spark, f"{root}/documents", DOC_SCHEMA),
+                               ["object_id"], ["update_ts", "id"])
 
 
 # ------------------------------------------------------------------ T3
