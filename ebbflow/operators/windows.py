@@ -57,8 +57,11 @@ def shift_within_key(
     prefix = prefix or ("lag" if lag else "lead")
     b = time_bucket(order[0], bucket_seconds)
     # lag == lead in the mirrored order: negate the bucket, sort descending.
-    df = df.withColumn("_b", -b if lag else b)
-    part = keys + ["_b"]
+    # partition on struct(keys): never NULL itself, NULL fields compare equal,
+    # so a NULL key stays one group and the halo join below is a plain equi
+    # join on the window's own partitioning (no extra exchange)
+    df = df.withColumn("_b", -b if lag else b).withColumn("_kk", F.struct(*keys))
+    part = ["_kk", "_b"]
     sort = _order_cols(order, lag)
     w = Window.partitionBy(*part).orderBy(*sort)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -79,10 +82,10 @@ def shift_within_key(
         # a hash aggregate with a map-side step, no second sort of the rows
         pick = F.max if lag else F.min
         first = df.groupBy(*part).agg(pick(F.struct(*[F.col(c) for c in order], F.struct(*cols).alias("_row"))).alias("_f"))
-        hw = Window.partitionBy(*keys).orderBy(b_order)
+        hw = Window.partitionBy("_kk").orderBy(b_order)
         halo = first.select(*part, F.lead(F.col("_f._row"), 1).over(hw).alias("_h1"))
     else:
-        hw = Window.partitionBy(*keys).orderBy(b_order, F.col("_pos"))
+        hw = Window.partitionBy("_kk").orderBy(b_order, F.col("_pos"))
         head = inner.filter(F.col("_pos") <= n).select(*part, "_pos", "_cnt", F.struct(*cols).alias("_row"))
         for t in range(1, n + 1):
             head = head.withColumn(f"_h{t}", F.lead("_row", t).over(hw))
@@ -101,7 +104,7 @@ def shift_within_key(
                 f"{prefix}_{i}_{c}",
                 F.when(F.col("_rem") >= i, F.col(f"_in{i}_{c}")).otherwise(from_halo),
             )
-    drop = ["_b", "_pos", "_cnt", "_rem"] + [f"_h{t}" for t in range(1, n + 1)]
+    drop = ["_b", "_kk", "_pos", "_cnt", "_rem"] + [f"_h{t}" for t in range(1, n + 1)]
     drop += [f"_in{i}_{c}" for i in range(1, n + 1) for c in cols]
     return out.drop(*drop)
 
@@ -121,10 +124,10 @@ def running_sums(
     timestamp used for bucketing.
     """
     keys, order = list(keys), list(order)
-    df = df.withColumn("_b", time_bucket(order[0], bucket_seconds))
+    df = df.withColumn("_b", time_bucket(order[0], bucket_seconds)).withColumn("_kk", F.struct(*keys))
     for name, expr in values.items():
         df = df.withColumn(f"_v_{name}", expr)
-    part = keys + ["_b"]
+    part = ["_kk", "_b"]
     w = Window.partitionBy(*part).orderBy(*_order_cols(order, False)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -132,7 +135,7 @@ def running_sums(
     for name in values:
         local = local.withColumn(f"_l_{name}", F.sum(f"_v_{name}").over(w))
     totals = df.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
-    tw = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(
+    tw = Window.partitionBy("_kk").orderBy(F.col("_b").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = totals.select(
@@ -141,7 +144,7 @@ def running_sums(
     out = local.join(offsets, part, "left")
     for name in values:
         out = out.withColumn(name, F.col(f"_l_{name}") + F.col(f"_o_{name}"))
-    drop = ["_b"] + [f"_{p}_{n}" for n in values for p in ("v", "l", "o")]
+    drop = ["_b", "_kk"] + [f"_{p}_{n}" for n in values for p in ("v", "l", "o")]
     return out.drop(*drop)
 
 

@@ -16,7 +16,7 @@ def _events(spark, n_rows=400, n_keys=4, seed=7):
     rows = []
     for i in range(n_rows):
         # one hot key with most rows, sparse gaps so buckets are often empty
-        k = 0 if rnd.random() < 0.6 else rnd.randrange(1, n_keys)
+        k = 0 if rnd.random() < 0.6 else (None if rnd.random() < 0.2 else rnd.randrange(1, n_keys))
         t = base + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 600), rnd.randrange(0, 40_000)]))
         rows.append((k, i, t, rnd.randrange(0, 5), None if rnd.random() < 0.1 else rnd.random()))
     return spark.createDataFrame(rows, "k long, id long, ts timestamp_ntz, city int, amt double")
