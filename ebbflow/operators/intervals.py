@@ -46,7 +46,8 @@ def rolling_clipped_sum(
     *,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
-    """Return ``keys, ident, start, G`` (``G`` in microseconds, DECIMAL)."""
+    """Return ``keys, ident, start, worked_us`` (``G`` in microseconds,
+    DECIMAL).  ``start`` and ``end`` must be non-NULL with ``end >= start``."""
     keys = list(keys)
     base = intervals.select(
         *keys, ident, start,

@@ -122,6 +122,9 @@ def scd2_merge(
       also after a change in the same batch (close, reopen, tombstone);
     * with ``surrogate``, later versions carry the key's surrogate id and new
       keys get fresh dense ids (H8).
+
+    Business keys and change times must be non-NULL (filter or repair such
+    rows upstream; a NULL key cannot identify a version).
     """
     keys, tracked = list(keys), list(tracked)
     openm = is_open()
