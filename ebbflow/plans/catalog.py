@@ -378,12 +378,12 @@ def q_settings_checkpoint(spark, d):
         [("users_stg", '{"last_loaded_ts": "2024-01-15 00:00:00"}')], "workflow_key string, workflow_settings string")
     doc = fx.documents(spark, d)
     last_ts = watermark.read_setting(settings, "users_stg", "last_loaded_ts", "2022-01-01 00:00:00", "timestamp_ntz")
-    last_id = watermark.read_setting(settings, "dm_users", "last_loaded_id", -1, "long")
+    last_id = watermark.read_setting(settings, "users_mart", "last_loaded_id", -1, "long")
     by_ts = inc.incremental_scan(doc, "update_ts", last_ts.isoformat(sep=" ")).agg(F.max("update_ts").alias("ts"))
     by_id = doc.filter(F.col("id") > F.lit(last_id)).agg(F.max("id").alias("id"))
     fmt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return by_ts.select(*watermark.settings_row(F.lit("users_stg"), last_loaded_ts=fmt)).unionByName(
-        by_id.select(*watermark.settings_row(F.lit("dm_users"), last_loaded_id=F.col("id"))))
+        by_id.select(*watermark.settings_row(F.lit("users_mart"), last_loaded_id=F.col("id"))))
 
 
 @register("scd1_upsert")

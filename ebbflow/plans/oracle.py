@@ -505,7 +505,7 @@ ORACLE.update({
                    AS workflow_settings
         FROM docs WHERE update_ts > {_DOC_WM}
         UNION ALL
-        SELECT 'dm_users', CAST(json_object('last_loaded_id', max(id)) AS VARCHAR) FROM docs WHERE id > -1""",
+        SELECT 'users_mart', CAST(json_object('last_loaded_id', max(id)) AS VARCHAR) FROM docs WHERE id > -1""",
     "scd1_upsert": with_("docs") + """
         SELECT id, object_id, object_value, update_ts FROM (
             SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY update_ts DESC, id DESC) AS rn FROM docs)
