@@ -112,7 +112,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | No
 
 
 def read_appended(spark: SparkSession, path: str, schema: str, before_batch: int | None = None,
-                  extra_partitions: str | None = None) -> DataFrame:
+                  extra_partitions: str | None = None, with_batch: bool = False) -> DataFrame:
     """Rows of an append-only fact; with ``before_batch`` only the batches
     committed before it (a replayed batch must not see its own rows)."""
     full = f"{schema}, batch BIGINT"
@@ -124,4 +124,4 @@ def read_appended(spark: SparkSession, path: str, schema: str, before_batch: int
         df = spark.createDataFrame([], full)
     if before_batch is not None:
         df = df.filter(F.col("batch") < before_batch)
-    return df.drop("batch")
+    return df if with_batch else df.drop("batch")

@@ -99,9 +99,35 @@ def scd1_upsert_stream(spark: SparkSession, source_glob: str, root: str, checkpo
 
 
 def read_upserted(spark: SparkSession, root: str) -> DataFrame:
-    """Current documents: newest (update_ts, id) per object over all batches."""
-    return scd1.latest_per_key(tables.read_appended(spark, f"{root}/documents", DOC_SCHEMA),
-                               ["object_id"], ["update_ts", "id"])
+    """Current documents: newest (update_ts, id) per object over the last
+    compacted base (if any) and the delta batches after it."""
+    m = tables.latest_manifest(spark, root)
+    base_v = m["tables"].get("documents_base") if m is not None and m["tables"] else None
+    deltas = tables.read_appended(spark, f"{root}/documents", DOC_SCHEMA, with_batch=True)
+    if base_v is not None:
+        deltas = deltas.filter(F.col("batch") > base_v).drop("batch").unionByName(
+            spark.read.parquet(tables.version_path(root, "documents_base", base_v)))
+    else:
+        deltas = deltas.drop("batch")
+    return scd1.latest_per_key(deltas, ["object_id"], ["update_ts", "id"])
+
+
+def compact_upserted(spark: SparkSession, root: str, upto_batch: int) -> None:
+    """Fold the base and all deltas up to ``upto_batch`` into a new base
+    version and publish it; later reads skip those deltas.  Safe to run
+    while the stream appends newer batches (they stay deltas)."""
+    m = tables.latest_manifest(spark, root)
+    base_v = m["tables"].get("documents_base") if m is not None and m["tables"] else None
+    deltas = tables.read_appended(spark, f"{root}/documents", DOC_SCHEMA, with_batch=True).filter(
+        F.col("batch") <= upto_batch)
+    if base_v is not None:
+        deltas = deltas.filter(F.col("batch") > base_v)
+    parts = deltas.drop("batch")
+    if base_v is not None:
+        parts = parts.unionByName(spark.read.parquet(tables.version_path(root, "documents_base", base_v)))
+    tables.write_version(scd1.latest_per_key(parts, ["object_id"], ["update_ts", "id"]), root, "documents_base",
+                         upto_batch)
+    tables.commit(spark, root, upto_batch, {"documents_base": upto_batch})
 
 
 # ------------------------------------------------------------------ T3
