@@ -65,3 +65,37 @@ def test_payout_keeps_unassigned_rides_only_when_asked(spark):
     assert taxi.driver_payout(rides, drivers).count() == 0
     kept = taxi.driver_payout(rides, drivers, keep_unassigned=True).collect()
     assert len(kept) == 1 and kept[0].personnel_num is None
+
+
+def test_retired_keys_become_tombstones(spark):
+    """Cars with finished_flg = 'Y' leave the live key snapshot."""
+    from ebbflow.operators import scd2
+
+    OPEN = scd2.open_end()
+    dim = spark.createDataFrame([("A1", "m1"), ("B2", "m2")], "plate string, model string").select(
+        "plate", "model", F.lit(T0).cast("timestamp_ntz").alias("effective_from"), OPEN.alias("effective_to"),
+        F.lit(False).alias("is_deleted"))
+    pool = spark.createDataFrame([("A1", "N"), ("B2", "Y")], "plate string, finished_flg string")
+    live = inc.key_snapshot(pool, ["plate"], exclude=F.col("finished_flg") == "Y")
+    stg = spark.createDataFrame([], "plate string, model string, change_ts timestamp_ntz")
+    out = scd2.scd2_merge(dim, stg, ["plate"], ["model"], live_keys=live, batch_ts="2024-02-01 00:00:00")
+    cur = {r.plate: r.is_deleted for r in scd2.current(out).collect()}
+    assert cur == {"A1": False, "B2": True}
+
+
+def test_violation_count_on_a_report_day_includes_earlier_days(spark):
+    ev = spark.createDataFrame([
+        (1, 1, T0, 100.0), (1, 2, T0 + dt.timedelta(minutes=1), 100.0),
+        (1, 3, T0 + dt.timedelta(days=1), 100.0), (1, 4, T0 + dt.timedelta(days=1, minutes=1), 0.0),
+    ], "personnel_num long, ride long, ts timestamp_ntz, distance_val double")
+    day2 = taxi.driver_violations(taxi.trips(ev), report_dt="2024-01-02").collect()
+    # ride 1 (day 1) is the first violation, ride 2 is slow; ride 3 is the 2nd
+    assert [(r.ride, r.violations_cnt) for r in day2] == [(3, 2)]
+
+
+def test_single_column_incremental_filter_reaches_the_scan(spark, tmp_dir):
+    spark.createDataFrame([(1, T0), (2, T0 + dt.timedelta(days=2))], "id long, u timestamp_ntz").write.parquet(
+        f"{tmp_dir}/src")
+    df = inc.incremental_scan(spark.read.parquet(f"{tmp_dir}/src"), "u", "2024-01-02 00:00:00")
+    assert "GreaterThan(u," in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in df.collect()] == [2]
