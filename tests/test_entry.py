@@ -38,3 +38,18 @@ def test_query_matches_oracle(spark, name):
     exp = sorted((tuple(r) for r in con.sql(f"SELECT {', '.join(cols)} FROM ({entry_mod.oracle_sql()[name]})").fetchall()),
                  key=repr)
     assert got == exp
+
+
+@needs_data
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="2", BENCH_QUERIES="full_name,key_snapshot")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], capture_output=True, text=True,
+                         env=env, timeout=600, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert d["unit"] == "sec" and set(d["queries"]) == {"full_name", "key_snapshot"} and d["value"] > 0
