@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ebbflow.session import scratch_path
 
 BLOCK_BYTES = 4 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Keys that one shard of an exchange holds on average.
 SHARD_KEYS = 1 << 20
 #: A null doc_id sorts after every id and comes back as null.
@@ -254,12 +255,20 @@ def release(spark: SparkSession, *paths: str) -> None:
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
-    """Write a pass to the shared checkpoint folder and read it back: later passes do not recompute it."""
+    """Write a pass to the shared checkpoint folder and read it back: later passes do not recompute it.
+
+    The shuffle files of the pass are dropped as soon as it is written.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     w = df.write.partitionBy(partition_by) if partition_by else df.write
     schema = df.schema
-    w.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        w.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(schema).parquet(path), path
 
 

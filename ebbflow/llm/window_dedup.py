@@ -3,7 +3,7 @@
 Pass 1 sketches every block's windows (:func:`core.sketch_rows`) and merges the
 sketches per shard of the cell space; merged counts only ever overestimate, so a
 window that is repeated anywhere is flagged everywhere.  Pass 2 groups exactly,
-by 128-bit keys of the word sequences, only the windows flagged: per key the
+by 96-bit keys of the word sequences, only the windows flagged: per key the
 smallest document id.  Pass 3 marks the words of windows that also start in a
 document with a smaller id.  Documents without a flagged window are final after
 pass 2.
@@ -23,19 +23,20 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ebbflow.llm import core
 
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-MID = f"kind string, shard int, block long, keys binary, more binary, low binary, high binary, {OUT}, " \
-      "n_docs long, n_bytes long, ids binary, lens binary, text binary"
+MID = f"kind string, block long, n_docs long, n_bytes long, ids binary, lens binary, text binary, said binary, {OUT}"
+ASK = "shard int, block long, keys binary, more binary, base long, low binary, several binary"
+ANSWER = "shard int, block long, keys binary, more binary, low binary"
 
 
-def _key128(w: core.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys(w: core.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """96-bit keys (64 and 32 bits) of all windows, and their first words."""
     a, at = w.windows(width)
     b, _ = w.windows(width, which=1)
-    return a, b, at
+    return a, (b >> core.U64(32)).astype(np.uint32), at
 
 
 def _result(kept_text: bool) -> str:
@@ -47,6 +48,31 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             shard_keys: int = core.SHARD_KEYS) -> DataFrame:
     """Per document: ``doc_id, n_words, n_removed, kept_sha256`` (and ``text``, the kept words, if asked for)."""
     spark = docs.sparkSession
+    bits, mid_path = _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys)
+    mid = spark.read.schema(_mid(kept_text)).parquet(mid_path)
+    held = mid.where("kind = 'hold'").select("block", "n_docs", "n_bytes", "ids", "lens", "text", "said")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in core.rows_of(batches):
+            yield core.batch_of(ASK, _ask(core.Block(row), np.frombuffer(row["said"], np.uint8), bits, width))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in core.rows_of(batches):
+            yield _finish(core.Block(row), row["answers"] or [], width, kept_text)
+
+    smallest = held.mapInArrow(ask, ASK).groupBy("shard").applyInArrow(_smallest, ANSWER)
+    done = mid.where("kind = 'done'").select(*[c.split()[0] for c in OUT.split(", ")], *["kept"] * kept_text)
+    rest = core.with_answers(held.drop("said"), smallest, ["keys", "more", "low"]).mapInArrow(finish, _result(kept_text))
+    return (done.withColumnRenamed("kept", "text") if kept_text else done).unionByName(rest)
+
+
+def _mid(kept_text: bool) -> str:
+    return MID + (", kept string" if kept_text else "")
+
+
+def _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys) -> tuple[int, str]:
+    """Passes 1 and 2a: the documents' blocks without, and (with the flags) with, windows estimated repeated."""
+    spark = docs.sparkSession
     blocks_path = core.pack_documents(docs, id_col, text_col, "windows", block_bytes)
     blocks = spark.read.schema(core.BLOCK_SCHEMA).parquet(blocks_path)
     bits = core.shard_bits(core.total(blocks, "n_bytes") / 6, shard_keys)
@@ -57,31 +83,15 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
             keys, _ = core.Words(b.texts).windows(width)
             yield core.batch_of(core.ASK_SCHEMA, core.sketch_rows(b.id, keys, bits))
 
-    answers = core.repeated_cells(blocks.mapInArrow(sketch, core.ASK_SCHEMA))
-
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in core.rows_of(batches):
-            yield from _flag(core.Block(row), row["answers"] or [], bits, width, kept_text)
+            yield core.batch_of(_mid(kept_text), _flag(core.Block(row), row["answers"] or [], bits, width, kept_text))
 
-    mid_schema = MID + (", kept string" if kept_text else "")
-    mid, mid_path = core.stage(core.with_answers(blocks, answers, ["shard", "keys"]).mapInArrow(flag, mid_schema),
-                               "windows-flagged", "kind")
+    answers = core.repeated_cells(blocks.mapInArrow(sketch, core.ASK_SCHEMA))
+    flagged = core.with_answers(blocks, answers, ["shard", "keys"]).mapInArrow(flag, _mid(kept_text))
+    _, mid_path = core.stage(flagged, "windows-flagged", "kind")
     core.release(spark, blocks_path)
-
-    smallest = mid.where("kind = 'ask'").select("shard", "block", "keys", "more", "low", "high") \
-        .groupBy("shard").applyInArrow(_smallest, "shard int, block long, keys binary, more binary, low binary")
-    held = mid.where("kind = 'hold'").select("block", "n_docs", "n_bytes", "ids", "lens", "text")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in core.rows_of(batches):
-            yield _finish(core.Block(row), row["answers"] or [], width, kept_text)
-
-    done_cols = [c.split()[0] for c in OUT.split(", ")] + (["kept"] if kept_text else [])
-    done = mid.where("kind = 'done'").select(*done_cols)
-    if kept_text:
-        done = done.withColumnRenamed("kept", "text")
-    rest = core.with_answers(held, smallest, ["keys", "more", "low"]).mapInArrow(finish, _result(kept_text))
-    return done.unionByName(rest)
+    return bits, mid_path
 
 
 def _row(doc: int, words: list[bytes], keep: np.ndarray | None, kept_text: bool, name: str) -> dict:
@@ -93,67 +103,76 @@ def _row(doc: int, words: list[bytes], keep: np.ndarray | None, kept_text: bool,
     return out
 
 
-def _flag(b: core.Block, answers: list[dict], bits: int, width: int, kept_text: bool) -> Iterator[pa.RecordBatch]:
-    """Final rows of documents without a flagged window; the others, and exact questions about their windows."""
-    schema = MID + (", kept string" if kept_text else "")
+def _flag(b: core.Block, answers: list[dict], bits: int, width: int, kept_text: bool) -> list[dict]:
+    """Final rows of documents without a flagged window; the others with their windows' flags."""
     w = core.Words(b.texts)
-    a, c, at = _key128(w, width)
-    hit = core.flagged(a, answers, bits)
-    a, c, at = a[hit], c[hit], at[hit]
-    doc = w.doc[at]
+    keys, at = w.windows(width)
+    hit = core.flagged(keys, answers, bits)
     pending = np.zeros(len(b.texts), bool)
-    pending[doc] = True
-    rows = [_row(int(b.ids[i]), b.texts[i].split(), None, kept_text, "kept") for i in np.flatnonzero(~pending).tolist()]
-    yield core.batch_of(schema, [r | {"kind": "done"} for r in rows])
-    if not pending.any():
-        return
+    pending[w.doc[at[hit]]] = True
+    out = [_row(int(b.ids[i]), b.texts[i].split(), None, kept_text, "kept") | {"kind": "done"}
+           for i in np.flatnonzero(~pending).tolist()]
     which = np.flatnonzero(pending)
-    yield core.batch_of(schema, [core.pack(b.id, b.ids[which], [b.texts[i] for i in which]) | {"kind": "hold"}])
-    ids = b.ids[doc]
+    if len(which):
+        said = np.packbits(hit[pending[w.doc[at]]]).tobytes()
+        out.append(core.pack(b.id, b.ids[which], [b.texts[i] for i in which]) | {"kind": "hold", "said": said})
+    return out
+
+
+def _ask(b: core.Block, said: np.ndarray, bits: int, width: int) -> list[dict]:
+    """The flagged windows' distinct keys, each with the block's smallest id and whether it has several."""
+    w = core.Words(b.texts)
+    a, c, at = _keys(w, width)
+    hit = np.unpackbits(said, count=len(a)).astype(bool)
+    a, c, ids = a[hit], c[hit], b.ids[w.doc[at[hit]]]
     order = np.lexsort((ids, c, a))
     a, c, ids = a[order], c[order], ids[order]
-    new = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]))))
     last = np.concatenate((first[1:], [len(a)])) - 1
-    a, c, low, high = a[first], c[first], ids[first], ids[last]
-    yield core.batch_of(schema, [
-        {"kind": "ask", "shard": s, "block": b.id, "keys": a[i:j].tobytes(), "more": c[i:j].tobytes(),
-         "low": low[i:j].tobytes(), "high": high[i:j].tobytes()} for s, i, j in core.split_shards(a, bits)])
+    a, c, low, several = a[first], c[first], ids[first], ids[first] != ids[last]
+    base = int(low.min())
+    low = low - base
+    low = low.astype(np.uint32) if low.max() < 1 << 32 else low
+    return [{"shard": s, "block": b.id, "keys": a[i:j].tobytes(), "more": c[i:j].tobytes(), "base": base,
+             "low": low[i:j].tobytes(), "several": np.packbits(several[i:j]).tobytes()}
+            for s, i, j in core.split_shards(a, bits)]
 
 
 def _smallest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Per block and key, the smallest id over all blocks, where the key has more than one id."""
-    blocks = table.column("block").to_pylist()
-    parts = {n: [np.frombuffer(x, t) for x in table.column(n).to_pylist()]
-             for n, t in (("keys", np.uint64), ("more", np.uint64), ("low", np.int64), ("high", np.int64))}
-    a, c, low, high = (np.concatenate(parts[n]) for n in ("keys", "more", "low", "high"))
+    rows = table.to_pylist()
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    a, c = np.concatenate(keys), np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
+    low = np.concatenate([np.frombuffer(r["low"], np.uint32 if len(r["low"]) == 4 * len(k) else np.int64).astype(np.int64) + r["base"]
+                          for r, k in zip(rows, keys, strict=True)])
+    several = np.concatenate([np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(k)) for r, k in zip(rows, keys, strict=True)])
     order = np.lexsort((c, a))
     new = np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(c[order]) != 0)))
     first = np.flatnonzero(new)
     group = np.empty(len(a), np.int64)
     group[order] = np.cumsum(new) - 1
     least = np.minimum.reduceat(low[order], first)
-    several = least < np.maximum.reduceat(high[order], first)
+    several = (np.maximum.reduceat(several[order], first) > 0) | (least < np.maximum.reduceat(low[order], first))
     out, i = [], 0
-    for b, mine in zip(blocks, parts["keys"], strict=True):
+    for r, mine in zip(rows, keys, strict=True):
         j = i + len(mine)
         g = group[i:j]
         m = several[g]
         if m.any():
-            out.append({"shard": key[0].as_py(), "block": b, "keys": a[i:j][m].tobytes(), "more": c[i:j][m].tobytes(),
-                        "low": least[g[m]].tobytes()})
+            out.append({"shard": key[0].as_py(), "block": r["block"], "keys": a[i:j][m].tobytes(),
+                        "more": c[i:j][m].tobytes(), "low": least[g[m]].tobytes()})
         i = j
-    return pa.Table.from_pylist(out, schema=core.arrow_schema("shard int, block long, keys binary, more binary, low binary"))
+    return pa.Table.from_pylist(out, schema=core.arrow_schema(ANSWER))
 
 
 def _finish(b: core.Block, answers: list[dict], width: int, kept_text: bool) -> pa.RecordBatch:
     w = core.Words(b.texts)
-    a, c, at = _key128(w, width)
+    a, c, at = _keys(w, width)
     gone = np.zeros(len(a), bool)
     if answers:
         ka, kc, low = (np.concatenate([np.frombuffer(x[n], t) for x in answers])
-                       for n, t in (("keys", np.uint64), ("more", np.uint64), ("low", np.int64)))
-        # one lookup key per 128 bits: equal pairs share it, and it is checked against both halves
+                       for n, t in (("keys", np.uint64), ("more", np.uint32), ("low", np.int64)))
+        # equal leading 64 bits are rare: the pairs are then looked up one by one
         order = np.lexsort((kc, ka))
         ka, kc, low = ka[order], kc[order], low[order]
         where = {k: v for k, v in zip(zip(ka.tolist(), kc.tolist(), strict=True), low.tolist(), strict=True)} \
