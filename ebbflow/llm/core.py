@@ -16,11 +16,11 @@ per block and not once per document, so no shard is hot.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.session import scratch_path
@@ -162,15 +162,16 @@ def member(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ blocks
 
-BLOCK_SCHEMA = "block long, n_docs long, n_bytes long, ids binary, lens binary, text binary"
+BLOCK_SCHEMA = "block long, n_docs long, n_bytes long, ids binary, lens binary, text binary, carry binary"
 _CODEC = "zstd"
 
 
-def pack(block: int, ids: np.ndarray, texts: list[bytes | None]) -> dict:
+def pack(block: int, ids: np.ndarray, texts: list[bytes | None], carry: list[bytes] | None = None) -> dict:
     raw = b"".join(t or b"" for t in texts)
     lens = np.fromiter((-1 if t is None else len(t) for t in texts), np.int64, len(texts))
     return {"block": block, "n_docs": len(texts), "n_bytes": len(raw), "ids": np.asarray(ids, np.int64).tobytes(),
-            "lens": lens.tobytes(), "text": pa.compress(raw, codec=_CODEC, asbytes=True)}
+            "lens": lens.tobytes(), "text": pa.compress(raw, codec=_CODEC, asbytes=True),
+            "carry": b"\n".join(carry) if carry is not None else None}
 
 
 class Block:
@@ -184,6 +185,7 @@ class Block:
         self.null = lens < 0
         ends = np.cumsum(np.maximum(lens, 0))
         starts = ends - np.maximum(lens, 0)
+        self.carry = row["carry"].split(b"\n") if row.get("carry") is not None else None
         self.texts = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
@@ -195,11 +197,17 @@ def id_array(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=np.asarray(ids) == NULL_ID)
 
 
-def pack_documents(docs: DataFrame, id_col: str, text_col: str, name: str, block_bytes: int = BLOCK_BYTES) -> str:
-    """Write the documents as blocks below the shared checkpoint folder; returns the path."""
+def pack_documents(docs: DataFrame, id_col: str, text_col: str, name: str, block_bytes: int = BLOCK_BYTES,
+                   carry: Column | None = None) -> str:
+    """Write the documents as blocks below the shared checkpoint folder; returns the path.
+
+    ``carry`` is a string without line breaks (such as ``to_json`` of other columns) kept with each document.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, f"{name}-blocks")
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    with_carry = carry is not None
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"),
+                      (carry if with_carry else F.lit("")).alias("carry"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -207,17 +215,24 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, name: str, block
         base, n = TaskContext.get().partitionId() << 32, 0
         ids: list[int] = []
         texts: list[bytes | None] = []
+        more: list[bytes] = []
         held = 0
+
+        def block() -> pa.RecordBatch:
+            return batch_of(BLOCK_SCHEMA, [pack(base + n, np.array(ids, np.int64), texts, more if with_carry else None)])
+
         for b in batches:
-            for i, t in zip(ids_of(b.column(0)).tolist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
+            cols = ids_of(b.column(0)).tolist(), *(b.column(k).cast(pa.large_binary()).to_pylist() for k in (1, 2))
+            for i, t, c in zip(*cols, strict=True):
                 ids.append(i)
                 texts.append(t)
+                more.append(c or b"")
                 held += len(t or b"") + 1
                 if held >= block_bytes:
-                    yield batch_of(BLOCK_SCHEMA, [pack(base + n, np.array(ids, np.int64), texts)])
-                    ids, texts, held, n = [], [], 0, n + 1
+                    yield block()
+                    ids, texts, more, held, n = [], [], [], 0, n + 1
         if ids:
-            yield batch_of(BLOCK_SCHEMA, [pack(base + n, np.array(ids, np.int64), texts)])
+            yield block()
 
     src.mapInArrow(run, BLOCK_SCHEMA).write.parquet(path)
     return path
@@ -272,6 +287,38 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[Da
     return spark.read.schema(schema).parquet(path), path
 
 
+def pieces(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Cut a list of texts into runs (from, to) of about ``limit`` bytes, to bound what a worker unpacks at once."""
+    a, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t) + 1
+        if held >= limit:
+            yield a, i + 1
+            a, held = i + 1, 0
+    if a < len(texts):
+        yield a, len(texts)
+
+
+def texts_of(column: pa.Array) -> list[bytes]:
+    """The column's strings in UTF-8; a null is an empty text."""
+    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[], Callable[[list[bytes]], np.ndarray]]) -> DataFrame:
+    """The rows (all columns, unchanged) whose text passes; ``keep()`` makes the test once per task."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = keep()
+        for b in batches:
+            texts = texts_of(b.column(at).cast(pa.string()))
+            ok = [test(texts[i:j]) for i, j in pieces(texts)]
+            if ok:
+                yield b.filter(pa.array(np.concatenate(ok)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 # ------------------------------------------------------------------ exchange
 
 ASK_SCHEMA = "shard int, block long, keys binary, more binary"
@@ -359,3 +406,9 @@ def with_answers(blocks: DataFrame, answers: DataFrame, cols: list[str]) -> Data
     """Blocks with the answers to their questions (at most one per shard) as an array of structs."""
     a = answers.groupBy("block").agg(F.collect_list(F.struct(*cols)).alias("answers"))
     return blocks.join(a, "block", "left")
+
+
+def ranges(n: np.ndarray) -> np.ndarray:
+    """0..n[0]-1, 0..n[1]-1, ... in one array."""
+    n = np.asarray(n, np.int64)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from ebbflow.llm import core
 
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-MID = f"kind string, block long, n_docs long, n_bytes long, ids binary, lens binary, text binary, said binary, {OUT}"
+MID = f"kind string, block long, n_docs long, n_bytes long, ids binary, lens binary, text binary, carry binary, said binary, {OUT}"
 ASK = "shard int, block long, keys binary, more binary, base long, low binary, several binary"
 ANSWER = "shard int, block long, keys binary, more binary, low binary"
 
