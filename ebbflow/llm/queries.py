@@ -38,6 +38,22 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm import langid
+    from ebbflow.llm.toxicity import held_out
+
+    docs = _table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = langid.train(docs, train_on=~out)
+    return langid.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.window_dedup import remove_repeated_windows
 
@@ -48,6 +64,8 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
