@@ -39,9 +39,12 @@ from ebbflow.llm.components import components
 MID = "kind string, doc_id long, n_shingles long, d1 long, d2 long, keys binary"
 SETS = "block long, n_keys long, ids binary, lens binary, keys binary"
 COUNTS = "shard int, block long, keys binary, more binary"
+LEVEL = "a long, b long, doc_id long, n_shingles long, keys binary, cell long, whole long, parent long, home boolean"
 #: A cell beyond so many shingles is split by Spark and not in one task.
 CELL_SHINGLES = 1 << 21
 PIVOTS = 8
+#: A cell is split into regions only if that makes at most so many rows of each.
+SPREAD = 1.5
 
 
 def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -127,8 +130,9 @@ def join_cell(sets: Sets, pivots: int = 4) -> np.ndarray:
         at = find(rows)
         if len(rows) < 2 or (at == at[0]).all():
             continue
-        chosen = rows[np.linspace(0, len(rows) - 1, min(pivots, len(rows))).astype(int)]
-        chosen = np.unique(chosen)
+        # pivots from the smallest components: pairs within one component need no comparison
+        _, group, size = np.unique(at, return_inverse=True, return_counts=True)
+        chosen = rows[np.argsort(size[group], kind="stable")[:pivots]]
         d = np.empty((len(rows), len(chosen)))
         for k, p in enumerate(chosen.tolist()):
             common = sets.common(sets.of(p), rows)
@@ -139,7 +143,10 @@ def join_cell(sets: Sets, pivots: int = 4) -> np.ndarray:
         rows, d = rows[left], d[left]
         if len(rows):
             row, region = regions(d, float(1 - sets.share))
-            todo += [rows[row[region == k]] for k in np.unique(region).tolist()]
+            if len(row) > SPREAD * len(rows):  # the windows overlap too much to be worth splitting
+                todo.append(rows)
+            else:
+                todo += [rows[row[region == k]] for k in np.unique(region).tolist()]
     return find(np.arange(n))
 
 
@@ -300,40 +307,42 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
         return pa.table({"a": ids[out], "b": ids[root[out]]}, schema=core.arrow_schema("a long, b long"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = "a long, b long, doc_id long, n_shingles long, keys binary, cell long"
-        for b in batches:
-            for r in core.rows_of(iter([b])):
-                keys = np.frombuffer(r["keys"], np.uint64)
-                chosen = [p["doc_id"] for p in r["pivots"]]
-                mine = Sets([np.frombuffer(p["keys"], np.uint64) for p in r["pivots"]], share)
-                rows = np.arange(len(chosen))
-                common = mine.common(keys, rows)
-                link = mine.linked(common, len(keys), rows)
+        for r in core.rows_of(batches):
+            keys = np.frombuffer(r["keys"], np.uint64)
+            chosen = [p["doc_id"] for p in r["pivots"]]
+            mine = Sets([np.frombuffer(p["keys"], np.uint64) for p in r["pivots"]], share)
+            rows = np.arange(len(chosen))
+            common = mine.common(keys, rows)
+            out = [{"a": r["doc_id"], "b": chosen[k]} for k in np.flatnonzero(mine.linked(common, len(keys), rows)).tolist()]
+            if r["doc_id"] not in chosen:  # pivots leave the cell
                 _, region = regions(mine.distance(common, len(keys), rows)[None], e)
-                out = [{"a": r["doc_id"], "b": chosen[k]} for k in np.flatnonzero(link).tolist()]
-                if r["doc_id"] in chosen:  # pivots leave the cell
-                    region = region[:0]
-                out += [{"doc_id": r["doc_id"], "n_shingles": len(keys), "keys": r["keys"], "b": chosen[k] if k < len(chosen) and link[k] else None,
-                         "cell": int(core.mix64(np.array([r["cell"]], np.int64).view(np.uint64) + core.U64(k + 1)).view(np.int64)[0])}
-                        for k in region.tolist()]
-                yield core.batch_of(schema, out)
-
-    level = 0
+                cells = core.mix64(np.full(len(region) + 1, r["cell"], np.int64).view(np.uint64) + np.append(region + 2, 1).astype(np.uint64)).view(np.int64)
+                out += [{"doc_id": r["doc_id"], "n_shingles": len(keys), "keys": r["keys"], "cell": c, "whole": w, "parent": r["cell"], "home": i == 0}
+                        for i, (c, w) in enumerate(zip(cells[:-1].tolist(), cells[-1:].tolist() * len(region), strict=True))]
+            yield core.batch_of(LEVEL, out)
+
+    level, links = 0, None
+    member = member.withColumn("group", F.lit(None).cast("long"))
     while True:
-        size = member.groupBy("cell").agg(F.sum("n_shingles").alias("size"), F.count("*").alias("n")).where("n > 1")
-        fit = member.join(size.where(F.col("size") <= cell_shingles).select("cell"), "cell")
+        size = member.groupBy("cell").agg(F.sum("n_shingles").alias("size"), F.count("*").alias("n"),
+                                          F.min(F.coalesce("group", "doc_id")).alias("g"), F.max(F.coalesce("group", "doc_id")).alias("h"))
+        size = size.where("n > 1 AND g < h")  # the documents of other cells are connected already
+        fit = member.join(size.where(F.col("size") <= cell_shingles).select("cell"), "cell").select("cell", "doc_id", "keys")
         edges = edges.unionByName(fit.groupBy("cell").applyInArrow(small, "a long, b long"))
         big = size.where(F.col("size") > cell_shingles).select("cell")
         if big.isEmpty():
             return edges
         level += 1
         large = member.join(big, "cell")
-        rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("doc_id", F.lit(level)), "doc_id"))
+        rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("group").isNotNull(), F.xxhash64("doc_id", F.lit(level)), "doc_id"))
         chosen = large.withColumn("k", rank).where(F.col("k") <= pivots).groupBy("cell") \
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "keys"))).alias("pivots"))
-        step, _ = core.stage(large.join(chosen, "cell").mapInArrow(split, "a long, b long, doc_id long, n_shingles long, keys binary, cell long"), "jaccard-level")
-        edges = edges.unionByName(step.where("a IS NOT NULL").select("a", "b"))
-        member = step.where("a IS NULL")
-        # a region whose documents all link to its pivot is connected already
-        open_ = member.groupBy("cell").agg(F.count_if(F.col("b").isNull()).alias("n")).where("n > 0").select("cell")
-        member = member.join(open_, "cell").select("doc_id", "n_shingles", "keys", "cell")
+        step, _ = core.stage(large.join(chosen, "cell").mapInArrow(split, LEVEL), "jaccard-level")
+        found = step.where("a IS NOT NULL").select("a", "b")
+        edges, links = edges.unionByName(found), found if links is None else links.unionByName(found)
+        rows = step.where("a IS NULL")
+        wide = rows.groupBy("parent").agg((F.count("*") > SPREAD * F.count_if("home")).alias("wide"))
+        rows = rows.join(wide, "parent").where(F.col("home") | ~F.col("wide")) \
+            .select("doc_id", "n_shingles", "keys", F.when(F.col("wide"), F.col("whole")).otherwise(F.col("cell")).alias("cell"))
+        groups = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
+        member, _ = core.stage(rows.join(groups, "doc_id", "left"), "jaccard-members")

@@ -56,7 +56,7 @@ def cases():
     return rows
 
 
-@pytest.mark.parametrize("cell", [1 << 21, 300])  # in one task; split by Spark
+@pytest.mark.parametrize("cell", [1 << 21, 3000])  # in one task; split by Spark
 def test_matches_all_pairs(spark, cell):
     rows = cases()
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("component_id", F.lit(1)).withColumn("keys", F.lit(2))
