@@ -24,6 +24,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.warc import read_archive, write_archive
+    from ebbflow.session import scratch_path
+
+    path = scratch_path(spark, "warc")
+    write_archive(_table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.decontaminate import overlaps
 
@@ -44,6 +53,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.ann import search
+
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm import langid
     from ebbflow.llm.toxicity import held_out
@@ -62,14 +77,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), g AS (
+  SELECT page_id, strlen(h) AS n, sha1(h) AS digest, max(page_id) OVER (PARTITION BY h) AS last FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM g
+""",
     "op10_substring_dedup": r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
