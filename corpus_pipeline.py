@@ -8,8 +8,55 @@ next stage's ``docs``.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the nnPU classifier does not call toxic."""
+    from ebbflow.llm import toxicity as op
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return op.reject_toxic(docs, op.train(docs, labels, train_on=~op.held_out(F.col("doc_id"), 5, 0)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id."""
+    from ebbflow.llm.jaccard_join import near_duplicates as op
+
+    stay = op(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns) \
+        .union(docs.where("doc_id IS NULL"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 13-word windows that a document with a smaller id has."""
+    from ebbflow.llm.window_dedup import cut_repeated_windows
+
+    return cut_repeated_windows(docs, width=13)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    from ebbflow.llm.decontaminate import remove_contaminated
+
+    return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The digests of each document's token ids and of the text decoded from them."""
+    import public_tokenizers
+
+    from ebbflow.llm.bpe_trie import encode
+
+    return encode(docs, public_tokenizers.path("byte_bpe_50k.json"), digests=True)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("bpe", bpe),
+]
 
 #: The stages train models and tokenise; SQL cannot express them.
 ORACLE_SQL = None

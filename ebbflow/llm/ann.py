@@ -71,7 +71,7 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
 
 
-def fit(rows: DataFrame, list_size: int = 400, max_lists: int = 4096, sample: int = SAMPLE) -> Index | None:
+def fit(rows: DataFrame, list_size: int = 1000, max_lists: int = 4096, sample: int = SAMPLE) -> Index | None:
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     if not chosen:
@@ -89,45 +89,54 @@ def fit(rows: DataFrame, list_size: int = 400, max_lists: int = 4096, sample: in
 def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int,
          block: int = 16, eps0: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score): the best ``k`` of one piece of a list for each query."""
-    r, rq = index.rotated(x), index.rotated(q, query=True)
-    dim = r.shape[1]
-    out: list[tuple[np.ndarray, ...]] = []
-    # the first k candidates give each query a distance to beat
-    for i in range(len(q)):
-        alive = np.flatnonzero(ids != query_ids[i])
-        if len(alive) > k:
-            head = alive[:: max(1, len(alive) // (4 * k))]
-            reach = np.partition(((r[head] - rq[i]) ** 2).sum(axis=1), k - 1)[k - 1]
-            partial = np.zeros(len(alive))
-            for d in range(0, dim, block):
-                e = min(d + block, dim)
-                partial += ((r[alive, d:e] - rq[i, d:e]) ** 2).sum(axis=1)
-                margin = 1.0 if e == dim else (1 + eps0 / np.sqrt(e)) ** 2
-                keep = partial * (dim / e) <= reach * margin * (1 + 1e-9)
-                alive, partial = alive[keep], partial[keep]
-        score = (x[alive] * q[i]).sum(axis=1)
-        best = np.lexsort((ids[alive], -score))[:k]
-        out.append((np.full(len(best), query_ids[i]), ids[alive][best], score[best]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    r, rq = index.rotated(x).astype(np.float32), index.rotated(q, query=True).astype(np.float32)
+    dim, k0 = r.shape[1], min(k + 1, len(r))
+
+    def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a @ b.T, 0)
+
+    # some whole candidates give each query a distance to beat (one more, as the query may be among them)
+    head = np.arange(0, len(r), max(1, len(r) // 256))
+    reach = np.partition(squares(rq, r[head]), k0 - 1, axis=1)[:, k0 - 1] if len(head) >= k0 else np.full(len(q), np.inf)
+    reach = (reach * (1 + 1e-4) + 1e-6).astype(np.float32)
+    partial = squares(rq[:, :block], r[:, :block])
+    a, b = np.nonzero(partial * (dim / block) <= (reach * (1 + eps0 / np.sqrt(block)) ** 2)[:, None])
+    partial = partial[a, b]
+    for d in range(block, dim, block):
+        e = min(d + block, dim)
+        partial = partial + ((rq[a, d:e] - r[b, d:e]) ** 2).sum(axis=1)
+        margin = 1.0 if e == dim else (1 + eps0 / np.sqrt(e)) ** 2
+        keep = partial * (dim / e) <= reach[a] * margin
+        a, b, partial = a[keep], b[keep], partial[keep]
+    own = ids[b] == query_ids[a]
+    a, b = a[~own], b[~own]
+    score = (q[a] * x[b]).sum(axis=1)
+    order = np.lexsort((ids[b], -score, a))
+    a, b, score = a[order], b[order], score[order]
+    best = core.ranges(np.bincount(a, minlength=len(q))) < k
+    return query_ids[a[best]], ids[b[best]], score[best]
 
 
 def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
-           probes: int = 48, list_size: int = 400, sample: int = SAMPLE) -> DataFrame:
-    """The ``k`` nearest found of every row for which ``queries`` (over ``vec_id``) holds."""
+           probe_share: float = 0.8, list_size: int = 1000, sample: int = SAMPLE) -> DataFrame:
+    """The ``k`` nearest found of every row for which ``queries`` (over ``vec_id``) holds.
+
+    ``probe_share`` is the share of the lists that a query probes.
+    """
     spark = vectors.sparkSession
     rows = valid(vectors, id_col, vector_col)
     index = fit(rows, list_size, sample=sample)
     if index is None:
         return spark.createDataFrame([], OUT)
-    dim = index.rotation.shape[0] - 1
+    dim, probes = index.rotation.shape[0] - 1, int(np.ceil(probe_share * len(index.centroids)))
     sent = spark.sparkContext.broadcast(index)
 
-    def pieces(lists: int, size: int):
+    def pieces(lists: int, size: int, query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 ids = b.column(0).to_numpy()
                 x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(ids), dim)
-                at = sent.value.nearest(sent.value.rotated(x, query=lists > 1), lists)
+                at = sent.value.nearest(sent.value.rotated(x, query), lists)
                 row, of = np.repeat(np.arange(len(ids)), at.shape[1]), at.ravel()
                 order = np.argsort(of, kind="stable")
                 row, of = row[order], of[order]
@@ -150,8 +159,8 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
                                              schema=core.arrow_schema("query_id long, vec_id long, score double"))
 
     rows = rows.where(F.size("v") == dim)
-    data = rows.mapInArrow(pieces(1, PIECE), _PIECES)
-    asks = rows.where(queries).mapInArrow(pieces(probes, 256), _PIECES) \
+    data = rows.mapInArrow(pieces(1, PIECE, False), _PIECES)
+    asks = rows.where(queries).mapInArrow(pieces(probes, 256, True), _PIECES) \
         .select("list", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
     found = data.join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

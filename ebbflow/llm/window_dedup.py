@@ -22,7 +22,8 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ebbflow.llm import core
 
@@ -40,17 +41,21 @@ def _keys(w: core.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _result(kept_text: bool) -> str:
-    return OUT + (", text string" if kept_text else "")
+    return OUT + (", text string, carry string" if kept_text else "")
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13,
                             kept_text: bool = False, block_bytes: int = core.BLOCK_BYTES,
-                            shard_keys: int = core.SHARD_KEYS) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_removed, kept_sha256`` (and ``text``, the kept words, if asked for)."""
+                            shard_keys: int = core.SHARD_KEYS, carry: Column | None = None) -> DataFrame:
+    """Per document: ``doc_id, n_words, n_removed, kept_sha256``.
+
+    ``kept_text`` adds ``text`` (the kept words, or the whole text where nothing was removed) and ``carry``,
+    the string given for the row.
+    """
     spark = docs.sparkSession
-    bits, mid_path = _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys)
+    bits, mid_path = _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys, carry)
     mid = spark.read.schema(_mid(kept_text)).parquet(mid_path)
-    held = mid.where("kind = 'hold'").select("block", "n_docs", "n_bytes", "ids", "lens", "text", "said")
+    held = mid.where("kind = 'hold'").select("block", "n_docs", "n_bytes", "ids", "lens", "text", "carry", "said")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in core.rows_of(batches):
@@ -61,19 +66,19 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
             yield _finish(core.Block(row), row["answers"] or [], width, kept_text)
 
     smallest = held.mapInArrow(ask, ASK).groupBy("shard").applyInArrow(_smallest, ANSWER)
-    done = mid.where("kind = 'done'").select(*[c.split()[0] for c in OUT.split(", ")], *["kept"] * kept_text)
+    done = mid.where("kind = 'done'").select(*[c.split()[0] for c in OUT.split(", ")], *["kept", "kept_carry"] * kept_text)
     rest = core.with_answers(held.drop("said"), smallest, ["keys", "more", "low"]).mapInArrow(finish, _result(kept_text))
-    return (done.withColumnRenamed("kept", "text") if kept_text else done).unionByName(rest)
+    return (done.withColumnsRenamed({"kept": "text", "kept_carry": "carry"}) if kept_text else done).unionByName(rest)
 
 
 def _mid(kept_text: bool) -> str:
-    return MID + (", kept string" if kept_text else "")
+    return MID + (", kept string, kept_carry string" if kept_text else "")
 
 
-def _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys) -> tuple[int, str]:
+def _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, shard_keys, carry) -> tuple[int, str]:
     """Passes 1 and 2a: the documents' blocks without, and (with the flags) with, windows estimated repeated."""
     spark = docs.sparkSession
-    blocks_path = core.pack_documents(docs, id_col, text_col, "windows", block_bytes)
+    blocks_path = core.pack_documents(docs, id_col, text_col, "windows", block_bytes, carry)
     blocks = spark.read.schema(core.BLOCK_SCHEMA).parquet(blocks_path)
     bits = core.shard_bits(core.total(blocks, "n_bytes") / 6, shard_keys)
 
@@ -94,12 +99,15 @@ def _flagged_documents(docs, id_col, text_col, width, kept_text, block_bytes, sh
     return bits, mid_path
 
 
-def _row(doc: int, words: list[bytes], keep: np.ndarray | None, kept_text: bool, name: str) -> dict:
+def _row(b: core.Block, i: int, keep: np.ndarray | None, kept_text: bool, text: str = "text", carry: str = "carry") -> dict:
+    words, doc = b.texts[i].split(), int(b.ids[i])
     kept = b" ".join(words if keep is None else compress(words, keep.tolist()))
-    out = {"doc_id": None if doc == core.NULL_ID else doc, "n_words": len(words),
-           "n_removed": 0 if keep is None else int(len(words) - keep.sum()), "kept_sha256": hashlib.sha256(kept).hexdigest()}
+    n_removed = 0 if keep is None else int(len(words) - keep.sum())
+    out = {"doc_id": None if doc == core.NULL_ID else doc, "n_words": len(words), "n_removed": n_removed,
+           "kept_sha256": hashlib.sha256(kept).hexdigest()}
     if kept_text:
-        out[name] = kept.decode()
+        out[text] = None if b.null[i] else (kept if n_removed else b.texts[i]).decode()
+        out[carry] = b.carry[i].decode() if b.carry is not None else None
     return out
 
 
@@ -110,12 +118,12 @@ def _flag(b: core.Block, answers: list[dict], bits: int, width: int, kept_text:
     hit = core.flagged(keys, answers, bits)
     pending = np.zeros(len(b.texts), bool)
     pending[w.doc[at[hit]]] = True
-    out = [_row(int(b.ids[i]), b.texts[i].split(), None, kept_text, "kept") | {"kind": "done"}
+    out = [_row(b, i, None, kept_text, "kept", "kept_carry") | {"kind": "done"}
            for i in np.flatnonzero(~pending).tolist()]
     which = np.flatnonzero(pending)
     if len(which):
         said = np.packbits(hit[pending[w.doc[at]]]).tobytes()
-        out.append(core.pack(b.id, b.ids[which], [b.texts[i] for i in which]) | {"kind": "hold", "said": said})
+        out.append(core.pack(b.id, b.ids[which], [b.texts[i] for i in which], b.carry and [b.carry[i] for i in which]) | {"kind": "hold", "said": said})
     return out
 
 
@@ -185,6 +193,16 @@ def _finish(b: core.Block, answers: list[dict], width: int, kept_text: bool) ->
             mine = b.ids[w.doc[at]].tolist()
             gone = np.array([where.get(k, core.NULL_ID) < m for k, m in zip(zip(a.tolist(), c.tolist(), strict=True), mine, strict=True)], bool)
     removed = core.covered(at[gone], width, len(w.start))
-    rows = [_row(int(b.ids[i]), b.texts[i].split(), ~removed[w.first[i]:w.first[i + 1]], kept_text, "text")
+    rows = [_row(b, i, ~removed[w.first[i]:w.first[i + 1]], kept_text)
             for i in range(len(b.texts))]
     return core.batch_of(_result(kept_text), rows)
+
+
+def cut_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:
+    """The rows (all columns) without the repeated words; rows that lose all their words go, others keep their text as it is."""
+    others = [c for c in docs.columns if c != text_col]
+    kind = docs.select(*others).schema
+    out = remove_repeated_windows(docs, id_col, text_col, width, kept_text=True, carry=F.to_json(F.struct(*[docs[c] for c in others])))
+    row = F.from_json("carry", kind)
+    return out.where("n_removed = 0 OR n_removed < n_words") \
+        .select(*[(F.col("text") if c == text_col else row[c]).alias(c) for c in docs.columns])

@@ -40,8 +40,8 @@ def test_recall(spark):
     d = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = d.collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
-    check(search(d, F.col("vec_id") % 20 == 0, list_size=20, probes=20).collect(), ids, x, 0.9)
-    check(search(d, F.col("vec_id") % 20 == 0, list_size=20, probes=99).collect(), ids, x, 0.99)
+    check(search(d, F.col("vec_id") % 20 == 0, list_size=20, probe_share=0.8).collect(), ids, x, 0.9)
+    check(search(d, F.col("vec_id") % 20 == 0, list_size=20, probe_share=1).collect(), ids, x, 0.99)
 
 
 def test_edge_cases(spark):
@@ -51,7 +51,7 @@ def test_edge_cases(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     odd = [(100, None), (120, [0.0] * 6), (140, [1.0, None] + [0.0] * 4), (160, [float("nan")] + [1.0] * 5), (180, [float("inf")] * 6), (None, [1.0] * 6)]
     d = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("list", F.lit(1)).withColumn("score", F.lit("x"))
-    got = search(d, F.col("vec_id") % 20 == 0, list_size=8, probes=99).collect()
+    got = search(d, F.col("vec_id") % 20 == 0, list_size=8, probe_share=1).collect()
     assert {r.query_id for r in got} == {0, 20, 40, 60}
     check(got, np.arange(70), x, 1.0)
     few = search(d.where("vec_id < 5"), F.col("vec_id") % 20 == 0).collect()

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ebbflow.llm.window_dedup import remove_repeated_windows
+from ebbflow.llm.window_dedup import cut_repeated_windows, remove_repeated_windows
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -47,7 +47,14 @@ def test_matches_brute_force(spark):
         .withColumn("block", F.lit(1)).withColumn("n_words", F.lit("x"))
     got = remove_repeated_windows(df, block_bytes=700, shard_keys=64, kept_text=True).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute(rows)
-    assert all(hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in got)
+    assert all(hashlib.sha256(" ".join(r.text.split(" ")).encode()).hexdigest() == r.kept_sha256 for r in got if r.n_removed)
+    cut = cut_repeated_windows(df).collect()
+    assert cut and list(cut[0].asDict()) == df.columns
+    texts = dict(rows)
+    assert sorted(repr((r.doc_id, r.text)) for r in cut if r.doc_id not in (None, 10) and r.text == texts[r.doc_id]) == \
+        sorted(repr((r.doc_id, texts[r.doc_id])) for r in got if r.doc_id not in (None, 10) and not r.n_removed)
+    assert len(cut) == sum(not r.n_removed or r.n_removed < r.n_words for r in got)
+    assert {(r.block, r.n_words) for r in cut} == {(1, "x")}
     assert sum(r.n_removed for r in got) > 300
 
 
