@@ -61,13 +61,14 @@ class TrieEncoder:
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
         self.split_added = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") \
             if self.added else None
+        self.pairs: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
         ends: dict[bytes, set[int]] = {}
         for b in self.id_of:
-            if len(b) > 1:
-                ends.setdefault(b[-2:], set()).add(len(b))
+            if len(b) > 2 and self.stays(self.id_of[b]):
+                ends.setdefault(b[-3:], set()).add(len(b))
+        #: lengths of the entries of three bytes or more that end so
         self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
-        self.pairs: dict[int, bool] = {}
-        self.alone: dict[int, bool] = {}
         self.known: dict[str, tuple[str, int, bytes, tuple[int, ...]]] = {}
 
     def plain(self, b: bytes) -> list[bytes]:
@@ -100,7 +101,7 @@ class TrieEncoder:
         ok = self.pairs.get(key)
         if ok is None:
             a, b = self.bytes_of[left], self.bytes_of[right]
-            ok = self.pairs[key] = self.plain(a + b) == [a, b]
+            ok = self.pairs[key] = self.stays(left) and self.stays(right) and self.plain(a + b) == [a, b]
         return ok
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
@@ -120,16 +121,24 @@ class TrieEncoder:
             out[b""] = ()
         path, last = bytearray(), [0]
         todo = [(n, 1, c) for c, n in children[0].items()]
-        id_of, lengths = self.id_of, self.lengths
+        id_of, lengths, pairs = self.id_of, self.lengths, self.pairs
         while todo:
             node, depth, c = todo.pop()
             del path[depth - 1:], last[depth:]
             path.append(c)
             token = -1
-            for n in (*lengths.get(bytes(path[-2:]), ()), 1):
+            for n in (*lengths.get(bytes(path[-3:]), ()), 2, 1):
                 if n <= depth:
                     t = id_of.get(bytes(path[depth - n:]))
-                    if t is not None and (self.stays(t) if n == depth else self.stays(t) and self.follows(last[depth - n], t)):
+                    if t is None:
+                        continue
+                    if n == depth:
+                        ok = self.stays(t)
+                    else:
+                        ok = pairs.get(last[depth - n] << 20 | t)
+                        if ok is None:
+                            ok = self.follows(last[depth - n], t)
+                    if ok:
                         token = t
                         break
             last.append(token)
