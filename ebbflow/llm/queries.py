@@ -33,6 +33,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ebbflow.llm.attention_lm import score
+
+    return score(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folds=7, fold=2)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.decontaminate import overlaps
 
@@ -59,6 +67,12 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.suffix_dedup import remove_repeated_strings
+
+    return remove_repeated_strings(_table(spark, sf_dir, "documents"), length=50)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm import langid
     from ebbflow.llm.toxicity import held_out
@@ -78,10 +92,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
+    "op3_language_model": op3_language_model,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
