@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by a prefix-sharing trie.
 
-The distinct words (pre-tokens) of a batch go into a trie.  A depth-first walk
-keeps, for the prefix at every depth of its path, the last token of that prefix's
-encoding; the last token of a longer prefix is the one vocabulary entry that is a
+The distinct words (pre-tokens) of a batch go into a trie in sorted order, which is a
+depth-first walk of it.  The walk keeps, for the prefix at every depth of its path, the
+last token of that prefix's encoding, and each node remembers its own; the last token of a longer prefix is the one vocabulary entry that is a
 suffix of it and follows the token before it as BPE would leave the two (a pair
 test, remembered).  So the encoding of a shared prefix is computed once, and a
 word's ids are read back along the path.  Decoding joins the ids' bytes.
@@ -35,6 +35,8 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 OUTPUTS = "doc_id long, n_tokens long, ids array<long>, decoded string"
 #: Words a worker remembers between batches.
 MEMORY = 400_000
+#: Trie nodes a worker keeps between batches.
+NODES = 1_000_000
 CHUNK_BYTES = 4 << 20
 
 
@@ -69,6 +71,11 @@ class TrieEncoder:
                 ends.setdefault(b[-3:], set()).add(len(b))
         #: lengths of the entries of three bytes or more that end so
         self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
+        #: the trie: (node << 8 | byte) -> node; last[node]: last token of the prefix's encoding
+        self.child: dict[int, int] = {}
+        self.last = [-1]
+        self.size_of = {i: len(b) for i, b in self.bytes_of.items()}
+        self.spaced: dict[bytes, tuple[int, ...]] = {}
         self.known: dict[str, tuple[str, int, bytes, tuple[int, ...]]] = {}
 
     def plain(self, b: bytes) -> list[bytes]:
@@ -105,50 +112,50 @@ class TrieEncoder:
         return ok
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        children: list[dict[int, int]] = [{}]
-        final: dict[int, bytes] = {}
-        for w in words:
-            node = 0
-            for c in w:
-                nxt = children[node].get(c)
-                if nxt is None:
-                    nxt = children[node][c] = len(children)
-                    children.append({})
-                node = nxt
-            final[node] = w
+        """Insert the words in sorted order, that is, walk the trie depth first; nodes of earlier calls are kept."""
+        if len(self.last) > NODES:
+            self.child, self.last = {}, [-1]
+        child, state, id_of, lengths, pairs = self.child, self.last, self.id_of, self.lengths, self.pairs
         out: dict[bytes, tuple[int, ...]] = {}
-        if 0 in final:
-            out[b""] = ()
-        path, last = bytearray(), [0]
-        todo = [(n, 1, c) for c, n in children[0].items()]
-        id_of, lengths, pairs = self.id_of, self.lengths, self.pairs
-        while todo:
-            node, depth, c = todo.pop()
-            del path[depth - 1:], last[depth:]
-            path.append(c)
-            token = -1
-            for n in (*lengths.get(bytes(path[-3:]), ()), 2, 1):
-                if n <= depth:
-                    t = id_of.get(bytes(path[depth - n:]))
+        before, nodes, last = b"", [0], [-1]
+        for w in sorted(words):
+            d, most = 0, min(len(w), len(before))
+            while d < most and w[d] == before[d]:
+                d += 1
+            del nodes[d + 1:], last[d + 1:]
+            before, node = w, nodes[d]
+            for end in range(d + 1, len(w) + 1):
+                edge = node << 8 | w[end - 1]
+                node = child.get(edge)
+                if node is not None:
+                    nodes.append(node)
+                    last.append(state[node])
+                    continue
+                token = -1
+                for n in (*lengths.get(w[end - 3:end], ()), 2, 1) if end > 2 else (2, 1) if end == 2 else (1,):
+                    if n > end:
+                        continue
+                    t = id_of.get(w[end - n:end])
                     if t is None:
                         continue
-                    if n == depth:
+                    if n == end:
                         ok = self.stays(t)
                     else:
-                        ok = pairs.get(last[depth - n] << 20 | t)
+                        ok = pairs.get(last[end - n] << 20 | t)
                         if ok is None:
-                            ok = self.follows(last[depth - n], t)
+                            ok = self.follows(last[end - n], t)
                     if ok:
                         token = t
                         break
-            last.append(token)
-            if node in final:
-                ids, d = [], depth
-                while d:
-                    ids.append(last[d])
-                    d -= len(self.bytes_of[last[d]])
-                out[final[node]] = tuple(reversed(ids))
-            todo.extend((n, depth + 1, k) for k, n in children[node].items())
+                node = child[edge] = len(state)
+                state.append(token)
+                nodes.append(node)
+                last.append(token)
+            ids, d = [], len(w)
+            while d:
+                ids.append(last[d])
+                d -= self.size_of[last[d]]
+            out[w] = tuple(reversed(ids))
         return out
 
     def words(self, text: str) -> list[str]:
