@@ -397,13 +397,13 @@ def q_scd1_upsert(spark, d):
 
 @register("doc_batch_pull")
 def q_doc_batch_pull(spark, d):
-    return inc.batch_pull(fx.documents(spark, d), "update_ts", "id", fx.DOC_PULL_WM, 10_000)
+    return inc.batch_pull(fx.documents(spark, d), "update_ts", "id", fx.DOC_PULL_WM)
 
 
 @register("json_extract_batch")
 def q_json_extract_batch(spark, d):
     return inc.json_extract_batch(fx.documents(spark, d), "id", -1, "object_value", {"user_name": "$.k"},
-                                  100_000, key_col="object_id")
+                                  key_col="object_id")
 
 
 @register("fact_append")
@@ -526,7 +526,8 @@ def q_stream_file_ingest(spark, d):
     )
     (text.repartition("day").write.partitionBy("day").option("header", True).option("sep", ";")
      .csv(f"{base}/src"))
-    return jobs.file_ingest(spark, f"{base}/src/*/*.csv", f"{base}/fact", f"{base}/ckpt", max_files=10)
+    out = jobs.file_ingest(spark, f"{base}/src/*/*.csv", f"{base}/fact", f"{base}/ckpt", max_files=10)
+    return out.withColumn("trans_id", F.col("trans_id").cast("bigint"))
 
 
 @register("stream_scd1_upsert")

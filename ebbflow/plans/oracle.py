@@ -511,15 +511,13 @@ ORACLE.update({
             SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY update_ts DESC, id DESC) AS rn FROM docs)
         WHERE rn = 1""",
     "doc_batch_pull": with_("docs") + f"""
-        SELECT * FROM docs WHERE update_ts > {_DOC_WM} AND update_ts <= (
-            SELECT max(update_ts) FROM (
-                SELECT update_ts FROM docs WHERE update_ts > {_DOC_WM} ORDER BY update_ts, id LIMIT 10000))""",
+        SELECT * FROM docs WHERE update_ts > {_DOC_WM}""",
     "json_extract_batch": with_("docs") + """
         SELECT id, object_id, user_name FROM (
             SELECT id, object_id, json_extract_string(object_value, '$.k') AS user_name,
                    row_number() OVER (PARTITION BY object_id ORDER BY id DESC) AS rn
             FROM docs WHERE id > -1)
-        WHERE rn = 1 ORDER BY id LIMIT 100000""",
+        WHERE rn = 1""",
     "fact_append": SQL_FACT_APPEND,
     "fact_dedup_append": with_("payments") + """
         SELECT DISTINCT card_num, transaction_amt, transaction_dt FROM payments

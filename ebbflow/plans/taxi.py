@@ -112,8 +112,8 @@ def driver_violations(trip_df: DataFrame, report_dt: str | None = None, limit_km
 def partition_count(df: DataFrame, key: str, name: str) -> DataFrame:
     """``count(*) over (partition by key)`` as partial aggregate + join
     (no per-key buffering)."""
-    c = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return df.join(c, key)
+    c = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(name))
+    return df.join(c, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")  # a NULL key is a partition of its own
 
 
 def first_value_anchor(shifts: DataFrame) -> DataFrame:
@@ -121,8 +121,9 @@ def first_value_anchor(shifts: DataFrame) -> DataFrame:
     day's earliest start: a partial ``min`` aggregate joined back, so a busy
     driver-day is never buffered in one task."""
     day = F.to_date("work_start_dt")
-    first = shifts.groupBy("driver_pers_num", day.alias("_day")).agg(F.min("work_start_dt").alias("anchor_dt"))
-    return shifts.withColumn("_day", day).join(first, ["driver_pers_num", "_day"]).drop("_day")
+    first = shifts.groupBy(F.col("driver_pers_num").alias("_driver"), day.alias("_first_day")).agg(F.min("work_start_dt").alias("anchor_dt"))
+    same = F.col("driver_pers_num").eqNullSafe(F.col("_driver")) & F.col("_day").eqNullSafe(F.col("_first_day"))
+    return shifts.withColumn("_day", day).join(first, same).drop("_day", "_driver", "_first_day")
 
 
 def driver_overtime(shifts: DataFrame, report_dt: str, limit_hours: int = 8,

@@ -34,18 +34,25 @@ def write_version(df: DataFrame, root: str, table: str, version: int) -> str:
 
 def commit(spark: SparkSession, root: str, version: int, tables: dict[str, int],
            watermarks: dict[str, str] | None = None) -> None:
-    """K5: publish a batch: one manifest row, written after all its data."""
-    row = [(version, dict(tables), dict(watermarks or {}))]
+    """K5: publish a batch: one manifest row, written after all its data.
+
+    Tables and watermarks that the batch does not touch are carried forward
+    from the newest earlier manifest, so a manifest always names everything."""
+    before = latest_manifest(spark, root, before=version)
+    kept = {n: dict(before[n] or {}) if before else {} for n in ("tables", "watermarks")}
+    row = [(version, {**kept["tables"], **tables}, {**kept["watermarks"], **(watermarks or {})})]
     spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(
         f"{root}/_manifest/v={version:012d}")
 
 
-def latest_manifest(spark: SparkSession, root: str):
-    """The newest committed manifest row, or None."""
+def latest_manifest(spark: SparkSession, root: str, before: int | None = None):
+    """The newest committed manifest row (of a version under ``before``), or None."""
     try:
         m = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/*")
     except AnalysisException:
         return None
+    if before is not None:
+        m = m.filter(F.col("version") < before)
     rows = m.orderBy(F.col("version").desc()).limit(1).collect()
     return rows[0] if rows else None
 

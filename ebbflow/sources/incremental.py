@@ -43,14 +43,17 @@ def key_snapshot(df: DataFrame, keys: Sequence[str], exclude: Column | None = No
     return df.select(*keys).distinct()
 
 
-def batch_pull(df: DataFrame, ts_col: str, id_col: str, wm, limit: int, include_ties: bool = True) -> DataFrame:
-    """The next batch after ``wm`` in (ts, id) order, at most ``limit`` rows.
+def batch_pull(df: DataFrame, ts_col: str, id_col: str, wm, limit: int | None = None, include_ties: bool = True) -> DataFrame:
+    """The next batch after ``wm`` in (ts, id) order, at most ``limit`` rows;
+    without a limit, all rows after ``wm``.
 
     With ``include_ties`` (default) the batch is widened to every row whose
     ts equals the ts of the last row, so a strict ``> wm`` on the next run
     cannot skip the rest of a tie.  The cut-off ts comes from a top-n
     (partial top-n per partition, then one merge of ``limit`` rows)."""
     after = df.filter(F.col(ts_col) > _lit_ts(wm))
+    if limit is None:
+        return after
     if not include_ties:
         return after.orderBy(ts_col, id_col).limit(limit)
     cut = after.select(ts_col, id_col).orderBy(ts_col, id_col).limit(limit).agg(F.max(ts_col).alias("m")).collect()[0]["m"]
@@ -63,10 +66,10 @@ def batch_pull(df: DataFrame, ts_col: str, id_col: str, wm, limit: int, include_
 
 
 def json_extract_batch(df: DataFrame, id_col: str, wm: int, json_col: str, fields: dict[str, str],
-                       limit: int, key_col: str | None = None) -> DataFrame:
+                       limit: int | None = None, key_col: str | None = None) -> DataFrame:
     """Staged JSON rows with ``id > wm``, fields extracted with
     ``get_json_object``; with ``key_col`` only the latest row (highest id)
-    of each key; the first ``limit`` rows by id."""
+    of each key; with ``limit`` the first rows by id, else all."""
     from ebbflow.operators.scd1 import latest_per_key
 
     x = df.filter(F.col(id_col) > F.lit(wm)).select(
@@ -75,4 +78,4 @@ def json_extract_batch(df: DataFrame, id_col: str, wm: int, json_col: str, field
     )
     if key_col:
         x = latest_per_key(x, [key_col], [id_col])
-    return x.orderBy(id_col).limit(limit)
+    return x if limit is None else x.orderBy(id_col).limit(limit)

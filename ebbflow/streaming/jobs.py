@@ -28,11 +28,11 @@ from ebbflow.operators import facts, scd1, scd2
 from ebbflow.plans.taxi import RIDE_EVENTS
 from ebbflow.sinks import tables
 
-TRANS_TEXT_SCHEMA = ("trans_id BIGINT, trans_date STRING, amount STRING, card_num STRING, "
+TRANS_TEXT_SCHEMA = ("trans_id STRING, trans_date STRING, amount STRING, card_num STRING, "
                      "oper_type STRING, oper_result STRING, terminal STRING")
-TRANS_FACT_SCHEMA = ("trans_id BIGINT, trans_date TIMESTAMP_NTZ, card_num STRING, oper_type STRING, "
+TRANS_FACT_SCHEMA = ("trans_id STRING, trans_date TIMESTAMP_NTZ, card_num STRING, oper_type STRING, "
                      "amt DECIMAL(10,2), oper_result STRING, terminal STRING")
-TRANS_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TRANS_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"   # full microseconds (the JSON default keeps millis)
 DOC_SCHEMA = "id BIGINT, object_id BIGINT, object_value STRING, update_ts TIMESTAMP_NTZ"
 PAYMENT_SCHEMA = "card_num STRING, transaction_amt DECIMAL(12,2), transaction_dt TIMESTAMP_NTZ"
@@ -67,7 +67,7 @@ def file_ingest(spark: SparkSession, source_glob: str, fact_path: str, checkpoin
     def batch(df: DataFrame, batch_id: int) -> None:
         s = df.sparkSession
         t = df.select(
-            "trans_id", F.to_timestamp("trans_date", TRANS_TS_FORMAT).cast("timestamp_ntz").alias("trans_date"),
+            "trans_id", F.try_to_timestamp("trans_date", F.lit(TRANS_TS_FORMAT)).cast("timestamp_ntz").alias("trans_date"),
             F.trim("card_num").alias("card_num"), "oper_type", parse_decimal_comma("amount", 10, 2).alias("amt"),
             "oper_result", "terminal",
         )
@@ -154,7 +154,7 @@ def payment_dedup(spark: SparkSession, source_glob: str, fact_path: str, checkpo
                                       extra_partitions="pay_month DATE").filter(
             F.col("pay_month").between(month(lo), month(hi)) & F.col("transaction_dt").between(lo, hi))
         new = facts.dedup_append(df.select(*key), loaded.select(*key), key)
-        new = new.withColumn("pay_month", month("transaction_dt")).repartition("pay_month")
+        new = new.withColumn("pay_month", month("transaction_dt")).hint("rebalance", "pay_month")
         tables.append_batch(new, fact_path, batch_id, partition_by="pay_month")
 
     _run(src, batch, checkpoint)

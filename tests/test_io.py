@@ -155,7 +155,7 @@ def test_file_ingest_archives_consumed_files(spark, tmp_dir):
                header + f"{day};2021-03-0{day} 10:00:00.000000;1,50;0001;PAY;SUCCESS;T1\n")
     out = jobs.file_ingest(spark, f"{tmp_dir}/in/*.txt", f"{tmp_dir}/fact", f"{tmp_dir}/ckpt",
                            max_files=1, archive_dir=f"{tmp_dir}/archive")
-    assert sorted(r.trans_id for r in out.collect()) == [1, 2, 3]
+    assert sorted(r.trans_id for r in out.collect()) == ["1", "2", "3"]
     # files of committed batches are moved (the last batch's file moves on the next run)
     archived = glob.glob(f"{tmp_dir}/archive/**/*.txt", recursive=True)
     assert len(archived) >= 2
@@ -204,3 +204,36 @@ def test_merge_on_read_upsert_with_compaction(spark, tmp_dir):
     after = sorted(map(tuple, jobs.read_upserted(spark, root).collect()))
     assert before == after == [(3, 7, '{"k": 3}', t + dt.timedelta(hours=1)),
                                (4, 8, '{"k": 4}', t + dt.timedelta(hours=2)), (5, 9, '{"k": 5}', t)]
+
+
+def test_file_ingest_keeps_text_ids_and_whole_seconds(spark, tmp_dir):
+    import os
+
+    from ebbflow.streaming import jobs
+
+    os.makedirs(f"{tmp_dir}/in2")
+    with open(f"{tmp_dir}/in2/a.txt", "w") as f:
+        f.write("trans_id;trans_date;amount;card_num;oper_type;oper_result;terminal\n"
+                "A1;2021-03-01 00:00:12;1,50;1;PAY;SUCCESS;T1\nA2;2021-03-01 00:00:12.5;2,50;1;PAY;SUCCESS;T1\n")
+    out = jobs.file_ingest(spark, f"{tmp_dir}/in2/*.txt", f"{tmp_dir}/fact2", f"{tmp_dir}/ckpt2").collect()
+    assert sorted((r.trans_id, str(r.amt)) for r in out) == [("A1", "1.50"), ("A2", "2.50")]
+    assert all(r.trans_date is not None for r in out if r.trans_id == "A1")
+
+
+def test_commit_carries_other_tables_and_watermarks(spark, tmp_dir):
+    from ebbflow.sinks import tables
+
+    root = f"{tmp_dir}/wh"
+    for v, t in ((1, "t1"), (2, "t2")):
+        tables.write_version(spark.range(v), root, t, v)
+        tables.commit(spark, root, v, {t: v}, {t: f"w{v}"})
+    assert tables.read_table(spark, root, "t1").count() == 1
+    assert tables.read_table(spark, root, "t2").count() == 2
+    assert dict(tables.latest_manifest(spark, root)["watermarks"]) == {"t1": "w1", "t2": "w2"}
+
+
+def test_batch_pull_without_a_limit_takes_every_row(spark):
+    from ebbflow.sources import incremental as inc
+
+    df = spark.range(30_000).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts")
+    assert inc.batch_pull(df, "ts", "id", "2023-12-31 00:00:00").count() == 30_000

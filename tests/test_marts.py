@@ -149,3 +149,13 @@ def test_violation_count_is_running(spark):
     # ride 4 -> 5 takes 0 s: skipped, not a division by zero
     assert got == [(1, 1), (2, 2)]
     assert F is not None
+
+
+def test_null_keys_keep_their_rows(spark):
+    from ebbflow.plans import taxi
+
+    d = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 4)], "k long, v long")
+    assert sorted((r.v, r.n) for r in taxi.partition_count(d, "k", "n").collect()) == [(1, 2), (2, 2), (3, 2), (4, 2)]
+    s = spark.createDataFrame([(None, 1), (7, 2)], "driver_pers_num long, h int") \
+        .selectExpr("driver_pers_num", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, h) AS work_start_dt")
+    assert taxi.first_value_anchor(s).where("anchor_dt = work_start_dt").count() == 2
