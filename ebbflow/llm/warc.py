@@ -97,9 +97,11 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     last = narrow.where((F.col("n") >= dedup_bytes) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("c")) \
         .where("c > 1").select("digest", "last")
     sure = narrow.where((F.col("n") >= dedup_bytes) & F.col("page_id").isNotNull()).join(last, "digest").select("page_id", "digest", "last").distinct()
-    rows = src.withColumn("digest", F.sha1("payload")).join(sure, ["page_id", "digest"], "left") \
-        .withColumn("shard", shard_of(F.coalesce("page_id", F.lit(np.iinfo(np.int64).min).cast("long"))))
-    ordered = rows.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "url")
+    # such pages' marks travel with the records, ahead of them: the payloads move once
+    marks = sure.select("page_id", F.lit("").alias("url"), F.lit(b"").alias("payload"), "digest", "last", F.lit(0).alias("kind"))
+    rows = src.select("page_id", "url", "payload", F.sha1("payload").alias("digest"), F.lit(None).cast("long").alias("last"), F.lit(1).alias("kind")) \
+        .union(marks).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(np.iinfo(np.int64).min).cast("long"))))
+    ordered = rows.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "kind", "digest", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = uuid.uuid4().hex
@@ -109,6 +111,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         info = _record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id(None, -1)), ("WARC-Date", DATE),
                         ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
         shard, part, copy, before = -1, 0, 0, None
+        marked: tuple[int | None, dict[str, int]] = (None, {})  # a page id, and the last page of each payload it shares
 
         def close() -> dict:
             out.close()
@@ -122,6 +125,11 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
             state["sha"].update(member)
 
         for r in core.rows_of(batches):
+            if r["kind"] == 0:
+                if marked[0] != r["page_id"]:
+                    marked = (r["page_id"], {})
+                marked[1][r["digest"]] = r["last"]
+                continue
             if out is not None and (r["shard"] != shard or state["bytes"] >= file_bytes):
                 yield core.batch_of(WRITTEN, [close()])
                 part, out = part + 1, None
@@ -136,7 +144,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
             again = key == before  # a repeated row: the first one of the page is the response
             copy = copy + 1 if before is not None and before[0] == r["page_id"] else 0
             before = key
-            refers = r["last"] if r["last"] is not None and (r["last"] != r["page_id"] or again) else None
+            last = marked[1].get(r["digest"]) if r["page_id"] is not None and marked[0] == r["page_id"] else None
+            refers = last if last is not None and (last != r["page_id"] or again) else None
             put(page_record(r["page_id"], r["url"], bytes(r["payload"]), refers, copy))
             state["records"] += 1
         if out is not None:
