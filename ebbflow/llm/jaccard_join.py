@@ -43,6 +43,8 @@ LEVEL = "a long, b long, doc_id long, n_shingles long, keys binary, cell long, w
 #: A cell beyond so many shingles is split by Spark and not in one task.
 CELL_SHINGLES = 1 << 21
 PIVOTS = 8
+#: Spark splits a cell in slices of about a cell's largest size over this, each with its own copy of the pivots.
+SLICES = 4
 #: A cell is split into regions only if that makes at most so many rows of each.
 SPREAD = 1.5
 
@@ -306,20 +308,32 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
         out = root != np.arange(len(ids))
         return pa.table({"a": ids[out], "b": ids[root[out]]}, schema=core.arrow_schema("a long, b long"))
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in core.rows_of(batches):
-            keys = np.frombuffer(r["keys"], np.uint64)
-            chosen = [p["doc_id"] for p in r["pivots"]]
-            mine = Sets([np.frombuffer(p["keys"], np.uint64) for p in r["pivots"]], share)
-            rows = np.arange(len(chosen))
-            common = mine.common(keys, rows)
-            out = [{"a": r["doc_id"], "b": chosen[k]} for k in np.flatnonzero(mine.linked(common, len(keys), rows)).tolist()]
-            if r["doc_id"] not in chosen:  # pivots leave the cell
-                _, region = regions(mine.distance(common, len(keys), rows)[None], e)
-                cells = core.mix64(np.full(len(region) + 1, r["cell"], np.int64).view(np.uint64) + np.append(region + 2, 1).astype(np.uint64)).view(np.int64)
-                out += [{"doc_id": r["doc_id"], "n_shingles": len(keys), "keys": r["keys"], "cell": c, "whole": w, "parent": r["cell"], "home": i == 0}
-                        for i, (c, w) in enumerate(zip(cells[:-1].tolist(), cells[-1:].tolist() * len(region), strict=True))]
-            yield core.batch_of(LEVEL, out)
+    def split(key: tuple[pa.Scalar, ...], rows: pa.Table, chosen: pa.Table) -> pa.Table:
+        """A slice of a cell against the cell's pivots: its links to them, and its rows by region."""
+        ids, cell = rows.column("doc_id").to_numpy(), key[0].as_py()
+        sets, near = Sets(_blob_sets(rows), share), chosen.sort_by("doc_id")
+        pivot_ids, every = near.column("doc_id").to_numpy(), np.arange(len(ids))
+        d = np.empty((len(ids), len(pivot_ids)))
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k, pivot in enumerate(_blob_sets(near)):
+            common = sets.common(pivot, every)
+            d[:, k] = sets.distance(common, len(pivot), every)
+            a.append(ids[sets.linked(common, len(pivot), every)])
+            b.append(np.full(len(a[-1]), pivot_ids[k]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        left = np.flatnonzero(~np.isin(ids, pivot_ids))  # pivots leave the cell
+        row, region = regions(d[left], e) if len(left) else (left, left)
+        home = np.zeros(len(row), bool)
+        home[np.unique(row, return_index=True)[1]] = True
+        row = left[row]
+        at = np.full(1, cell, np.int64).view(np.uint64)
+        columns = {"a": a, "b": b, "doc_id": ids[row], "n_shingles": sets.n[row], "keys": rows.column("keys").take(pa.array(row)),
+                   "cell": core.mix64(at + (region + 2).astype(np.uint64)).view(np.int64),
+                   "whole": np.repeat(core.mix64(at + core.U64(1)).view(np.int64), len(row)), "parent": np.full(len(row), cell), "home": home}
+        schema = core.arrow_schema(LEVEL)
+        parts = [{n: columns[n] if (n in "ab") == of_links else pa.nulls(size, schema.field(n).type) for n in schema.names}
+                 for of_links, size in ((True, len(a)), (False, len(row)))]
+        return pa.concat_tables([pa.table(x, schema=schema) for x in parts])
 
     level, links = 0, None
     member = member.withColumn("group", F.lit(None).cast("long"))
@@ -329,15 +343,16 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
         size = size.where("n > 1 AND g < h")  # the documents of other cells are connected already
         fit = member.join(size.where(F.col("size") <= cell_shingles).select("cell"), "cell").select("cell", "doc_id", "keys")
         edges = edges.unionByName(fit.groupBy("cell").applyInArrow(small, "a long, b long"))
-        big = size.where(F.col("size") > cell_shingles).select("cell")
+        big = size.where(F.col("size") > cell_shingles).select("cell", F.ceil(F.col("size") * SLICES / cell_shingles).alias("slices"))
         if big.isEmpty():
             return edges
         level += 1
         large = member.join(big, "cell")
         rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("group").isNotNull(), F.xxhash64("doc_id", F.lit(level)), "doc_id"))
-        chosen = large.withColumn("k", rank).where(F.col("k") <= pivots).groupBy("cell") \
-            .agg(F.sort_array(F.collect_list(F.struct("doc_id", "keys"))).alias("pivots"))
-        step, _ = core.stage(large.join(chosen, "cell").mapInArrow(split, LEVEL), "jaccard-level")
+        chosen = large.withColumn("k", rank).where(F.col("k") <= pivots) \
+            .select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "doc_id", "keys")
+        sliced = large.select("cell", F.pmod(F.xxhash64("doc_id"), "slices").alias("slice"), "doc_id", "keys")
+        step, _ = core.stage(sliced.groupBy("cell", "slice").cogroup(chosen.groupBy("cell", "slice")).applyInArrow(split, LEVEL), "jaccard-level")
         found = step.where("a IS NOT NULL").select("a", "b")
         edges, links = edges.unionByName(found), found if links is None else links.unionByName(found)
         rows = step.where("a IS NULL")
