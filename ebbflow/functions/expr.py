@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 # Open-ended version end.  The source model writes 2999-12-31; here the
 # sentinel is the latest round date that pandas/Arrow result conversion
 # (nanosecond timestamps, up to 2262-04-11) can still represent, so results
-# survive ``toPandas()``.  Tables that use 2999-12-31 set this constant.
+# survive ``toPandas()``.  Tables with another sentinel pass it as ``end``.
 OPEN_END = "2262-01-01 00:00:00"
 CLOSE_GAP = "15 seconds"                    # old version ends this long before the new one
 
 
-def open_end() -> Column:
-    return F.lit(OPEN_END).cast("timestamp_ntz")
+def open_end(value: str = OPEN_END) -> Column:
+    return F.lit(value).cast("timestamp_ntz")
 
 
 def ts_literal(value: str) -> Column:

@@ -3,7 +3,7 @@
 A dimension is a DataFrame with the business key columns, the tracked
 attribute columns and ``effective_from``, ``effective_to``, ``is_deleted``
 (optionally a surrogate key column).  The open version of a key has
-``effective_to = OPEN_END``; an old version ends ``gap`` before its
+``effective_to = OPEN_END`` (or the ``end`` given); an old version ends ``gap`` before its
 successor starts.
 
 Parquet has no UPDATE/MERGE, so :func:`scd2_merge` returns the complete new
@@ -25,13 +25,13 @@ from ebbflow.session import checkpoint_root
 META = ["effective_from", "effective_to", "is_deleted"]
 
 
-def is_open(col: str = "effective_to") -> Column:
-    return F.col(col) == open_end()
+def is_open(col: str = "effective_to", end: str = OPEN_END) -> Column:
+    return F.col(col) == open_end(end)
 
 
-def current(dim: DataFrame, include_deleted: bool = True) -> DataFrame:
+def current(dim: DataFrame, include_deleted: bool = True, end: str = OPEN_END) -> DataFrame:
     """H7: open versions (tombstones included unless ``include_deleted=False``)."""
-    out = dim.filter(is_open())
+    out = dim.filter(is_open(end=end))
     return out if include_deleted else out.filter(~F.col("is_deleted"))
 
 
@@ -99,11 +99,12 @@ def scd2_merge(
     tracked: Sequence[str],
     *,
     change_ts: str = "change_ts",
+    tiebreak: str | None = None,
     live_keys: DataFrame | None = None,
     batch_ts: str | None = None,
     gap: str = CLOSE_GAP,
     surrogate: str | None = None,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    end: str = OPEN_END,
     split: bool = False,
 ):
     """H6: apply a staged batch (and optionally a full key snapshot) to ``dim``.
@@ -113,106 +114,117 @@ def scd2_merge(
     writer can append only what changed (``sinks.tables.write_dimension``).
 
     * several staged rows per key are chained by change time; consecutive
-      identical rows collapse (D15);
+      identical rows collapse (D15); of rows with the same change time the one
+      with the largest ``tiebreak`` (then value hash) counts;
     * staged rows not newer than the open version are ignored (replays);
+      :func:`late_changes` returns those that are no replays;
     * a staged row equal (null-safe) to the open version is a no-op;
     * a key whose open version is a tombstone is reopened (D14);
     * with ``live_keys``, every key whose latest version is live but absent
       from the snapshot is closed at ``batch_ts - gap`` and gets a tombstone,
       also after a change in the same batch (close, reopen, tombstone);
+    * a version never ends before it starts, however close the next one is;
     * with ``surrogate``, later versions carry the key's surrogate id and new
       keys get fresh dense ids (H8).
 
-    Business keys and change times must be non-NULL (filter or repair such
-    rows upstream; a NULL key cannot identify a version).
+    Open versions, staged rows and live keys are tagged and united, so one
+    exchange on the key serves every step; staged rows are reduced to one per
+    key and time before it.  Business keys and change times must be non-NULL
+    (filter or repair such rows upstream; a NULL key cannot identify a version).
     """
     keys, tracked = list(keys), list(tracked)
-    openm = is_open()
-    closed = dim.filter(~openm)
-    open_ = dim.filter(openm)
+    if live_keys is not None and batch_ts is None:
+        raise ValueError("batch_ts is required with live_keys")
+    closed, open_ = dim.filter(~is_open(end=end)), dim.filter(is_open(end=end))
     sk_cols = [surrogate] if surrogate else []
     out_cols = keys + tracked + META + sk_cols
 
-    s0 = stg.select(*keys, *tracked, F.col(change_ts).alias("_ts")).dropDuplicates(keys + tracked + ["_ts"])
-    # Only keys present in the batch can change.  The open versions are split
-    # by a semi/anti join on the batch's keys (both share one exchange of the
-    # dimension); untouched versions go straight to the delete check, so the
-    # ordered work below only sees the batch's keys.
-    stg_keys = s0.select(*keys).distinct()
-    touched = open_.join(stg_keys, keys, "left_semi")
-    untouched = open_.join(stg_keys, keys, "left_anti")
-
-    # 1. staged rows + their key's open version; rows not newer than the
-    #    open version are replays and are dropped
-    s = s0.alias("s").join(touched.alias("o"), keys, "left").select(
-        *keys, *[F.col(f"s.{c}").alias(c) for c in tracked], "_ts",
-        F.col("o.effective_from").alias("_of"), *[F.col(f"o.{c}").alias(f"_o_{c}") for c in tracked],
-        F.col("o.is_deleted").alias("_o_del"), *[F.col(f"o.{c}").alias("_o_sk") for c in sk_cols],
+    # 1. one ordered list per key: snapshot mark, open version, staged rows
+    staged = _one_per_time(stg, keys, tracked, change_ts, tiebreak)
+    rows = open_.select(*keys, *tracked, F.col("effective_from").alias("_ts"), "is_deleted", *sk_cols, F.lit(0).alias("_src"))
+    rows = rows.unionByName(staged.select("*", F.lit(False).alias("is_deleted"), F.lit(1).alias("_src")), allowMissingColumns=True)
+    if live_keys is not None:
+        rows = rows.unionByName(live_keys.select(*keys, F.lit(-1).alias("_src")), allowMissingColumns=True)
+    by_key = Window.partitionBy(*keys).orderBy("_src", "_ts")
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_src = {n: F.col("_src") == n for n in (-1, 0, 1)}
+    rows = rows.select(
+        "*",
+        F.max(is_src[-1]).over(so_far).alias("_live"),
+        F.first(F.when(is_src[0], F.struct("_ts", "is_deleted", *tracked, *sk_cols)), ignorenulls=True).over(so_far).alias("_o"),
+        F.lag(F.when(is_src[1], F.struct("_ts", *tracked))).over(by_key).alias("_p"),
     )
-    s = s.withColumn("_tb", F.xxhash64(*tracked)).withColumn("_one", F.lit(1))
-    s = s.filter(F.col("_of").isNull() | (F.col("_ts") > F.col("_of")))
 
-    # 2. collapse runs of identical staged rows (lag over the key's staged
-    #    rows); the first one is compared with the open version
-    s = shift_within_key(s, keys, ["_ts", "_tb"], tracked + ["_one"], 1, lag=True, prefix="_p",
-                         bucket_seconds=bucket_seconds)
-    first = F.col("_p_1__one").isNull()
-    same_prev = _same(tracked, "", "_p_1_")
-    same_open = F.col("_o_del").isNotNull() & ~F.col("_o_del") & _same(tracked, "", "_o_")
-    new_rows = s.filter((first & ~same_open) | (~first & ~same_prev)).select(
-        *keys, *tracked, F.col("_ts").alias("effective_from"), F.lit(False).alias("is_deleted"),
-        *[F.col("_o_sk").alias(c) for c in sk_cols],
-        F.lit(1).alias("_src"), "_tb",
+    # 2. staged rows that make a version: newer than the open one, different
+    #    from the staged row before them or, if they come first, from the open one
+    def newer(ts: str) -> Column:
+        return F.col("_o").isNull() | (F.col(ts) > F.col("_o._ts"))
+
+    after_staged = F.col("_p").isNotNull() & newer("_p._ts")
+    same_prev = after_staged & _same(tracked, "", "_p.")
+    same_open = ~after_staged & F.col("_o").isNotNull() & ~F.col("_o.is_deleted") & _same(tracked, "", "_o.")
+    rows = rows.filter(is_src[0] | (is_src[1] & newer("_ts") & ~same_prev & ~same_open))
+
+    # 3. a version ends `gap` before the next one starts; the last stays open
+    following = F.lead("_ts").over(by_key)
+    rows = rows.select(
+        *keys, *tracked, F.col("_ts").alias("effective_from"),
+        F.when(following.isNull(), open_end(end)).otherwise(F.greatest("_ts", minus_interval(following, gap))).alias("effective_to"),
+        "is_deleted", *[F.coalesce(c, f"_o.{c}").alias(c) for c in sk_cols], "_live",
     )
 
-    # 3. one lead over (open version, new versions) of each touched key: a
-    #    version ends `gap` before the next one starts; the last stays open
-    old_rows = touched.select(*keys, *tracked, "effective_from", "is_deleted", *sk_cols,
-                              F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_tb"))
-    u = shift_within_key(old_rows.unionByName(new_rows), keys, ["effective_from", "_src", "_tb"],
-                         ["effective_from"], 1, prefix="_n", bucket_seconds=bucket_seconds)
-    u = u.withColumn("effective_to", F.coalesce(minus_interval("_n_1_effective_from", gap), open_end()))
-
     # 4. surrogate ids for keys seen for the first time (dense, key order)
     if surrogate:
-        new_k = stg_keys.join(open_.select(*keys), keys, "left_anti")
+        new_k = stg.select(*keys).distinct().join(open_.select(*keys), keys, "left_anti")
         ids = assign_surrogate_keys(
             new_k, keys, "_new_sk",
             base=lambda: dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"],
         )
         if ids is not None:
-            u = u.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
-
-    changed = u.select(*out_cols)
-    kept = untouched.select(*out_cols)
+            rows = rows.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
 
     # 5. logical deletes against the full key snapshot
-    if live_keys is not None:
-        if batch_ts is None:
-            raise ValueError("batch_ts is required with live_keys")
-        live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
-        changed = _apply_deletes(changed, live, keys, out_cols, batch_ts, gap)
-        kept = _apply_deletes(kept, live, keys, out_cols, batch_ts, gap)
-
+    rows = _apply_deletes(rows, out_cols, batch_ts, gap, end) if live_keys is not None else rows.select(*out_cols)
     if split:
-        return closed.select(*out_cols), kept.unionByName(changed)
-    return closed.select(*out_cols).unionByName(kept).unionByName(changed)
+        return closed.select(*out_cols), rows
+    return closed.select(*out_cols).unionByName(rows)
 
 
-def _apply_deletes(rows: DataFrame, live: DataFrame, keys: list[str], out_cols: list[str], batch_ts: str,
-                   gap: str) -> DataFrame:
-    """The open live version of a key missing from ``live`` is closed at
-    ``batch_ts - gap`` and followed by a tombstone (left join + explode: one
-    pass over ``rows``)."""
-    flagged = rows.join(live, keys, "left")
-    gone = is_open() & ~F.col("is_deleted") & F.col("_live").isNull()
+def _one_per_time(stg: DataFrame, keys: list[str], tracked: list[str], change_ts: str, tiebreak: str | None) -> DataFrame:
+    """Staged rows reduced to one per key and change time (a map-side partial aggregate)."""
+    order = [F.col(tiebreak).alias("_tie")] if tiebreak else []
+    last = F.max(F.struct(*order, F.xxhash64(*tracked).alias("_hash"), *tracked)).alias("_last")
+    return stg.groupBy(*keys, F.col(change_ts).alias("_ts")).agg(last).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in tracked], "_ts")
+
+
+def late_changes(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequence[str], change_ts: str = "change_ts",
+                 end: str = OPEN_END) -> DataFrame:
+    """Staged rows that the merge ignores as too old and that no version of
+    ``dim`` accounts for: neither one that starts at their time nor one with
+    the same values that was valid then."""
+    keys, tracked = list(keys), list(tracked)
+    opened = current(dim, end=end).select(*keys, F.col("effective_from").alias("_of"))
+    old = stg.join(opened, keys).filter(F.col(change_ts) <= F.col("_of")).drop("_of")
+    v = dim.select(*[F.col(k).alias(f"_v_{k}") for k in keys], *[F.col(c).alias(f"_v_{c}") for c in tracked],
+                   F.col("effective_from").alias("_v_from"), F.col("effective_to").alias("_v_to"))
+    same_key = [F.col(k) == F.col(f"_v_{k}") for k in keys]
+    known = (F.col(change_ts) == F.col("_v_from")) | (F.col(change_ts).between(F.col("_v_from"), F.col("_v_to")) & _same(tracked, "", "_v_"))
+    return old.join(v, [*same_key, known], "left_anti")
+
+
+def _apply_deletes(rows: DataFrame, out_cols: list[str], batch_ts: str, gap: str, end: str) -> DataFrame:
+    """The open live version of a key without ``_live`` is closed at
+    ``batch_ts - gap`` and followed by a tombstone (explode: one pass over ``rows``)."""
+    gone = is_open(end=end) & ~F.col("is_deleted") & ~F.col("_live")
     now = ts_literal(batch_ts)
     as_is = F.struct(*[F.col(c) for c in out_cols])
-    closed_now = F.struct(*[minus_interval(now, gap).alias(c) if c == "effective_to" else F.col(c) for c in out_cols])
+    ended = F.greatest("effective_from", minus_interval(now, gap))
+    closed_now = F.struct(*[ended.alias(c) if c == "effective_to" else F.col(c) for c in out_cols])
     tomb = F.struct(*[now.alias(c) if c == "effective_from" else F.lit(True).alias(c) if c == "is_deleted"
                       else F.col(c) for c in out_cols])
-    return flagged.select(F.explode(F.when(gone, F.array(closed_now, tomb)).otherwise(F.array(as_is))).alias("_r")
-                          ).select(*[F.col(f"_r.{c}").alias(c) for c in out_cols])
+    return rows.select(F.explode(F.when(gone, F.array(closed_now, tomb)).otherwise(F.array(as_is))).alias("_r")
+                       ).select(*[F.col(f"_r.{c}").alias(c) for c in out_cols])
 
 
 # ------------------------------------------------------------------ H8
@@ -251,7 +263,7 @@ def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *
 
 # ------------------------------------------------------------------ H9
 def history_from_events(events: DataFrame, keys: Sequence[str], attrs: Sequence[str], ts: str,
-                        tiebreak: str, *, gap: str = CLOSE_GAP, day_grain: bool = False,
+                        tiebreak: str, *, gap: str = CLOSE_GAP, end: str = OPEN_END,
                         bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """H9: attribute history from an event log.
 
@@ -274,8 +286,7 @@ def history_from_events(events: DataFrame, keys: Sequence[str], attrs: Sequence[
     return nxt.select(
         *keys, *attrs,
         F.col(ts).alias("effective_from"),
-        F.coalesce(minus_interval(f"_n_1_{ts}", gap), open_end()).alias("effective_to"),
+        F.when(F.col(f"_n_1_{ts}").isNull(), open_end(end))
+        .otherwise(F.greatest(F.col(ts).cast("timestamp_ntz"), minus_interval(F.col(f"_n_1_{ts}").cast("timestamp_ntz"), gap)))
+        .alias("effective_to"),
     )
-
-
-OPEN_END_TS = OPEN_END

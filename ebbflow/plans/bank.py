@@ -168,9 +168,9 @@ def lead_default(trans: DataFrame, star: DataFrame, terminals: DataFrame,
                          prefix="lead", bucket_seconds=bucket_seconds)
     return x.select(
         "trans_id", "client_id", "terminal_city",
-        F.coalesce("lead_1_terminal_city", "terminal_city").alias("lead_city_1"),
+        F.coalesce("lead_1_terminal_city", "terminal_city").alias("next_city"),
         "trans_date",
-        F.coalesce("lead_1_trans_date", "trans_date").alias("lead_dt_1"),
+        F.coalesce("lead_1_trans_date", "trans_date").alias("next_dt"),
     )
 
 

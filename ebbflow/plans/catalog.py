@@ -64,14 +64,13 @@ def q_fraud_two_cities(spark, d):
 
 @register("fraud_amount_guessing")
 def q_fraud_amount_guessing(spark, d):
-    # the test feed has no 20-minute chains; the oracle runs the rule with a 24 h window
-    return bank.fraud_amount_guessing(fx.transactions(spark, d), _star(spark, d), REPORT_DT, window="24 hours")
+    return bank.fraud_amount_guessing(fx.transactions_with_chains(spark, d), _star(spark, d), REPORT_DT)
 
 
 @register("fraud_mart")
 def q_fraud_mart(spark, d):
-    return bank.fraud_mart(fx.transactions(spark, d), _star(spark, d), fx.blacklist(spark, d),
-                           fx.terminals(spark, d), REPORT_DT, window_guessing="24 hours")
+    return bank.fraud_mart(fx.transactions_with_chains(spark, d), _star(spark, d), fx.blacklist(spark, d),
+                           fx.terminals(spark, d), REPORT_DT)
 
 
 @register("client_card_star")

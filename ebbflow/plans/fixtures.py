@@ -102,6 +102,21 @@ def transactions(spark, sf_dir) -> DataFrame:
     )
 
 
+def transactions_with_chains(spark, sf_dir) -> DataFrame:
+    """The operations, and before some successful ones three rejected tries of
+    larger amounts, five minutes apart (the plain feed has no such chains)."""
+    t = transactions(spark, sf_dir)
+    final = (F.col("trans_id") % 40 == 0) & (F.col("oper_result") == "SUCCESS")
+    tries = F.when(final, F.array(*[F.lit(i) for i in range(4)])).otherwise(F.array(F.lit(0)))
+    i = F.col("_try")
+    return t.withColumn("_try", F.explode(tries)).select(
+        F.when(i == 0, F.col("trans_id")).otherwise(-(F.col("trans_id") * 4 + i)).alias("trans_id"),
+        (F.col("trans_date") - F.make_dt_interval(mins=i * 5)).alias("trans_date"),
+        "card_num", "oper_type", (F.col("amt") + i * 10).alias("amt"),
+        F.when(i == 0, F.col("oper_result")).otherwise(F.lit("REJECT")).alias("oper_result"), "terminal",
+    )
+
+
 def terminals(spark, sf_dir) -> DataFrame:
     """Terminal dimension: every terminal seen in the event feed, city = k % 10."""
     e = table(spark, sf_dir, "events").select(_k().alias("k")).distinct()

@@ -74,6 +74,17 @@ def with_(*names: str) -> str:
     return "WITH " + ",\n".join(FIX[n] for n in order) + "\n"
 
 
+def with_chains(*names: str) -> str:
+    """The same over the operations with chains of rejected tries."""
+    feed = FIX["trans"].replace("trans AS (", "feed AS (", 1)
+    return with_(*names).replace(FIX["trans"], feed + """,
+trans AS (
+        SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM feed
+        UNION ALL
+        SELECT -(trans_id * 4 + i), trans_date - i * INTERVAL 5 MINUTE, card_num, oper_type, amt + i * 10, 'REJECT', terminal
+        FROM feed CROSS JOIN (VALUES (1), (2), (3)) AS tries(i) WHERE trans_id % 40 = 0 AND oper_result = 'SUCCESS')""")
+
+
 def _fraud_select(event_type: int, passport: str = "passport_num") -> str:
     return (f"SELECT DISTINCT trans_date AS event_dt, {passport} AS passport, fio, phone, "
             f"{event_type} AS event_type, CAST(trans_date AS DATE) AS report_dt")
@@ -102,7 +113,7 @@ WHERE terminal_city <> coalesce(pc, terminal_city) AND trans_date <= coalesce(pd
 
 
 def _sql_guessing(window: str) -> str:
-    return with_("ct") + f""",
+    return with_chains("ct") + f""",
 l AS (SELECT *,
         lag(trans_date, 3) OVER w AS d3,
         lag(amt, 1) OVER w AS a1, lag(amt, 2) OVER w AS a2, lag(amt, 3) OVER w AS a3,
@@ -115,10 +126,10 @@ WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJE
   AND trans_date >= {REPORT_DT}"""
 
 
-SQL_FRAUD_GUESSING = _sql_guessing("24 HOUR")
+SQL_FRAUD_GUESSING = _sql_guessing("20 MINUTE")
 
 
-SQL_FRAUD_MART = with_("ct", "blacklist") + f""",
+SQL_FRAUD_MART = with_chains("ct", "blacklist") + f""",
 l3 AS (SELECT *, lag(terminal_city) OVER w AS pc, lag(trans_date) OVER w AS pd
        FROM ct WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)),
 l4 AS (SELECT *, lag(trans_date, 3) OVER w AS d3,
@@ -142,7 +153,7 @@ UNION ALL
 {_fraud_select(4)}
 FROM l4
 WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJECT'
-  AND a3 > a2 AND a2 > a1 AND a1 > amt AND trans_date <= d3 + INTERVAL 24 HOUR
+  AND a3 > a2 AND a2 > a1 AND a1 > amt AND trans_date <= d3 + INTERVAL 20 MINUTE
   AND trans_date >= {REPORT_DT}"""
 
 SQL_CLIENT_CARD_STAR = with_("star") + "SELECT * FROM star"
@@ -157,9 +168,9 @@ FROM trans t JOIN star s USING (card_num) LEFT JOIN blacklist bl ON s.passport_n
 
 SQL_LEAD_DEFAULT = with_("ct") + """
 SELECT trans_id, client_id, terminal_city,
-       coalesce(lead(terminal_city) OVER w, terminal_city) AS lead_city_1,
+       coalesce(lead(terminal_city) OVER w, terminal_city) AS next_city,
        trans_date,
-       coalesce(lead(trans_date) OVER w, trans_date) AS lead_dt_1
+       coalesce(lead(trans_date) OVER w, trans_date) AS next_dt
 FROM ct WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)"""
 
 SQL_LEAD_CHAIN = with_("ct") + "SELECT trans_id, client_id, trans_date, amt, oper_result, " + ", ".join(
@@ -446,7 +457,7 @@ ORACLE.update({
                CAST(sum(CASE WHEN ride_start_dt IS NOT NULL THEN price_amt END) AS DECIMAL(22,2)) AS spent_amt
         FROM fact_rides GROUP BY client_phone_num""",
     "sum_by_key": with_("payments") + """
-        SELECT card_num, CAST(sum(transaction_amt) AS DECIMAL(22,2)) AS recieved_amt FROM payments GROUP BY card_num""",
+        SELECT card_num, CAST(sum(transaction_amt) AS DECIMAL(22,2)) AS paid_total FROM payments GROUP BY card_num""",
     "client_metrics": with_("taxi_clients", "fact_rides", "payments") + f"SELECT * FROM {_metrics_sql(None)}",
     "client_metrics_hist": with_("taxi_clients", "fact_rides", "payments") + f""",
         m1 AS {_metrics_sql('1997-01-01 00:00:00')},

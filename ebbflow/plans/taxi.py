@@ -179,7 +179,7 @@ def ride_aggregates(fact_rides: DataFrame) -> DataFrame:
 
 def payments_by_card(payments: DataFrame) -> DataFrame:
     """A4: received amount per card."""
-    return payments.groupBy("card_num").agg(F.sum("transaction_amt").cast("decimal(22,2)").alias("recieved_amt"))
+    return payments.groupBy("card_num").agg(F.sum("transaction_amt").cast("decimal(22,2)").alias("paid_total"))
 
 
 def client_metrics(clients: DataFrame, fact_rides: DataFrame, payments: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def client_metrics(clients: DataFrame, fact_rides: DataFrame, payments: DataFram
     r = ride_aggregates(fact_rides)
     cards = clients.select("phone_num", strip_blanks("card_num").alias("card_num")).distinct()
     paid = cards.join(payments_by_card(payments), "card_num", "left").groupBy("phone_num").agg(
-        F.sum("recieved_amt").alias("_paid")
+        F.sum("paid_total").alias("_paid")
     )
     phones = clients.select("phone_num").distinct()
     out = phones.join(r, phones["phone_num"] == r["client_phone_num"], "left").join(paid, "phone_num", "left")

@@ -100,12 +100,12 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def pending_files(files: DataFrame, prefix: str, wm, fmt: str = "ddMMyyyy", name_col: str = "file_name") -> DataFrame:
     """Files of one feed dated after the watermark, ordered by the parsed
-    date (not the text); ``is_next`` marks the oldest one."""
+    date (not the text); ``is_next`` marks the oldest one.  The oldest date is
+    read first, as one row, like a watermark, so no join is needed."""
     f = files.filter(F.col(name_col).startswith(prefix)).withColumn("file_dt", file_date(name_col, fmt))
     f = f.filter(F.col("file_dt") > F.lit(wm).cast("date"))
-    first = f.groupBy(F.lit(prefix).alias("_p")).agg(F.min("file_dt").alias("_first"))
-    return f.join(first, F.lit(prefix) == first["_p"]).select(
-        name_col, "file_dt", (F.col("file_dt") == F.col("_first")).alias("is_next"))
+    first = f.agg(F.min("file_dt")).first()[0]
+    return f.select(name_col, "file_dt", (F.col("file_dt") == F.lit(first).cast("date")).alias("is_next"))
 
 
 def cumulative_delta(file_rows: DataFrame, fact: DataFrame, date_col: str, wm, key: list[str]) -> DataFrame:

@@ -153,3 +153,39 @@ def test_current_view_prunes_closed(spark):
     assert sorted(r.k for r in scd2.current(d).collect()) == [1, 2]
     assert [r.k for r in scd2.current(d, include_deleted=False).collect()] == [1]
     assert d.filter(F.col("k") == 1).count() == 2
+
+
+def test_ties_and_close_changes_have_no_inverted_intervals(spark):
+    soon = T1 + dt.timedelta(seconds=5)
+    got = _merge(spark, [(1, "x", 1.0, T0, OPEN, False)], [(1, "p", 2.0, T1), (1, "q", 2.0, T1), (1, "r", 2.0, soon)])
+    assert len(got) == 3 and all(r[4] >= r[3] for r in got)
+    assert sum(r[3] == T1 for r in got) == 1 and [r for r in got if r[4] == OPEN] == [(1, "r", 2.0, soon, OPEN, False)]
+
+
+def test_tiebreak_column_decides(spark):
+    stg = spark.createDataFrame([(1, "p", 2.0, T1, 9), (1, "q", 2.0, T1, 3)], STG + ", seq int")
+    out = scd2.scd2_merge(_dim(spark, []), stg, ["k"], ["a", "b"], tiebreak="seq")
+    assert [r.a for r in out.collect()] == ["p"]
+
+
+def test_open_end_is_a_parameter(spark):
+    end = dt.datetime(2999, 12, 31)
+    dim = _dim(spark, [(1, "x", 1.0, T0, end, False), (2, "y", 1.0, T0, end, False)])
+    stg = spark.createDataFrame([(1, "z", 1.0, T1)], STG)
+    live = spark.createDataFrame([(1,)], "k long")
+    out = scd2.scd2_merge(dim, stg, ["k"], ["a", "b"], live_keys=live, batch_ts=NOW, end="2999-12-31 00:00:00")
+    opened = scd2.current(out, end="2999-12-31 00:00:00").collect()
+    assert sorted((r.k, r.a, r.is_deleted) for r in opened) == [(1, "z", False), (2, "y", True)]
+
+
+def test_late_changes_are_returned(spark):
+    dim = _dim(spark, [(1, "x", 1.0, T0, T2 - GAP, False), (1, "y", 1.0, T2, OPEN, False)])
+    stg = spark.createDataFrame([(1, "x", 1.0, T0), (1, "y", 1.0, T2), (1, "x", 1.0, T1), (1, "late", 1.0, T1), (2, "new", 1.0, T1)], STG)
+    assert [r.a for r in scd2.late_changes(dim, stg, ["k"], ["a", "b"]).collect()] == ["late"]
+
+
+def test_merge_needs_few_exchanges(spark):
+    dim, stg = _dim(spark, [(1, "x", 1.0, T0, OPEN, False)]), spark.createDataFrame([(1, "y", 1.0, T1)], STG)
+    live = spark.createDataFrame([(1,)], "k long")
+    plan = scd2.scd2_merge(dim, stg, ["k"], ["a", "b"], live_keys=live, batch_ts=NOW)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "Join" not in plan
