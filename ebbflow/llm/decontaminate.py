@@ -1,7 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed mask takes some of the words at fixed offsets of a span and ignores the
-others, so a substituted word spoils only the masks that look at it.  Seeds of the
+others, so a substituted word spoils only the masks that look at it.  The masks of an
+overlap's length are such that every set of substitutions the rule accepts leaves one of
+them whole (:func:`masks_of` proves it by enumeration), so no accepted overlap goes
+without a seed.  Seeds of the
 benchmark items are joined with the seeds of every position of the training texts;
 around each hit the two texts are aligned on the hit's diagonal, and an overlap
 counts if ``overlap`` words in a row (the whole item, if it is shorter) agree in at
@@ -11,15 +14,16 @@ The benchmark is sent to the tasks in slices of at most ``slice_words`` words: o
 slice in the usual case, one pass over the texts per slice for a larger one.
 
 Words are compared with A-Z lowered and ASCII punctuation taken off their ends.
-Nulls and edge cases: a null or empty text or item has no seeds and no overlap; an
-item shorter than the longest mask uses the masks that fit it, and items under
-``least`` words are not searched; a null id comes back null; repeated rows are each
+Nulls and edge cases: a null or empty text or item has no seeds and no overlap; items
+under ``least`` words are not searched; a null id comes back null; repeated rows are each
 reported; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,12 @@ from pyspark.sql import functions as F
 from ebbflow.llm import core
 
 #: 1: the word counts, 0: it is ignored; a mask survives substitutions at its 0 places.
-MASKS = ("110110011", "101011101", "111001110")
+#: At 75 % these hit every accepted overlap of 9 to 13 words.
+MASKS = ("111011", "110100011", "1001111", "111000101", "110111")
+#: Lighter masks, tried in turn for lengths that those before do not cover.
+_LIGHTER = (("11011", "1111", "1100011"), ("111", "1101", "1011"))
+_PATTERNS = 20_000
+_HITS = 1 << 20
 OUT = "doc_id long, item_id long, overlap_words long, equal_words long, doc_word long, item_word long"
 SLICE_WORDS = 1 << 20
 _PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -40,6 +49,17 @@ def _normal(text: bytes) -> bytes:
     return b" ".join(filter(None, [w.strip(_PUNCT) for w in core.lower_ascii(text).split()]))
 
 
+def masks_of(words: int, missing: int) -> tuple[str, ...]:
+    """Masks of which one at least, somewhere in ``words`` words, avoids any ``missing`` of the words."""
+    if math.comb(words, missing) <= _PATTERNS:
+        for group in (MASKS, *_LIGHTER):
+            fit = tuple(m for m in group if len(m) <= words)
+            seen = [sum(1 << (a + k) for k, c in enumerate(m) if c == "1") for m in fit for a in range(words - len(m) + 1)]
+            if all(any(not x & lost for x in seen) for lost in (sum(1 << k for k in c) for c in combinations(range(words), missing))):
+                return fit
+    return ("1" * max(1, words // (missing + 1)),)  # of missing + 1 runs of words one is whole
+
+
 def _seeds(h: np.ndarray, doc: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first word) of the mask at every place where its span lies in one document."""
     n = len(h) - len(mask) + 1
@@ -61,11 +81,15 @@ class Slice:
         self.ids = np.array([core.NULL_ID if i is None else i for i, _ in items], np.int64)
         w = core.Words([_normal(t) for _, t in items])
         self.h, self.first, self.count = w.hashes(), w.first, w.count
-        enough = w.count >= least
-        self.seeds = []
-        for m in MASKS:
+        need = np.minimum(w.count, overlap)
+        fit: dict[str, list[int]] = {}
+        for n in np.unique(need[w.count >= max(1, least)]).tolist():
+            for m in masks_of(n, n - math.ceil(agree * n - 1e-9)):
+                fit.setdefault(m, []).append(n)
+        self.masks, self.seeds = list(fit), []
+        for m, lengths in fit.items():
             k, at = _seeds(self.h, w.doc, m)
-            ok = enough[w.doc[at]]
+            ok = (np.isin(need, lengths) & (w.count >= least))[w.doc[at]]
             k, at = k[ok], at[ok]
             order = np.argsort(k, kind="stable")
             self.seeds.append((k[order], at[order]))
@@ -75,25 +99,38 @@ class Slice:
         """(text, item, overlap words, equal words, text word, item word): the best overlap of each pair."""
         w = core.Words([_normal(t) for t in texts])
         h = w.hashes()
-        found = []
-        for m, (keys, places) in zip(MASKS, self.seeds, strict=True):
+        out, found, held = [np.empty((6, 0), np.int64)], [], 0
+        for m, (keys, places) in zip(self.masks, self.seeds, strict=True):
             k, at = _seeds(h, w.doc, m)
             low, high = np.searchsorted(keys, k), np.searchsorted(keys, k, side="right")
             hit = np.flatnonzero(high > low)
-            n = (high - low)[hit]
-            p = places[np.repeat(low[hit], n) + core.ranges(n)]
-            found.append(np.stack((w.doc[np.repeat(at[hit], n)], self.item[p], np.repeat(at[hit], n) - p)))
+            for part in np.split(hit, np.flatnonzero(np.diff(np.cumsum((high - low)[hit]) // _HITS)) + 1):
+                n = (high - low)[part]
+                p = places[np.repeat(low[part], n) + core.ranges(n)]
+                found.append(np.stack((w.doc[np.repeat(at[part], n)], self.item[p], np.repeat(at[part], n) - p)))
+                held += len(p)
+                if held >= _HITS:
+                    out.append(self._best(w, h, found))
+                    found, held = [], 0
+        if found:
+            out.append(self._best(w, h, found))
+        return tuple(self._first(np.concatenate(out, axis=1)))
+
+    def _best(self, w: core.Words, h: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
         # one candidate per text, item and diagonal (where the item's word 0 would lie)
         cand = np.unique(np.concatenate(found, axis=1), axis=1)
         out = [np.empty((6, 0), np.int64)]
         for a in range(0, cand.shape[1], 1 << 14):
             out.append(self._verify(w, h, *cand[:, a:a + (1 << 14)]))
-        got = np.concatenate(out, axis=1)
-        order = np.lexsort((got[4], -got[3], -got[2], got[1], got[0]))
-        got = got[:, order]
+        return self._first(np.concatenate(out, axis=1))
+
+    @staticmethod
+    def _first(got: np.ndarray) -> np.ndarray:
+        """The longest overlap of each text and item."""
+        got = got[:, np.lexsort((got[5], got[4], -got[3], -got[2], got[1], got[0]))]
         best = np.ones(got.shape[1], bool)
         best[1:] = (got[0, 1:] != got[0, :-1]) | (got[1, 1:] != got[1, :-1])
-        return tuple(got[:, best])
+        return got[:, best]
 
     def _verify(self, w: core.Words, h: np.ndarray, text: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
         start, end = self.first[item], self.first[item + 1]
