@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that overlap with no benchmark item."""
     from ebbflow.llm.decontaminate import remove_contaminated
 
-    return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least=1)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

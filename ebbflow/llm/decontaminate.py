@@ -15,7 +15,7 @@ slice in the usual case, one pass over the texts per slice for a larger one.
 
 Words are compared with A-Z lowered and ASCII punctuation taken off their ends.
 Nulls and edge cases: a null or empty text or item has no seeds and no overlap; items
-under ``least`` words are not searched; a null id comes back null; repeated rows are each
+under ``least`` words are not searched (1 searches all, as the query and the pipeline do); a null id comes back null; repeated rows are each
 reported; other columns are ignored.
 """
 

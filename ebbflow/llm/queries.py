@@ -44,7 +44,7 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.decontaminate import overlaps
 
-    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), least=1)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
