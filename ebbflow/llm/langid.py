@@ -5,8 +5,8 @@ Segments are runs of letter bytes (A-Z lowered, bytes from 0x80 on) cut at
 both states labels every byte position with a distribution over the learned
 languages, and a document's distribution is the mean over all its positions.  The
 network is trained in numpy by backpropagation through time, on the most frequent
-segments of a bounded sample of labelled documents with their observed language
-shares as targets.  States start anew at each segment, so a segment that occurs many
+segments of each language (all of a language with few) of a bounded sample of labelled
+documents, with their observed language shares as targets.  States start anew at each segment, so a segment that occurs many
 times among the texts in hand is labelled once and counted as often as it occurs.
 
 Nulls and edge cases: a null text, or one without any letter, is ``und`` with score 0;
@@ -31,6 +31,8 @@ SEGMENT = 24
 HIDDEN = 16
 DOCS_PER_LANGUAGE = 1_500
 SEGMENTS = 30_000
+#: Segments a language may bring, however many languages there are.
+SEGMENTS_PER_LANGUAGE = 5_000
 OUT = "doc_id long, lang_pred string, score double"
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -166,6 +168,15 @@ class Model:
         return out
 
 
+def quotas(have: list[int], total: int) -> list[int]:
+    """How many segments each language brings: equal parts of ``total``; what one lacks goes to the others."""
+    out, left = [0] * len(have), max(total, SEGMENTS_PER_LANGUAGE * len(have) if total >= SEGMENTS_PER_LANGUAGE else total)
+    for k, i in enumerate(sorted(range(len(have)), key=have.__getitem__)):
+        out[i] = min(have[i], -(-left // (len(have) - k)))
+        left -= out[i]
+    return out
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           train_on: Column | None = None, docs_per_language: int = DOCS_PER_LANGUAGE, max_segments: int = SEGMENTS) -> Model:
     """Fit on at most ``docs_per_language`` documents of each language (smallest id hash) among ``train_on``."""
@@ -193,16 +204,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield core.batch_of("lang string, seg binary, n long", [{"lang": k[0], "seg": k[1], "n": n} for k, n in seen.items()])
 
     counts = src.join(F.broadcast(chosen.distinct()), "doc_id").select("text", "lang").mapInArrow(count, "lang string, seg binary, n long")
-    shares = counts.groupBy("seg").pivot("lang", languages).agg(F.sum("n")).fillna(0)
-    total = sum((F.col(f"`{x}`") for x in languages), F.lit(0))
-    rows = shares.orderBy(total.desc(), "seg").limit(max_segments).collect()
-    if not rows:
+    names = [f"n{c}" for c in range(len(languages))]
+    shares = counts.groupBy("seg").pivot("lang", languages).agg(F.sum("n")).fillna(0).toDF("seg", *names)
+    shares, path = core.stage(shares, "langid-segments")
+    have = shares.agg(*[F.count_if(F.col(x) > 0).alias(x) for x in names]).first()
+    found: dict[bytes, list[int]] = {}
+    for x, quota in zip(names, quotas([have[x] for x in names], max_segments), strict=True):
+        for r in shares.where(F.col(x) > 0).orderBy(F.desc(x), "seg").limit(quota).collect():
+            found[bytes(r.seg)] = [r[y] for y in names]
+    core.release(docs.sparkSession, path)
+    if not found:
         return Model(languages, None)
-    n = np.array([[r[x] for x in languages] for r in rows], np.float64)
+    words = sorted(found)
+    n = np.array([found[x] for x in words], np.float64)
     per_language = n / np.maximum(n.sum(axis=0), 1)
     target = (per_language / per_language.sum(axis=1, keepdims=True)).astype(np.float32)
     net = BiGru(len(languages))
-    net.fit([bytes(r.seg) for r in rows], target, np.sqrt(n.sum(axis=1)))
+    net.fit(words, target, np.sqrt(n.sum(axis=1)))
     return Model(languages, net)
 
 
