@@ -13,8 +13,8 @@ Centroids are fitted on at most ``sample`` vectors (smallest hash of the id); ev
 indexed.  Lists travel as pieces of bounded size, so a list that holds a third of all
 vectors (or one vector many times) is scanned by many tasks.
 
-Nulls and edge cases: vectors that are null, zero, of another length than the first sampled one,
-or hold a null or non-finite component take no part, nor do rows with a null id; a query never finds rows of its own
+Nulls and edge cases: vectors that are null, zero, or hold a null or non-finite component take no
+part, nor do rows with a null id; vectors of each length are searched among themselves; a query never finds rows of its own
 id; ties go to the smaller id; with fewer candidates than ``k`` all probed are returned; rows that
 share an id are candidates each; an empty table gives an empty result; other columns are ignored.
 """
@@ -123,11 +123,21 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
 
     ``probe_share`` is the share of the lists that a query probes.
     """
-    spark = vectors.sparkSession
     rows = valid(vectors, id_col, vector_col)
+    found = None
+    for r in rows.select(F.size("v").alias("dim")).distinct().orderBy("dim").collect():
+        some = _search(rows.where(F.size("v") == r.dim), queries, k, probe_share, list_size, sample)
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], OUT)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _search(rows: DataFrame, queries: Column, k: int, probe_share: float, list_size: int, sample: int) -> DataFrame:
+    """The candidates of :func:`search` among valid vectors of one length."""
+    spark = rows.sparkSession
     index = fit(rows, list_size, sample=sample)
-    if index is None:
-        return spark.createDataFrame([], OUT)
     dim, probes = index.rotation.shape[0] - 1, int(np.ceil(probe_share * len(index.centroids)))
     sent = spark.sparkContext.broadcast(index)
 
@@ -158,10 +168,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())],
                                              schema=core.arrow_schema("query_id long, vec_id long, score double"))
 
-    rows = rows.where(F.size("v") == dim)
     data = rows.mapInArrow(pieces(1, PIECE, False), _PIECES)
     asks = rows.where(queries).mapInArrow(pieces(probes, 256, True), _PIECES) \
         .select("list", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
-    found = data.join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return data.join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
