@@ -89,6 +89,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), width=13)
 
 
+def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.exact_search import search
+
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_exact_search": op13_exact_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -134,5 +141,16 @@ WITH words AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n_kept, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM words d LEFT JOIN kept k USING (doc_id)
+""",
+    "op13_exact_search": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """,
 }
