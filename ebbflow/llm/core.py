@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,6 +108,23 @@ def byte_hash(buf: np.ndarray, which: int = 0) -> RangeHash:
     return RangeHash(_TABLES[which][buf], which)
 
 
+def factorize(buf: np.ndarray, inside: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Codes of consecutive byte strings, and the distinct strings, compared byte by byte.
+
+    ``inside`` masks the strings' bytes in ``buf``, ``lens`` are their lengths.
+    """
+    offsets = np.zeros(len(lens) + 1, np.int64)
+    np.cumsum(lens, out=offsets[1:])
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(offsets), pa.py_buffer(buf[inside])])
+    found = strings.dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False), found.dictionary.to_pylist()
+
+
+def strong_hashes(strings: list[bytes]) -> np.ndarray:
+    """128-bit hashes of strings, as two columns of 64 bits that do not fail together."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), ">u8").astype(U64).reshape(-1, 2)
+
+
 class Words:
     """The words of documents joined by one separator byte each.
 
@@ -131,9 +149,14 @@ class Words:
         self.first = np.searchsorted(self.start, self.offset)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
+        self._hashes: np.ndarray | None = None
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        return byte_hash(self.buf, which).of(self.start, self.end)
+        """A 64-bit hash of each word's bytes; the two kinds together make 128 bits."""
+        if self._hashes is None:
+            codes, words = factorize(self.buf, ~SPACE[self.buf], self.end - self.start)
+            self._hashes = strong_hashes(words)[codes]
+        return np.ascontiguousarray(self._hashes[:, which])
 
     def windows(self, k: int, which: int = 0, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(hash, index of the first word) of every run of ``k`` words of one document."""
