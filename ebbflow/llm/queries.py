@@ -89,6 +89,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), width=13)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ebbflow.llm.phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.exact_search import search
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_collocations": op12_collocations,
     "op13_exact_search": op13_exact_search,
 }
 
@@ -141,6 +148,37 @@ WITH words AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n_kept, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM words d LEFT JOIN kept k USING (doc_id)
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT doc_id, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT doc_id, coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, w[p:p + m - 1] AS g
+  FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS p FROM w, generate_series(1, 4) AS k(m) WHERE len(w) >= m)
+), f AS (
+  SELECT lang, g, m, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.g, c.m, c.a, k, x.a AS l, y.a AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m >= 2) c
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, g[p:p + s - 1] AS g, max(a) AS longer
+  FROM (SELECT lang, g, a, s, unnest(generate_series(1, m - s + 1)) AS p FROM f, generate_series(2, 3) AS k(s) WHERE m > s) GROUP BY ALL
+), kept AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.g = b.g WHERE i.longer IS NULL OR 100 * CAST(i.longer AS HUGEINT) < 80 * CAST(b.a AS HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN totals USING (lang) WHERE rank <= 2000
 """,
     "op13_exact_search": r"""
 WITH v AS (
