@@ -89,6 +89,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), width=13)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ebbflow.llm.alignment import align
+
+    return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.llm.phrases import collocations
 
@@ -112,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_alignment": op11_alignment,
     "op12_collocations": op12_collocations,
     "op13_exact_search": op13_exact_search,
 }
