@@ -262,7 +262,8 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, name: str, block
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(), "string": pa.string(),
-          "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+          "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary()),
+          "array<string>": pa.list_(pa.string())}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

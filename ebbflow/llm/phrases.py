@@ -8,7 +8,7 @@
 3. *Closing.*  A counted phrase that is frequent but was not proposed is a border failure.  It joins the
    proposal, and another pass counts the phrases this newly admits.  When no failure is left, every frequent phrase has been
    counted, as all its parts are frequent and proposed.
-4. *Texts.*  One more pass fetches the words of the frequent phrases; cuts, scores, containment and
+4. *Texts.*  The sample, and a pass for phrases it does not hold, give the words of the frequent phrases; cuts, scores, containment and
    ranks are then joins and aggregates over the frequent phrases alone.
 
 The proposal travels to the tasks as a bitmap over leading key bits, of at most 2**27 bits (16 MB) whatever its size:
@@ -52,7 +52,8 @@ _CLASS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2
 _COUNTS = "shard int, keys binary, more binary, counts binary, lang string, words long"
 #: ``fresh`` holds the bitmap places of the keys that were not proposed.
 _FREQUENT = "shard int, keys binary, more binary, counts binary, fresh binary, lang string, words long"
-_TEXTS = "k0 long, k1 long, n int, lang string, phrase string"
+_CELLS = "shard int, n int, keys binary, more binary, lang binary, langs string, texts binary"
+_RESOLVED = "shard int, keys binary, more binary, counts binary, lang array<string>, phrase array<string>, n array<long>, f array<long>"
 
 
 class Chunk:
@@ -76,20 +77,22 @@ class Chunk:
         number = {x: i for i, x in enumerate(self.langs)}
         self.lang = np.fromiter((number[x] for x in langs), np.int32, len(langs))[doc]
         self.words = words
-        self.hash = core.strong_hashes(words)
-        self.lang_hash = core.strong_hashes([x.encode() for x in self.langs])
-
-    def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, 64-bit key, 32-bit key) of each phrase of ``n`` words."""
-        last = len(self.codes) - n + 1
-        if last <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint32)
-        at = np.flatnonzero(self.piece[:last] == self.piece[n - 1:])
-        keys = []
-        for which in range(2):
-            h = core.RangeHash(self.hash[:, which][self.codes], which).every(n)[at]
-            keys.append(core.mix64(h ^ self.lang_hash[:, which][self.lang[at]]))
-        return at, keys[0], (keys[1] >> core.U64(32)).astype(np.uint32)
+        hashes = core.strong_hashes(words)
+        lang_hashes = core.strong_hashes([x.encode() for x in self.langs])
+        self.ranges = [core.RangeHash(hashes[:, which][self.codes], which) for which in range(2)]
+        self.lang_hash = [np.ascontiguousarray(lang_hashes[:, which]) for which in range(2)]
+
+    def starts(self, n: int) -> np.ndarray:
+        """The first words of all phrases of ``n`` words."""
+        last = max(0, len(self.codes) - n + 1)
+        return np.flatnonzero(self.piece[:last] == self.piece[n - 1:][:last])
+
+    def keys(self, at: np.ndarray, n: int, which: int = 0) -> np.ndarray:
+        """64-bit keys of the phrases of ``n`` words that start at ``at``; the two kinds together make 128 bits."""
+        return core.mix64(self.ranges[which].of(at, at + n) ^ self.lang_hash[which][self.lang[at]])
+
+    def more(self, at: np.ndarray, n: int) -> np.ndarray:
+        return (self.keys(at, n, 1) >> core.U64(32)).astype(np.uint32)
 
 
 @dataclass
@@ -108,27 +111,30 @@ class Bitmap:
         np.bitwise_or.at(self.packed, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
 
 
-def admitted(chunk: Chunk, now: Bitmap, before: Bitmap | None, longest: int) -> Iterator[tuple[np.ndarray, ...]]:
+def admitted(chunk: Chunk, now: Bitmap, before: Bitmap | None, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The keys of the phrases that ``now`` admits and ``before`` did not: words always, longer ones by their two parts."""
-    at, k0, k1 = chunk.phrases(1)
+    at = chunk.starts(1)
+    k0 = chunk.keys(at, 1)
     if before is None:
-        yield k0, k1
+        yield k0, chunk.more(at, 1)
     for n in range(2, longest + 1):
-        ok = np.zeros(len(chunk.codes) + 1, bool)
+        ok, old = (np.zeros(len(chunk.codes) + 1, np.uint8) for _ in range(2))
         ok[at] = now.has(k0)
         if before is not None:
-            old = np.zeros(len(chunk.codes) + 1, bool)
-            old[at] = before.has(k0)
-        at, k0, k1 = chunk.phrases(n)
-        take = ok[at] & ok[at + 1]
-        if before is not None:
-            take &= ~(old[at] & old[at + 1])
-        yield k0[take], k1[take]
+            old[at] = before.has(k0) & (True if n == 2 else counted)
+        at = chunk.starts(n)
+        at = at[(ok[at] & ok[at + 1]) > 0]
+        k0 = chunk.keys(at, n)
+        if before is None:
+            yield k0, chunk.more(at, n)
+        else:
+            counted = (old[at] & old[at + 1]) > 0
+            yield k0[~counted], chunk.more(at[~counted], n)
 
 
 def _counted(parts: list[tuple[np.ndarray, ...]], bits: int) -> list[dict]:
     k0, k1 = (np.concatenate(p) for p in zip(*parts, strict=True))
-    order = np.argsort(k0, kind="stable")
+    order = np.argsort(k0)
     k0, k1 = k0[order], k1[order]
     # of equal 64-bit keys a run of equal 32-bit keys counts as one; the shard adds up the runs
     first = np.flatnonzero(np.concatenate(([True], (k0[1:] != k0[:-1]) | (k1[1:] != k1[:-1])))) if len(k0) else np.empty(0, np.int64)
@@ -161,7 +167,9 @@ def _merge(least: int, sent: Broadcast, bits: int):
         k1 = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
         n = np.concatenate([_counts(r) for r in rows])
         del rows
-        order = np.lexsort((k1, k0))
+        order = np.argsort(k0)
+        if ((k0[order][1:] == k0[order][:-1]) & (k1[order][1:] != k1[order][:-1])).any():
+            order = np.lexsort((k1, k0))
         k0, k1 = k0[order], k1[order]
         first = np.flatnonzero(np.concatenate(([True], (k0[1:] != k0[:-1]) | (k1[1:] != k1[:-1]))))
         n = np.add.reduceat(n[order], first)
@@ -200,14 +208,16 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Chunk]:
     langs: list[str] = []
     held = 0
     for b in batches:
-        for t, lang in zip(core.texts_of(b.column(0)), b.column(1).to_pylist(), strict=True):
-            for part in _parts(t, limit):
-                texts.append(part)
-                langs.append(lang)
-                held += len(part) + 1
-                if held >= limit:
-                    yield Chunk(texts, langs)
-                    texts, langs, held = [], [], 0
+        for i in range(0, b.num_rows, 256):
+            some = b.slice(i, 256)
+            for t, lang in zip(core.texts_of(some.column(0)), some.column(1).to_pylist(), strict=True):
+                for part in _parts(t, limit):
+                    texts.append(part)
+                    langs.append(lang)
+                    held += len(part) + 1
+                    if held >= limit:
+                        made, texts, langs, held = Chunk(texts, langs), [], [], 0
+                        yield made
     if texts:
         yield Chunk(texts, langs)
 
@@ -237,7 +247,7 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
             now, before = sent.value
             for c in _chunks(batches, chunk):
                 if now is None:
-                    keys = [c.phrases(n)[1:] for n in range(1, longest + 1)]
+                    keys = [(c.keys(at, n), c.more(at, n)) for n in range(1, longest + 1) for at in [c.starts(n)]]
                 else:
                     keys = list(admitted(c, now, before, longest))
                 rows = _counted(keys, shards)
@@ -252,7 +262,9 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     def counted(docs: DataFrame, least: int, now: Bitmap | None, before: Bitmap | None, name: str) -> DataFrame:
         sent = spark.sparkContext.broadcast((now, before))
         rows = docs.select("text", "lang").mapInArrow(counting(sent), _COUNTS)
-        return core.stage(rows.groupBy("shard").applyInArrow(_merge(least, sent, bits), _FREQUENT), name)[0]
+        out = core.stage(rows.groupBy("shard").applyInArrow(_merge(least, sent, bits), _FREQUENT), name)[0]
+        sent.destroy()  # else Python workers keep every pass's bitmaps
+        return out
 
     top = 1 << 32
     sampled = src.where(F.pmod("h", F.lit(top)) < int(sample_share * top))
@@ -276,23 +288,21 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     for p in passes[1:]:
         frequent = frequent.unionByName(p)
     words = frequent.where("shard < 0").select("lang", "words")
-    return _texts(spark, src, frequent.where("shard >= 0"), bits, longest, chunk), words
-
-
-def _texts(spark: SparkSession, src: DataFrame, frequent: DataFrame, bits: int, longest: int, chunk: int) -> DataFrame:
-    """The frequent phrases' words: every task sends each of them once, and the exact keys join."""
+    phrases = frequent.where("shard >= 0").select("shard", "keys", "more", "counts")
+    # nearly all frequent phrases occur in the sample too; the others' words come from all documents
+    known = _texts(spark, sampled, phrases, shards, bits, longest, chunk)
+    rest = known.where("keys IS NOT NULL").select("shard", "keys", "more", "counts")
+    others = _texts(spark, src, rest, shards, bits, longest, chunk)
+    texts = known.where("keys IS NULL").unionByName(others.where("keys IS NULL"))
+    return texts.select(F.explode(F.arrays_zip("lang", "phrase", "n", "f")).alias("x")).select("x.lang", "x.phrase", "x.n", "x.f"), words
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in core.rows_of(batches):
-            at = np.unique(np.frombuffer(r["keys"], np.uint64) >> core.U64(64 - bits)).astype(np.uint32)
-            yield core.batch_of("fresh binary", [{"fresh": zlib.compress(np.diff(at, prepend=np.uint32(0)).tobytes(), 1)}])
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in core.rows_of(batches):
-            k1 = np.frombuffer(r["more"], np.uint32).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(r["keys"], np.int64)), pa.array(k1), pa.array(_counts(r))],
-                                             schema=core.arrow_schema("k0 long, k1 long, f long"))
+def _texts(spark: SparkSession, src: DataFrame, frequent: DataFrame, shards: int, bits: int, longest: int, chunk: int) -> DataFrame:
+    """Rows with the words of the frequent phrases that ``src`` holds, and a row with the other keys, for each shard.
 
+    A task sends each phrase once (again after two million others), in one cell for a shard.
+    """
+    places = _key_places(bits)
     wanted = Bitmap(bits, np.zeros(max(1, (1 << bits) // 8), np.uint8))
     for at in _places(frequent.select("keys").mapInArrow(places, "fresh binary").toLocalIterator()):
         wanted.add(at)
@@ -301,28 +311,64 @@ def _texts(spark: SparkSession, src: DataFrame, frequent: DataFrame, bits: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.empty(0, np.uint64)
         for c in _chunks(batches, chunk):
-            sub = np.zeros(0, bool)
             for n in range(1, longest + 1):
-                at, k0, k1 = c.phrases(n)
-                ok = sent.value.has(k0)
-                if n > 1:  # its parts are frequent too
-                    ok &= sub[at] & sub[at + 1]
-                sub = np.zeros(len(c.codes) + 1, bool)
-                sub[at[ok]] = True
-                key, first = np.unique(k0[ok], return_index=True)
+                at = c.starts(n)
+                key = c.keys(at, n)
+                ok = sent.value.has(key)
+                key, first = np.unique(key[ok], return_index=True)
                 new = ~core.member(seen, key)
-                i = np.flatnonzero(ok)[first[new]]
-                seen = np.sort(np.concatenate((seen, key[new]))) if len(seen) < 1 << 21 else np.sort(key[new])
-                words = [[c.words[x] for x in c.codes[at[i] + j].tolist()] for j in range(n)]
-                text = [b" ".join(w).decode() for w in zip(*words, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k0[i].view(np.int64)), pa.array(k1[i].astype(np.int64)), pa.array(np.full(len(i), n, np.int32)),
-                     pa.array([c.langs[x] for x in c.lang[at[i]].tolist()], pa.string()), pa.array(text, pa.string())],
-                    schema=core.arrow_schema(_TEXTS))
-
-    texts = src.select("text", "lang").mapInArrow(run, _TEXTS).groupBy("k0", "k1").agg(*[F.first(c).alias(c) for c in ("n", "lang", "phrase")])
-    counts = frequent.select("keys", "more", "counts").mapInArrow(unpack, "k0 long, k1 long, f long")
-    return core.stage(texts.join(counts, ["k0", "k1"]).select("lang", "phrase", "n", "f"), "phrases")[0]
+                key, at = key[new], at[ok][first[new]]
+                seen = np.sort(np.concatenate((seen, key))) if len(seen) < 1 << 21 else key
+                columns = [[c.words[x] for x in c.codes[at + j].tolist()] for j in range(n)]
+                texts = list(map(b" ".join, zip(*columns, strict=True)))
+                more, lang = c.more(at, n), c.lang[at].astype(np.uint16)
+                names = "\n".join(x.replace("\\", "\\\\").replace("\n", "\\n") for x in c.langs)
+                rows = [{"shard": s, "n": n, "keys": key[i:j].tobytes(), "more": more[i:j].tobytes(), "lang": lang[i:j].tobytes(),
+                         "langs": names, "texts": zlib.compress(b"\n".join(texts[i:j]), 1)} for s, i, j in core.split_shards(key, shards)]
+                if rows:
+                    yield core.batch_of(_CELLS, rows)
+
+    def resolve(wanted: pa.Table, cells: pa.Table) -> pa.Table:
+        rows = wanted.to_pylist()
+        if not rows:
+            return core.arrow_schema(_RESOLVED).empty_table()
+        k0 = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
+        k1 = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
+        f = np.concatenate([_counts(r) for r in rows])
+        where = dict(zip(zip(k0.tolist(), k1.tolist(), strict=True), range(len(k0)), strict=True))
+        found: dict[int, tuple[str, str, int]] = {}
+        for r in cells.to_pylist():
+            langs = [x.replace("\\n", "\n").replace("\\\\", "\\") for x in r["langs"].split("\n")]
+            keys = zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r["more"], np.uint32).tolist(), strict=True)
+            for key, x, text in zip(keys, np.frombuffer(r["lang"], np.uint16).tolist(), zlib.decompress(r["texts"]).split(b"\n"), strict=True):
+                i = where.get(key)
+                if i is not None and i not in found:
+                    found[i] = langs[x], text.decode(), r["n"]
+        shard = rows[0]["shard"]
+        at = np.fromiter(found, np.int64, len(found))
+        lost = np.ones(len(k0), bool)
+        lost[at] = False
+        out = []
+        if len(at):
+            lang, phrase, n = map(list, zip(*found.values(), strict=True))
+            out.append({"shard": shard, "lang": lang, "phrase": phrase, "n": n, "f": f[at].tolist()})
+        if lost.any():
+            out.append({"shard": shard, "keys": k0[lost].tobytes(), "more": k1[lost].tobytes(), "counts": f[lost].tobytes()})
+        return pa.Table.from_pylist(out, schema=core.arrow_schema(_RESOLVED))
+
+    cells = src.select("text", "lang").mapInArrow(run, _CELLS)
+    out = core.stage(frequent.groupBy("shard").cogroup(cells.groupBy("shard")).applyInArrow(resolve, _RESOLVED), "phrases-texts")[0]
+    sent.destroy()
+    return out
+
+
+def _key_places(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in core.rows_of(batches):
+            at = np.unique(np.frombuffer(r["keys"], np.uint64) >> core.U64(64 - bits)).astype(np.uint32)
+            yield core.batch_of("fresh binary", [{"fresh": zlib.compress(np.diff(at, prepend=np.uint32(0)).tobytes(), 1)}])
+
+    return run
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, cover_percent: int = 80, **options) -> DataFrame:

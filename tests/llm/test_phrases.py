@@ -95,4 +95,5 @@ def test_long_words_with_patterned_bytes_differ():
     t = [bin(i).count("1") & 1 for i in range(1024)]
     x, y = bytes(97 + b for b in t), bytes(98 - b for b in t)
     c = Chunk([x + b" " + y], ["en"])
-    assert len(set(c.phrases(1)[1].tolist())) == 2 == len(set(c.phrases(1)[2].tolist()))
+    at = c.starts(1)
+    assert len(set(c.keys(at, 1).tolist())) == 2 == len(set(c.more(at, 1).tolist()))
