@@ -31,7 +31,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ _HELD = "block long, ids binary, bad binary, docs binary, units binary, sums bin
 _ASK = "shard int, slice int, block long, pairs binary, counts binary"
 _TOTAL = "shard int, pairs binary, counts binary"
 _ANSWER = "block long, shard int, totals binary, best binary"
+BLOCK_BYTES = 8 << 20
 #: Bytes of units that go to a tokenizer in one call.
 BATCH = 1 << 16
 #: Blocks that are answered together.
@@ -86,6 +87,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_len, self.b_len = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+        self.names = [str(i) for i in range(max(len(self.a_bytes), len(pieces)))]
         made = json.loads(self.a.to_str())
         split = made["pre_tokenizer"] or {}
         #: Whether texts may be cut into units.
@@ -100,15 +102,17 @@ class Aligner:
         if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw:
             return None
         found = self.b.encode(text[1:], return_type="proto").pieces
-        b = np.array([p.id for p in found], np.int64)
+        found = np.array([x for p in found for x in (p.id, p.begin, p.end)], np.int64).reshape(-1, 3)
+        b = found[:, 0]
         if b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
             return None
         # A's offsets count characters of the text with its blank, B's bytes of the text without
-        offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
-        to_byte = np.cumsum(np.fromiter((len(c.encode()) for c in text), np.int64, len(text))) if len(raw) > len(text) else None
-        if to_byte is not None:
-            offsets = np.concatenate(([0], to_byte))[offsets]
-        theirs = np.array([(p.begin + (k > 0), p.end + 1) for k, p in enumerate(found)], np.int64).reshape(-1, 2)
+        offsets = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        if len(raw) > len(text):
+            leads = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+            offsets = np.concatenate((leads, [len(raw)]))[offsets]
+        theirs = found[:, 1:] + 1
+        theirs[:1, 0] = 0  # the blank is the first token's
         return a, refine(offsets, self.a_len[a]), b, refine(theirs, self.b_len[b])
 
 
@@ -140,55 +144,48 @@ def cut_units(texts: list[bytes], cuts: bool) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Units:
-    """Distinct units, aligned: digest strings, sums and links of each."""
+    """Distinct units, aligned: digest strings, sums and links (unit by unit) of each."""
 
     def __init__(self, units: list[bytes], aligner: Aligner):
         n = len(units)
         self.ok = np.ones(n, bool)
         self.sums = np.zeros((n, 4), np.int64)  # A tokens, B tokens, groups, links
         self.groups: list[bytes] = [b""] * n
-        pair: list[np.ndarray] = [np.empty(0, np.int64)] * n
+        self._found: list[tuple[np.ndarray, np.ndarray]] = []
         for some in _batches(units):
-            self._align(aligner, units, some, pair)
-        self.links = np.concatenate(pair) if n else np.empty(0, np.int64)
+            self._align(aligner, units, some)
+        links, of = (np.concatenate(x) for x in zip(*self._found, strict=True)) if self._found else (np.empty(0, np.int64),) * 2
+        self.links = links[np.argsort(of, kind="stable")]
 
-    def _align(self, aligner: Aligner, units: list[bytes], some: list[int], pair: list[np.ndarray]) -> None:
+    def _align(self, aligner: Aligner, units: list[bytes], some: list[int]) -> None:
         got = aligner.spans(b"".join([units[i] for i in some]).decode())
         if got is None:
             if len(some) > 1:
                 for i in some:
-                    self._align(aligner, units, [i], pair)
+                    self._align(aligner, units, [i])
             else:
                 self.ok[some[0]] = False
             return
         a, a_end, b, b_end = got
         ends = np.cumsum([len(units[i]) for i in some])
-        both = np.intersect1d(a_end, b_end, assume_unique=False)
+        both = a_end[core.member(b_end, a_end)]
         # links: a B token overlaps the A tokens from the one that holds its first byte to the one that holds its last
-        b_start = np.concatenate(([0], b_end[:-1]))
-        lo = np.searchsorted(a_end, b_start, side="right")
+        lo = np.searchsorted(a_end, np.concatenate(([0], b_end[:-1])), side="right")
         hi = np.searchsorted(a_end, b_end, side="left")
         many = hi - lo + 1
         key = (np.repeat(b, many) << 20) | a[np.repeat(lo, many) + core.ranges(many)]
         # what lies in which unit
-        a_cut, b_cut, g_cut = (np.searchsorted(x, ends, side="right") for x in (a_end, b_end, both))
-        l_cut = np.concatenate(([0], np.cumsum(many)))[b_cut]
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ga, gb = np.searchsorted(a_end, both, side="right").tolist(), np.searchsorted(b_end, both, side="right").tolist()
-        words, i, j = [], 0, 0
-        for x, y in zip(ga, gb, strict=True):
-            words.append(",".join(a_text[i:x]) + "|" + ",".join(b_text[j:y]))
-            i, j = x, y
-        low = [0, 0, 0, 0]
-        for u, *high in zip(some, a_cut.tolist(), b_cut.tolist(), g_cut.tolist(), l_cut.tolist(), strict=True):
-            self.sums[u] = [h - x for h, x in zip(high, low, strict=True)]
-            self.groups[u] = ";".join(words[low[2]:high[2]]).encode()
-            pair[u] = key[low[3]:high[3]]
-            low = high
-
-    @cached_property
-    def first(self) -> np.ndarray:
-        return np.cumsum(self.sums[:, 3]) - self.sums[:, 3]
+        cuts = [np.searchsorted(x, ends, side="right") for x in (a_end, b_end, both)]
+        cuts.append(np.concatenate(([0], np.cumsum(many)))[cuts[1]])
+        self.sums[some] = np.diff(np.column_stack(cuts), axis=0, prepend=0)
+        self._found.append((key, np.repeat(some, self.sums[some, 3])))
+        a_text, b_text = [aligner.names[i] for i in a.tolist()], [aligner.names[i] for i in b.tolist()]
+        x, y = (np.searchsorted(e, both, side="right").tolist() for e in (a_end, b_end))
+        words = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m])
+                 for i, j, k, m in zip([0, *x[:-1]], x, [0, *y[:-1]], y, strict=True)]
+        g = cuts[2].tolist()
+        for u, i, j in zip(some, [0, *g[:-1]], g, strict=True):
+            self.groups[u] = ";".join(words[i:j]).encode()
 
 
 def _batches(units: list[bytes]) -> Iterator[list[int]]:
@@ -312,7 +309,7 @@ def _sum(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
-          block_bytes: int = core.BLOCK_BYTES, shard_keys: int = core.SHARD_KEYS, slice_blocks: int = SLICE) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES, shard_keys: int = core.SHARD_KEYS, slice_blocks: int = SLICE) -> DataFrame:
     """Per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``."""
     spark = docs.sparkSession
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
