@@ -153,3 +153,33 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     """``row_number()`` over ``(keys order by order)``, computed skew-safely."""
     out = running_sums(df, keys, order, {name: F.lit(1).cast("long")}, bucket_seconds=bucket_seconds)
     return out
+
+
+def last_known_within_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cols: Sequence[str],
+    known: Column,
+    prefix: str,
+    *,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """Add ``{prefix}_{col}``: the values of ``cols`` at the key's last earlier row for which ``known`` holds.
+
+    Each bucket is windowed on its own; what comes from earlier buckets is the last known row of each bucket
+    (a partial aggregate), carried over buckets that have none.  ``order`` must be non-null and unique within a key.
+    """
+    keys, order, cols = list(keys), list(order), list(cols)
+    df = df.withColumn("_b", time_bucket(order[0], bucket_seconds)).withColumn("_kk", F.struct(*keys)) \
+        .withColumn("_kn", F.when(known, F.struct(*cols)))
+    part = ["_kk", "_b"]
+    before = Window.partitionBy(*part).orderBy(*_order_cols(order, False)).rowsBetween(Window.unboundedPreceding, -1)
+    inner = df.withColumn("_in", F.last("_kn", ignorenulls=True).over(before))
+    last = df.groupBy(*part).agg(F.max(F.when(F.col("_kn").isNotNull(), F.struct(*order, "_kn"))).alias("_l"))
+    earlier = Window.partitionBy("_kk").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    halo = last.select(*part, F.last("_l._kn", ignorenulls=True).over(earlier).alias("_h"))
+    out = inner.join(halo, part, "left").withColumn("_in", F.coalesce("_in", "_h"))
+    for c in cols:
+        out = out.withColumn(f"{prefix}_{c}", F.col("_in")[c])
+    return out.drop("_b", "_kk", "_kn", "_in", "_h")

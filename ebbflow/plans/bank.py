@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import concat_null_as_empty, plus_interval
 from ebbflow.operators.scd2 import current
-from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, shift_within_key
+from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, last_known_within_key, shift_within_key
 
 FRAUD_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -82,9 +82,10 @@ def _client_trans(trans: DataFrame, star: DataFrame) -> DataFrame:
 def fraud_two_cities(trans: DataFrame, star: DataFrame, terminals: DataFrame, report_dt: str,
                      window: str = "1 hour", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """M3: an operation in another city than the client's previous operation
-    within ``window``; the later operation is reported."""
+    within ``window``; the later operation is reported.  Operations at
+    terminals of unknown city take no part: the one before them counts."""
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
-    x = _client_trans(_since(trans, report_dt, window), star).join(term, "terminal", "left")
+    x = _client_trans(_since(trans, report_dt, window), star).join(term.filter(F.col("terminal_city").isNotNull()), "terminal")
     x = shift_within_key(x, ["client_id"], ["trans_date", "trans_id"], ["terminal_city", "trans_date"], 1,
                          lag=True, prefix="prev", bucket_seconds=bucket_seconds)
     prev_city = F.coalesce(F.col("prev_1_terminal_city"), F.col("terminal_city"))
@@ -126,14 +127,15 @@ def fraud_mart(trans, star, blacklist, terminals, report_dt: str, window_two_cit
     x = (_since(trans, report_dt, lookback).join(star, "card_num").join(term, "terminal", "left")
          .join(bl, F.col("passport_num") == F.col("bl_passport"), "left"))
     x = shift_within_key(x, ["client_id"], ["trans_date", "trans_id"],
-                         ["terminal_city", "trans_date", "amt", "oper_result"], 3, lag=True, prefix="prev",
+                         ["trans_date", "amt", "oper_result"], 3, lag=True, prefix="prev",
                          bucket_seconds=bucket_seconds)
+    x = last_known_within_key(x, ["client_id"], ["trans_date", "trans_id"], ["terminal_city", "trans_date"],
+                              F.col("terminal_city").isNotNull(), "known", bucket_seconds=bucket_seconds)
     day = F.to_date("trans_date")
     r1 = (day > F.col("passport_valid_to")) | (F.col("bl_passport").isNotNull() & (F.col("trans_date") > F.col("entry_dt")))
     r2 = F.col("account_valid_to") < day
-    r3 = ((F.col("terminal_city") != F.coalesce(F.col("prev_1_terminal_city"), F.col("terminal_city")))
-          & (F.col("trans_date") <= plus_interval(F.coalesce(F.col("prev_1_trans_date"), F.col("trans_date")),
-                                                  window_two_cities)))
+    r3 = ((F.col("terminal_city") != F.col("known_terminal_city"))
+          & (F.col("trans_date") <= plus_interval("known_trans_date", window_two_cities)))
     r4 = (F.col("oper_result") == SUCCESS) & (F.col("trans_date") <= plus_interval("prev_3_trans_date", window_guessing))
     amt_prev = "amt"
     for i in range(1, 4):

@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import open_end, strip_blanks, ts_literal
 from ebbflow.operators import facts, scd1, scd2, watermark
-from ebbflow.plans import bank, taxi
+from ebbflow.operators.overtime import first_over_limit
+from ebbflow.plans import bank, speeding, taxi
 from ebbflow.plans import fixtures as fx
 from ebbflow.session import ensure_utc, scratch_path
 from ebbflow.sinks import tables
 from ebbflow.sources import files as srcf
 from ebbflow.sources import incremental as inc
-from ebbflow.streaming import jobs
+from ebbflow.sources import paging
+from ebbflow.sources.rejects import PAYMENT_FIELDS, parse_lines
+from ebbflow.streaming import dimension, jobs, rides
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 REPORT_DT = "2024-01-01"
+DOC_PAGE = 10_000
 
 
 def register(name: str):
@@ -104,6 +108,7 @@ def q_lead_chain(spark, d):
 
 SCD_KEYS = ["c_custkey"]
 SCD_TRACKED = ["c_acctbal", "c_mktsegment"]
+SCD_STAGED = "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING, change_ts TIMESTAMP_NTZ"
 
 
 def _scd_inputs(spark, d):
@@ -249,6 +254,17 @@ def q_driver_violations(spark, d):
     return taxi.driver_violations(taxi.trips(fx.trip_events(spark, d)))
 
 
+@register("driver_violations_daily")
+def q_driver_violations_daily(spark, d):
+    """M6 as a daily run: the day's positions and the state that the runs before it left."""
+    e = fx.trip_events(spark, d)
+    day = F.lit(fx.SHIFT_REPORT_DT).cast("timestamp_ntz")
+    before = e.filter(F.col("ts") < day)
+    counts = speeding.last_counts(taxi.driver_violations(taxi.trips(before)))
+    today = e.filter((F.col("ts") >= day) & (F.col("ts") < day + F.expr("INTERVAL 1 DAY")))
+    return speeding.speeding_day(today, speeding.last_positions(before), counts).violations
+
+
 @register("partition_count")
 def q_partition_count(spark, d):
     v = taxi.driver_violations(taxi.trips(fx.trip_events(spark, d)))
@@ -271,6 +287,14 @@ def q_driver_overtime_rolling(spark, d):
     return taxi.driver_overtime_rolling(fx.shifts(spark, d))
 
 
+@register("driver_overtime_waybill")
+def q_driver_overtime_waybill(spark, d):
+    """M7 by the rule: of each 24 h period over 8 h, the waybill that passes the limit, dated by its own start."""
+    return first_over_limit(fx.shifts(spark, d)).select(
+        F.col("driver").alias("personnel_num"), F.col("waybill").alias("waybill_id"), F.col("period_start").alias("start_work_dt"),
+        (F.col("worked_us").cast("double") / 1e6).alias("working_time_sec"), F.to_date("waybill_start").alias("report_dt"))
+
+
 @register("having_filter")
 def q_having_filter(spark, d):
     return taxi.shift_hours_having(fx.shifts(spark, d))
@@ -396,7 +420,20 @@ def q_scd1_upsert(spark, d):
 
 @register("doc_batch_pull")
 def q_doc_batch_pull(spark, d):
-    return inc.batch_pull(fx.documents(spark, d), "update_ts", "id", fx.DOC_PULL_WM)
+    """Page after page behind the watermark, each committed with its cursor."""
+    doc = fx.documents(spark, d)
+    root = scratch_path(spark, "doc_batch_pull")
+    paging.drain(doc, root, "documents", "update_ts", "id", paging.Cursor(fx.DOC_PULL_WM), DOC_PAGE)
+    return paging.pulled(spark, root, "documents", fx.DOCUMENT_SCHEMA)
+
+
+@register("json_extract_updates")
+def q_json_extract_updates(spark, d):
+    """S12 with D30: after all documents were taken, every tenth one changes; its id is known, its time is new."""
+    doc = fx.documents(spark, d)
+    taken = paging.last_position(doc, "update_ts", "id")
+    return paging.changed_documents(fx.updated_documents(spark, d), "update_ts", "id", taken, "object_value",
+                                    {"user_name": "$.k"}, ["id"])
 
 
 @register("json_extract_batch")
@@ -450,6 +487,12 @@ def q_tsv_payments(spark, d):
     return srcf.payments_from_text(p.select(text.alias("value")))
 
 
+@register("tsv_payment_rejects")
+def q_tsv_payment_rejects(spark, d):
+    """The lines of a payment feed that cannot be read, with the reason."""
+    return parse_lines(fx.payment_lines(spark, d), PAYMENT_FIELDS, "\t").rejected
+
+
 @register("xml_waybill")
 def q_xml_waybill(spark, d):
     w = _waybills(spark, d)
@@ -549,11 +592,12 @@ def q_stream_payment_dedup(spark, d):
 
 @register("stream_ride_assembly")
 def q_stream_ride_assembly(spark, d):
-    """T4: READY, BEGIN and END events arrive in three separate drops."""
+    """T4: the events arrive in three drops, dealt by hash: any order of READY, BEGIN and END."""
     base = scratch_path(spark, "stream_ride_assembly")
     m = fx.movement(spark, d)
-    _write_in_order([m.filter(F.col("event") == e) for e in ("READY", "BEGIN", "END")], f"{base}/src")
-    out = jobs.ride_assembly(spark, f"{base}/src/*/*.parquet", f"{base}/state", f"{base}/fact", f"{base}/ckpt")
+    drop = F.pmod(F.xxhash64("ride", "event", "dt"), F.lit(3))
+    _write_in_order([m.filter(drop == i) for i in range(3)], f"{base}/src")
+    out = rides.ride_assembly(spark, f"{base}/src/*/*.parquet", f"{base}/state", f"{base}/ckpt")
     return out.withColumnRenamed("ride", "ride_id")
 
 
@@ -562,9 +606,23 @@ def q_stream_scd2(spark, d):
     """T5: the staged customer changes arrive in two drops (even/odd keys)."""
     base = scratch_path(spark, "stream_scd2")
     dim, stg, _ = _scd_inputs(spark, d)
-    tables.write_dimension(dim, f"{base}/tables", "dim", 0)
-    tables.commit(spark, f"{base}/tables", 0, {"dim": 0})
+    kept = dimension.Dimension(spark, f"{base}/tables", "dim", SCD_STAGED, SCD_KEYS, SCD_TRACKED)
+    kept.load(dim)
     _write_in_order([stg.filter(F.col("c_custkey") % 2 == r) for r in (0, 1)], f"{base}/src")
-    schema = "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING, change_ts TIMESTAMP_NTZ"
-    return jobs.scd2_stream(spark, f"{base}/src/*/*.parquet", f"{base}/tables", f"{base}/ckpt", schema,
-                            SCD_KEYS, SCD_TRACKED)
+    return dimension.scd2_stream(spark, f"{base}/src/*/*.parquet", kept, f"{base}/ckpt", SCD_STAGED)
+
+
+@register("stream_scd2_deletes")
+def q_stream_scd2_deletes(spark, d):
+    """T5 from an empty start: the first load and the changes arrive as files, then a key snapshot is announced."""
+    base = scratch_path(spark, "stream_scd2_deletes")
+    dim, stg, live = _scd_inputs(spark, d)
+    kept = dimension.Dimension(spark, f"{base}/tables", "dim", SCD_STAGED, SCD_KEYS, SCD_TRACKED)
+    first = dim.select(*SCD_KEYS, *SCD_TRACKED, F.col("effective_from").alias("change_ts"))
+    _write_in_order([first, stg], f"{base}/src")
+    feeds = (f"{base}/src/*/*.parquet", kept, f"{base}/ckpt", SCD_STAGED, f"{base}/said/*/*.json")
+    dimension.scd2_stream(spark, *feeds)
+    live.write.parquet(f"{base}/keys")
+    spark.createDataFrame([(f"{base}/keys", fx.BATCH_TS)], "snapshot_path string, snapshot_ts string").coalesce(1) \
+        .write.json(f"{base}/said/part000")
+    return dimension.scd2_stream(spark, *feeds)

@@ -324,6 +324,32 @@ def documents(spark, sf_dir) -> DataFrame:
     )
 
 
+DOCUMENT_SCHEMA = "id BIGINT, object_id BIGINT, object_value STRING, update_ts TIMESTAMP_NTZ"
+
+
+def updated_documents(spark, sf_dir) -> DataFrame:
+    """The documents after every tenth one was changed, 100 days later, under its old id."""
+    changed = F.col("id") % 10 == 0
+    return documents(spark, sf_dir).select(
+        "id", "object_id",
+        F.when(changed, F.concat(F.lit('{"k": "u'), F.col("id").cast("string"), F.lit('"}'))).otherwise(F.col("object_value")).alias("object_value"),
+        F.when(changed, F.col("update_ts") + F.expr("INTERVAL 100 DAYS")).otherwise(F.col("update_ts")).alias("update_ts"),
+    )
+
+
+def payment_lines(spark, sf_dir) -> DataFrame:
+    """Lines of the payment feed (``l_orderkey, value``); of every 97 orders one has blank lines, one lacks the amount,
+    one has a bad amount, one a bad time and one no card."""
+    p = payments(spark, sf_dir, scalar_count(spark, sf_dir, "customer"))
+    at = F.date_format("transaction_dt", "dd.MM.yyyy HH:mm:ss")
+    amount = F.replace(F.col("transaction_amt").cast("string"), F.lit("."), F.lit(","))
+    line = lambda a, b, c: F.concat_ws("\t", a, b, c)
+    k = F.col("l_orderkey") % 97
+    card = F.col("card_num")
+    return p.select("l_orderkey", F.when(k == 0, F.lit(" ")).when(k == 1, F.concat_ws("\t", at, card)).when(k == 2, line(at, card, F.lit("n/a")))
+                    .when(k == 3, line(F.lit("31.02.x"), card, amount)).when(k == 4, line(at, F.lit(""), amount)).otherwise(line(at, card, amount)).alias("value"))
+
+
 def scalar_count(spark, sf_dir, name: str) -> int:
     """Row count of a small table (a parameter of the fixture rules)."""
     return table(spark, sf_dir, name).count()

@@ -105,7 +105,7 @@ WHERE s.account_valid_to < CAST(t.trans_date AS DATE) AND t.trans_date >= {REPOR
 
 SQL_FRAUD_TWO_CITIES = with_("ct") + f""",
 l AS (SELECT *, lag(terminal_city) OVER w AS pc, lag(trans_date) OVER w AS pd
-      FROM ct WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id))
+      FROM ct WHERE terminal_city IS NOT NULL WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id))
 {_fraud_select(3)}
 FROM l
 WHERE terminal_city <> coalesce(pc, terminal_city) AND trans_date <= coalesce(pd, trans_date) + INTERVAL 1 HOUR
@@ -131,7 +131,7 @@ SQL_FRAUD_GUESSING = _sql_guessing("20 MINUTE")
 
 SQL_FRAUD_MART = with_chains("ct", "blacklist") + f""",
 l3 AS (SELECT *, lag(terminal_city) OVER w AS pc, lag(trans_date) OVER w AS pd
-       FROM ct WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)),
+       FROM ct WHERE terminal_city IS NOT NULL WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)),
 l4 AS (SELECT *, lag(trans_date, 3) OVER w AS d3,
         lag(amt, 1) OVER w AS a1, lag(amt, 2) OVER w AS a2, lag(amt, 3) OVER w AS a3,
         lag(oper_result, 1) OVER w AS r1, lag(oper_result, 2) OVER w AS r2, lag(oper_result, 3) OVER w AS r3
@@ -423,6 +423,7 @@ ORACLE.update({
         WHERE r.ride_start_dt IS NOT NULL
         GROUP BY d.personnel_num, d.last_name, d.first_name, d.middle_name, d.card_num, CAST(r.ride_arrival_dt AS DATE)""",
     "driver_violations": with_("violations") + "SELECT * FROM violations",
+    "driver_violations_daily": with_("violations") + "SELECT * FROM violations WHERE report_dt = DATE '2024-01-05'",
     "partition_count": with_("violations") + """
         SELECT personnel_num, ride, count(*) OVER (PARTITION BY personnel_num) AS total_violations FROM violations""",
     "first_value_anchor": with_("shifts") + """
@@ -446,6 +447,16 @@ ORACLE.update({
              AND t.work_start_dt BETWEEN s.work_start_dt AND s.work_start_dt + INTERVAL 24 HOUR
         GROUP BY s.driver_pers_num, s.waybill_id, s.work_start_dt
         HAVING sum({_ROLL}) > 28800000000""",
+    "driver_overtime_waybill": with_("shifts") + f""",
+        c AS (SELECT s.driver_pers_num, s.waybill_id AS opened_by, s.work_start_dt AS start_work_dt, t.waybill_id, t.work_start_dt,
+                     sum({_ROLL}) OVER (PARTITION BY s.driver_pers_num, s.waybill_id ORDER BY t.work_start_dt, t.waybill_id) AS so_far,
+                     sum({_ROLL}) OVER (PARTITION BY s.driver_pers_num, s.waybill_id) AS worked
+              FROM shifts s JOIN shifts t ON s.driver_pers_num = t.driver_pers_num
+                   AND t.work_start_dt BETWEEN s.work_start_dt AND s.work_start_dt + INTERVAL 24 HOUR)
+        SELECT driver_pers_num AS personnel_num, waybill_id, start_work_dt, CAST(worked AS DOUBLE) / 1e6 AS working_time_sec,
+               CAST(work_start_dt AS DATE) AS report_dt
+        FROM c WHERE so_far > 28800000000
+        QUALIFY row_number() OVER (PARTITION BY driver_pers_num, opened_by ORDER BY work_start_dt, waybill_id) = 1""",
     "having_filter": with_("shifts") + """
         SELECT driver_pers_num AS personnel_num, CAST(work_start_dt AS DATE) AS work_day,
                CAST(sum(epoch_us(work_end_dt) - epoch_us(work_start_dt)) AS DOUBLE) / 1e6 AS working_time_sec
@@ -523,6 +534,9 @@ ORACLE.update({
         WHERE rn = 1""",
     "doc_batch_pull": with_("docs") + f"""
         SELECT * FROM docs WHERE update_ts > {_DOC_WM}""",
+    "json_extract_updates": with_("docs") + """
+        SELECT id, update_ts + INTERVAL 100 DAY AS update_ts, 'u' || CAST(id AS VARCHAR) AS user_name
+        FROM docs WHERE id % 10 = 0 AND update_ts + INTERVAL 100 DAY > (SELECT max(update_ts) FROM docs)""",
     "json_extract_batch": with_("docs") + """
         SELECT id, object_id, user_name FROM (
             SELECT id, object_id, json_extract_string(object_value, '$.k') AS user_name,
@@ -544,6 +558,15 @@ ORACLE.update({
         SELECT o_orderkey AS trans_id, CAST(o_orderdate AS DATE) AS trans_date,
                CAST(o_totalprice AS DECIMAL(12,2)) AS amount FROM orders""",
     "tsv_payments": with_("payments") + "SELECT transaction_dt, card_num, transaction_amt FROM payments",
+    "tsv_payment_rejects": with_("payments") + """,
+        p AS (SELECT l_orderkey, l_orderkey % 97 AS k, card_num, strftime(transaction_dt, '%d.%m.%Y %H:%M:%S') AS ts,
+                     replace(CAST(transaction_amt AS VARCHAR), '.', ',') AS amount
+              FROM payments WHERE l_orderkey % 97 < 5)
+        SELECT l_orderkey,
+               CASE k WHEN 0 THEN ' ' WHEN 1 THEN ts || chr(9) || card_num WHEN 2 THEN ts || chr(9) || card_num || chr(9) || 'n/a'
+                      WHEN 3 THEN '31.02.x' || chr(9) || card_num || chr(9) || amount ELSE ts || chr(9) || chr(9) || amount END AS line,
+               CASE k WHEN 0 THEN 'blank' WHEN 1 THEN 'fields' WHEN 2 THEN 'amount' WHEN 3 THEN 'time' ELSE 'key' END AS reason
+        FROM p""",
     "xml_waybill": with_("waybills") + """
         SELECT waybill_num, driver_license, car_plate_num, work_start_dt, work_end_dt, issue_dt FROM waybills""",
     "file_date_from_name": """
@@ -582,4 +605,5 @@ ORACLE.update({
         HAVING max(CASE WHEN event IN ('END', 'CANCEL') THEN dt END) IS NOT NULL""",
     "stream_scd2": with_("versions") + """
         SELECT c_custkey, c_acctbal, c_mktsegment, effective_from, effective_to, is_deleted FROM versions""",
+    "stream_scd2_deletes": ORACLE["scd2_merge"],
 })

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ebbflow.functions.expr import OPEN_END
+
 MANIFEST_SCHEMA = "version BIGINT, tables MAP<STRING, BIGINT>, watermarks MAP<STRING, STRING>"
 
 
@@ -46,23 +48,25 @@ def commit(spark: SparkSession, root: str, version: int, tables: dict[str, int],
 
 
 def latest_manifest(spark: SparkSession, root: str, before: int | None = None):
-    """The newest committed manifest row (of a version under ``before``), or None."""
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/*")
-    except AnalysisException:
-        return None
-    if before is not None:
-        m = m.filter(F.col("version") < before)
-    rows = m.orderBy(F.col("version").desc()).limit(1).collect()
-    return rows[0] if rows else None
+    """The newest committed manifest row (of a version under ``before``), or None.
+
+    Versions are found by listing the manifest folder; only the newest one is read."""
+    for v in sorted(committed_versions(spark, root), reverse=True):
+        if before is None or v < before:
+            return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/v={v:012d}").first()
+    return None
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose manifest was written completely (Spark's success mark is there)."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_manifest/v=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    return [int(s.getPath().getParent().getName()[2:]) for s in found]
 
 
 def has_manifest(spark: SparkSession, root: str, version: int) -> bool:
-    """Whether batch ``version`` was committed (reads only its own manifest)."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/v={version:012d}").limit(1).count() > 0
-    except AnalysisException:
-        return False
+    """Whether batch ``version`` was committed (a listing, nothing is read)."""
+    return version in committed_versions(spark, root)
 
 
 def read_table(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame | None:
@@ -73,16 +77,17 @@ def read_table(spark: SparkSession, root: str, table: str, schema: str | None =
     return spark.read.parquet(version_path(root, table, m["tables"][table]))
 
 
-def write_dimension(from_open: DataFrame, root: str, table: str, version: int) -> None:
+def write_dimension(from_open: DataFrame, root: str, table: str, version: int, end: str = OPEN_END) -> None:
     """SCD2 storage: closed versions never change, so a batch writes only the
     versions it closed (``part=history``) and the open set (``part=current``)
     under ``v=<n>``, in one job.  Per-batch writes scale with the open set and
     the batch, not with the whole history."""
     from ebbflow.operators.scd2 import is_open
 
-    part = F.when(is_open(), F.lit("current")).otherwise(F.lit("history")).alias("part")
+    part = F.when(is_open(end=end), F.lit("current")).otherwise(F.lit("history")).alias("part")
     (from_open.select("*", part).write.mode("overwrite").partitionBy("part")
      .parquet(f"{root}/{table}/v={version:012d}"))
+    from_open.limit(0).write.mode("overwrite").parquet(f"{root}/_columns/{table}")  # a version without rows has no file
 
 
 def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -92,8 +97,7 @@ def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | No
     if m is None or table not in (m["tables"] or {}):
         return None
     v = m["tables"][table]
-    cur_schema = spark.read.parquet(f"{root}/{table}/v={v:012d}/part=current").schema
-    schema = T.StructType(list(cur_schema.fields) + [T.StructField("v", T.LongType()),
+    schema = T.StructType(list(spark.read.parquet(f"{root}/_columns/{table}").schema.fields) + [T.StructField("v", T.LongType()),
                                                      T.StructField("part", T.StringType())])
     d = spark.read.schema(schema).parquet(f"{root}/{table}")
     keep = ((F.col("part") == "history") & (F.col("v") <= v)) | ((F.col("part") == "current") & (F.col("v") == v))

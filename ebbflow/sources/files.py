@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import date_from_digits, parse_decimal_comma
+from ebbflow.sources.rejects import PAYMENT_FIELDS, parse_lines
 
 # Fixed formats of the feeds.
 TRANSACTIONS_SCHEMA = ("transaction_id STRING, transaction_date STRING, amount STRING, card_num STRING, "
@@ -41,15 +42,9 @@ def decimal_comma(c: Column | str, precision: int = 10, scale: int = 2) -> Colum
 
 # ------------------------------------------------------------------ S5
 def payments_from_text(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """TAB separated ``dd.MM.yyyy HH:mm:ss<TAB>card<TAB>amount`` lines."""
-    # three unquoted fields: a plain split is enough (and much cheaper than a
-    # CSV parser per row)
-    p = df.select(F.split(F.col(text_col), "\t").alias("_p"))
-    return p.select(
-        F.to_timestamp(F.col("_p")[0], PAYMENT_TS_FORMAT).cast("timestamp_ntz").alias("transaction_dt"),
-        F.trim(F.col("_p")[1]).alias("card_num"),
-        parse_decimal_comma(F.col("_p")[2], 12, 2).alias("transaction_amt"),
-    )
+    """TAB separated ``dd.MM.yyyy HH:mm:ss<TAB>card<TAB>amount`` lines; lines that
+    cannot be read are left out (``rejects.parse_lines`` gives them with the reason)."""
+    return parse_lines(df.select(text_col), PAYMENT_FIELDS, "\t", text_col).good
 
 
 def read_payments(spark: SparkSession, path: str) -> DataFrame:

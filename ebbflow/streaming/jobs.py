@@ -1,4 +1,4 @@
-"""Structured Streaming jobs (T1..T5).
+"""Structured Streaming jobs (T1..T3; T4 is in ``rides``, T5 in ``dimension``).
 
 The reference polls sources on a schedule and keeps high-water marks; here
 a file source with a checkpoint tracks which files were consumed (exactly
@@ -23,13 +23,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.functions.expr import parse_decimal_comma
-from ebbflow.operators import facts, scd1, scd2
-from ebbflow.plans.taxi import RIDE_EVENTS
+from ebbflow.operators import facts, scd1
 from ebbflow.sinks import tables
+from ebbflow.sources.rejects import TRANSACTION_FIELDS, Parsed, parse_lines
 
-TRANS_TEXT_SCHEMA = ("trans_id STRING, trans_date STRING, amount STRING, card_num STRING, "
-                     "oper_type STRING, oper_result STRING, terminal STRING")
+TRANS_HEADER = "trans_id;"
 TRANS_FACT_SCHEMA = ("trans_id STRING, trans_date TIMESTAMP_NTZ, card_num STRING, oper_type STRING, "
                      "amt DECIMAL(10,2), oper_result STRING, terminal STRING")
 TRANS_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -56,28 +54,37 @@ def file_ingest(spark: SparkSession, source_glob: str, fact_path: str, checkpoin
                 max_files: int = 1, archive_dir: str | None = None) -> DataFrame:
     """``;``-separated transaction files with decimal commas -> fact.
 
-    With ``archive_dir`` (K6) the file source moves each consumed file there
+    Lines that cannot be read go, with the reason, to ``<fact>_rejects``
+    (:func:`rejected_lines`) and the feed goes on.  Header lines start with
+    the first column's name.  With ``archive_dir`` (K6) the file source moves each consumed file there
     once its batch is committed (``cleanSource=archive``)."""
-    reader = (spark.readStream.schema(TRANS_TEXT_SCHEMA).option("sep", ";").option("header", True)
-              .option("maxFilesPerTrigger", max_files))
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    src = reader.csv(source_glob)
+    src = reader.text(source_glob)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         s = df.sparkSession
-        t = df.select(
-            "trans_id", F.try_to_timestamp("trans_date", F.lit(TRANS_TS_FORMAT)).cast("timestamp_ntz").alias("trans_date"),
-            F.trim("card_num").alias("card_num"), "oper_type", parse_decimal_comma("amount", 10, 2).alias("amt"),
-            "oper_result", "terminal",
-        )
-        loaded = tables.read_appended(s, fact_path, TRANS_FACT_SCHEMA, before_batch=batch_id)
-        tables.append_batch(facts.dedup_append(t, loaded, ["trans_id"]), fact_path, batch_id)
+        lines = df.filter(~F.coalesce(F.col("value").startswith(TRANS_HEADER), F.lit(False)))
+        feed = parse_lines(lines, TRANSACTION_FIELDS, ";")
+        feed = Parsed(feed.rows.persist(), feed.fields)
+        try:
+            t = feed.good.select("trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result", "terminal")
+            loaded = tables.read_appended(s, fact_path, TRANS_FACT_SCHEMA, before_batch=batch_id)
+            tables.append_batch(facts.dedup_append(t, loaded, ["trans_id"]), fact_path, batch_id)
+            tables.append_batch(feed.rejected, f"{fact_path}_rejects", batch_id)
+        finally:
+            feed.rows.unpersist()
 
     _run(src, batch, checkpoint)
     return tables.read_appended(spark, fact_path, TRANS_FACT_SCHEMA)
 
 
+def rejected_lines(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The lines that :func:`file_ingest` could not read, with the reason."""
+    return tables.read_appended(spark, f"{fact_path}_rejects", "line STRING, reason STRING")
+
+
 # ------------------------------------------------------------------ T2
 def scd1_upsert_stream(spark: SparkSession, source_glob: str, root: str, checkpoint: str,
                        max_files: int = 1) -> DataFrame:
@@ -159,56 +166,3 @@ def payment_dedup(spark: SparkSession, source_glob: str, fact_path: str, checkpo
 
     _run(src, batch, checkpoint)
     return tables.read_appended(spark, fact_path, PAYMENT_SCHEMA, extra_partitions="pay_month DATE").select(*key)
-
-
-# ------------------------------------------------------------------ T4
-def ride_assembly(spark: SparkSession, source_glob: str, root: str, fact_path: str, checkpoint: str,
-                  max_files: int = 1) -> DataFrame:
-    """T4: movement events -> finished rides.  Events of unfinished rides are
-    kept in a pending table and re-evaluated with every later batch, so an
-    END/CANCEL that arrives late still completes its ride (D8)."""
-    src = spark.readStream.schema(MOVE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_glob)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        s = df.sparkSession
-        version = batch_id + 1
-        if _committed(s, root, version):
-            return
-        pending = tables.read_table(s, root, "pending", MOVE_SCHEMA)
-        events = pending.unionByName(df)
-        piv = facts.pivot_events(
-            events, "ride", "event", "dt",
-            RIDE_EVENTS, carry=["car_plate_num"],
-        )
-        done = facts.completed(piv, "ride_end_dt")
-        loaded = tables.read_appended(s, fact_path, RIDE_SCHEMA, before_batch=batch_id)
-        tables.append_batch(facts.dedup_append(done, loaded, ["ride"]), fact_path, batch_id)
-        still = events.join(done.select("ride"), "ride", "left_anti")
-        tables.write_version(still, root, "pending", version)
-        tables.commit(s, root, version, {"pending": version})
-
-    _run(src, batch, checkpoint)
-    return tables.read_appended(spark, fact_path, RIDE_SCHEMA)
-
-
-# ------------------------------------------------------------------ T5
-def scd2_stream(spark: SparkSession, source_glob: str, root: str, checkpoint: str, stg_schema: str,
-                keys: list[str], tracked: list[str], max_files: int = 1) -> DataFrame:
-    """T5: staged change files -> SCD2 dimension, one merge per micro-batch.
-    Each batch appends the versions it closed and rewrites only the open set
-    (``write_dimension``).  Version 0 must be committed before the stream
-    starts."""
-    src = spark.readStream.schema(stg_schema).option("maxFilesPerTrigger", max_files).parquet(source_glob)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        s = df.sparkSession
-        version = batch_id + 1
-        if _committed(s, root, version):
-            return
-        dim = tables.read_dimension(s, root, "dim")
-        _, from_open = scd2.scd2_merge(dim, df, keys, tracked, split=True)
-        tables.write_dimension(from_open, root, "dim", version)
-        tables.commit(s, root, version, {"dim": version})
-
-    _run(src, batch, checkpoint)
-    return tables.read_dimension(spark, root, "dim")

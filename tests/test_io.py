@@ -103,7 +103,7 @@ def test_mart_rerun_replaces_only_its_report_dates(spark, tmp_dir):
 
 
 def test_ride_assembly_stream_completes_late_rides(spark, tmp_dir):
-    from ebbflow.streaming import jobs
+    from ebbflow.streaming import jobs, rides
 
     t = dt.datetime(2024, 1, 1)
     schema = jobs.MOVE_SCHEMA
@@ -114,13 +114,11 @@ def test_ride_assembly_stream_completes_late_rides(spark, tmp_dir):
                               [(1, 7, "END", t + dt.timedelta(minutes=30)), (2, 8, "CANCEL", t + dt.timedelta(minutes=9))]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/src/p{i}")
         time.sleep(1.1)
-    out = jobs.ride_assembly(spark, f"{tmp_dir}/src/*/*.parquet", f"{tmp_dir}/state", f"{tmp_dir}/fact",
-                             f"{tmp_dir}/ckpt")
+    out = rides.ride_assembly(spark, f"{tmp_dir}/src/*/*.parquet", f"{tmp_dir}/state", f"{tmp_dir}/ckpt")
     got = sorted((r.ride, r.ride_start_dt is not None, r.ride_end_dt) for r in out.collect())
     assert got == [(1, True, t + dt.timedelta(minutes=30)), (2, False, t + dt.timedelta(minutes=9))]
     # running the stream again (nothing new) changes nothing
-    again = jobs.ride_assembly(spark, f"{tmp_dir}/src/*/*.parquet", f"{tmp_dir}/state", f"{tmp_dir}/fact",
-                               f"{tmp_dir}/ckpt")
+    again = rides.ride_assembly(spark, f"{tmp_dir}/src/*/*.parquet", f"{tmp_dir}/state", f"{tmp_dir}/ckpt")
     assert again.count() == 2
 
 
