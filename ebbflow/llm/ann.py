@@ -9,6 +9,9 @@ a candidate whose estimate exceeds the query's current k-th distance by more tha
 margin ``(1 + eps0 / sqrt(d))**2`` is abandoned.  Survivors are scored in double precision on
 the original vectors.
 
+A query starts from its ``k`` best of the sample, scored exactly: candidates below the last of them are
+neither scanned to the end nor sent on, so what a list gives does not grow with the number of its pieces.
+
 Centroids are fitted on at most ``sample`` vectors (smallest hash of the id); every vector is
 indexed.  Lists travel as pieces of bounded size, so a list that holds a third of all
 vectors (or one vector many times) is scanned by many tasks.
@@ -34,16 +37,20 @@ from ebbflow.llm import core
 SAMPLE = 20_000
 PIECE = 2_048
 OUT = "query_id long, rank int, vec_id long, score double"
-_PIECES = "list long, ids binary, vectors binary"
+_PIECES = "list long, ids binary, vectors binary, bound binary"
 
 
 @dataclass
 class Index:
     rotation: np.ndarray
     centroids: np.ndarray
-    norm2: float
+    norm2: float  #: of the longest vector, after division by ``scale``
+    scale: float  #: the largest component, so that squares stay finite
+    sample_ids: np.ndarray
+    sample: np.ndarray
 
     def rotated(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        x = x / self.scale
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.norm2 - (x * x).sum(axis=1), 0))
         return np.column_stack((x, more)) @ self.rotation
 
@@ -72,23 +79,42 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def fit(rows: DataFrame, list_size: int = 1000, max_lists: int = 4096, sample: int = SAMPLE) -> Index | None:
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     if not chosen:
         return None
     dim = len(chosen[0].v)
-    top = rows.where(F.size("v") == dim).agg(F.max(norm).alias("m"), F.count("*").alias("n")).first()
+    rows = rows.where(F.size("v") == dim)
+    scale = float(rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0])
+    norm = F.aggregate(F.transform("v", lambda x: x / scale), F.lit(0.0), lambda a, x: a + x * x)
+    top = rows.agg(F.max(norm).alias("m"), F.count("*").alias("n")).first()
     x = np.array([r.v for r in chosen if len(r.v) == dim])
+    ids = np.array([r.vec_id for r in chosen if len(r.v) == dim], np.int64)
     q, r = np.linalg.qr(np.random.default_rng(7).normal(size=(dim + 1, dim + 1)))
-    index = Index(q * np.sign(np.diag(r)), np.zeros((1, dim + 1)), float(top.m))
+    index = Index(q * np.sign(np.diag(r)), np.zeros((1, dim + 1)), float(top.m), scale, ids, x)
     lists = int(max(1, min(max_lists, top.n // list_size, len(x) // 8)))
     index.centroids = _kmeans(index.rotated(x), lists)
     return index
 
 
-def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int,
+def seeds(index: Index, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query number, id, score): the best ``k`` of the sample for each query, some queries at a time."""
+    for i in range(0, len(q), 64):
+        rough = q[i:i + 64] @ index.sample.T
+        rough[query_ids[i:i + 64, None] == index.sample_ids] = -np.inf
+        near = np.argsort(-rough, axis=1, kind="stable")[:, :2 * k]  # some more, as the exact scores may differ in the last bits
+        a = np.repeat(np.arange(i, i + len(near)), near.shape[1])
+        b = near.ravel()
+        own = query_ids[a] == index.sample_ids[b]
+        a, b = a[~own], b[~own]
+        s = (q[a] * index.sample[b]).sum(axis=1)
+        order = np.lexsort((index.sample_ids[b], -s, a))
+        best = order[core.ranges(np.bincount(a - i, minlength=len(near))) < k]
+        yield a[best], index.sample_ids[b[best]], s[best]
+
+
+def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int,
          block: int = 16, eps0: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score): the best ``k`` of one piece of a list for each query."""
+    """(query, id, score): the best ``k`` of one piece of a list for each query, of those that score ``bound`` or more."""
     r, rq = index.rotated(x).astype(np.float32), index.rotated(q, query=True).astype(np.float32)
     dim, k0 = r.shape[1], min(k + 1, len(r))
 
@@ -98,7 +124,10 @@ def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q:
     # some whole candidates give each query a distance to beat (one more, as the query may be among them)
     head = np.arange(0, len(r), max(1, len(r) // 256))
     reach = np.partition(squares(rq, r[head]), k0 - 1, axis=1)[:, k0 - 1] if len(head) >= k0 else np.full(len(q), np.inf)
-    reach = (reach * (1 + 1e-4) + 1e-6).astype(np.float32)
+    with np.errstate(over="ignore", invalid="ignore"):
+        far = ((q / index.scale) ** 2).sum(axis=1) + index.norm2 - 2 * (bound / index.scale / index.scale)
+    reach = np.fmin(reach, np.maximum(far, 0)) + 1e-4 * (np.abs(np.fmin(reach, far)) + index.norm2) + 1e-6
+    reach = reach.astype(np.float32)
     partial = squares(rq[:, :block], r[:, :block])
     a, b = np.nonzero(partial * (dim / block) <= (reach * (1 + eps0 / np.sqrt(block)) ** 2)[:, None])
     partial = partial[a, b]
@@ -111,6 +140,8 @@ def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q:
     own = ids[b] == query_ids[a]
     a, b = a[~own], b[~own]
     score = (q[a] * x[b]).sum(axis=1)
+    good = ~(score < bound[a])
+    a, b, score = a[good], b[good], score[good]
     order = np.lexsort((ids[b], -score, a))
     a, b, score = a[order], b[order], score[order]
     best = core.ranges(np.bincount(a, minlength=len(q))) < k
@@ -147,6 +178,12 @@ def _search(rows: DataFrame, queries: Column, k: int, probe_share: float, list_s
                 ids = b.column(0).to_numpy()
                 x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(ids), dim)
                 at = sent.value.nearest(sent.value.rotated(x, query), lists)
+                bound = np.full(len(ids), -np.inf)
+                if query:
+                    for a, _, score in seeds(sent.value, ids, x, k):
+                        n = np.bincount(a, minlength=len(ids))
+                        full = n == k
+                        bound[full] = score[np.cumsum(n)[full] - 1]
                 row, of = np.repeat(np.arange(len(ids)), at.shape[1]), at.ravel()
                 order = np.argsort(of, kind="stable")
                 row, of = row[order], of[order]
@@ -155,7 +192,8 @@ def _search(rows: DataFrame, queries: Column, k: int, probe_share: float, list_s
                 for a, z in zip(edges[:-1], edges[1:], strict=True):
                     for i in range(a, z, size):
                         r = row[i:min(i + size, z)]
-                        out.append({"list": int(of[a]), "ids": ids[r].tobytes(), "vectors": x[r].tobytes()})
+                        out.append({"list": int(of[a]), "ids": ids[r].tobytes(), "vectors": x[r].tobytes(),
+                                    "bound": bound[r].tobytes() if query else None})
                 yield core.batch_of(_PIECES, out)
 
         return run
@@ -164,11 +202,23 @@ def _search(rows: DataFrame, queries: Column, k: int, probe_share: float, list_s
         for r in core.rows_of(batches):
             ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["qids"], np.int64)
             x, q = (np.frombuffer(r[c]).reshape(-1, dim) for c in ("vectors", "qvectors"))
-            a, b, s = scan(sent.value, ids, x, qids, q, k)
+            a, b, s = scan(sent.value, ids, x, qids, q, np.frombuffer(r["bound"]), k)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())],
                                              schema=core.arrow_schema("query_id long, vec_id long, score double"))
 
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, dim)
+            for a, i, s in seeds(sent.value, ids, x, k):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(i), pa.array(s)],
+                                                 schema=core.arrow_schema("query_id long, vec_id long, score double"))
+
     data = rows.mapInArrow(pieces(1, PIECE, False), _PIECES)
     asks = rows.where(queries).mapInArrow(pieces(probes, 256, True), _PIECES) \
-        .select("list", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
-    return data.join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
+        .select("list", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"), "bound")
+    found = data.drop("bound").join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
+    seeded = rows.where(queries).mapInArrow(first, "query_id long, vec_id long, score double")
+    # a row that the sample and a list both gave counts once
+    both = found.withColumn("c", F.lit(1)).withColumn("d", F.lit(0)).unionByName(seeded.withColumn("c", F.lit(0)).withColumn("d", F.lit(1)))
+    both = both.groupBy("query_id", "vec_id", "score").agg(F.greatest(F.sum("c"), F.sum("d")).alias("n"))
+    return both.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")

@@ -6,6 +6,20 @@ from pyspark.sql import functions as F
 from ebbflow.llm.ann import search
 
 
+def test_a_huge_vector_does_not_hide_the_others(spark):
+    x = np.random.default_rng(1).normal(size=(100, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(777, [1e160] * 4 + [-1e160] * 4)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in search(d, F.col("vec_id") % 20 == 0, k=5, probe_share=1.0, list_size=10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    every = np.vstack((x, [1e160] * 4 + [-1e160] * 4))
+    ids = [*range(100), 777]
+    for q in range(0, 100, 20):
+        s = [(-float((x[q] * v).sum()), i) for i, v in zip(ids, every, strict=True) if i != q]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in sorted(s)[:5]]
+
+
 def test_each_length_is_searched(spark):
     x = np.random.default_rng(0).normal(size=(40, 6))
     ids = list(range(40))
