@@ -42,6 +42,8 @@ COUNTS = "shard int, block long, keys binary, more binary"
 LEVEL = "a long, b long, doc_id long, n_shingles long, keys binary, cell long, whole long, parent long, home boolean"
 #: A cell beyond so many shingles is split by Spark and not in one task.
 CELL_SHINGLES = 1 << 21
+#: A block and its shingles cost a worker some forty times this.
+BLOCK_BYTES = 2 << 20
 PIVOTS = 8
 #: Spark splits a cell in slices of about a cell's largest size over this, each with its own copy of the pivots.
 SLICES = 4
@@ -157,7 +159,7 @@ def _blob_sets(table: pa.Table) -> list[np.ndarray]:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    share: Fraction = Fraction(4, 5), block_bytes: int = core.BLOCK_BYTES,
+                    share: Fraction = Fraction(4, 5), block_bytes: int = BLOCK_BYTES,
                     shard_keys: int = core.SHARD_KEYS, cell_shingles: int = CELL_SHINGLES, pivots: int = PIVOTS) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable by links)."""
     mid = _documents(docs, id_col, text_col, width, share, block_bytes, shard_keys)
@@ -311,7 +313,7 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
     def split(key: tuple[pa.Scalar, ...], rows: pa.Table, chosen: pa.Table) -> pa.Table:
         """A slice of a cell against the cell's pivots: its links to them, and its rows by region."""
         ids, cell = rows.column("doc_id").to_numpy(), key[0].as_py()
-        sets, near = Sets(_blob_sets(rows), share), chosen.sort_by("doc_id")
+        sets, near = Sets(_blob_sets(rows), share), chosen.select(["pivot", "pivot_keys"]).rename_columns(["doc_id", "keys"]).sort_by("doc_id")
         pivot_ids, every = near.column("doc_id").to_numpy(), np.arange(len(ids))
         d = np.empty((len(ids), len(pivot_ids)))
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -349,10 +351,12 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
         level += 1
         large = member.join(big, "cell")
         rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("group").isNotNull(), F.xxhash64("doc_id", F.lit(level)), "doc_id"))
+        # columns of their own: both sides of the cogroup come from one table
         chosen = large.withColumn("k", rank).where(F.col("k") <= pivots) \
-            .select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "doc_id", "keys")
+            .select(F.col("cell").alias("in_cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("in_slice"),
+                    F.col("doc_id").alias("pivot"), F.col("keys").alias("pivot_keys"))
         sliced = large.select("cell", F.pmod(F.xxhash64("doc_id"), "slices").alias("slice"), "doc_id", "keys")
-        step, _ = core.stage(sliced.groupBy("cell", "slice").cogroup(chosen.groupBy("cell", "slice")).applyInArrow(split, LEVEL), "jaccard-level")
+        step, _ = core.stage(sliced.groupBy("cell", "slice").cogroup(chosen.groupBy("in_cell", "in_slice")).applyInArrow(split, LEVEL), "jaccard-level")
         found = step.where("a IS NOT NULL").select("a", "b")
         edges, links = edges.unionByName(found), found if links is None else links.unionByName(found)
         rows = step.where("a IS NULL")

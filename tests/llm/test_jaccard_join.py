@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.llm.components import components
+from ebbflow.llm import core
 from ebbflow.llm.jaccard_join import Sets, join_cell, near_duplicates, regions
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -64,6 +65,26 @@ def test_matches_all_pairs(spark, cell):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
 
 
+def test_a_large_cell_is_split_by_spark(spark, monkeypatch):
+    """One cell of near copies beyond the limit: the pivots split it, level by level, and no link is lost."""
+    import random
+
+    r = random.Random(9)
+    base = [f"w{r.randint(0, 400)}" for _ in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for k in r.sample(range(60), r.choice([0, 0, 1, 2, 8])):
+            w[k] = f"x{r.randint(0, 5)}"
+        rows.append((i, " ".join(w)))
+    names, stage = [], core.stage
+    monkeypatch.setattr(core, "stage", lambda df, name, *a: names.append(name) or stage(df, name, *a))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates(d, cell_shingles=2000, pivots=8).collect()
+    assert names.count("jaccard-level") > 0
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=repr) == brute(rows)
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
