@@ -181,7 +181,7 @@ class TrieEncoder:
             self.known[w] = (",".join(map(str, ids)), len(ids), b"".join([self.bytes_of[i] for i in ids]), ids)
 
 
-_ENCODERS: dict[int, TrieEncoder] = {}
+_ENCODERS: dict[int, TrieEncoder] = core.task_cache()
 
 
 def _encoder(content: bytes) -> TrieEncoder:

@@ -59,6 +59,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _TABLES = [mix64(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F + 2 * i)) for i in range(2)]
 
 
+#: What a task leaves in its Python worker for later tasks of the same operator.
+_CACHES: list[dict] = []
+
+
+def task_cache() -> dict:
+    """A dict that lives on in a Python worker until a task of another operator calls :func:`drop_caches`."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def drop_caches() -> None:
+    for c in _CACHES:
+        c.clear()
+
+
 def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64 and of its inverse, at least ``n + 1`` of each."""
     have = _POW.get(which)
@@ -78,7 +93,7 @@ def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
                 step = step * step % (1 << 64)
             out.append(p)
         have = (out[0], out[1])
-        if m <= 3 * BLOCK_BYTES:
+        if m <= 1 << 20:
             _POW[which] = have
     return have
 
@@ -235,6 +250,7 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, name: str, block
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        drop_caches()
         base, n = TaskContext.get().partitionId() << 32, 0
         ids: list[int] = []
         texts: list[bytes | None] = []
@@ -333,6 +349,7 @@ def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[], Callable[[list[
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         test = keep()
         for b in batches:
             texts = texts_of(b.column(at).cast(pa.string()))

@@ -83,6 +83,7 @@ def _sample(docs: DataFrame, ids: DataFrame, limit: int) -> list[np.ndarray]:
     chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core.drop_caches()
         for b in batches:
             texts = core.texts_of(b.column(1))
             for i, j in core.pieces(texts):
@@ -163,6 +164,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core.drop_caches()
         for b in batches:
             texts = core.texts_of(b.column(1))
             for i, j in core.pieces(texts):
