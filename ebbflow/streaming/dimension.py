@@ -31,11 +31,12 @@ class Dimension:
     ``schema`` is the DDL of the staged changes: keys, tracked columns and the change time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, table: str, schema: str, keys: list[str], tracked: list[str],
+    def __init__(self, spark: SparkSession, root: str, table: str, schema: str | T.StructType, keys: list[str], tracked: list[str],
                  change_ts: str = "change_ts", buckets: int = BUCKETS, end: str = OPEN_END):
         self.spark, self.root, self.table = spark, root, table
         self.keys, self.tracked, self.change_ts, self.buckets, self.end = list(keys), list(tracked), change_ts, buckets, end
-        staged = {f.name: f for f in T._parse_datatype_string(schema).fields}
+        self.staged: dict[str, int] = {}
+        staged = {f.name: f for f in (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields}
         ntz = T.TimestampNTZType()
         self.schema = T.StructType([staged[c] for c in self.keys + self.tracked]
                                    + [T.StructField("effective_from", ntz), T.StructField("effective_to", ntz),
@@ -45,8 +46,9 @@ class Dimension:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _manifest(self) -> dict[str, int]:
+        """Table versions of the newest manifest, and those staged here and not yet committed."""
         m = tables.latest_manifest(self.spark, self.root)
-        return dict(m["tables"] or {}) if m is not None else {}
+        return {**(dict(m["tables"] or {}) if m is not None else {}), **self.staged}
 
     def _stored(self) -> DataFrame:
         parts = [T.StructField("v", T.LongType()), T.StructField("part", T.StringType()), T.StructField("bucket", T.IntegerType())]
@@ -80,22 +82,34 @@ class Dimension:
         return self._stored().filter(self._current(None) | ((F.col("part") == "history") & (F.col("v") <= upto))) \
             .select(*self.schema.names)
 
-    def write(self, rows: DataFrame, version: int, touched: list[int]) -> None:
-        """Versions that a batch closed and the open versions of its buckets, published together."""
+    def _write(self, rows: DataFrame, version: int, touched: list[int]) -> None:
+        """Versions that a batch closed and the open versions of its buckets, not yet published."""
         part = F.when(scd2.is_open(end=self.end), F.lit("current")).otherwise(F.lit("history"))
         (rows.select(*self.schema.names, part.alias("part"), self.bucket().alias("bucket"))
          .repartition("part", "bucket").write.mode("overwrite").partitionBy("part", "bucket")
          .parquet(f"{self.root}/{self.table}/v={version:012d}"))
-        tables.commit(self.spark, self.root, version, {self.table: version} | {f"{self.table}.open.{b}": version for b in touched})
+        self.staged = {self.table: version} | {f"{self.table}.open.{b}": version for b in touched}
+
+    def _publish(self, version: int) -> None:
+        tables.commit(self.spark, self.root, version, self.staged)
+        self.staged = {}
 
     def load(self, dim: DataFrame, version: int = 0) -> None:
         """A first version from a whole dimension."""
-        self.write(dim, version, list(range(self.buckets)))
+        self._write(dim, version, list(range(self.buckets)))
+        self._publish(version)
 
     def apply(self, changes: DataFrame, version: int, snapshot: DataFrame | None = None, snapshot_ts: str | None = None) -> list[int]:
         """Merge a batch (and the deletes of a key snapshot); returns the buckets it rewrote."""
         if _committed(self.spark, self.root, version):
             return []
+        touched = self.stage(changes, version, snapshot, snapshot_ts)
+        self._publish(version)
+        return touched
+
+    def stage(self, changes: DataFrame, version: int, snapshot: DataFrame | None = None, snapshot_ts: str | None = None) -> list[int]:
+        """As :meth:`apply`, but the caller commits ``staged`` together with other tables; reads through this object see it."""
+        self.staged = {}
         touched = {r[0] for r in changes.select(self.bucket()).distinct().collect()}
         if snapshot is not None:
             live = scd2.current(self.open_versions(), include_deleted=False, end=self.end)
@@ -105,7 +119,7 @@ class Dimension:
         open_ = self.open_versions(touched)
         more = {"live_keys": snapshot.filter(self.bucket().isin(touched)), "batch_ts": snapshot_ts} if snapshot is not None else {}
         _, rows = scd2.scd2_merge(open_, changes, self.keys, self.tracked, change_ts=self.change_ts, end=self.end, split=True, **more)
-        self.write(rows, version, touched)
+        self._write(rows, version, touched)
         return touched
 
 
