@@ -444,7 +444,12 @@ def q_json_extract_batch(spark, d):
 
 @register("fact_append")
 def q_fact_append(spark, d):
-    return fx.transactions(spark, d)
+    """the operations appended in two batches, the second one twice (a replay overwrites its own directory)."""
+    t = fx.transactions(spark, d)
+    path = scratch_path(spark, "fact_append")
+    for batch, even in ((0, True), (1, False), (1, False)):
+        tables.append_batch(t.filter((F.col("trans_id") % 2 == 0) == even), path, batch)
+    return tables.read_appended(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.schema))
 
 
 @register("fact_dedup_append")
@@ -586,6 +591,7 @@ def q_stream_payment_dedup(spark, d):
     base = scratch_path(spark, "stream_payment_dedup")
     p = _payments(spark, d).select("card_num", "transaction_amt", "transaction_dt").withColumn(
         "yr", F.year("transaction_dt"))
+    p = p.unionByName(p.filter(F.month("transaction_dt") == 3))  # a feed that repeats the payments of each March
     p.repartition("yr").write.partitionBy("yr").parquet(f"{base}/src")
     return jobs.payment_dedup(spark, f"{base}/src/*/*.parquet", f"{base}/fact", f"{base}/ckpt", max_files=4)
 
