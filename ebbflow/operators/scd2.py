@@ -44,19 +44,19 @@ def _same(cols: Sequence[str], a: str, b: str) -> Column:
 
 # ------------------------------------------------------------------ H1..H5
 def new_keys(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-             change_ts: str = "change_ts") -> DataFrame:
+             change_ts: str = "change_ts", end: str = OPEN_END) -> DataFrame:
     """H1: staged keys without an open, live version open a first version."""
-    live_open = current(dim, include_deleted=False).select(*keys)
+    live_open = current(dim, include_deleted=False, end=end).select(*keys)
     return stg.join(live_open, list(keys), "left_anti").select(
         *keys, *tracked,
-        F.col(change_ts).alias("effective_from"), open_end().alias("effective_to"), F.lit(False).alias("is_deleted"),
+        F.col(change_ts).alias("effective_from"), open_end(end).alias("effective_to"), F.lit(False).alias("is_deleted"),
     )
 
 
 def changes(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-            change_ts: str = "change_ts") -> DataFrame:
+            change_ts: str = "change_ts", end: str = OPEN_END) -> DataFrame:
     """H2: staged rows whose tracked values differ (null-safe) from the open version."""
-    o = current(dim, include_deleted=False).select(*keys, *[F.col(c).alias(f"prev_{c}") for c in tracked], "effective_from")
+    o = current(dim, include_deleted=False, end=end).select(*keys, *[F.col(c).alias(f"prev_{c}") for c in tracked], "effective_from")
     j = stg.join(o, list(keys), "inner")
     changed = ~_same(tracked, "", "prev_")
     return j.filter(changed & (F.col(change_ts) > F.col("effective_from"))).select(
@@ -65,27 +65,27 @@ def changes(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequen
 
 
 def close_changed(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-                  change_ts: str = "change_ts", gap: str = CLOSE_GAP) -> DataFrame:
+                  change_ts: str = "change_ts", gap: str = CLOSE_GAP, end: str = OPEN_END) -> DataFrame:
     """H3: the open versions that a change closes, with their new end."""
-    ch = changes(dim, stg, keys, tracked, change_ts).select(*keys, "change_ts")
-    o = current(dim, include_deleted=False)
+    ch = changes(dim, stg, keys, tracked, change_ts, end).select(*keys, "change_ts")
+    o = current(dim, include_deleted=False, end=end)
     return o.join(ch, list(keys)).withColumn("effective_to", minus_interval("change_ts", gap)).drop("change_ts")
 
 
 def reopen_changed(dim: DataFrame, stg: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-                   change_ts: str = "change_ts") -> DataFrame:
+                   change_ts: str = "change_ts", end: str = OPEN_END) -> DataFrame:
     """H4: replacement versions opened by a change."""
-    ch = changes(dim, stg, keys, tracked, change_ts)
+    ch = changes(dim, stg, keys, tracked, change_ts, end)
     return ch.select(
         *keys, *tracked, F.col("change_ts").alias("effective_from"),
-        open_end().alias("effective_to"), F.lit(False).alias("is_deleted"),
+        open_end(end).alias("effective_to"), F.lit(False).alias("is_deleted"),
     )
 
 
 def tombstones(dim: DataFrame, live_keys: DataFrame, keys: Sequence[str], batch_ts: str,
-               gap: str = CLOSE_GAP) -> DataFrame:
+               gap: str = CLOSE_GAP, end: str = OPEN_END) -> DataFrame:
     """H5: open live versions whose key left the source: close + tombstone."""
-    gone = current(dim, include_deleted=False).join(live_keys.select(*keys), list(keys), "left_anti")
+    gone = current(dim, include_deleted=False, end=end).join(live_keys.select(*keys), list(keys), "left_anti")
     closed = gone.withColumn("effective_to", minus_interval(ts_literal(batch_ts), gap))
     tomb = gone.withColumn("effective_from", ts_literal(batch_ts)).withColumn("is_deleted", F.lit(True))
     return closed.unionByName(tomb)

@@ -189,3 +189,18 @@ def test_merge_needs_few_exchanges(spark):
     live = spark.createDataFrame([(1,)], "k long")
     plan = scd2.scd2_merge(dim, stg, ["k"], ["a", "b"], live_keys=live, batch_ts=NOW)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 2 and "Join" not in plan
+
+
+def test_steps_with_another_open_end(spark):
+    """H1 to H5 on a dimension whose open versions end in 2999."""
+    end = "2999-12-31 00:00:00"
+    dim = spark.sql(f"SELECT k, 'x' AS a, TIMESTAMP_NTZ '2024-01-01' AS effective_from, TIMESTAMP_NTZ '{end}' AS effective_to, false AS is_deleted "
+                    "FROM VALUES (1L), (2L), (3L) AS t(k)")
+    stg = spark.sql("SELECT k, a, TIMESTAMP_NTZ '2024-01-02' AS change_ts FROM VALUES (1L, 'x'), (2L, 'y'), (4L, 'z') AS t(k, a)")
+    ends = lambda df: sorted(tuple(r) for r in df.selectExpr("k", "CAST(effective_to AS STRING)").collect())
+    assert ends(scd2.new_keys(dim, stg, ["k"], ["a"], end=end)) == [(4, end)]
+    assert [r.k for r in scd2.changes(dim, stg, ["k"], ["a"], end=end).collect()] == [2]
+    assert ends(scd2.close_changed(dim, stg, ["k"], ["a"], end=end)) == [(2, "2024-01-01 23:59:45")]
+    assert ends(scd2.reopen_changed(dim, stg, ["k"], ["a"], end=end)) == [(2, end)]
+    gone = scd2.tombstones(dim, stg.select("k"), ["k"], "2024-01-03 00:00:00", end=end)
+    assert ends(gone) == [(3, "2024-01-02 23:59:45"), (3, end)]
