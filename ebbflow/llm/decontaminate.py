@@ -41,6 +41,8 @@ _PATTERNS = 20_000
 _HITS = 1 << 20
 OUT = "doc_id long, item_id long, overlap_words long, equal_words long, doc_word long, item_word long"
 SLICE_WORDS = 1 << 20
+#: Items under so many words need an exact overlap to remove a document.
+SHORT = 9
 _PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -186,8 +188,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                         item_text_col: str = "text", overlap: int = 13, agree: float = 0.75, least: int = 9,
-                        slice_words: int = SLICE_WORDS) -> DataFrame:
-    """The documents (all their columns) that overlap with no benchmark item."""
+                        exact: int = 4, slice_words: int = SLICE_WORDS) -> DataFrame:
+    """The documents (all their columns) that overlap with no benchmark item.
+
+    An overlap with an item under nine words is evidence only where it equals the whole item, and the item has at least ``exact``
+    words or is all the words of the document: one common word in a text does not make it a copy.
+    """
     for items in _slices(benchmark, item_col, item_text_col, slice_words):
 
         def keep(items=items):
@@ -195,7 +201,13 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
 
             def test(texts: list[bytes]) -> np.ndarray:
                 ok = np.ones(len(texts), bool)
-                ok[s.overlaps(texts)[0]] = False
+                text, item, _, equal, _, _ = s.overlaps(texts)
+                n = s.count[item]
+                short = np.flatnonzero((n < SHORT) & (n < exact) & (equal == n))
+                alone = np.array([len(_normal(texts[i]).split()) for i in text[short].tolist()], np.int64) == n[short]
+                evidence = (n >= SHORT) | ((equal == n) & (n >= exact))
+                evidence[short[alone]] = True
+                ok[text[evidence]] = False
                 return ok
 
             return test

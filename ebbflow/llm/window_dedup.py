@@ -202,7 +202,8 @@ def cut_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows (all columns) without the repeated words; rows that lose all their words go, others keep their text as it is."""
     others = [c for c in docs.columns if c != text_col]
     kind = docs.select(*others).schema
-    out = remove_repeated_windows(docs, id_col, text_col, width, kept_text=True, carry=F.to_json(F.struct(*[docs[c] for c in others])))
-    row = F.from_json("carry", kind)
+    whole = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}  # JSON cuts to milliseconds by itself
+    out = remove_repeated_windows(docs, id_col, text_col, width, kept_text=True, carry=F.to_json(F.struct(*[docs[c] for c in others]), whole))
+    row = F.from_json("carry", kind, whole)
     return out.where("n_removed = 0 OR n_removed < n_words") \
         .select(*[(F.col("text") if c == text_col else row[c]).alias(c) for c in docs.columns])
