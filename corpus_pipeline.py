@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nnPU classifier does not call toxic."""
     from ebbflow.llm import toxicity as op
@@ -19,12 +20,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
+    """Of each group of near duplicates the document with the smallest id.
+
+    Rows are told apart by their id; rows without one and rows that share one get keys beyond the largest id
+    (ids below 2**62), written once, so that copies among them go and different texts stay.
+    """
+    from ebbflow.llm.core import stage
     from ebbflow.llm.jaccard_join import near_duplicates as op
 
-    stay = op(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns) \
-        .union(docs.where("doc_id IS NULL"))
+    ids = docs.groupBy("doc_id").count()
+    shared, _ = stage(ids.where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("shared_id")), "pipeline-shared-ids")
+    if shared.isEmpty():
+        stay = op(docs).where("doc_id = component_id").select("doc_id")
+        return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    same = docs["doc_id"].eqNullSafe(shared["shared_id"])
+    beyond = ids.agg(F.coalesce(F.max("doc_id"), F.lit(0)) + 1).first()[0]
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    odd, _ = stage(docs.join(shared, same, "left_semi").select((F.monotonically_increasing_id() + beyond).alias("key"), row), "pipeline-odd-rows")
+    keyed = docs.join(shared, same, "left_anti").select(F.col("doc_id").cast("long").alias("key"), row).unionByName(odd)
+    stay = op(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))).where("doc_id = component_id")
+    return keyed.join(stay.select(F.col("doc_id").alias("key")), "key", "left_semi").select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +50,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with no benchmark item."""
+    """Documents that overlap with no benchmark item (items under nine words: only as a whole, see the operator)."""
     from ebbflow.llm.decontaminate import remove_contaminated
 
     return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least=1)
