@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import CLOSE_GAP, OPEN_END, minus_interval, open_end, ts_literal
 from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, shift_within_key
-from ebbflow.session import checkpoint_root
 
 META = ["effective_from", "effective_to", "is_deleted"]
 
@@ -176,12 +175,8 @@ def scd2_merge(
     # 4. surrogate ids for keys seen for the first time (dense, key order)
     if surrogate:
         new_k = stg.select(*keys).distinct().join(open_.select(*keys), keys, "left_anti")
-        ids = assign_surrogate_keys(
-            new_k, keys, "_new_sk",
-            base=lambda: dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).collect()[0]["m"],
-        )
-        if ids is not None:
-            rows = rows.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
+        ids = assign_surrogate_keys(new_k, keys, "_new_sk", base=dim.agg(F.max(surrogate)))
+        rows = rows.join(ids, keys, "left").withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_new_sk")))
 
     # 5. logical deletes against the full key snapshot
     rows = _apply_deletes(rows, out_cols, batch_ts, gap, end) if live_keys is not None else rows.select(*out_cols)
@@ -228,37 +223,30 @@ def _apply_deletes(rows: DataFrame, out_cols: list[str], batch_ts: str, gap: str
 
 
 # ------------------------------------------------------------------ H8
-def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *, base=0,
-                          num_partitions: int | None = None) -> DataFrame | None:
-    """Dense ids ``base+1 ..`` for distinct keys, in key order, without a
-    single-partition window: range-partition by key, number rows inside each
-    partition, add the cumulative count of the preceding partitions (a table
-    with one row per partition, so its broadcast is bounded).
-
-    ``base`` may be a callable, evaluated only when there are keys to number;
-    with no keys the result is None."""
+def assign_surrogate_keys(new_keys: DataFrame, keys: Sequence[str], name: str, *, base: DataFrame | int = 0,
+                          ranges: int = 256) -> DataFrame:
+    """Dense ids ``base+1 ..`` for distinct keys, in key order, without a single-partition window over the keys.
+
+    Keys are dealt into ``ranges`` ranges, numbered inside each, and each range goes on from the sizes of those before
+    it.  The ranges' bounds are a sample of the keys (of every hash class the key with the smallest hash), so they
+    depend on the keys alone: a retried or recomputed task numbers alike.  Nothing runs before the result is
+    used: bounds and ``base`` (a DataFrame of one value, NULL: 0) are scalar subqueries.  Both the sample and the table of
+    sizes have at most ``ranges`` rows."""
     keys = list(keys)
-    spark = new_keys.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = new_keys.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_idx", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    )
-    # pin the numbering in the shared checkpoint folder: both uses below (and
-    # any task retry) must see the same assignment
-    checkpoint_root(spark)
-    tagged = tagged.checkpoint(eager=True)
-    if tagged.isEmpty():
-        return None
-    start = int(base() if callable(base) else base)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-    )
-    return tagged.join(F.broadcast(offsets), "_pid").select(
-        *keys, (F.lit(start) + F.col("_off") + F.col("_idx") + 1).cast("long").alias(name)
-    )
+    key = F.struct(*keys)
+    new_keys = new_keys.select(*keys)
+    h = F.xxhash64(*keys, F.lit(1))
+    sample = new_keys.groupBy(F.pmod(F.xxhash64(*keys), F.lit(ranges)).alias("_c")).agg(F.min_by(key, h).alias("_k"))
+    bounds = sample.agg(F.sort_array(F.collect_list("_k")).alias("_bounds"))
+    # the key's place among the bounds
+    ranged = new_keys.withColumn("_r", F.array_position(F.sort_array(F.array_append(bounds.scalar(), key)), key))
+    sizes = ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_r").orderBy(*keys))
+    start = F.coalesce(base.scalar(), F.lit(0)) if isinstance(base, DataFrame) else F.lit(base)
+    return ranged.withColumn("_i", place).join(F.broadcast(offsets), "_r").select(
+        *keys, (start + F.col("_off") + F.col("_i")).cast("long").alias(name))
 
 
 # ------------------------------------------------------------------ H9

@@ -2,15 +2,17 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task.  When a single key holds a large share of the data (one client,
-one driver, one card) that task becomes the job.  The two primitives below
+one driver, one card) that task becomes the job.  The primitives below
 give the *exact* results of the plain window while partitioning the work by
 ``(key, time bucket)``:
 
 * :func:`shift_within_key` - ``lead``/``lag`` by 1..n rows.  Each bucket is
-  windowed on its own; the rows that cross a bucket boundary are served
-  from a "halo": the first ``n`` rows of each bucket (at most ``n`` rows per
-  bucket, so its size is bounded by the number of non-empty buckets, not
-  by the number of rows).
+  windowed on its own; the last ``n`` rows of each bucket are answered by a
+  second window over the first and last ``n`` rows of all buckets (so its
+  size is bounded by the number of non-empty buckets, not by the number of
+  rows).  Both read the same exchange, so the input is evaluated once.
+* :func:`within_horizon` - any window over the rows of a bounded time before
+  each row: the rows near a bucket's end are copied into the next bucket.
 * :func:`running_sums` - running (prefix) sums in the window order.  Each
   bucket computes local running sums; bucket totals are prefix-summed per
   key (again one row per non-empty bucket) and added back.
@@ -20,9 +22,10 @@ The bucket width only changes how the work is split, never the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import time_bucket
@@ -55,58 +58,56 @@ def shift_within_key(
     """
     keys, order, cols = list(keys), list(order), list(cols)
     prefix = prefix or ("lag" if lag else "lead")
+    names = [(i, c, f"{prefix}_{i}_{c}") for i in range(1, n + 1) for c in cols]
     b = time_bucket(order[0], bucket_seconds)
     # lag == lead in the mirrored order: negate the bucket, sort descending.
     # partition on struct(keys): never NULL itself, NULL fields compare equal,
-    # so a NULL key stays one group and the halo join below is a plain equi
-    # join on the window's own partitioning (no extra exchange)
+    # so a NULL key stays one group
     df = df.withColumn("_b", -b if lag else b).withColumn("_kk", F.struct(*keys))
-    part = ["_kk", "_b"]
     sort = _order_cols(order, lag)
-    w = Window.partitionBy(*part).orderBy(*sort)
+    w = Window.partitionBy("_kk", "_b").orderBy(*sort)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
     inner = df.withColumn("_pos", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(w_all))
-    for i in range(1, n + 1):
-        for c in cols:
-            inner = inner.withColumn(f"_in{i}_{c}", F.lead(c, i).over(w))
-    inner = inner.withColumn("_rem", F.col("_cnt") - F.col("_pos"))  # rows after me in my bucket
-
-    # Halo: the first n rows that follow each bucket.  They are the first n
-    # rows of the following non-empty bucket(s), so they all sit in the
-    # "head" table (first n rows of every bucket, at most n per bucket) and
-    # are the n head rows after the bucket's own last head row.
+    last = F.col("_cnt") - F.col("_pos") < n  # some of the n following rows are in later buckets
+
+    # All n followers in the bucket: the bucket's own window answers.
+    inside = inner
+    for i, c, name in names:
+        inside = inside.withColumn(name, F.lead(c, i).over(w))
+    # The last n rows of a bucket: their followers are among the first n rows
+    # of the buckets after it, so the first and last n rows of every bucket,
+    # taken together in key order, have the right neighbours.
     b_order = F.col("_b").asc_nulls_last() if lag else F.col("_b").asc_nulls_first()
-    if n == 1:
-        # first row of each bucket = min (max when mirrored) of (order, cols):
-        # a hash aggregate with a map-side step, no second sort of the rows
-        pick = F.max if lag else F.min
-        first = df.groupBy(*part).agg(pick(F.struct(*[F.col(c) for c in order], F.struct(*cols).alias("_row"))).alias("_f"))
-        hw = Window.partitionBy("_kk").orderBy(b_order)
-        halo = first.select(*part, F.lead(F.col("_f._row"), 1).over(hw).alias("_h1"))
-    else:
-        hw = Window.partitionBy("_kk").orderBy(b_order, F.col("_pos"))
-        head = inner.filter(F.col("_pos") <= n).select(*part, "_pos", "_cnt", F.struct(*cols).alias("_row"))
-        for t in range(1, n + 1):
-            head = head.withColumn(f"_h{t}", F.lead("_row", t).over(hw))
-        halo = head.filter(F.col("_pos") == F.least(F.col("_cnt"), F.lit(n))).select(
-            *part, *[f"_h{t}" for t in range(1, n + 1)])
-
-    out = inner.join(halo, part, "left")
-    for i in range(1, n + 1):
-        for c in cols:
-            from_halo = None
-            for t in range(1, n + 1):
-                # i-th next row is the t-th row after my bucket when i = rem + t
-                cond = (F.lit(i) - F.col("_rem")) == t
-                from_halo = F.when(cond, F.col(f"_h{t}")[c]) if from_halo is None else from_halo.when(cond, F.col(f"_h{t}")[c])
-            out = out.withColumn(
-                f"{prefix}_{i}_{c}",
-                F.when(F.col("_rem") >= i, F.col(f"_in{i}_{c}")).otherwise(from_halo),
-            )
-    drop = ["_b", "_kk", "_pos", "_cnt", "_rem"] + [f"_h{t}" for t in range(1, n + 1)]
-    drop += [f"_in{i}_{c}" for i in range(1, n + 1) for c in cols]
-    return out.drop(*drop)
+    across = Window.partitionBy("_kk").orderBy(b_order, F.col("_pos"))
+    edges = inner.filter((F.col("_pos") <= n) | last)
+    for i, c, name in names:
+        edges = edges.withColumn(name, F.lead(c, i).over(across))
+    return inside.filter(~last).unionByName(edges.filter(last)).drop("_b", "_kk", "_pos", "_cnt")
+
+
+def within_horizon(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    horizon_seconds: int,
+    columns: dict[str, Callable[[WindowSpec], Column]],
+    *,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """Add ``name: expression(window)`` computed over the key's earlier rows of at least the last ``horizon_seconds``.
+
+    The window is partitioned by (key, time bucket); every row is copied into the buckets that begin within the
+    horizon after it, as context only.  One exchange and one sort serve all columns.  A row's window holds, without
+    gaps, its bucket's rows up to it and all those within the horizon before the bucket: ``lag``, ``last`` and the
+    like are exact as long as the row they speak of lies within the horizon; else they may be NULL.
+    ``order`` must be non-null and unique within a key.
+    """
+    keys, order = list(keys), list(order)
+    first, last = time_bucket(order[0], bucket_seconds), time_bucket(F.col(order[0]) + F.expr(f"INTERVAL {horizon_seconds} SECONDS"), bucket_seconds)
+    rows = df.select("*", F.struct(*keys).alias("_kk"), first.alias("_own"), F.explode(F.sequence(first, last)).alias("_b"))
+    w = Window.partitionBy("_kk", "_b").orderBy(*_order_cols(order, False))
+    rows = rows.select("*", *[f(w).alias(name) for name, f in columns.items()])
+    return rows.filter(F.col("_b") == F.col("_own")).drop("_kk", "_own", "_b")
 
 
 def running_sums(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ebbflow.functions.expr import concat_null_as_empty, plus_interval
 from ebbflow.operators.scd2 import current
-from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, last_known_within_key, shift_within_key
+from ebbflow.operators.windows import DEFAULT_BUCKET_SECONDS, shift_within_key, within_horizon
 
 FRAUD_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -79,6 +81,11 @@ def _client_trans(trans: DataFrame, star: DataFrame) -> DataFrame:
     return trans.join(star.select("card_num", "client_id", "fio", "passport_num", "phone"), "card_num")
 
 
+def _previous(cols: list[str], n: int) -> dict[str, Callable[[WindowSpec], Column]]:
+    """``prev_{i}_{col}``: the values of the key's i-th operation before, for i in 1..n."""
+    return {f"prev_{i}_{c}": lambda w, i=i, c=c: F.lag(c, i).over(w) for i in range(1, n + 1) for c in cols}
+
+
 def fraud_two_cities(trans: DataFrame, star: DataFrame, terminals: DataFrame, report_dt: str,
                      window: str = "1 hour", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """M3: an operation in another city than the client's previous operation
@@ -86,13 +93,11 @@ def fraud_two_cities(trans: DataFrame, star: DataFrame, terminals: DataFrame, re
     terminals of unknown city take no part: the one before them counts."""
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
     x = _client_trans(_since(trans, report_dt, window), star).join(term.filter(F.col("terminal_city").isNotNull()), "terminal")
-    x = shift_within_key(x, ["client_id"], ["trans_date", "trans_id"], ["terminal_city", "trans_date"], 1,
-                         lag=True, prefix="prev", bucket_seconds=bucket_seconds)
-    prev_city = F.coalesce(F.col("prev_1_terminal_city"), F.col("terminal_city"))
-    prev_dt = F.coalesce(F.col("prev_1_trans_date"), F.col("trans_date"))
+    x = within_horizon(x, ["client_id"], ["trans_date", "trans_id"], _seconds(window), _previous(["terminal_city", "trans_date"], 1),
+                       bucket_seconds=bucket_seconds)
     hit = (
-        (F.col("terminal_city") != prev_city)
-        & (F.col("trans_date") <= plus_interval(prev_dt, window))
+        (F.col("terminal_city") != F.col("prev_1_terminal_city"))
+        & (F.col("trans_date") <= plus_interval("prev_1_trans_date", window))
         & (F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))
     )
     return _fraud_rows(x.filter(hit), 3)
@@ -104,9 +109,8 @@ def fraud_amount_guessing(trans: DataFrame, star: DataFrame, report_dt: str, win
     decreasing, all rejected but the last, which succeeds; the final
     (successful) operation is reported."""
     n = chain - 1
-    x = shift_within_key(_client_trans(_since(trans, report_dt, window), star), ["client_id"],
-                         ["trans_date", "trans_id"], ["trans_date", "amt", "oper_result"], n, lag=True, prefix="prev",
-                         bucket_seconds=bucket_seconds)
+    x = within_horizon(_client_trans(_since(trans, report_dt, window), star), ["client_id"], ["trans_date", "trans_id"],
+                       _seconds(window), _previous(["trans_date", "amt", "oper_result"], n), bucket_seconds=bucket_seconds)
     hit = (F.col("oper_result") == SUCCESS) & (F.col("trans_date") >= F.lit(report_dt).cast("timestamp_ntz"))
     hit = hit & (F.col("trans_date") <= plus_interval(f"prev_{n}_trans_date", window))
     amt_prev = "amt"
@@ -119,23 +123,23 @@ def fraud_amount_guessing(trans: DataFrame, star: DataFrame, report_dt: str, win
 def fraud_mart(trans, star, blacklist, terminals, report_dt: str, window_two_cities="1 hour",
                window_guessing="20 minutes", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """M4u: the four rules in one report table, in one pass: one star join,
-    one ordered shift (lag 1..3), each operation flagged per rule and
-    exploded into one report row per rule it breaks."""
+    one ordered window over the longest look-back, each operation flagged per
+    rule and exploded into one report row per rule it breaks."""
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
     bl = blacklist.groupBy(F.col("passport_num").alias("bl_passport")).agg(F.min("entry_dt").alias("entry_dt"))
-    lookback = f"{_seconds(window_two_cities, window_guessing)} seconds"
+    horizon = _seconds(window_two_cities, window_guessing)
+    lookback = f"{horizon} seconds"
     x = (_since(trans, report_dt, lookback).join(star, "card_num").join(term, "terminal", "left")
          .join(bl, F.col("passport_num") == F.col("bl_passport"), "left"))
-    x = shift_within_key(x, ["client_id"], ["trans_date", "trans_id"],
-                         ["trans_date", "amt", "oper_result"], 3, lag=True, prefix="prev",
-                         bucket_seconds=bucket_seconds)
-    x = last_known_within_key(x, ["client_id"], ["trans_date", "trans_id"], ["terminal_city", "trans_date"],
-                              F.col("terminal_city").isNotNull(), "known", bucket_seconds=bucket_seconds)
+    city = F.when(F.col("terminal_city").isNotNull(), F.struct("terminal_city", "trans_date"))
+    known = {"known": lambda w: F.last(city, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))}
+    x = within_horizon(x, ["client_id"], ["trans_date", "trans_id"], horizon,
+                       _previous(["trans_date", "amt", "oper_result"], 3) | known, bucket_seconds=bucket_seconds)
     day = F.to_date("trans_date")
     r1 = (day > F.col("passport_valid_to")) | (F.col("bl_passport").isNotNull() & (F.col("trans_date") > F.col("entry_dt")))
     r2 = F.col("account_valid_to") < day
-    r3 = ((F.col("terminal_city") != F.col("known_terminal_city"))
-          & (F.col("trans_date") <= plus_interval("known_trans_date", window_two_cities)))
+    r3 = ((F.col("terminal_city") != F.col("known.terminal_city"))
+          & (F.col("trans_date") <= plus_interval("known.trans_date", window_two_cities)))
     r4 = (F.col("oper_result") == SUCCESS) & (F.col("trans_date") <= plus_interval("prev_3_trans_date", window_guessing))
     amt_prev = "amt"
     for i in range(1, 4):

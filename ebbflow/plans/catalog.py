@@ -319,7 +319,8 @@ def q_client_metrics(spark, d):
     return taxi.client_metrics(fx.taxi_clients(spark, d), fx.fact_rides(spark, d), _payments(spark, d))
 
 
-HIST_T1, HIST_T2 = "1997-01-01 00:00:00", "1999-01-01 00:00:00"
+#: Report runs of the metrics history; the last one is after all rides and payments.
+HIST_RUNS = ["1997-01-01 00:00:00", "1999-01-01 00:00:00", "2010-01-01 00:00:00"]
 
 
 def _metrics_as_of(spark, d, ts):
@@ -333,29 +334,28 @@ def _metrics_as_of(spark, d, ts):
 
 @register("client_metrics_hist")
 def q_client_metrics_hist(spark, d):
-    """M8h: SCD2 history over the client metrics, two report runs.  Run 1
-    writes the history table (version 1 + manifest); run 2 reads it back and
-    merges the new metrics, as the scheduled job would."""
-
-    root = scratch_path(spark, "client_metrics_hist")
-    m1 = _metrics_as_of(spark, d, HIST_T1)
-    ids = scd2.assign_surrogate_keys(fx.taxi_clients(spark, d).select("phone_num").distinct(), ["phone_num"],
-                                     "client_id")
-    hist = m1.join(ids, "phone_num").select(
-        "phone_num", *taxi.METRIC_COLS, ts_literal(HIST_T1).alias("effective_from"),
+    """M8h: SCD2 history over the client metrics, three report runs.  The first
+    writes the history table (version 1 + manifest); each later run reads it back,
+    merges the new metrics and commits, as the scheduled job would."""
+
+    root, (first, *later) = scratch_path(spark, "client_metrics_hist"), HIST_RUNS
+    phones = fx.taxi_clients(spark, d).select("phone_num").distinct()
+    hist = _metrics_as_of(spark, d, first).join(scd2.assign_surrogate_keys(phones, ["phone_num"], "client_id"), "phone_num").select(
+        "phone_num", *taxi.METRIC_COLS, ts_literal(first).alias("effective_from"),
         open_end().alias("effective_to"), F.lit(False).alias("is_deleted"), "client_id",
     )
-    tables.write_version(hist, root, "client_metrics_hist", 1)
-    tables.commit(spark, root, 1, {"client_metrics_hist": 1})
-
-    hist = tables.read_table(spark, root, "client_metrics_hist")
-    m2 = _metrics_as_of(spark, d, HIST_T2).withColumn("change_ts", ts_literal(HIST_T2))
-    live = fx.taxi_clients(spark, d).select("phone_num")
-    merged = scd2.scd2_merge(hist, m2, ["phone_num"], taxi.METRIC_COLS, live_keys=live, batch_ts=HIST_T2,
-                             surrogate="client_id")
-    return merged.select("client_id", "phone_num", *taxi.METRIC_COLS,
-                         F.col("effective_from").alias("start_dt"), F.col("effective_to").alias("end_dt"),
-                         F.col("is_deleted").alias("deleted_flag"))
+    for version, run_ts in enumerate([first, *later], 1):
+        if version > 1:
+            stored = tables.read_table(spark, root, "client_metrics_hist")
+            staged = _metrics_as_of(spark, d, run_ts).withColumn("change_ts", ts_literal(run_ts))
+            hist = scd2.scd2_merge(stored, staged, ["phone_num"], taxi.METRIC_COLS, live_keys=phones, batch_ts=run_ts,
+                                   surrogate="client_id")
+        if version < len(HIST_RUNS):
+            tables.write_version(hist, root, "client_metrics_hist", version)
+            tables.commit(spark, root, version, {"client_metrics_hist": version})
+    return hist.select("client_id", "phone_num", *taxi.METRIC_COLS,
+                       F.col("effective_from").alias("start_dt"), F.col("effective_to").alias("end_dt"),
+                       F.col("is_deleted").alias("deleted_flag"))
 
 
 # ------------------------------------------------------------------ sources, control state, upserts

@@ -372,6 +372,10 @@ DEPS.update({
 })
 
 
+#: Report runs of the metrics history.
+HIST_RUNS = ["1997-01-01 00:00:00", "1999-01-01 00:00:00", "2010-01-01 00:00:00"]
+
+
 def _metrics_sql(cut: str | None) -> str:
     rf = f"WHERE ride_arrival_dt < TIMESTAMP '{cut}'" if cut else ""
     pf = f"WHERE transaction_dt < TIMESTAMP '{cut}'" if cut else ""
@@ -471,22 +475,17 @@ ORACLE.update({
         SELECT card_num, CAST(sum(transaction_amt) AS DECIMAL(22,2)) AS paid_total FROM payments GROUP BY card_num""",
     "client_metrics": with_("taxi_clients", "fact_rides", "payments") + f"SELECT * FROM {_metrics_sql(None)}",
     "client_metrics_hist": with_("taxi_clients", "fact_rides", "payments") + f""",
-        m1 AS {_metrics_sql('1997-01-01 00:00:00')},
-        m2 AS {_metrics_sql('1999-01-01 00:00:00')},
-        h1 AS (SELECT row_number() OVER (ORDER BY phone_num) AS client_id, * FROM m1),
-        ch AS (SELECT m2.* FROM m2 JOIN h1 USING (phone_num)
-               WHERE m2.rides_cnt IS DISTINCT FROM h1.rides_cnt OR m2.cancelled_cnt IS DISTINCT FROM h1.cancelled_cnt
-                  OR m2.spent_amt IS DISTINCT FROM h1.spent_amt OR m2.debt_amt IS DISTINCT FROM h1.debt_amt)
-        SELECT h1.client_id, h1.phone_num, h1.rides_cnt, h1.cancelled_cnt, h1.spent_amt, h1.debt_amt,
-               TIMESTAMP '1997-01-01 00:00:00' AS start_dt,
-               CASE WHEN ch.phone_num IS NOT NULL THEN TIMESTAMP '1999-01-01 00:00:00' - INTERVAL 15 SECOND
-                    ELSE {OPEN_END} END AS end_dt,
+        m AS ({" UNION ALL ".join(f"SELECT TIMESTAMP '{t}' AS t, * FROM {_metrics_sql(t)}" for t in HIST_RUNS)}),
+        prior AS (SELECT *, lag(t) OVER w AS t0, lag(rides_cnt) OVER w AS r0, lag(cancelled_cnt) OVER w AS c0,
+                         lag(spent_amt) OVER w AS s0, lag(debt_amt) OVER w AS d0
+                  FROM m WINDOW w AS (PARTITION BY phone_num ORDER BY t)),
+        versions AS (SELECT * FROM prior WHERE t0 IS NULL OR rides_cnt IS DISTINCT FROM r0
+                        OR cancelled_cnt IS DISTINCT FROM c0 OR spent_amt IS DISTINCT FROM s0 OR debt_amt IS DISTINCT FROM d0),
+        ids AS (SELECT phone_num, row_number() OVER (ORDER BY phone_num) AS client_id FROM (SELECT DISTINCT phone_num FROM taxi_clients))
+        SELECT client_id, phone_num, rides_cnt, cancelled_cnt, spent_amt, debt_amt, t AS start_dt,
+               coalesce(lead(t) OVER (PARTITION BY phone_num ORDER BY t) - INTERVAL 15 SECOND, {OPEN_END}) AS end_dt,
                false AS deleted_flag
-        FROM h1 LEFT JOIN ch ON h1.phone_num = ch.phone_num
-        UNION ALL
-        SELECT h1.client_id, ch.phone_num, ch.rides_cnt, ch.cancelled_cnt, ch.spent_amt, ch.debt_amt,
-               TIMESTAMP '1999-01-01 00:00:00', {OPEN_END}, false
-        FROM ch JOIN h1 ON ch.phone_num = h1.phone_num""",
+        FROM versions JOIN ids USING (phone_num)""",
 })
 
 

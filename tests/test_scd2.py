@@ -204,3 +204,28 @@ def test_steps_with_another_open_end(spark):
     assert ends(scd2.reopen_changed(dim, stg, ["k"], ["a"], end=end)) == [(2, end)]
     gone = scd2.tombstones(dim, stg.select("k"), ["k"], "2024-01-03 00:00:00", end=end)
     assert ends(gone) == [(3, "2024-01-02 23:59:45"), (3, end)]
+
+
+def test_surrogate_ids_run_no_job_before_they_are_used(spark):
+    """Two batches; the plan is built without a job, and numbering again gives the same ids."""
+    dim = spark.createDataFrame([(1, "x", 1.0, T0, OPEN, False, 10)], DIM + ", sk long")
+    keys = [(k, "q", 1.0, T1) for k in range(1000, 0, -3)]
+    spark.sparkContext.setJobGroup("surrogate-plan", "")
+    out = scd2.scd2_merge(dim, spark.createDataFrame(keys, STG), ["k"], ["a", "b"], surrogate="sk")
+    planned = list(spark.sparkContext.statusTracker().getJobIdsForGroup("surrogate-plan"))
+    spark.sparkContext.setJobGroup("surrogate-run", "")
+    assert planned == []
+    new = sorted({(r.k, r.sk) for r in out.collect() if r.k != 1})
+    assert new == [(k, 11 + i) for i, k in enumerate(sorted(k for k, *_ in keys if k != 1))]
+    assert sorted({(r.k, r.sk) for r in out.repartition(3).collect() if r.k != 1}) == new
+    again = scd2.scd2_merge(out, spark.createDataFrame([(2, "z", 2.0, T1), (5000, "z", 2.0, T1)], STG), ["k"], ["a", "b"], surrogate="sk")
+    top = max(sk for _, sk in new)
+    assert {r.k: r.sk for r in again.collect() if r.k in (2, 5000)} == {2: top + 1, 5000: top + 2}
+
+
+def test_surrogate_ids_of_no_keys(spark):
+    none = spark.createDataFrame([], "a string, b int")
+    assert scd2.assign_surrogate_keys(none, ["a", "b"], "id").collect() == []
+    some = spark.createDataFrame([("x", 2), ("x", 1), (None, 3)], "a string, b int")
+    got = scd2.assign_surrogate_keys(some, ["a", "b"], "id", base=none.agg({"b": "max"})).collect()
+    assert {(r.a, r.b): r.id for r in got} == {(None, 3): 1, ("x", 1): 2, ("x", 2): 3}

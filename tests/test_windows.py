@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ebbflow.operators.windows import running_sums, shift_within_key
+from ebbflow.operators.windows import running_sums, shift_within_key, within_horizon
 
 
 def _events(spark, n_rows=400, n_keys=4, seed=7):
@@ -73,3 +73,33 @@ def test_shift_property(spark, seed, bucket, n, lag):
             exp = exp.withColumn(f"x_{i}_{c}", (F.lag if lag else F.lead)(c, i).over(w))
     cols = sorted(exp.columns)
     assert set(map(tuple, got.select(cols).collect())) == set(map(tuple, exp.select(cols).collect()))
+
+
+@pytest.mark.parametrize("bucket", [60, 600, 86_400])
+def test_within_horizon_matches_the_plain_window_as_far_as_the_horizon(spark, bucket):
+    df = _events(spark)
+    horizon, known = 900, F.when(F.col("amt").isNotNull(), F.struct("amt", "ts"))
+    exprs = {"p_ts": lambda w: F.lag("ts", 2).over(w), "p_id": lambda w: F.lag("id", 2).over(w),
+             "known": lambda w: F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))}
+    got = within_horizon(df, ["k"], ["ts", "id"], horizon, exprs, bucket_seconds=bucket)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.select("*", *[f(w).alias(n) for n, f in exprs.items()])
+    assert got.columns == want.columns
+
+    def seen(rows):
+        near = lambda r, t: t is not None and r.ts - t <= dt.timedelta(seconds=horizon)
+        return {(r.id, r.p_id if near(r, r.p_ts) else None, r.known if r.known and near(r, r.known.ts) else None) for r in rows}
+
+    a, b = got.collect(), want.collect()
+    assert len(a) == len(b) == df.count()
+    assert seen(a) == seen(b)
+
+
+def test_shift_evaluates_its_input_once(spark, tmp_dir):
+    _events(spark).write.parquet(f"{tmp_dir}/e")
+    e = spark.read.parquet(f"{tmp_dir}/e")
+    out = shift_within_key(e.join(e.groupBy("city").count(), "city"), ["k"], ["ts", "id"], ["amt"], 2, bucket_seconds=600)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == 2  # the rows and the count, not again for the edges of the buckets
