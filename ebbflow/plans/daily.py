@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.operators import facts
@@ -39,6 +39,8 @@ class Source:
     rows: DataFrame
     keys: list[str]
     tracked: list[str]
+    #: Rows that are there but out of use: their keys count as deleted.
+    retired: Column | None = None
 
 
 @dataclass(frozen=True)
@@ -55,21 +57,28 @@ class BankDay:
     sources: dict[str, Source] = field(default_factory=dict)
 
 
-def run(spark: SparkSession, root: str, version: int, day: BankDay) -> bool:
-    """Run ``version`` for ``day``; False if that run is committed already."""
-    if tables.has_manifest(spark, root, version):
-        return False
-    m = tables.latest_manifest(spark, root, before=version)
-    marks = dict(m["watermarks"] or {}) if m is not None else {}
+def stage_dimensions(spark: SparkSession, root: str, version: int, sources: dict[str, Source], marks: dict[str, str],
+                     run_ts: str) -> tuple[dict[str, int], dict[str, str], dict[str, Dimension]]:
+    """Merge what changed in the sources since their watermarks; table versions and watermarks to commit, and the dimensions."""
     staged, new_marks, dims = {}, {}, {}
-    for name, s in day.sources.items():
+    for name, s in sources.items():
         changed = incremental.incremental_scan_coalesced(s.rows, "update_dt", "create_dt", marks.get(name, NEVER))
         changes = changed.select(*s.keys, *s.tracked, F.col("change_dt").cast("timestamp_ntz").alias("change_ts"))
         dim = dims[name] = Dimension(spark, root, name, changes.schema, s.keys, s.tracked)
-        dim.stage(changes, version, incremental.key_snapshot(s.rows, s.keys), day.run_ts)
+        dim.stage(changes, version, incremental.key_snapshot(s.rows, s.keys, s.retired), run_ts)
         staged |= dim.staged
         last = changes.agg(F.max("change_ts")).first()[0]  # an empty batch keeps the mark
         new_marks[name] = marks.get(name, NEVER) if last is None else max(marks.get(name, NEVER), last.isoformat(sep=" "))
+    return staged, new_marks, dims
+
+
+def run(spark: SparkSession, root: str, version: int, day: BankDay) -> bool:
+    """Run ``version`` for ``day``; False if that run is committed already."""
+    if tables.has_manifest(spark, root, version):
+        return False
+    m = tables.latest_manifest(spark, root, before=version)
+    marks = dict(m["watermarks"] or {}) if m is not None else {}
+    staged, new_marks, dims = stage_dimensions(spark, root, version, day.sources, marks, day.run_ts)
 
     feed = parse_lines(day.operations, TRANSACTION_FIELDS, ";")
     loaded = operations(spark, root, version)

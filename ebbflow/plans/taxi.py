@@ -94,6 +94,15 @@ def trips(events: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> Da
     )
 
 
+def ride_trips(fact_rides: DataFrame) -> DataFrame:
+    """Trips of the ride fact: driven rides (not cancelled) of a known driver, with their elapsed seconds."""
+    driven = F.col("ride_start_dt").isNotNull() & F.col("ride_end_dt").isNotNull() & F.col("driver_pers_num").isNotNull()
+    return fact_rides.filter(driven).select(
+        F.col("driver_pers_num").alias("personnel_num"), F.col("ride_id").alias("ride"), "distance_val",
+        "ride_start_dt", "ride_end_dt", elapsed_seconds("ride_start_dt", "ride_end_dt").alias("ride_sec"),
+    )
+
+
 def driver_violations(trip_df: DataFrame, report_dt: str | None = None, limit_kmh: int = SPEED_LIMIT,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """M6: trips faster than the limit (speed rounded to km/h, as in the

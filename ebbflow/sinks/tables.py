@@ -111,6 +111,25 @@ def write_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> No
      .partitionBy(partition_col).parquet(path))
 
 
+def write_report(df: DataFrame, root: str, name: str, version: int, dates: list[str]) -> dict[str, int]:
+    """K7 under the manifest: the rows of some report dates (``report_dt``); what to commit, so that these dates are
+    read from this run, also those without rows."""
+    df.filter(F.col("report_dt").isin([F.lit(d).cast("date") for d in dates])).write.mode("overwrite") \
+        .partitionBy("report_dt").parquet(f"{root}/{name}/version={version:012d}")
+    return {f"{name}.{d}": version for d in dates}
+
+
+def read_report(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """The rows of all committed report dates, each from the run that wrote it last.  ``schema`` ends with ``report_dt DATE``."""
+    m = latest_manifest(spark, root)
+    valid = [(n[len(name) + 1:], v) for n, v in (dict(m["tables"] or {}) if m is not None else {}).items() if n.startswith(f"{name}.")]
+    if not valid:
+        return spark.createDataFrame([], schema)
+    pairs = spark.createDataFrame(valid, "report_dt STRING, version BIGINT").select(F.col("report_dt").cast("date"), "version")
+    stored = spark.read.schema(f"{schema}, version BIGINT").parquet(f"{root}/{name}")
+    return stored.join(F.broadcast(pairs), ["report_dt", "version"], "left_semi").drop("version")  # one row per report date
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
     """Append-only fact written per micro-batch: ``<path>/batch=<id>``; a
     replayed batch overwrites its own directory only.  With ``partition_by``
