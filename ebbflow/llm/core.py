@@ -28,6 +28,9 @@ from ebbflow.session import scratch_path
 
 BLOCK_BYTES = 4 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What a pass holds of its input at once, in a worker and beside the heap (Spark's own bound is many blocks).
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 #: Keys that one shard of an exchange holds on average.
 SHARD_KEYS = 1 << 20
 #: A null doc_id sorts after every id and comes back as null.
@@ -318,12 +321,15 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[Da
     path = scratch_path(spark, name)
     w = df.write.partitionBy(partition_by) if partition_by else df.write
     schema = df.schema
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    during = {_CLEANUP: "true", _BATCH: str(BATCH_BYTES)}
+    before = {k: spark.conf.get(k, None) for k in during}
+    for k, v in during.items():
+        spark.conf.set(k, v)
     try:
         w.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(schema).parquet(path), path
 
 
