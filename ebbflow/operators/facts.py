@@ -55,7 +55,9 @@ def assign_by_range(
     The range side is exploded to one row per calendar day it covers, so the
     join runs on (equi, day): a hot equi value (one car, one driver) is
     spread over its days instead of landing in one task, and the BETWEEN
-    test becomes a residual filter.  The winner is picked with a ``min``
+    test becomes a residual filter.  The planner's estimate does not count the
+    explode, so the join is asked to merge: a broadcast would send the days of
+    all ranges through the driver.  The winner is picked with a ``min``
     over a struct (a hash aggregate with a partial step), not a sort.
     """
     point_keys = list(point_keys)
@@ -69,7 +71,7 @@ def assign_by_range(
         (p[equi] == r["_eq"]) & (p["_day"] == r["_day"])
         & (p[at] >= r["_rs"]) & (p[at] <= r["_re"])
     )
-    j = p.join(r, cond, how)
+    j = p.join(r.hint("merge"), cond, how)
     rank_fields = [F.col("_rs") if c == start else F.col(f"_rk_{c}") for c in rank_by]
     best = F.when(F.col("_rs").isNotNull(), F.struct(*rank_fields, *[F.col(f"_tk_{c}") for c in take]))
     keep = point_keys + [c for c in points.columns if c not in point_keys]
