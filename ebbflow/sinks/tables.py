@@ -13,6 +13,9 @@ All I/O goes through Spark, so ``root`` may live on any shared file system.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +50,40 @@ def commit(spark: SparkSession, root: str, version: int, tables: dict[str, int],
         f"{root}/_manifest/v={version:012d}")
 
 
+def commit_each(spark: SparkSession, root: str, batches: Iterable[tuple[int, dict[str, int], dict[str, str]]]) -> None:
+    """K5 for many batches (version, tables, watermarks), published one after the other as :func:`commit` does.
+
+    The manifest before them is read once, and each one is a small file written without a Spark job; its success mark
+    comes last, so a batch is published as a whole or not at all."""
+    kept = None
+    for version, tables, watermarks in batches:
+        if kept is None:
+            before = latest_manifest(spark, root, before=version)
+            kept = {n: dict(before[n] or {}) if before else {} for n in ("tables", "watermarks")}
+        kept = {"tables": {**kept["tables"], **tables}, "watermarks": {**kept["watermarks"], **watermarks}}
+        path = f"{root}/_manifest/v={version:012d}"
+        delete(spark, path)
+        for file, text in (("part-00000.json", json.dumps({"version": version, **kept}) + "\n"), ("_SUCCESS", "")):
+            place, fs = _place(spark, f"{path}/{file}")
+            out = fs.create(place, True)
+            try:
+                out.write(bytearray(text.encode()))
+            finally:
+                out.close()
+
+
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, if it is there."""
+    place, fs = _place(spark, path)
+    fs.delete(place, True)
+
+
 def latest_manifest(spark: SparkSession, root: str, before: int | None = None):
     """The newest committed manifest row (of a version under ``before``), or None.
 
@@ -59,8 +96,8 @@ def latest_manifest(spark: SparkSession, root: str, before: int | None = None):
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Versions whose manifest was written completely (Spark's success mark is there)."""
-    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_manifest/v=*/_SUCCESS")
-    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    marks, fs = _place(spark, f"{root}/_manifest/v=*/_SUCCESS")
+    found = fs.globStatus(marks) or []
     return [int(s.getPath().getParent().getName()[2:]) for s in found]
 
 
@@ -141,6 +178,13 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | No
     w.parquet(f"{path}/batch={batch_id:012d}")
 
 
+def append_batches(df: DataFrame, path: str) -> None:
+    """:func:`append_batch` for many batches in one job; the column ``batch`` (a number) names each row's batch.  Batches
+    that ``df`` has no rows of stay as they are."""
+    (df.withColumn("batch", F.lpad(F.col("batch").cast("string"), 12, "0")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+
 def read_appended(spark: SparkSession, path: str, schema: str, before_batch: int | None = None,
                   extra_partitions: str | None = None, with_batch: bool = False) -> DataFrame:
     """Rows of an append-only fact; with ``before_batch`` only the batches

@@ -2,8 +2,8 @@
 
 A cursor is the pair (time, id) of the last row taken.  The next page holds the rows after it in (time, id)
 order, so a page may end in the middle of rows with equal times, and a document that changes keeps its id but moves behind the
-cursor with its new time (D30).  Pages are written and committed one by one together with their cursor; a
-pull that stops goes on where it was.
+cursor with its new time (D30).  The rows behind the cursor are read and ordered once for all their pages; pages are
+committed one by one together with their cursor, and a pull that stops goes on where it was.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbflow.operators.scd1 import latest_per_key
 from ebbflow.sinks import tables
@@ -53,26 +54,65 @@ def drain(df: DataFrame, root: str, name: str, ts_col: str, id_col: str, start:
           max_pages: int | None = None) -> int:
     """Take page after page into ``<root>/<name>/batch=<n>`` until none is left; returns how many pages were taken.
 
-    Each page is committed with its cursor, in one manifest, before the next one is asked for, so a pull that was
-    stopped repeats at most the page it was in (and overwrites it).  Rows without a change time or id are never behind
-    a cursor and are not taken.  ``(ts_col, id_col)`` must be unique.
+    A round reads the source once and cuts the rows behind the cursor into pages; rows that came meanwhile are the next
+    round's, and a round without rows ends the pull.  Each page is committed with its cursor, in one manifest, in order;
+    a pull that was stopped goes on behind the last committed page (pages written beyond it are overwritten).  Rows
+    without a change time or id are never behind a cursor and are not taken.  ``(ts_col, id_col)`` must be unique.
     """
     spark = df.sparkSession
     done = 0
     while max_pages is None or done < max_pages:
         cursor, page_no = _resume(spark, root, name, start)
-        path = f"{root}/{name}"
-        tables.append_batch(next_page(df, ts_col, id_col, cursor, page_size), path, page_no)
-        last = last_position(spark.read.schema(df.schema).parquet(f"{path}/batch={page_no:012d}"), ts_col, id_col)
-        if last is None:
-            break
-        tables.commit(spark, root, page_no, {name: page_no}, {f"{name}.ts": last.ts, f"{name}.id": str(last.id)})
-        done += 1
         if page_size is None:
+            path = f"{root}/{name}"
+            tables.append_batch(next_page(df, ts_col, id_col, cursor, None), path, page_no)
+            last = last_position(spark.read.schema(df.schema).parquet(f"{path}/batch={page_no:012d}"), ts_col, id_col)
+            if last is not None:
+                tables.commit(spark, root, page_no, *_published(name, page_no, last))
+            return int(last is not None)
+        rows = next_page(df, ts_col, id_col, cursor, None if max_pages is None else (max_pages - done) * page_size)
+        taken = _round(rows, root, name, ts_col, id_col, page_no, page_size)
+        if not taken:
             break
+        done += taken
     return done
 
 
+def _published(name: str, page_no: int, last: Cursor) -> tuple[dict[str, int], dict[str, str]]:
+    """Tables and watermarks of a page's manifest."""
+    return {name: page_no}, {f"{name}.ts": last.ts, f"{name}.id": str(last.id)}
+
+
+def _round(rows: DataFrame, root: str, name: str, ts_col: str, id_col: str, first: int, page_size: int) -> int:
+    """Write ``rows`` as the pages from ``first`` on and commit them in order; returns how many.
+
+    The rows are written once in (time, id) ranges; a row's place is its place in its range, behind the sizes of the
+    ranges before it (a table of at most as many rows as there are shuffle partitions).
+    """
+    spark, kept = rows.sparkSession, f"{root}/_ordered/{name}"
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
+    rows.repartitionByRange(ts_col, id_col).sortWithinPartitions(ts_col, id_col).withColumn("_at", at) \
+        .write.mode("overwrite").parquet(kept)
+    ordered = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_at", T.LongType())])).parquet(kept) \
+        .withColumn("_range", F.shiftright("_at", 33)).withColumn("_place", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = sorted(map(tuple, ordered.groupBy("_range").count().collect()))
+    if sizes:
+        offsets, total = [], 0
+        for r, n in sizes:
+            offsets.append((r, total))
+            total += n
+        placed = ordered.join(F.broadcast(spark.createDataFrame(offsets, "_range long, _before long")), "_range") \
+            .withColumn("_row", F.col("_before") + F.col("_place"))
+        page = F.floor(F.col("_row") / F.lit(page_size)).cast("long") + F.lit(first)
+        tables.append_batches(placed.select(*rows.columns, page.alias("batch")), f"{root}/{name}")
+        ends = placed.filter(((F.col("_row") + 1) % page_size == 0) | (F.col("_row") == total - 1)) \
+            .select("_row", F.col(ts_col).alias("ts"), F.col(id_col).alias("id")).orderBy("_row")
+        tables.commit_each(spark, root, ((n, *_published(name, n, Cursor(e.ts.isoformat(sep=" "), e.id)))
+                                         for n, e in enumerate(ends.toLocalIterator(), first)))
+    tables.delete(spark, kept)
+    return -(-total // page_size) if sizes else 0
+
+
 def _resume(spark: SparkSession, root: str, name: str, start: Cursor) -> tuple[Cursor, int]:
     """The committed cursor of ``name`` (or ``start``), and the number of the next page."""
     m = tables.latest_manifest(spark, root)
