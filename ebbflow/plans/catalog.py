@@ -554,13 +554,17 @@ def q_cumulative_file_delta(spark, d):
 # ------------------------------------------------------------------ streaming
 
 
-def _write_in_order(parts: list[DataFrame], path: str) -> None:
+def _write_in_order(parts: list[DataFrame], path: str) -> int:
     """Write feed files one part after the other (file sources consume files
-    in modification-time order)."""
+    in modification-time order), each part by all its tasks; returns the most
+    files of a part, so that a micro-batch of so many takes a part."""
+    files = 0
     for i, p in enumerate(parts):
         if i:
             time.sleep(1.1)
-        p.coalesce(1).write.parquet(f"{path}/part{i:03d}")
+        p.write.parquet(f"{path}/part{i:03d}")
+        files = max(files, len(p.sparkSession.read.parquet(f"{path}/part{i:03d}").inputFiles()))
+    return files
 
 
 @register("stream_file_ingest")
@@ -603,8 +607,8 @@ def q_stream_ride_assembly(spark, d):
     base = scratch_path(spark, "stream_ride_assembly")
     m = fx.movement(spark, d)
     drop = F.pmod(F.xxhash64("ride", "event", "dt"), F.lit(3))
-    _write_in_order([m.filter(drop == i) for i in range(3)], f"{base}/src")
-    out = rides.ride_assembly(spark, f"{base}/src/*/*.parquet", f"{base}/state", f"{base}/ckpt")
+    files = _write_in_order([m.filter(drop == i) for i in range(3)], f"{base}/src")
+    out = rides.ride_assembly(spark, f"{base}/src/*/*.parquet", f"{base}/state", f"{base}/ckpt", max_files=files)
     return out.withColumnRenamed("ride", "ride_id")
 
 
@@ -615,8 +619,8 @@ def q_stream_scd2(spark, d):
     dim, stg, _ = _scd_inputs(spark, d)
     kept = dimension.Dimension(spark, f"{base}/tables", "dim", SCD_STAGED, SCD_KEYS, SCD_TRACKED)
     kept.load(dim)
-    _write_in_order([stg.filter(F.col("c_custkey") % 2 == r) for r in (0, 1)], f"{base}/src")
-    return dimension.scd2_stream(spark, f"{base}/src/*/*.parquet", kept, f"{base}/ckpt", SCD_STAGED)
+    files = _write_in_order([stg.filter(F.col("c_custkey") % 2 == r) for r in (0, 1)], f"{base}/src")
+    return dimension.scd2_stream(spark, f"{base}/src/*/*.parquet", kept, f"{base}/ckpt", SCD_STAGED, max_files=files)
 
 
 @register("stream_scd2_deletes")
@@ -626,10 +630,10 @@ def q_stream_scd2_deletes(spark, d):
     dim, stg, live = _scd_inputs(spark, d)
     kept = dimension.Dimension(spark, f"{base}/tables", "dim", SCD_STAGED, SCD_KEYS, SCD_TRACKED)
     first = dim.select(*SCD_KEYS, *SCD_TRACKED, F.col("effective_from").alias("change_ts"))
-    _write_in_order([first, stg], f"{base}/src")
+    files = _write_in_order([first, stg], f"{base}/src")
     feeds = (f"{base}/src/*/*.parquet", kept, f"{base}/ckpt", SCD_STAGED, f"{base}/said/*/*.json")
-    dimension.scd2_stream(spark, *feeds)
+    dimension.scd2_stream(spark, *feeds, max_files=files)
     live.write.parquet(f"{base}/keys")
     spark.createDataFrame([(f"{base}/keys", fx.BATCH_TS)], "snapshot_path string, snapshot_ts string").coalesce(1) \
         .write.json(f"{base}/said/part000")
-    return dimension.scd2_stream(spark, *feeds)
+    return dimension.scd2_stream(spark, *feeds, max_files=files)
