@@ -69,26 +69,35 @@ class Parsed:
 def parse_lines(df: DataFrame, fields: list[Field], sep: str, line_col: str = "value") -> Parsed:
     """Split every line at ``sep`` (no quoting) and parse its fields; other columns of ``df`` are kept with the line.
 
-    A null line counts as blank.
+    A null line counts as blank.  A line is cut once and its fields are parsed once, whatever is asked of the rows: both
+    steps are generators of one row, so a filter on the reason does not repeat them below.
     """
-    line = F.regexp_replace(F.col(line_col), "[\r\n]+$", "")
-    cut = F.split(line, _quoted(sep), -1)
-    part = lambda i: F.get(cut, F.lit(i))
-    values = [f.value(part(i)) for i, f in enumerate(fields)]
+    others = [c for c in df.columns if c != line_col]
+    lines = df.select(*others, F.col(line_col).alias("line"))
+    text = F.regexp_replace("line", "[\r\n]+$", "")
+    blank = text.isNull() | (F.trim(F.translate(text, "\t", " ")) == "")
+    cut = lines.select("*", _one_row(F.split(text, _quoted(sep), -1).alias("_cut"), blank.alias("_blank")))
+    part = lambda i: F.get(F.col("_cut"), F.lit(i))
+    empty = [F.trim(part(i)) == "" for i in range(len(fields))]
+    read = cut.select("*", _one_row(*[f.value(part(i)).alias(f.name) for i, f in enumerate(fields)],
+                                    *[e.alias(f"_empty_{i}") for i, e in enumerate(empty)]))
     missing, bad_time, bad_amount = F.lit(False), F.lit(False), F.lit(False)
-    for i, (f, v) in enumerate(zip(fields, values, strict=True)):
-        empty = F.trim(part(i)) == ""
+    for i, f in enumerate(fields):
+        is_empty, v = F.col(f"_empty_{i}"), F.col(f.name)
         if f.required:
-            missing = missing | empty
+            missing = missing | is_empty
         if f.kind == TIME:
-            bad_time = bad_time | (~empty & v.isNull())
+            bad_time = bad_time | (~is_empty & v.isNull())
         if f.kind == AMOUNT:
-            bad_amount = bad_amount | (~empty & v.isNull())
-    reason = (F.when(line.isNull() | (F.trim(F.translate(line, "\t", " ")) == ""), "blank").when(F.size(cut) != len(fields), "fields")
+            bad_amount = bad_amount | (~is_empty & v.isNull())
+    reason = (F.when(F.col("_blank"), "blank").when(F.size("_cut") != len(fields), "fields")
               .when(missing, "key").when(bad_time, "time").when(bad_amount, "amount"))
-    others = [c for c in df.columns if c != line_col]
-    rows = df.select(*others, F.col(line_col).alias("line"), reason.alias("reason"), *[v.alias(f.name) for f, v in zip(fields, values, strict=True)])
-    return Parsed(rows, fields)
+    return Parsed(read.select(*others, "line", reason.alias("reason"), *[f.name for f in fields]), fields)
+
+
+def _one_row(*columns: Column) -> Column:
+    """The columns as the one row of a generator."""
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def _quoted(sep: str) -> str:
