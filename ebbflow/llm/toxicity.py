@@ -86,11 +86,12 @@ def _sample(docs: DataFrame, ids: DataFrame, limit: int) -> list[np.ndarray]:
         core.drop_caches()
         for b in batches:
             texts = core.texts_of(b.column(1))
-            for i, j in core.pieces(texts):
+            for i, j in core.pieces(texts, core.PIECE_BYTES):
                 f, text = features(texts[i:j])
                 cut = np.searchsorted(text, np.arange(j - i + 1))
                 yield core.batch_of("doc_id long, f binary", [
                     {"doc_id": d, "f": f[cut[k]:cut[k + 1]].tobytes()} for k, d in enumerate(b.column(0).to_pylist()[i:j])])
+        core.trim()
 
     rows = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, f binary").collect()
     return [np.frombuffer(r.f, np.int32) for r in sorted(rows, key=lambda r: (r.doc_id, bytes(r.f)))]
@@ -100,6 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           train_on: Column | None = None, prior: float | None = None, max_positive: int = MAX_POSITIVE,
           max_unlabelled: int = MAX_UNLABELLED, least: int = 3, models: int = 3) -> Model:
     """Train on the texts whose ids satisfy ``train_on`` (over a column ``doc_id``; default all)."""
+    core.bounded_batches(docs.sparkSession)
     ok = F.col("doc_id").isNotNull() & (F.lit(True) if train_on is None else train_on)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where(ok)
     marks = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].alias("y")).where(ok & F.col("y").isNotNull()) \
@@ -161,15 +163,17 @@ def _fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, least: int,
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` (0 to 1) of every row."""
+    core.bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         core.drop_caches()
         for b in batches:
             texts = core.texts_of(b.column(1))
-            for i, j in core.pieces(texts):
+            for i, j in core.pieces(texts, core.PIECE_BYTES):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(sent.value.score(texts[i:j]))],
                                                  schema=core.arrow_schema("doc_id long, score double"))
+        core.trim()
 
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, score double")

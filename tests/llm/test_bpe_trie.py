@@ -44,3 +44,36 @@ def test_operator(spark, texts):
     plain = encode(df, PATH).collect()
     assert sorted((r.n_tokens, r.decoded) for r in plain) == sorted((len(lib.encode(t or "", add_special_tokens=False).ids), t or "") for _, t in rows)
     assert encode(df.limit(0), PATH).collect() == []
+
+
+def test_a_worker_remembers_a_bounded_number_of_words_and_pairs(texts, monkeypatch):
+    from ebbflow.llm import bpe_trie
+
+    monkeypatch.setattr(bpe_trie, "MEMORY", 300)
+    monkeypatch.setattr(bpe_trie, "PAIRS", 50)
+    monkeypatch.setattr(bpe_trie, "NODES", 500)
+    enc, lib = TrieEncoder(vocabulary(PATH)), Tokenizer.from_file(PATH)
+    for i in range(0, 400, 10):
+        part = texts[i:i + 10]
+        split = [enc.words(t) for t in part]
+        before = set(enc.known)
+        words = set().union(*split)
+        enc.learn(words)
+        assert before & words <= set(enc.known) and len(enc.known) <= max(300, len(words))
+        enc.encode_words([])
+        assert len(enc.pairs) <= 50 and len(enc.last) <= 500
+        for s, want in zip(split, lib.encode_batch(part, add_special_tokens=False), strict=True):
+            assert [i for w in s for i in enc.known[w][3]] == want.ids
+
+
+def test_passes_run_by_the_caller_hold_small_batches(spark, texts):
+    from ebbflow.llm import core
+    from ebbflow.llm.toxicity import Model, reject_toxic, score
+
+    for build in (lambda d: encode(d, PATH, digests=True), lambda d: reject_toxic(d, Model(None, 0.0)), lambda d: score(d, Model(None, 0.0))):
+        own = spark.newSession()
+        build(own.createDataFrame([(1, "a")], "doc_id long, text string"))
+        assert own.conf.get(core._BATCH) == str(core.BATCH_BYTES)
+        own.conf.set(core._BATCH, "1m")
+        build(own.createDataFrame([(1, "a")], "doc_id long, text string"))
+        assert own.conf.get(core._BATCH) == "1m"
