@@ -3,7 +3,7 @@
 Tokenizer A is a byte-level BPE of the tokenizers library and reads a space and the text; B is a sentencepiece
 model, which adds that space itself.
 
-*Spans.*  A's character offsets and the spans of B's result proto say where tokens end, in characters.  They
+*Spans.*  A's and B's offsets say where tokens end, in characters and in their bytes.  They
 serve as coarse cuts: where a character is shared by several tokens (a multibyte character
 split by A, a byte-fallback run of B), the ends inside it come from the tokens' own decoded bytes.  So
 every token has a byte range.  Where A and B both end a token, a group ends.  Tokens of A and B link where their byte ranges
@@ -53,6 +53,8 @@ BATCH = 1 << 16
 SLICE = 512
 
 _BLANK = 0x20
+#: What comes after a token of a group: one of its side, the other side, the next group, nothing.
+_AFTER = (b",", b"|", b";", b"")
 #: Bytes that may follow the blank before which a text is cut: no white space begins with them.
 _FOLLOWS = np.zeros(256, bool)
 _FOLLOWS[0x21:0x7F] = True
@@ -87,7 +89,8 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_len, self.b_len = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
-        self.names = [str(i) for i in range(max(len(self.a_bytes), len(pieces)))]
+        #: what a digest shows of a token, by 4 * id and what comes after it
+        self.names = np.array([b"%d%s" % (i, c) for i in range(max(len(self.a_bytes), len(pieces))) for c in _AFTER], object)
         made = json.loads(self.a.to_str())
         split = made["pre_tokenizer"] or {}
         #: Whether texts may be cut into units.
@@ -101,9 +104,8 @@ class Aligner:
         a = np.array(e.ids, np.int64)
         if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw:
             return None
-        found = self.b.encode(text[1:], return_type="proto").pieces
-        found = np.array([x for p in found for x in (p.id, p.begin, p.end)], np.int64).reshape(-1, 3)
-        b = found[:, 0]
+        found = self.b.encode(raw[1:], return_type="offset_mapping")
+        b = np.array(found["ids"], np.int64)
         if b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
             return None
         # A's offsets count characters of the text with its blank, B's bytes of the text without
@@ -111,7 +113,7 @@ class Aligner:
         if len(raw) > len(text):
             leads = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
             offsets = np.concatenate((leads, [len(raw)]))[offsets]
-        theirs = found[:, 1:] + 1
+        theirs = np.fromiter(chain.from_iterable(found["offsets"]), np.int64, 2 * len(b)).reshape(-1, 2) + 1
         theirs[:1, 0] = 0  # the blank is the first token's
         return a, refine(offsets, self.a_len[a]), b, refine(theirs, self.b_len[b])
 
@@ -179,13 +181,28 @@ class Units:
         cuts.append(np.concatenate(([0], np.cumsum(many)))[cuts[1]])
         self.sums[some] = np.diff(np.column_stack(cuts), axis=0, prepend=0)
         self._found.append((key, np.repeat(some, self.sums[some, 3])))
-        a_text, b_text = [aligner.names[i] for i in a.tolist()], [aligner.names[i] for i in b.tolist()]
-        x, y = (np.searchsorted(e, both, side="right").tolist() for e in (a_end, b_end))
-        words = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m])
-                 for i, j, k, m in zip([0, *x[:-1]], x, [0, *y[:-1]], y, strict=True)]
-        g = cuts[2].tolist()
-        for u, i, j in zip(some, [0, *g[:-1]], g, strict=True):
-            self.groups[u] = ";".join(words[i:j]).encode()
+        x, y = (np.searchsorted(e, both, side="right") for e in (a_end, b_end))
+        g = cuts[2]
+        shown = _shown(a, b, a_end, b_end, both, x, y, g[np.diff(g, prepend=0) > 0] - 1)
+        text = aligner.names[shown].tolist()
+        edges = np.concatenate(([0], x + y))[g].tolist()
+        for u, i, j in zip(some, [0, *edges[:-1]], edges, strict=True):
+            self.groups[u] = b"".join(text[i:j])
+
+
+def _shown(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndarray, both: np.ndarray, x: np.ndarray, y: np.ndarray,
+           last: np.ndarray) -> np.ndarray:
+    """The tokens group by group, A's before B's, each as its place in ``Aligner.names``; ``x``, ``y``: tokens up to each group, ``last``: groups that end a unit."""
+    n, m = int(x[-1]), int(y[-1])
+    out = np.empty(n + m, np.int64)
+    after = np.zeros(n, np.int64)
+    after[x - 1] = 1
+    out[np.arange(n) + np.concatenate(([0], y))[np.searchsorted(both, a_end[:n])]] = 4 * a[:n] + after
+    after = np.zeros(m, np.int64)
+    after[y - 1] = 2
+    after[y[last] - 1] = 3
+    out[np.arange(m) + x[np.searchsorted(both, b_end[:m])]] = 4 * b[:m] + after
+    return out
 
 
 def _batches(units: list[bytes]) -> Iterator[list[int]]:
