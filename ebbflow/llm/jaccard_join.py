@@ -7,8 +7,11 @@ triangle inequality a partner within ``e`` lies in a region whose pivot is at mo
 from all pivots form a region of their own, with the window next to it.  Regions are
 joined recursively; pivots are compared with their whole cell and then leave it, and a
 region whose documents are already connected is closed, so a dense group never costs
-all its pairs.  Cells beyond a size are split this way by Spark, one round per level,
-smaller ones inside one task.
+all its pairs.  Where regions overlap too much or one keeps most rows (many documents around
+one, each too far from the others to link), further pivots would only leave one by one: the shingles that the rows share
+are counted for all pairs of different components at once, frequent shingles as a matrix
+product, rare ones from their lists of rows.  Cells beyond a size are split by Spark, one round per level,
+or compared slice by slice; smaller ones inside one task.
 
 At distance 1 from everything, unrelated documents cannot be told apart by any pivot,
 so the first cells come from exact conditions instead: (1) equal sets collapse to one
@@ -47,8 +50,12 @@ BLOCK_BYTES = 2 << 20
 PIVOTS = 8
 #: Spark splits a cell in slices of about a cell's largest size over this, each with its own copy of the pivots.
 SLICES = 4
-#: A cell is split into regions only if that makes at most so many rows of each.
-SPREAD = 1.5
+#: A cell is split into regions only if that makes at most so many rows of each, and no region keeps more than ``CROWD`` of them.
+SPREAD, CROWD = 1.5, 0.75
+#: A shingle that more than one in so many rows have is a column of the matrix product (of at most ``DENSE`` cells).
+COMMON, DENSE = 12, 1 << 22
+#: Counts of pairs that are held at once.
+PAIRS = 1 << 21
 
 
 def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -87,6 +94,11 @@ class Sets:
     def of(self, i: int) -> np.ndarray:
         return self.keys[self.first[i]:self.first[i + 1]]
 
+    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``rows``, key) of all their shingles."""
+        n = self.n[rows]
+        return np.repeat(np.arange(len(rows)), n), self.keys[np.repeat(self.first[rows], n) + core.ranges(n)]
+
     def common(self, pivot: np.ndarray, rows: np.ndarray) -> np.ndarray:
         n = self.n[rows]
         hit = core.member(pivot, self.keys[np.repeat(self.first[rows], n) + core.ranges(n)])
@@ -116,22 +128,86 @@ def regions(d: np.ndarray, e: float) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((row, far)), np.concatenate((region, np.full(len(far), d.shape[1])))
 
 
-def join_cell(sets: Sets, pivots: int = 4) -> np.ndarray:
-    """Component (smallest index) of every set of a cell, by recursive pivot regions."""
-    n = len(sets.n)
-    root = np.arange(n)
+class Roots:
+    """Components of rows: union-find towards the smallest index."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
-    def find(x: np.ndarray) -> np.ndarray:
+    def find(self, x: np.ndarray) -> np.ndarray:
+        root = self.root
         while True:
             y = root[x]
             if (root[y] == y).all():
                 return y
             root[x] = root[y]
 
+    def join(self, x: np.ndarray) -> None:
+        touched = self.find(x)
+        self.root[touched] = touched.min()
+
+
+def link_all(sets: Sets, left: np.ndarray, right: np.ndarray | None, roots: Roots) -> None:
+    """Link all near pairs of a left and a right row (without ``right``: of the left rows); pairs of one component are not compared."""
+    alone = right is None
+    if alone:  # the largest component last: its rows meet all others before, and need no block of their own
+        _, group, size = np.unique(roots.find(left), return_inverse=True, return_counts=True)
+        right = left = left[np.lexsort((group, size[group]))]
+    n, num, den = len(right), sets.share.numerator, sets.share.denominator
+    kind = np.float32 if sets.n.max(initial=0) < 1 << 22 else np.float64  # counts are whole numbers in either
+    row, keys = sets.entries(right)
+    every, code, often = np.unique(keys, return_inverse=True, return_counts=True)
+    top = np.argsort(-often, kind="stable")[:DENSE // max(1, n)]
+    top = top[often[top] > max(1, n // COMMON)]
+    column = np.full(len(every), -1)
+    column[top] = np.arange(len(top))
+    dense = np.zeros((n, len(top)), kind)
+    at = column[code]
+    dense[row[at >= 0], at[at >= 0]] = 1
+    holders, first = row[np.argsort(code, kind="stable")], np.cumsum(often) - often
+    size = max(16, PAIRS // max(1, n))
+    for a in range(0, len(left), size):
+        rows = left[a:a + size]
+        from_, mine = np.arange(a if alone else 0, n), roots.find(rows)
+        others = roots.find(right[from_])
+        if (mine == mine[0]).all():
+            from_, others = from_[others != mine[0]], others[others != mine[0]]
+        if not len(from_):
+            continue
+        place = np.full(n, -1)
+        place[from_] = np.arange(len(from_))
+        i, k = sets.entries(rows)
+        k_at = np.minimum(np.searchsorted(every, k), len(every) - 1)
+        hit = every[k_at] == k
+        i, k_at = i[hit], k_at[hit]
+        common_in = column[k_at] >= 0
+        block = np.zeros((len(rows), len(top)), kind)
+        block[i[common_in], column[k_at[common_in]]] = 1
+        common = block @ (dense[from_[0]:] if len(from_) == n - from_[0] else dense[from_]).T
+        rare = ~common_in & (often[k_at] > (1 if alone else 0))
+        i, k_at = i[rare], k_at[rare]
+        held = np.cumsum(often[k_at])
+        cuts = np.searchsorted(held, np.arange(PAIRS // 2, held[-1], PAIRS // 2)) if len(held) else []
+        flat = common.reshape(-1)
+        for some in np.split(np.arange(len(i)), cuts):
+            times = often[k_at[some]]
+            to = place[holders[np.repeat(first[k_at[some]], times) + core.ranges(times)]]
+            where = np.repeat(i[some], times) * len(from_) + to
+            np.add.at(flat, where[to >= 0], kind(1))
+        least = -(-num * (sets.n[rows][:, None] + sets.n[right[from_]]) // (num + den))
+        near = (common >= least) & (mine[:, None] != others)
+        for x in np.flatnonzero(near.any(axis=1)).tolist():
+            roots.join(np.append(right[from_[near[x]]], rows[x]))
+
+
+def join_cell(sets: Sets, pivots: int = 4) -> np.ndarray:
+    """Component (smallest index) of every set of a cell, by recursive pivot regions."""
+    n = len(sets.n)
+    roots = Roots(n)
     todo = [np.arange(n)]
     while todo:
         rows = todo.pop()
-        at = find(rows)
+        at = roots.find(rows)
         if len(rows) < 2 or (at == at[0]).all():
             continue
         # pivots from the smallest components: pairs within one component need no comparison
@@ -141,17 +217,17 @@ def join_cell(sets: Sets, pivots: int = 4) -> np.ndarray:
         for k, p in enumerate(chosen.tolist()):
             common = sets.common(sets.of(p), rows)
             d[:, k] = sets.distance(common, int(sets.n[p]), rows)
-            touched = find(np.append(rows[sets.linked(common, int(sets.n[p]), rows)], p))
-            root[touched] = touched.min()
+            roots.join(np.append(rows[sets.linked(common, int(sets.n[p]), rows)], p))
         left = ~np.isin(rows, chosen)
         rows, d = rows[left], d[left]
         if len(rows):
             row, region = regions(d, float(1 - sets.share))
-            if len(row) > SPREAD * len(rows):  # the windows overlap too much to be worth splitting
-                todo.append(rows)
+            # the windows overlap too much, or one region keeps too much, to be worth splitting
+            if len(row) > SPREAD * len(rows) or np.bincount(region).max() > CROWD * len(rows):
+                link_all(sets, rows, None, roots)
             else:
                 todo += [rows[row[region == k]] for k in np.unique(region).tolist()]
-    return find(np.arange(n))
+    return roots.find(np.arange(n))
 
 
 def _blob_sets(table: pa.Table) -> list[np.ndarray]:
@@ -337,15 +413,30 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
                  for of_links, size in ((True, len(a)), (False, len(row)))]
         return pa.concat_tables([pa.table(x, schema=schema) for x in parts])
 
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Two slices of a cell (or one with itself): the links that join known groups."""
+        ids, of = table.column("doc_id").to_numpy(), table.column("slice").to_numpy()
+        _, first, at = np.unique(table.column("group").to_numpy(), return_index=True, return_inverse=True)
+        start, roots = first[at], Roots(len(ids))
+        roots.root = start.copy()
+        i, j = (x.as_py() for x in key[1:])
+        link_all(Sets(_blob_sets(table), share), np.flatnonzero(of == i), None if i == j else np.flatnonzero(of == j), roots)
+        tops = np.unique(start)
+        to = roots.find(tops)
+        return pa.table({"a": ids[tops[to != tops]], "b": ids[to[to != tops]]}, schema=core.arrow_schema("a long, b long"))
+
     level, links = 0, None
-    member = member.withColumn("group", F.lit(None).cast("long"))
+    member = member.withColumn("group", F.lit(None).cast("long")).withColumn("whole", F.lit(False))
     while True:
-        size = member.groupBy("cell").agg(F.sum("n_shingles").alias("size"), F.count("*").alias("n"),
+        size = member.groupBy("cell").agg(F.sum("n_shingles").alias("size"), F.count("*").alias("n"), F.max("whole").alias("whole"),
                                           F.min(F.coalesce("group", "doc_id")).alias("g"), F.max(F.coalesce("group", "doc_id")).alias("h"))
         size = size.where("n > 1 AND g < h")  # the documents of other cells are connected already
         fit = member.join(size.where(F.col("size") <= cell_shingles).select("cell"), "cell").select("cell", "doc_id", "keys")
         edges = edges.unionByName(fit.groupBy("cell").applyInArrow(small, "a long, b long"))
-        big = size.where(F.col("size") > cell_shingles).select("cell", F.ceil(F.col("size") * SLICES / cell_shingles).alias("slices"))
+        over = size.where(F.col("size") > cell_shingles)
+        if level:
+            edges = edges.unionByName(_tasks(member, over.where("whole"), cell_shingles).groupBy("cell", "i", "j").applyInArrow(compare, "a long, b long"))
+        big = over.where(~F.col("whole")).select("cell", F.ceil(F.col("size") * SLICES / cell_shingles).alias("slices"))
         if big.isEmpty():
             return edges
         level += 1
@@ -360,8 +451,18 @@ def _links(reps: DataFrame, share: Fraction, shard_keys: int, cell_shingles: int
         found = step.where("a IS NOT NULL").select("a", "b")
         edges, links = edges.unionByName(found), found if links is None else links.unionByName(found)
         rows = step.where("a IS NULL")
-        wide = rows.groupBy("parent").agg((F.count("*") > SPREAD * F.count_if("home")).alias("wide"))
+        part = rows.groupBy("parent", "cell").agg(F.count("*").alias("n"), F.count_if("home").alias("own"))
+        wide = part.groupBy("parent").agg(((F.sum("n") > SPREAD * F.sum("own")) | (F.max("n") > CROWD * F.sum("own"))).alias("wide"))
         rows = rows.join(wide, "parent").where(F.col("home") | ~F.col("wide")) \
-            .select("doc_id", "n_shingles", "keys", F.when(F.col("wide"), F.col("whole")).otherwise(F.col("cell")).alias("cell"))
+            .select("doc_id", "n_shingles", "keys", F.when(F.col("wide"), F.col("whole")).otherwise(F.col("cell")).alias("cell"), F.col("wide").alias("whole"))
         groups = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
         member, _ = core.stage(rows.join(groups, "doc_id", "left"), "jaccard-members")
+
+
+def _tasks(member: DataFrame, cells: DataFrame, cell_shingles: int) -> DataFrame:
+    """The rows of cells in slices, each two of which (and each one alone) make one task."""
+    slices = cells.select("cell", F.ceil(F.col("size") * 2 / cell_shingles).alias("slices"))
+    other = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
+    return member.join(slices, "cell").withColumn("slice", F.pmod(F.xxhash64("doc_id"), "slices")).withColumn("other", F.explode(other)) \
+        .select("cell", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), "slice", "doc_id",
+                F.coalesce("group", "doc_id").alias("group"), "keys")

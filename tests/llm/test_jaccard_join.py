@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.llm.components import components
-from ebbflow.llm import core
+from ebbflow.llm import core, jaccard_join
 from ebbflow.llm.jaccard_join import Sets, join_cell, near_duplicates, regions
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -124,3 +124,61 @@ def test_components(spark):
             low[a] = low[b] = min(low[a], low[b])
     got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {k: got.get(k, k) for k in low} == low
+
+
+def ball(rng, n, shared=100, own=12):
+    """Sets around one, each with some shingles of its own: any two are farther apart than a link, few regions part them."""
+    base = rng.integers(0, 1 << 60, shared, dtype=np.uint64)
+    return [np.unique(np.concatenate((rng.choice(base, shared - own, replace=False), rng.integers(0, 1 << 60, own, dtype=np.uint64)))) for _ in range(n)]
+
+
+def test_a_ball_of_unlinked_sets_is_counted_at_once(monkeypatch):
+    """Rows that no pivot parts are not tried pivot by pivot; a few near pairs among them are found."""
+    rng = np.random.default_rng(2)
+    sets = ball(rng, 300)
+    sets += [np.unique(np.append(sets[i], np.uint64(i))) for i in (3, 77, 200)] + ball(rng, 2, own=0)
+    pivots, common = [], Sets.common
+    monkeypatch.setattr(Sets, "common", lambda self, pivot, rows: pivots.append(len(rows)) or common(self, pivot, rows))
+    root = join_cell(Sets(sets, Fraction(4, 5)))
+    want = np.arange(305)
+    want[[300, 301, 302]], want[304] = [3, 77, 200], 303
+    assert root.tolist() == want.tolist()
+    assert len(pivots) <= 8
+
+
+def test_slices_and_small_blocks_give_the_same_links(monkeypatch):
+    rng = np.random.default_rng(3)
+    for pairs, dense in ((64, 1), (500, 200), (1 << 21, 1 << 22)):
+        monkeypatch.setattr(jaccard_join, "PAIRS", pairs)
+        monkeypatch.setattr(jaccard_join, "DENSE", dense)
+        for _ in range(10):
+            sets = [s[: rng.integers(30, 99)] for s in ball(rng, 40, own=3)] + ball(rng, 20, 30, 2)
+            n = len(sets)
+            links = [[len(np.intersect1d(a, b)) * 5 >= 4 * len(np.union1d(a, b)) for b in sets] for a in sets]
+            want = list(range(n))
+            for _ in range(n):
+                want = [min(want[j] for j in range(n) if links[i][j]) for i in range(n)]
+            whole = Sets(sets, Fraction(4, 5))
+            roots, of = jaccard_join.Roots(n), rng.integers(0, 3, n)
+            for i in range(3):
+                for j in range(i, 3):
+                    jaccard_join.link_all(whole, np.flatnonzero(of == i), None if i == j else np.flatnonzero(of == j), roots)
+            assert roots.find(np.arange(n)).tolist() == want == join_cell(whole).tolist()
+
+
+def test_a_ball_beyond_the_limit_takes_one_round(spark, monkeypatch):
+    """Documents around one, each a little too far from the others: Spark compares slices, not eight pivots a round."""
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for k in r.sample(range(200), 5 if i % 9 else 0):
+            w[k] = f"x{r.randint(0, 9999)}"
+        rows.append((i, " ".join(w if i % 9 else w[i // 9:])))
+    names, stage = [], core.stage
+    monkeypatch.setattr(core, "stage", lambda df, name, *a: names.append(name) or stage(df, name, *a))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates(d, cell_shingles=5000, pivots=2).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=repr) == brute(rows)
+    assert names.count("jaccard-level") == 1
