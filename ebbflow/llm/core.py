@@ -428,13 +428,14 @@ def cells_of(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def sketch_rows(block: int, keys: np.ndarray, bits: int) -> list[dict]:
     """A block's count-min sketch of its keys, cut into shards."""
-    keys, counts = np.unique(keys, return_counts=True)
-    out = []
-    for shard, a, b in split_shards(keys, bits):
-        cells, at = np.unique(cells_of(keys[a:b], bits), return_inverse=True)
-        n = np.bincount(at, weights=counts[a:b])
-        out.append({"shard": shard, "block": block, "keys": cells[n < 2].tobytes(), "more": cells[n >= 2].tobytes()})
-    return out
+    # a key's shard and cell together are its leading bits: one pass over all shards, as blocks x shards grow with the square of the input
+    low = U64(max(0, 32 - bits))
+    every, n = np.unique(keys >> low, return_counts=True)
+    every, many = every << low, n >= 2
+    cells, top = cells_of(every, bits), np.concatenate(([0], np.cumsum(many))).tolist()
+    once, more = cells[~many].tobytes(), cells[many].tobytes()
+    return [{"shard": shard, "block": block, "keys": once[4 * (a - top[a]):4 * (b - top[b])], "more": more[4 * top[a]:4 * top[b]]}
+            for shard, a, b in split_shards(every, bits)]
 
 
 def repeated_cells(asks: DataFrame) -> DataFrame:
@@ -449,11 +450,12 @@ def repeated_cells(asks: DataFrame) -> DataFrame:
         more = [np.frombuffer(x, np.uint32) for x in table.column("more").to_pylist()]
         cells, counts = np.unique(np.concatenate(once + more + more), return_counts=True)
         heavy = cells[counts > 1]
-        out = []
-        for b, mine in zip(blocks, once, strict=True):
-            hit = mine[member(heavy, mine)]
-            if len(hit):
-                out.append({"shard": key[0].as_py(), "block": b, "keys": hit.tobytes()})
+        size = np.array([len(x) for x in once])
+        mine = np.concatenate(once)
+        hit = member(heavy, mine)
+        end = np.concatenate(([0], np.cumsum(hit)))[np.cumsum(size)].tolist()
+        said = mine[hit].tobytes()
+        out = [{"shard": key[0].as_py(), "block": b, "keys": said[4 * i:4 * j]} for b, i, j in zip(blocks, [0, *end[:-1]], end, strict=True) if i < j]
         return pa.Table.from_pylist(out, schema=arrow_schema("shard int, block long, keys binary"))
 
     return asks.groupBy("shard").applyInArrow(merge, "shard int, block long, keys binary")
@@ -463,15 +465,15 @@ def flagged(keys: np.ndarray, answers: list[dict], bits: int) -> np.ndarray:
     """Mask of a block's keys whose estimated count over all blocks is two or more."""
     order = np.argsort(keys)
     s = keys[order]
-    mask = np.zeros(len(keys), bool)
-    said = {a["shard"]: np.frombuffer(a["keys"], np.uint32) for a in answers}
-    for shard, a, b in split_shards(s, bits):
-        cells = cells_of(s[a:b], bits)
-        hit = member(said.get(shard, np.empty(0, np.uint32)), cells)
-        again = cells[1:] == cells[:-1]  # sorted keys have sorted cells
-        hit[1:] |= again
-        hit[:-1] |= again
-        mask[a:b] = hit
+    low = U64(max(0, 32 - bits))
+    at = s >> low  # shard and cell
+    answers = sorted(answers, key=lambda a: a["shard"])
+    said = np.frombuffer(b"".join(a["keys"] for a in answers), np.uint32).astype(U64)
+    shard = np.repeat(np.array([a["shard"] for a in answers], U64), np.array([len(a["keys"]) // 4 for a in answers], np.int64))
+    mask = member(shard << U64(32) | said, at)
+    again = at[1:] == at[:-1]
+    mask[1:] |= again
+    mask[:-1] |= again
     out = np.empty(len(keys), bool)
     out[order] = mask
     return out

@@ -182,3 +182,35 @@ def test_a_ball_beyond_the_limit_takes_one_round(spark, monkeypatch):
     got = near_duplicates(d, cell_shingles=5000, pivots=2).collect()
     assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=repr) == brute(rows)
     assert names.count("jaccard-level") == 1
+
+
+def test_sketches_of_many_shards_count_by_leading_bits():
+    """Rows and answers of a block are cut from one pass over its keys, whatever the number of shards."""
+    rng = np.random.default_rng(6)
+    for bits in (0, 3, 12):
+        blocks = [rng.integers(0, 1 << 63, 400, dtype=np.uint64) for _ in range(3)]
+        blocks[1] = np.concatenate((blocks[1], blocks[0][:90], blocks[1][:5]))
+        low = np.uint64(32 - bits)
+        every = np.concatenate([b >> low for b in blocks])
+        rows = [r for i, b in enumerate(blocks) for r in core.sketch_rows(i, b, bits)]
+        assert len(rows) == sum(len(np.unique(b >> low >> np.uint64(32))) for b in blocks)
+        for i, b in enumerate(blocks):
+            mine = [r for r in rows if r["block"] == i]
+            answers = []
+            for r in mine:
+                own = np.frombuffer(r["keys"], np.uint32).astype(np.uint64)
+                at = np.uint64(r["shard"]) << np.uint64(32) | own
+                again = own[[np.count_nonzero(every == x) > 1 for x in at]].astype(np.uint32)
+                answers.append({"shard": r["shard"], "keys": again.tobytes()})
+            want = [np.count_nonzero(every == x) > 1 for x in b >> low]
+            assert core.flagged(b, answers[::-1], bits).tolist() == want
+
+
+def test_flagged_does_one_search_over_all_shards(monkeypatch):
+    rng = np.random.default_rng(7)
+    keys = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    answers = [{"shard": r["shard"], "keys": r["keys"]} for r in core.sketch_rows(0, keys, 8)]
+    calls, member = [], core.member
+    monkeypatch.setattr(core, "member", lambda *a: calls.append(1) or member(*a))
+    assert core.flagged(keys, answers, 8).all()
+    assert len(calls) == 1 < len(answers)
