@@ -13,8 +13,9 @@ A query starts from its ``k`` best of the sample, scored exactly: candidates bel
 neither scanned to the end nor sent on, so what a list gives does not grow with the number of its pieces.
 
 Centroids are fitted on at most ``sample`` vectors (smallest hash of the id); every vector is
-indexed.  Lists travel as pieces of bounded size, so a list that holds a third of all
-vectors (or one vector many times) is scanned by many tasks.
+indexed.  The lists are dealt to ``tiles`` and the queries to as many parts as bound a task's share of both;
+a tile meets each part once, so a query travels once per tile and not once per list.  A list that holds a third of all
+vectors (or one vector many times) is dealt to many tiles and scanned in pieces of bounded size.
 
 Nulls and edge cases: vectors that are null, zero, or hold a null or non-finite component take no
 part, nor do rows with a null id; vectors of each length are searched among themselves; a query never finds rows of its own
@@ -36,8 +37,16 @@ from ebbflow.llm import core
 
 SAMPLE = 20_000
 PIECE = 2_048
+#: Vectors and queries that one task holds, queries that are compared at once, and tiles at least (of ``PIECE`` vectors or more).
+TILE, PART, QUERIES, TILES = 1 << 16, 1 << 16, 1_024, 24
+#: Where more than this share of a piece passes a test, the whole distances are one matrix product.
+MANY = 0.125
+#: Pairs whose vectors are gathered at once.
+PAIRS = 1 << 14
 OUT = "query_id long, rank int, vec_id long, score double"
-_PIECES = "list long, ids binary, vectors binary, bound binary"
+_FOUND = "query_id long, vec_id long, score double"
+_LISTS = "tile long, list long, ids binary, vectors binary"
+_ASKS = "part long, ids binary, vectors binary, bound binary"
 
 
 @dataclass
@@ -48,6 +57,12 @@ class Index:
     scale: float  #: the largest component, so that squares stay finite
     sample_ids: np.ndarray
     sample: np.ndarray
+    tiles: int = 1
+    shares: np.ndarray | None = None  #: into how many shares a list is dealt
+
+    def tile(self, lists: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        share = core.mix64(ids.view(np.uint64)) % self.shares[lists].astype(np.uint64)
+        return (core.mix64(lists.astype(np.uint64) * core.U64(1 << 32) + share) % core.U64(self.tiles)).astype(np.int64)
 
     def rotated(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         x = x / self.scale
@@ -91,17 +106,34 @@ def fit(rows: DataFrame, list_size: int = 1000, max_lists: int = 4096, sample: i
     ids = np.array([r.vec_id for r in chosen if len(r.v) == dim], np.int64)
     q, r = np.linalg.qr(np.random.default_rng(7).normal(size=(dim + 1, dim + 1)))
     index = Index(q * np.sign(np.diag(r)), np.zeros((1, dim + 1)), float(top.m), scale, ids, x)
+    index.tiles = int(max(1, -(-top.n // TILE), min(TILES, top.n // PIECE)))
     lists = int(max(1, min(max_lists, top.n // list_size, len(x) // 8)))
     index.centroids = _kmeans(index.rotated(x), lists)
+    size = np.bincount(index.nearest(index.rotated(x), 1)[:, 0], minlength=lists) * (top.n / len(x))
+    index.shares = np.maximum(1, np.ceil(size / (4 * PIECE))).astype(np.int64)
     return index
 
 
+def _best(score: np.ndarray, n: int) -> np.ndarray:
+    """Columns of each row's ``n`` largest, the first of equal ones first."""
+    if score.shape[1] <= n:
+        return np.argsort(-score, axis=1, kind="stable")
+    least = np.partition(score, score.shape[1] - n, axis=1)[:, -n]
+    some = score >= least[:, None]
+    out = np.empty((len(score), n), np.int64)
+    plain = some.sum(axis=1) == n
+    out[plain] = np.nonzero(some[plain])[1].reshape(-1, n)
+    out[~plain] = np.argsort(-score[~plain], axis=1, kind="stable")[:, :n]
+    order = np.argsort(-np.take_along_axis(score, out, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(out, order, axis=1)
+
+
 def seeds(index: Index, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query number, id, score): the best ``k`` of the sample for each query, some queries at a time."""
     for i in range(0, len(q), 64):
         rough = q[i:i + 64] @ index.sample.T
         rough[query_ids[i:i + 64, None] == index.sample_ids] = -np.inf
-        near = np.argsort(-rough, axis=1, kind="stable")[:, :2 * k]  # some more, as the exact scores may differ in the last bits
+        near = _best(rough, 2 * k)  # some more, as the exact scores may differ in the last bits
         a = np.repeat(np.arange(i, i + len(near)), near.shape[1])
         b = near.ravel()
         own = query_ids[a] == index.sample_ids[b]
@@ -112,40 +144,94 @@ def seeds(index: Index, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterato
         yield a[best], index.sample_ids[b[best]], s[best]
 
 
-def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int,
-         block: int = 16, eps0: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score): the best ``k`` of one piece of a list for each query, of those that score ``bound`` or more."""
-    r, rq = index.rotated(x).astype(np.float32), index.rotated(q, query=True).astype(np.float32)
-    dim, k0 = r.shape[1], min(k + 1, len(r))
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all pairs, as one product."""
+    one = lambda x: np.ones((len(x), 1), x.dtype)
+    x = np.hstack((a * a.dtype.type(-2), (a * a).sum(axis=1)[:, None], one(a))) @ np.hstack((b, one(b), (b * b).sum(axis=1)[:, None])).T
+    return np.maximum(x, 0, out=x)
 
-    def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a @ b.T, 0)
 
-    # some whole candidates give each query a distance to beat (one more, as the query may be among them)
-    head = np.arange(0, len(r), max(1, len(r) // 256))
-    reach = np.partition(squares(rq, r[head]), k0 - 1, axis=1)[:, k0 - 1] if len(head) >= k0 else np.full(len(q), np.inf)
+def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int,
+         block: int = 16, eps0: float = 2.1, rotated: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, row, score): the best ``k`` of one piece of a list for each query, of those that score ``bound`` or more."""
+    r, rq = rotated or (index.rotated(x).astype(np.float32), index.rotated(q, query=True).astype(np.float32))
+    dim, k0 = r.shape[1], min(k + 1, len(r))
+    reach = np.full(len(q), np.inf)
+    if np.isinf(bound).any():
+        # some whole candidates give each query a distance to beat (one more, as the query may be among them)
+        head = np.arange(0, len(r), max(1, len(r) // 256))
+        if len(head) >= k0:
+            reach = np.partition(_squares(rq, r[head]), k0 - 1, axis=1)[:, k0 - 1]
     with np.errstate(over="ignore", invalid="ignore"):
         far = ((q / index.scale) ** 2).sum(axis=1) + index.norm2 - 2 * (bound / index.scale / index.scale)
     reach = np.fmin(reach, np.maximum(far, 0)) + 1e-4 * (np.abs(np.fmin(reach, far)) + index.norm2) + 1e-6
     reach = reach.astype(np.float32)
-    partial = squares(rq[:, :block], r[:, :block])
-    a, b = np.nonzero(partial * (dim / block) <= (reach * (1 + eps0 / np.sqrt(block)) ** 2)[:, None])
-    partial = partial[a, b]
-    for d in range(block, dim, block):
-        e = min(d + block, dim)
-        partial = partial + ((rq[a, d:e] - r[b, d:e]) ** 2).sum(axis=1)
-        margin = 1.0 if e == dim else (1 + eps0 / np.sqrt(e)) ** 2
-        keep = partial * (dim / e) <= reach[a] * margin
-        a, b, partial = a[keep], b[keep], partial[keep]
+    partial = _squares(rq[:, :block], r[:, :block])
+    keep = partial <= (reach * (1 + eps0 / np.sqrt(block)) ** 2 * (min(block, dim) / dim))[:, None]
+    if np.count_nonzero(keep) > MANY * keep.size:  # the test parts little here: gathering pairs would cost more than all columns
+        keep &= _squares(rq, r) <= reach[:, None]
+        a, b = np.nonzero(keep)
+    else:
+        a, b = np.nonzero(keep)
+        partial = partial[a, b]
+        for d in range(block, dim, block):
+            e = min(d + block, dim)
+            margin = 1.0 if e == dim else (1 + eps0 / np.sqrt(e)) ** 2
+            more = [((rq[a[i:i + PAIRS], d:e] - r[b[i:i + PAIRS], d:e]) ** 2).sum(axis=1) for i in range(0, len(a), PAIRS)]
+            partial = partial + np.concatenate(more) if more else partial
+            keep = partial * (dim / e) <= reach[a] * margin
+            a, b, partial = a[keep], b[keep], partial[keep]
     own = ids[b] == query_ids[a]
     a, b = a[~own], b[~own]
-    score = (q[a] * x[b]).sum(axis=1)
+    score = np.empty(len(a))
+    for i in range(0, len(a), PAIRS):
+        score[i:i + PAIRS] = (q[a[i:i + PAIRS]] * x[b[i:i + PAIRS]]).sum(axis=1)
     good = ~(score < bound[a])
-    a, b, score = a[good], b[good], score[good]
+    return _top(ids, a[good], b[good], score[good], k)
+
+
+def _top(ids: np.ndarray, a: np.ndarray, b: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((ids[b], -score, a))
     a, b, score = a[order], b[order], score[order]
-    best = core.ranges(np.bincount(a, minlength=len(q))) < k
-    return query_ids[a[best]], ids[b[best]], score[best]
+    best = core.ranges(np.bincount(a)) < k
+    return a[best], b[best], score[best]
+
+
+def scan_tile(index: Index, lists: np.ndarray, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray,
+              k: int, probes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, id, score): the best ``k`` of a tile's rows for each query, from the lists that the query probes."""
+    order = np.argsort(lists, kind="stable")
+    lists, ids, x = lists[order], ids[order], x[order]
+    r = index.rotated(x).astype(np.float32)
+    edges = np.flatnonzero(np.diff(lists, prepend=-1, append=-1))
+    cuts = [(a, min(a + PIECE, z)) for s, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) for a in range(s, z, PIECE)]
+    for i in range(0, len(q), QUERIES):
+        some, some_ids, least = q[i:i + QUERIES], query_ids[i:i + QUERIES], bound[i:i + QUERIES]
+        rq = index.rotated(some, query=True)
+        probed = np.zeros((len(some), len(index.centroids)), bool)
+        np.put_along_axis(probed, index.nearest(rq, probes), True, axis=1)
+        rq = rq.astype(np.float32)
+        found = []
+        for a, z in cuts:
+            at = np.flatnonzero(probed[:, lists[a]])
+            if len(at):
+                f, g, s = scan(index, ids[a:z], x[a:z], some_ids[at], some[at], least[at], k, rotated=(r[a:z], rq[at]))
+                found.append((at[f], g + a, s))
+        if found:
+            f, g, s = _top(ids, *(np.concatenate(z) for z in zip(*found, strict=True)), k)
+            yield some_ids[f], ids[g], s
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """In half the bytes if no component changes by that."""
+    with np.errstate(over="ignore"):
+        y = x.astype(np.float32)
+    return y if (y == x).all() else x
+
+
+def _vectors(raw: list[bytes], ids: list[np.ndarray], dim: int) -> np.ndarray:
+    each = [np.frombuffer(v, np.float32 if len(v) < 8 * dim * len(i) else np.float64).reshape(-1, dim) for v, i in zip(raw, ids, strict=True)]
+    return np.concatenate(each).astype(np.float64)
 
 
 def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
@@ -172,52 +258,57 @@ def _search(rows: DataFrame, queries: Column, k: int, probe_share: float, list_s
     dim, probes = index.rotation.shape[0] - 1, int(np.ceil(probe_share * len(index.centroids)))
     sent = spark.sparkContext.broadcast(index)
 
-    def pieces(lists: int, size: int, query: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                ids = b.column(0).to_numpy()
-                x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(ids), dim)
-                at = sent.value.nearest(sent.value.rotated(x, query), lists)
-                bound = np.full(len(ids), -np.inf)
-                if query:
-                    for a, _, score in seeds(sent.value, ids, x, k):
-                        n = np.bincount(a, minlength=len(ids))
-                        full = n == k
-                        bound[full] = score[np.cumsum(n)[full] - 1]
-                row, of = np.repeat(np.arange(len(ids)), at.shape[1]), at.ravel()
-                order = np.argsort(of, kind="stable")
-                row, of = row[order], of[order]
-                edges = np.flatnonzero(np.diff(of, prepend=-1, append=-1)) if len(of) else []
-                out = []
-                for a, z in zip(edges[:-1], edges[1:], strict=True):
-                    for i in range(a, z, size):
-                        r = row[i:min(i + size, z)]
-                        out.append({"list": int(of[a]), "ids": ids[r].tobytes(), "vectors": x[r].tobytes(),
-                                    "bound": bound[r].tobytes() if query else None})
-                yield core.batch_of(_PIECES, out)
-
-        return run
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in core.rows_of(batches):
-            ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["qids"], np.int64)
-            x, q = (np.frombuffer(r[c]).reshape(-1, dim) for c in ("vectors", "qvectors"))
-            a, b, s = scan(sent.value, ids, x, qids, q, np.frombuffer(r["bound"]), k)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())],
-                                             schema=core.arrow_schema("query_id long, vec_id long, score double"))
+    tiles, asked = index.tiles, rows.where(queries)
+    parts = max(1, -(-asked.count() // PART))
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpacked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for b in batches:
-            ids, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, dim)
+            for i in range(0, b.num_rows, size):
+                c = b.slice(i, size)
+                yield c.column(0).to_numpy(), c.column(1).flatten().to_numpy().reshape(-1, dim)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, x in unpacked(batches, PIECE * 4):
+            of = sent.value.nearest(sent.value.rotated(x), 1)[:, 0]
+            tile = sent.value.tile(of, ids)
+            order = np.lexsort((of, tile))
+            at = np.flatnonzero((np.diff(tile[order], prepend=-1) != 0) | (np.diff(of[order], prepend=-1) != 0))
+            yield core.batch_of(_LISTS, [{"tile": int(tile[r[0]]), "list": int(of[r[0]]), "ids": ids[r].tobytes(), "vectors": _narrow(x[r]).tobytes()}
+                                         for r in np.split(order, at[1:])])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, x in unpacked(batches, QUERIES):
+            bound = np.full(len(ids), -np.inf)
+            for a, _, score in seeds(sent.value, ids, x, k):
+                n = np.bincount(a, minlength=len(ids))
+                full = n == k
+                bound[full] = score[np.cumsum(n)[full] - 1]
+            part = (core.mix64(ids.view(np.uint64)) % core.U64(parts)).astype(np.int64)
+            yield core.batch_of(_ASKS, [{"part": p, "ids": ids[part == p].tobytes(), "vectors": _narrow(x[part == p]).tobytes(),
+                                         "bound": bound[part == p].tobytes()} for p in np.unique(part).tolist()])
+
+    def compare(key: tuple[pa.Scalar, ...], data: pa.Table, asks: pa.Table) -> pa.Table:
+        schema = core.arrow_schema(_FOUND)
+        out = [schema.empty_table()]
+        if data.num_rows and asks.num_rows:
+            each, q_each = ([np.frombuffer(i, np.int64) for i in t.column("ids").to_pylist()] for t in (data, asks))
+            lists = np.repeat(data.column("list").to_numpy(), [len(i) for i in each])
+            x, q = (_vectors(t.column("vectors").to_pylist(), i, dim) for t, i in ((data, each), (asks, q_each)))
+            bound = np.concatenate([np.frombuffer(z) for z in asks.column("bound").to_pylist()])
+            for a, i, s in scan_tile(sent.value, lists, np.concatenate(each), x, np.concatenate(q_each), q, bound, k, probes):
+                out.append(pa.table([a, i, s], schema=schema))
+        return pa.concat_tables(out)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, x in unpacked(batches, QUERIES):
             for a, i, s in seeds(sent.value, ids, x, k):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(i), pa.array(s)],
-                                                 schema=core.arrow_schema("query_id long, vec_id long, score double"))
-
-    data = rows.mapInArrow(pieces(1, PIECE, False), _PIECES)
-    asks = rows.where(queries).mapInArrow(pieces(probes, 256, True), _PIECES) \
-        .select("list", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"), "bound")
-    found = data.drop("bound").join(asks, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
-    seeded = rows.where(queries).mapInArrow(first, "query_id long, vec_id long, score double")
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(i), pa.array(s)], schema=core.arrow_schema(_FOUND))
+
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    data = rows.mapInArrow(deal, _LISTS).select("*", each(parts).alias("part"))
+    asks = asked.mapInArrow(ask, _ASKS).select("*", each(tiles).alias("tile"))
+    found = data.groupBy("tile", "part").cogroup(asks.groupBy("tile", "part")).applyInArrow(compare, _FOUND)
+    seeded = asked.mapInArrow(first, _FOUND)
     # a row that the sample and a list both gave counts once
     both = found.withColumn("c", F.lit(1)).withColumn("d", F.lit(0)).unionByName(seeded.withColumn("c", F.lit(0)).withColumn("d", F.lit(1)))
     both = both.groupBy("query_id", "vec_id", "score").agg(F.greatest(F.sum("c"), F.sum("d")).alias("n"))

@@ -1,8 +1,10 @@
 """Adaptive dimension scan: recall against brute force, exact scores, edge cases."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ebbflow.llm import ann
 from ebbflow.llm.ann import search
 
 SF = "/root/testdata/sf0.01"
@@ -57,3 +59,41 @@ def test_edge_cases(spark):
     few = search(d.where("vec_id < 5"), F.col("vec_id") % 20 == 0).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4]
     assert search(d.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def brute_rows(x, queries, k=20):
+    return sorted((int(i), r + 1, j) for i, w in brute(np.arange(len(x)), x, queries, k).items() for r, (j, _) in enumerate(w))
+
+
+def test_a_query_travels_once_and_not_once_per_list(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1200, 8))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    made, plain = [], type(d).mapInArrow
+    monkeypatch.setattr(type(d), "mapInArrow", lambda self, f, schema, *a, **b: made.append((f, schema)) or plain(self, f, schema, *a, **b))
+    search(d, F.col("vec_id") % 20 == 0, list_size=10)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200), pa.int64()), pa.array(x.tolist())], names=["vec_id", "v"])
+    packed = [f for f, schema in made if "vectors" in schema]
+    assert packed
+    for f in packed:
+        assert sum(len(v) for b in f(iter([batch])) for v in b.column("vectors").to_pylist()) <= x.nbytes
+
+
+def test_tiles_and_parts_give_all_neighbours(spark, monkeypatch):
+    """Many tiles and parts, and a list that holds most rows: every list probed finds what brute force finds."""
+    monkeypatch.setattr(ann, "TILE", 100)
+    monkeypatch.setattr(ann, "PART", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 7)).astype(np.float32).astype(np.float64)
+    x[300:] = x[300] + 0.01 * rng.normal(size=(600, 7))  # not whole in 32 bits
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = search(d, F.col("vec_id") % 20 == 0, list_size=100, probe_share=1).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == brute_rows(x, np.arange(0, 900, 20))
+
+
+def test_best_columns_match_a_stable_sort():
+    rng = np.random.default_rng(6)
+    for n in (1, 3, 10, 40):
+        score = rng.integers(0, 6, (50, 30)).astype(float)
+        score[rng.random((50, 30)) < 0.2] = -np.inf
+        assert (ann._best(score, n) == np.argsort(-score, axis=1, kind="stable")[:, :n]).all()
